@@ -8,6 +8,7 @@ earlier in the batch resets the key to that single added row. Changes with a NUL
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +36,16 @@ def latest(changes: DataFrame, keys: list[str], order: list[str], op: str = "op"
     return last.select(*keys, "__last.*", "reset")
 
 
-def apply_latest(target: DataFrame, last: DataFrame, keys: list[str], mapped: list[str], op: str = "op") -> DataFrame:
-    """Target after the changes in ``last`` (one row per key)."""
+def apply_latest(
+    target: DataFrame,
+    last: DataFrame,
+    keys: list[str],
+    mapped: list[str],
+    op: str = "op",
+    defaults: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Target after the changes in ``last`` (one row per key); added rows take ``defaults`` for unmapped columns."""
+    defaults = defaults or {}
     values = [c for c in mapped if c not in keys]
     marks = last.select(
         *keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__hit"), F.col("reset").alias("__reset")
@@ -57,7 +66,7 @@ def apply_latest(target: DataFrame, last: DataFrame, keys: list[str], mapped: li
     absent = upserts.where(~F.col("reset")).join(existing, keys, "left_anti")
     added = gone.unionByName(absent).select(
         *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in mapped or f.name in keys else F.lit(None).cast(f.dataType)).alias(f.name)
+            (F.col(f.name).try_cast(f.dataType) if f.name in mapped or f.name in keys else defaults.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name)
             for f in target.schema.fields
         ]
     )

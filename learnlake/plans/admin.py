@@ -6,7 +6,7 @@ attributes. List targets keep one row per parent: the first list element, or NUL
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,36 +136,47 @@ USER_LISTS: dict[str, tuple[str, dict[str, str], dict[str, str]]] = {
 }
 
 
+Projection = Callable[..., DataFrame]
+
+
+def _rows(events: DataFrame, columns: dict, table: str, carry: Sequence[str]) -> DataFrame:
+    """Project and conform; ``carry`` columns of the input stay on every row."""
+    return conform(events.select(*project(DOC, columns), *carry), table, extra=carry)
+
+
 def _absolute(path: str) -> str:
     if path.startswith("/"):
         return path[1:]
     return f"data.{path[3:]}" if path.startswith("../") else _own(path)
 
 
-def _flat(name: str, extra: dict[str, Column] | None = None) -> Callable[[DataFrame], DataFrame]:
+def _flat(name: str, extra: dict[str, Column] | None = None) -> Projection:
     table, mapping = FLAT[name]
 
-    def build(events: DataFrame) -> DataFrame:
+    def build(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         columns = {c: at(DOC, _absolute(p)) for c, p in mapping.items()} | (extra or {})
-        return conform(events.where(entity() == name).select(*project(DOC, columns)), table)
+        return _rows(events.where(entity() == name), columns, table, carry)
 
     return build
 
 
-def _user_list(name: str) -> Callable[[DataFrame], DataFrame]:
+def _user_list(name: str) -> Projection:
+    """One row per listed user, in list order; carried rows also keep that order as ``item_no``."""
     table, parent, item = USER_LISTS[name]
 
-    def build(events: DataFrame) -> DataFrame:
+    def build(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         rows = events.where(entity() == name).select(
             *project(DOC, {c: _absolute(p) for c, p in parent.items()}),
-            F.explode_outer(at(DOC, _own("userList"), "array<variant>")).alias("item"),
+            *carry,
+            F.posexplode_outer(at(DOC, _own("userList"), "array<variant>")).alias("item_no", "item"),
         )
-        return conform(rows.select(*parent, *project("item", item)), table)
+        extra = [*carry, "item_no"] if carry else []
+        return conform(rows.select(*parent, *project("item", item), *extra), table, extra=extra)
 
     return build
 
 
-def _user_role(events: DataFrame) -> DataFrame:
+def _user_role(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Ids that appear in two places take the documented one first."""
     session = _own("schoolLevelSession")
     extra = {
@@ -173,20 +184,20 @@ def _user_role(events: DataFrame) -> DataFrame:
         "school_id": at(DOC, f"{session}.unoSchool.refId"),
         "school_level_sessions_id": at(DOC, f"{session}.refId"),
     }
-    return _flat("USERROLE", extra)(events)
+    return _flat("USERROLE", extra)(events, carry)
 
 
-def _section_subject(events: DataFrame) -> DataFrame:
+def _section_subject(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     extra = {
         "school_class_id": F.coalesce(
             at(DOC, _own("schoolClass.refId")), at(DOC, _own("schoolClass.school_class_id"))
         )
     }
-    return _flat("SUBJECTSCHOOLCLASS", extra)(events)
+    return _flat("SUBJECTSCHOOLCLASS", extra)(events, carry)
 
 
 # -- users and schools: a main row plus first-of-list rows ----------------------------------------------------------
-def _user(events: DataFrame) -> DataFrame:
+def _user(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     first, middle, last = (at_or(DOC, _own(f"name.{n}"), "") for n in ("firstName", "middleName", "lastName"))
     columns = {
         "user_id": at(DOC, _own("refId")),
@@ -203,36 +214,35 @@ def _user(events: DataFrame) -> DataFrame:
         "uno_user_name": F.coalesce(at(DOC, _own("user.username")), at(DOC, _own("uno_user_name"))),
         "active_status": F.coalesce(at(DOC, _own("user.active")), at(DOC, _own("active_status"))),
     }
-    return conform(events.where(entity() == "USER").select(*project(DOC, columns)), "gold.dim_user")
+    return _rows(events.where(entity() == "USER"), columns, "gold.dim_user", carry)
 
 
-def _phone(name: str, table: str, key: str) -> Callable[[DataFrame], DataFrame]:
+def _phone(name: str, table: str, key: str) -> Projection:
     phone = _own("phoneNumberList[0].phoneNumber")
     columns = {key: _own("refId"), "phone_number": f"{phone}.number", "phone_type": f"{phone}.phoneNumberType"}
-    return lambda events: conform(events.where(entity() == name).select(*project(DOC, columns)), table)
+    return lambda events, carry=(): _rows(events.where(entity() == name), columns, table, carry)
 
 
-def _school_email(events: DataFrame) -> DataFrame:
+def _school_email(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     columns = {"school_email_id": _own("refId"), "email": _own("schoolEmailList[0].schoolEmail.email")}
-    return conform(events.where(entity() == "UNOSCHOOL").select(*project(DOC, columns)), "gold.dim_school_email")
+    return _rows(events.where(entity() == "UNOSCHOOL"), columns, "gold.dim_school_email", carry)
 
 
-def _user_email(events: DataFrame) -> DataFrame:
+def _user_email(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The person list if it has elements, else the user list; either item key may hold the address."""
-    person = at(DOC, _own("personEmailList[0]"), "variant")
-    item = F.coalesce(person, at(DOC, _own("userEmailList[0]"), "variant"))
-    rows = events.where(entity() == "USER").select(at(DOC, _own("refId")).alias("user_email_id"), item.alias("item"))
+    item = F.coalesce(*[at(DOC, _own(f"{kind}EmailList[0]"), "variant") for kind in ("person", "user")])
+    rows = events.where(entity() == "USER").select(at(DOC, _own("refId")).alias("user_email_id"), item.alias("item"), *carry)
     email = F.when(present("item", "personEmail"), at("item", "personEmail.email")).otherwise(
         at("item", "userEmail.email")
     )
-    return conform(rows.select("user_email_id", email.alias("email")), "gold.dim_user_email")
+    return conform(rows.select("user_email_id", email.alias("email"), *carry), "gold.dim_user_email", extra=carry)
 
 
-def _address(name: str, table: str, key: str, with_postal: bool, extra: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
+def _address(name: str, table: str, key: str, with_postal: bool, extra: dict[str, str]) -> Projection:
     """Missing text parts of an existing address are empty; without any address all parts are NULL."""
     item, address = _own("addressList[0]"), _own("addressList[0].address")
 
-    def build(events: DataFrame) -> DataFrame:
+    def build(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         listed = present(DOC, item)
         text = lambda part: F.when(listed, at_or(DOC, f"{address}.{part}", ""))
         street, area, city = text("street.line1"), text("neighborhood"), text("city")
@@ -247,12 +257,12 @@ def _address(name: str, table: str, key: str, with_postal: bool, extra: dict[str
             "postal_code": postal,
             "address_type": at(DOC, f"{address}.addressType"),
         } | {c: at(DOC, _own(p)) for c, p in extra.items()}
-        return conform(events.where(entity() == name).select(*project(DOC, columns)), table)
+        return _rows(events.where(entity() == name), columns, table, carry)
 
     return build
 
 
-TARGETS: dict[str, Callable[[DataFrame], DataFrame]] = {
+TARGETS: dict[str, Projection] = {
     "gold.dim_school_class": _flat("SCHOOLCLASS"),
     "gold.dim_school_grade_group": _flat("SCHOOLGRADEGROUP"),
     "gold.dim_school_level_session": _flat("SCHOOLLEVELSESSION"),
@@ -274,5 +284,7 @@ TARGETS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def project_table(events: DataFrame, table: str) -> DataFrame:
-    return TARGETS[table](events)
+# entity -> its target tables
+ENTITY_TABLES = {name: [table] for name, (table, *_) in (FLAT | USER_LISTS).items()}
+ENTITY_TABLES["UNOSCHOOL"] += ["gold.dim_school_address", "gold.dim_school_phone", "gold.dim_school_email"]
+ENTITY_TABLES["USER"] = ["gold.dim_user", "gold.dim_user_phone", "gold.dim_user_email", "gold.dim_user_address"]

@@ -77,8 +77,9 @@ COLUMNS: dict[str, list[str]] = {
 # Columns a load leaves to the table's default.
 LOAD_TIME_COLUMNS = ("dt_load", "dt_end", "stream_time_insert")
 
-# Key columns for updates and deletes. Two tables need a second column (or a finer one)
-# because the coarse key would overwrite unrelated rows; callers may pass their own list.
+# Key columns for updates and deletes. Section subjects, user groups and class participants use a
+# finer key than their parent's id, which would make rows of one parent overwrite each other; callers may pass
+# their own lists.
 KEYS: dict[str, list[str]] = {
     "gold.dim_school_class": ["school_class_id"],
     "gold.dim_school_grade_group": ["school_grade_group_id"],
@@ -93,7 +94,7 @@ KEYS: dict[str, list[str]] = {
     "gold.dim_user_phone": ["user_phone_id"],
     "gold.dim_user_address": ["user_address_id"],
     "gold.dim_user_email": ["user_email_id"],
-    "gold.dim_user_group": ["group_id"],
+    "gold.dim_user_group": ["group_id", "person_id"],
     "gold.dim_user_role": ["user_role_id"],
     "gold.dim_class_participant": ["user_id", "section_id"],
 }

@@ -14,7 +14,7 @@ from learnlake.operators.incremental import unprocessed
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its decoded path, the text and the parsed document (NULL if it is not JSON)."""
     return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(
-        F.url_decode(F.col("_metadata.file_path")).alias("path"),
+        F.try_url_decode(F.col("_metadata.file_path")).alias("path"),
         F.col("value").alias("payload"),
         F.try_parse_json("value").alias("doc"),
     )
