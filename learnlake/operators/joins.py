@@ -28,7 +28,7 @@ def _fits_broadcast(df: DataFrame) -> bool:
         return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= int(limit)
+    return int(str(size)) <= int(limit)
 
 
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = LOOKUP_SALTS) -> DataFrame:
