@@ -63,6 +63,15 @@ def valid_statements(df: DataFrame, excluded: Iterable[str] = EXCLUDED_STATEMENT
     return df.where(F.col("statement_id").isNotNull() & ~F.col("statement_id").isin(list(excluded)))
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that later filters must not compute again.
+
+    A filter on a plain computed column is moved below it and repeats its expression, once per mention; a generator's
+    output stays where it is. Use it around parsing.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def first_item(items: Column) -> Column:
     """First list element, NULL for an empty or missing list."""
     return F.get(items, F.lit(0))

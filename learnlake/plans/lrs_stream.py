@@ -13,7 +13,7 @@ from learnlake.functions.paths import at, not_null, present, project
 from learnlake.functions.text import chunks, joined_list
 from learnlake.operators.routing import stream_route, verb_id_only
 from learnlake.operators.shaping import conform
-from learnlake.schemas.events import ACT_TYPE, IDS, SCORM
+from learnlake.schemas.events import ACT_TYPE, IDS, SCORM, VERB_PREFIX
 
 DOC = "doc"
 RESPONSE_CHUNK = 64_000
@@ -68,7 +68,7 @@ RESULT_SCORM = KEYS | {
 
 
 def _verb_is(*names: str) -> Column:
-    return stream_route(verb_id_only(DOC)).isin(*names)
+    return verb_id_only(DOC).isin([VERB_PREFIX + n for n in names])
 
 
 def _has_rows() -> Column:

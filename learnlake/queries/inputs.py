@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.functions.keys import normalize
+from learnlake.operators.shaping import once
 from learnlake.queries.registry import Tables
 from learnlake.schemas.events import ACT_TYPE, IDS, SCORM, VERB_PREFIX
 
@@ -115,7 +116,8 @@ def raw_learning(t: Tables) -> DataFrame:
     """The raw table: ``(event VARIANT with normalized keys, dt_load)``."""
     events = learning_events(t)
     normal = normalize(F.col("e"), events.schema["e"].dataType)
-    return events.select(F.try_parse_json(F.to_json(normal)).alias("event"), F.col("ts").alias("dt_load"))
+    texts = events.select(F.to_json(normal).alias("text"), F.col("ts").alias("dt_load"))
+    return once(texts, event=F.try_parse_json("text")).drop("text")
 
 
 def envelopes(df: DataFrame, payload: Column, number: str, key: str, ts: str) -> DataFrame:
@@ -139,7 +141,7 @@ def learning_records(t: Tables) -> DataFrame:
 
 def document(df: DataFrame, event: Column, *keep: str) -> DataFrame:
     """JSON text of a struct as ``payload`` and parsed as ``doc``."""
-    return df.select(*keep, F.to_json(event).alias("payload")).withColumn("doc", F.try_parse_json("payload"))
+    return once(once(df, payload=F.to_json(event)).select(*keep, "payload"), doc=F.try_parse_json("payload"))
 
 
 def admin_document(df: DataFrame, entity: str, attributes: Column, *keep: str, action: Column | None = None) -> DataFrame:

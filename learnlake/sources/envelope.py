@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from learnlake.functions.ids import sequence_key
 from learnlake.functions.text import before_colon
+from learnlake.operators.shaping import once
 from learnlake.schemas.events import QUEUE_MESSAGE
 
 # Fixed value: the marker of records that come from the stream.
@@ -30,9 +31,9 @@ def json_or_null(text: Column) -> Column:
 
 def decode(records: DataFrame, data: str = "data") -> DataFrame:
     """Flat records -> the same records with ``payload``, ``doc`` and ``error`` in place of the data column."""
+    text = once(records, payload=decoded_text(F.col(data)))
     return (
-        records.withColumn("payload", decoded_text(F.col(data)))
-        .withColumn("doc", F.try_parse_json("payload"))
+        once(text, doc=F.try_parse_json("payload"))
         .withColumn(
             "error",
             F.when(F.col(data).isNull(), "no data")
@@ -91,8 +92,8 @@ def free_form(texts: DataFrame, text: str = "text") -> DataFrame:
     payloads = lambda datas: F.filter(
         F.transform(datas, lambda d: json_or_null(decoded_text(d))), lambda p: p.isNotNull()
     )
-    found = texts.withColumn("doc", doc).withColumn(
-        "payloads", payloads(F.coalesce(listed, F.when(alone.isNotNull(), F.array(alone)), nested))
+    found = once(
+        once(texts, doc=doc), payloads=payloads(F.coalesce(listed, F.when(alone.isNotNull(), F.array(alone)), nested))
     )
     anywhere = payloads(F.regexp_extract_all(F.col(text), F.lit(DATA_FIELD), F.lit(1)))
     return (
