@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from learnlake.functions.ids import bucket
 from learnlake.functions.text import blank_to_null
-from learnlake.operators.shaping import conform, stamp
+from learnlake.operators.shaping import conform, once, stamp
 
 BUCKETS = 50
 
@@ -115,17 +115,15 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, bad: str = "__bad") -> tuple[DataFrame, DataFrame]:
-    """``(rows, rejected)``: rows with blanks as NULL, and the text of lines that do not fit the schema."""
-    wide = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
-    rows = (
-        spark.read.options(**CSV)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", bad)
-        .schema(wide)
-        .csv(path)
-    )
-    return blanks_to_null(rows.where(F.col(bad).isNull()).drop(bad)), rows.where(F.col(bad).isNotNull()).select(bad)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)``: rows with blanks as NULL, and the lines that do not fit the schema."""
+    bad = "__bad"
+    fields = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields], f"{bad} string"]
+    options = {k: v for k, v in CSV.items() if k != "header"} | {"columnNameOfCorruptRecord": bad}
+    lines = spark.read.text(path)
+    parsed = once(lines, row=F.from_csv("value", ", ".join(fields), options))
+    rows = parsed.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad)
+    return blanks_to_null(rows), parsed.where(F.col(f"row.{bad}").isNotNull()).select("value")
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType, max_errors: int = 100) -> DataFrame:

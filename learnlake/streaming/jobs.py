@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from learnlake.functions.ids import sequence_key
+from learnlake.functions.paths import at
 from learnlake.operators import changes, routing
 from learnlake.plans import admin, lrs_stream, reading
-from learnlake.functions.paths import at
 from learnlake.schemas import gold
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import envelope
@@ -96,15 +97,14 @@ def _write_target(rows: DataFrame, table: str, out: str, batch_id: int, op: str
 
 
 def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str, batch_id: int) -> None:
-    arrived = arrival_time(F.col("approximateArrivalTimestamp"))
+    """Raw, processed, unknown and rejected copies plus the ingest log; folders carry the processing time (UTC)."""
+    now = F.lit(datetime.now(timezone.utc))
     folder = lambda kind: f"{out}/{kind}/batch={batch_id}"
-    archive.write_payloads(
-        archive.raw_layout(events, arrived), folder("raw"), ["month", "day", "hour"], "overwrite"
-    )
-    log = envelope.ingest_log(events, job.name, archive.raw_uri(f"{out}/raw/", arrived))
+    archive.write_payloads(archive.raw_layout(events, now), folder("raw"), ["month", "day", "hour"], "overwrite")
+    log = envelope.ingest_log(events, job.name, archive.raw_uri(f"{folder('raw')}/", now))
     tables.append(log, "infrastructure.kinesis_log", f"{out}/tables/infrastructure.kinesis_log", str(batch_id))
     known = events.where(job.route().isNotNull())
-    archive.write_payloads(job.layout(known, arrived), folder("processed"), job.folders, "overwrite")
+    archive.write_payloads(job.layout(known, now), folder("processed"), job.folders, "overwrite")
     archive.write_payloads(events.where(job.route().isNull()), folder("unknown"), [], "overwrite")
     archive.write_failed(envelope.bad(decoded).drop("doc"), f"{out}/rejected", job.name, "decode", str(batch_id))
 
