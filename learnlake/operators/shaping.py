@@ -72,6 +72,17 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give costly per-row work enough tasks: rows of a few files are spread over all cores by ``keys``.
+
+    Input that already has a partition per core is left as it is, so large scans are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.javaToPython().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def first_item(items: Column) -> Column:
     """First list element, NULL for an empty or missing list."""
     return F.get(items, F.lit(0))

@@ -1,7 +1,8 @@
 """Student response activity: the fact table built from learning and school dimensions.
 
 Shape of the plan: the activity rows are reduced to answered statements by a semi join and de-duplicated in the
-partitioning of the statement key; the two reference lookups (school, learning unit) come next; results, SCORM
+partitioning of the statement key. The two lookups (school, learning unit) are small aggregates, written once so
+that their real size decides between a broadcast, which keeps that partitioning, and a salted join. Results, SCORM
 results and statements join last on the statement key, so the closing ``distinct`` - whose columns include that key -
 needs no further exchange. Restricting those inputs to the base keys first would change nothing: they are only
 left-joined on exactly those keys.
@@ -18,6 +19,7 @@ from learnlake.functions.ids import padded_uuid, score, sentinel_to_null
 from learnlake.operators.joins import lookup, restrict
 from learnlake.schemas import gold
 from learnlake.schemas.events import SCORM, VERB_PREFIX
+from learnlake.session import written
 
 KEY = ["lrs_id", "client_id", "statement_id"]
 ANSWERED = VERB_PREFIX + "answered"
@@ -73,10 +75,10 @@ def shown_response(interaction_type: Column, response: Column) -> Column:
 
 def build(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The 30-column fact from ``dim_lrs_{verb,object_http,result,result_scorm,statement}``, ``dim_{page,resource,
-    activity,school,school_level_session}``."""
+    activity,school,school_level_session}``. Runs two small jobs for the lookups."""
     base = base_rows(tables["dim_lrs_object_http"], tables["dim_lrs_verb"])
-    schools = active_schools(tables["dim_school"], tables["dim_school_level_session"])
-    units = unit_activities(tables["dim_page"], tables["dim_resource"], tables["dim_activity"])
+    schools = written(active_schools(tables["dim_school"], tables["dim_school_level_session"]), "schools")
+    units = written(unit_activities(tables["dim_page"], tables["dim_resource"], tables["dim_activity"]), "units")
     results = tables["dim_lrs_result"].select(
         *KEY,
         F.coalesce("success_status", F.lit(False)).alias("success_status"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.operators import changes, routing
+from learnlake.operators.shaping import spread
 from learnlake.plans import admin, reading
 from learnlake.queries.inputs import admin_document, document, envelopes, obj, ref, s
 from learnlake.queries.registry import query, table_sql
@@ -29,7 +30,7 @@ def _items(n: Column, make) -> Column:
 
 # -- one entity per source table --------------------------------------------------------------------------------------
 def sessions(t) -> DataFrame:
-    return admin_document(t.orders, "SESSION", obj(
+    return admin_document(spread(t.orders, "o_orderkey"), "SESSION", obj(
         refId=_text("o_orderkey"), sessionDescription=F.col("o_orderpriority"), order=F.col("o_custkey"),
         sessionCode=F.col("o_orderstatus"), sessionPaying=F.col("o_totalprice") > 100000,
         sessionActive=(F.col("o_custkey") % 2).cast("int"), empresa=ref(F.col("o_custkey")),
@@ -37,7 +38,7 @@ def sessions(t) -> DataFrame:
 
 
 def school_classes(t) -> DataFrame:
-    return admin_document(t.part, "SCHOOLCLASS", obj(
+    return admin_document(spread(t.part, "p_partkey"), "SCHOOLCLASS", obj(
         refId=_text("p_partkey"), name=F.col("p_name"), order=F.col("p_size"), schoolGradeGroup=ref(F.col("p_brand")),
         unoSchool=ref(F.col("p_type")), schoolLevel=F.when(F.col("p_size") > 10, ref(F.col("p_size"))),
         session=ref(F.col("p_partkey") + 1),
@@ -49,14 +50,14 @@ def grade_groups(t) -> DataFrame:
         refId=s("sls", ".p_partkey"), unoSchool=ref(F.col("p_type")), session=ref(F.col("p_size")),
         schoolLevel=ref(F.col("p_brand")),
     )
-    return admin_document(t.part, "SCHOOLGRADEGROUP", obj(
+    return admin_document(spread(t.part, "p_partkey"), "SCHOOLGRADEGROUP", obj(
         refId=_text("p_partkey"), alias=F.col("p_name"), schoolLevelSession=F.when(F.col("p_size") % 4 != 0, session),
         grade=ref(F.col("p_size")), group=obj(refId=s("g", ".p_partkey"), groupDescription=F.col("p_type")),
     ))
 
 
 def level_sessions(t) -> DataFrame:
-    return admin_document(t.customer, "SCHOOLLEVELSESSION", obj(
+    return admin_document(spread(t.customer, "c_custkey"), "SCHOOLLEVELSESSION", obj(
         refId=_text("c_custkey"), unoSchool=ref(F.col("c_nationkey")), session=ref(F.col("c_mktsegment")),
         schoolLevel=ref(F.col("c_name")), empresa=ref(F.lit("e1")), active=F.col("c_acctbal") > 0,
         image=s("img", ".c_custkey"), paymentAllowed=F.col("c_acctbal") > 5000,
@@ -65,7 +66,7 @@ def level_sessions(t) -> DataFrame:
 
 def subject_classes(t) -> DataFrame:
     key = s(".l_orderkey", "-", ".l_linenumber")
-    return admin_document(t.lineitem, "SUBJECTSCHOOLCLASS", obj(
+    return admin_document(spread(t.lineitem, "l_orderkey"), "SUBJECTSCHOOLCLASS", obj(
         subjectSchoolClass=obj(
             subjectSchoolClassRefId=key, subjectSchoolClassName=F.col("l_returnflag"),
             subjectGradeSchoolClassRefId=_text("l_partkey"), order=F.col("l_linenumber"), subjectRefId=_text("l_suppkey"),
@@ -83,7 +84,7 @@ def schools(t) -> DataFrame:
         city=F.when(F.col("s_nationkey") % 5 != 0, s("city ", ".s_nationkey")), neighborhood=s("area ", i.cast("string")),
         postalCode=F.when(F.col("s_nationkey") % 3 == 0, "").otherwise(_text("s_nationkey")), buildingSiteNumber=i.cast("string"),
     ))
-    return admin_document(t.supplier, "UNOSCHOOL", obj(
+    return admin_document(spread(t.supplier, "s_suppkey"), "UNOSCHOOL", obj(
         refId=_text("s_suppkey"), name=F.col("s_name"), schoolIdSystem=s("sys", ".s_suppkey"), demo=F.lit("no"),
         active=F.col("s_acctbal") > 0, country=ref(F.col("s_nationkey")), addressList=_items(n, address),
         phoneNumberList=_items(n, lambda i: obj(phoneNumber=obj(phoneNumberType=F.lit("work"), number=s("+", i.cast("string"), ".s_suppkey")))),
@@ -114,7 +115,7 @@ def user_attributes() -> Column:
 
 
 def users(t) -> DataFrame:
-    return admin_document(t.customer, "USER", user_attributes())
+    return admin_document(spread(t.customer, "c_custkey"), "USER", user_attributes())
 
 
 def _user_items() -> Column:
@@ -125,7 +126,7 @@ def _user_items() -> Column:
 
 
 def user_groups(t) -> DataFrame:
-    return admin_document(t.orders, "USERGROUP", obj(
+    return admin_document(spread(t.orders, "o_orderkey"), "USERGROUP", obj(
         group=ref(F.col("o_orderkey")), grade=ref(F.col("o_orderstatus")), unoSchool=ref(F.col("o_custkey")),
         schoolLevel=ref(F.lit("l1")), schoolStageSeason=ref(F.lit("st1")), schoolLevelSession=ref(F.lit("ls1")),
         session=ref(F.col("o_orderpriority")), userList=_user_items(),
@@ -133,7 +134,7 @@ def user_groups(t) -> DataFrame:
 
 
 def user_roles(t) -> DataFrame:
-    return admin_document(t.customer, "USERROLE", obj(
+    return admin_document(spread(t.customer, "c_custkey"), "USERROLE", obj(
         refId=_text("c_custkey"), person=F.when(F.col("c_acctbal") > 0, ref(F.col("c_name"))),
         unoStudent=F.when(F.col("c_nationkey") % 2 == 0, obj(
             refId=s("st", ".c_custkey"), person=ref(F.lit("other")),
@@ -148,7 +149,7 @@ def user_roles(t) -> DataFrame:
 
 
 def class_participants(t) -> DataFrame:
-    return admin_document(t.orders, "USERSCHOOLCLASS", obj(
+    return admin_document(spread(t.orders, "o_orderkey"), "USERSCHOOLCLASS", obj(
         schoolClass=ref(F.col("o_orderkey")), unoSchool=ref(F.col("o_custkey")), schoolLevel=ref(F.lit("l1")),
         schoolStageSeason=ref(F.lit("st1")), session=ref(F.col("o_orderpriority")), userList=_user_items(),
     ))
@@ -304,7 +305,7 @@ def admin_routing(t):
     event = obj(meta=obj(
         entityKey=F.get(entities, (F.col("event_id") % 7).cast("int")), action=actions[F.col("event_type")]
     ))
-    docs = document(t.events, event, "event_id")
+    docs = document(spread(t.events, "event_id"), event, "event_id")
     return docs.select(
         "event_id",
         routing.entity_route(admin.entity()).alias("route"),
@@ -335,7 +336,7 @@ def change_stream(t):
     Orders play the changes (F deletes, O updates, P is a creation the change job ignores).
     """
     action = F.when(F.col("o_orderstatus") == "F", "user_deleted").when(F.col("o_orderstatus") == "O", "user_updated").otherwise("user_created")
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = spread(t.orders, "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     attributes = user_attributes().withField("name.firstName", F.col("o_orderpriority"))
     events = admin_document(joined, "USER", attributes, "o_orderkey", "c_custkey", "o_orderdate", action=action)
     records = envelopes(events, F.col("payload"), "o_orderkey", "c_custkey", "o_orderdate")
@@ -373,7 +374,7 @@ def reading_events(t) -> DataFrame:
         )),
         data=_items((F.col("o_custkey") % 4).cast("int"), item),
     )
-    return document(t.orders, event)
+    return document(spread(t.orders, "o_orderkey"), event)
 
 
 ITEMS_SQL = "(SELECT *, o_custkey % 4 AS n FROM orders, range(0, 3) AS r(i) WHERE i < o_custkey % 4)"

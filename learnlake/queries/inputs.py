@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.functions.keys import normalize
-from learnlake.operators.shaping import once
+from learnlake.operators.shaping import once, spread
 from learnlake.queries.registry import Tables
 from learnlake.schemas.events import ACT_TYPE, IDS, SCORM, VERB_PREFIX
 
@@ -47,7 +47,7 @@ def stamp(ts: str = "ts") -> Column:
 def learning_events(t: Tables) -> DataFrame:
     """``events`` as learning-record documents: struct column ``e`` beside event_id, user_id, k, ts."""
     verb = F.create_map(*[F.lit(x) for pair in VERBS.items() for x in pair])[F.col("event_type")]
-    rows = t.events.withColumns(
+    rows = spread(t.events, "event_id").withColumns(
         {"k": F.get_json_object("props", "$.k").cast("int"), "verb": verb, "at": stamp()}
     )
     k = F.col("k")

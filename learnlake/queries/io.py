@@ -10,6 +10,7 @@ from learnlake.functions.ids import bucket
 from learnlake.functions.paths import at
 from learnlake.operators import routing
 from learnlake.operators.incremental import table_counts
+from learnlake.operators.shaping import spread
 from learnlake.plans import lrs_stream
 from learnlake.queries import inputs
 from learnlake.queries.admin import reading_events, user_attributes, users
@@ -328,7 +329,7 @@ def stream_change_job(t):
     out = scratch_path(t.spark, "changes")
     status = F.col("o_orderstatus")
     action = F.when(status == "F", "user_deleted").when(status == "O", "user_updated").otherwise("user_created")
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn(
+    joined = spread(t.orders, "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn(
         "at", F.timestamp_seconds(F.col("o_orderkey"))
     )
     attributes = user_attributes().withField("name.firstName", F.col("o_orderpriority"))

@@ -11,6 +11,7 @@ from learnlake.functions.keys import normalize, normalize_json
 from learnlake.functions.paths import at, column_name
 from learnlake.functions.text import strip_quotes
 from learnlake.operators import routing
+from learnlake.operators.shaping import spread
 from learnlake.plans import lrs_batch, lrs_stream
 from learnlake.queries import inputs
 from learnlake.queries.inputs import ACT_NAMES, ID_NAMES, K_SQL, STAMP_SQL, VERB_SQL
@@ -333,7 +334,7 @@ def envelope_free_form(t):
         .when(k % 2 == 0, F.to_json(record("other", data)))
         .otherwise(F.to_json(record("aws:kinesis", other)))
     )
-    rows = envelope.free_form(t.events.select("event_id", text.alias("text")))
+    rows = envelope.free_form(spread(t.events, "event_id").select("event_id", text.alias("text")))
     return rows.select("event_id", F.get_json_object("payload", "$.k").cast("int").alias("k"))
 
 
@@ -368,7 +369,7 @@ def _messy(t) -> DataFrame:
         inputs.s("u", ".event_id").alias("unitId"),
         inputs.s("v", ".event_id").alias("unit_id"),
     )
-    return t.events.select(event.alias("e"))
+    return spread(t.events, "event_id").select(event.alias("e"))
 
 
 def _messy_columns(doc: str) -> list:

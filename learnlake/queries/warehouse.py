@@ -478,7 +478,7 @@ def _history(t) -> tuple[DataFrame, DataFrame]:
     results = lines.select(
         s("sys", ".l_partkey").alias("id_sys"),
         F.lit("lrs1").alias("lrs_id"),
-        F.rpad(s("ç", ".l_suppkey"), 300, "ñ").alias("client_id"),
+        F.when(F.col("l_linenumber") == 1, F.rpad(s("ç", ".l_suppkey"), 300, "ñ")).otherwise(s("ç", ".l_suppkey")).alias("client_id"),
         F.col("l_orderkey").cast("string").alias("id_statement"),
         F.when(F.col("l_returnflag") == "A", "true").when(F.col("l_returnflag") == "R", "maybe").otherwise("false").alias("success"),
         F.col("l_linestatus").alias("response"),
@@ -500,8 +500,8 @@ def _history(t) -> tuple[DataFrame, DataFrame]:
 
 
 HISTORY_SQL = """(SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem)"""
-CLIENT_SQL = """left('ç' || l_suppkey || repeat('ñ', 300), 1 + length(CAST(l_suppkey AS VARCHAR)) +
-    (254 - length(CAST(l_suppkey AS VARCHAR))) // 2)"""
+CLIENT_SQL = """CASE WHEN l_linenumber = 1 THEN left('ç' || l_suppkey || repeat('ñ', 300), 1 +
+    length(CAST(l_suppkey AS VARCHAR)) + (254 - length(CAST(l_suppkey AS VARCHAR))) // 2) ELSE 'ç' || l_suppkey END"""
 
 
 @query(

@@ -20,8 +20,13 @@ DATA_FIELD = r'"data"\s*:\s*"([A-Za-z0-9+/=]+)"'
 
 
 def decoded_text(data: Column) -> Column:
-    """UTF-8 text of base64 data; NULL if it is not base64 or not UTF-8."""
-    return F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
+    """UTF-8 text of base64 data; NULL if it is not base64 or not UTF-8.
+
+    Characters outside the alphabet are ignored, but only data that is not clean pays for removing them.
+    """
+    clean = F.try_to_binary(data, F.lit("base64"))
+    cleaned = F.try_to_binary(F.regexp_replace(data, "[^A-Za-z0-9+/=]", ""), F.lit("base64"))
+    return F.try_validate_utf8(F.coalesce(clean, cleaned).cast("string"))
 
 
 def json_or_null(text: Column) -> Column:
