@@ -232,15 +232,18 @@ def table_append(t):
 
 
 # -- files -----------------------------------------------------------------------------------------------------------
-@query("json_documents", "SELECT conv_id, count(*) AS turns FROM conversations GROUP BY 1")
+@query("json_documents", "SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(*) AS n, min(c_custkey) AS first FROM customer GROUP BY 1")
 def json_documents(t):
-    """One JSON document per file: here a list of all turns of one role, read whole."""
+    """Files read whole as one document each: customers over several lines inside one object per file."""
     path = scratch_path(t.spark, "documents")
-    rows = t.conversations.select("role", F.to_json(F.struct("conv_id", "turn")).alias("value"))
-    rows.write.partitionBy("role").option("lineSep", ",").text(path)
+    line = F.to_json(F.struct("c_custkey"))
+    rows = t.customer.select("c_nationkey", F.concat(F.lit('{"k":\n'), line, F.lit("}")).alias("value"))
+    rows.write.partitionBy("c_nationkey").option("lineSep", ",\n").text(path)
     docs = files.json_documents(t.spark, path)
-    fixed = docs.select(F.explode(F.from_json(F.concat(F.lit("["), F.rtrim(F.col("payload"), F.lit(",")), F.lit("]")), "array<struct<conv_id:bigint>>")).alias("x"))
-    return fixed.groupBy(F.col("x.conv_id").alias("conv_id")).agg(F.count("*").alias("turns"))
+    texts = docs.select("path", F.concat(F.lit("["), F.rtrim(F.col("payload"), F.lit(",\n")), F.lit("]")).alias("text"))
+    ids = F.from_json("text", "array<struct<k:struct<c_custkey:bigint>>>")
+    flat = texts.select(F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).alias("nation"), F.explode(ids).alias("x"))
+    return flat.groupBy("nation").agg(F.count("*").alias("n"), F.min("x.k.c_custkey").alias("first"))
 
 
 @query("json_file_profile", "SELECT event_type, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY 1")

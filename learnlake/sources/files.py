@@ -13,7 +13,7 @@ from learnlake.operators.incremental import unprocessed
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its decoded path, the text and the parsed document (NULL if it is not JSON)."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
         F.try_url_decode(F.col("_metadata.file_path")).alias("path"),
         F.col("value").alias("payload"),
         F.try_parse_json("value").alias("doc"),
@@ -103,7 +103,7 @@ def profile_json(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     rest = [r["path"] for r in per_file.where(whole).select("path").collect()]
     if not rest:
         return by_line
-    documents = spark.read.option("wholetext", True).text(rest).select(
+    documents = spark.read.text(rest, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), record_count(F.col("value")).cast("long").alias("records")
     )
     return by_line.unionByName(documents)
