@@ -23,8 +23,31 @@ def normal_name(name: str) -> str:
     return name.replace("_", "").replace("-", "").lower()
 
 
+def _renamed(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(normal_name(f.name), _renamed(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_renamed(dtype.elementType))
+    return dtype
+
+
+def _only_renames(dtype: T.DataType, key: str = "") -> bool:
+    """No two keys meet, no map keys change and no list needs its quotes removed."""
+    if isinstance(dtype, T.StructType):
+        names = [normal_name(f.name) for f in dtype.fields]
+        return len(set(names)) == len(names) and all(_only_renames(f.dataType, n) for f, n in zip(dtype.fields, names))
+    if isinstance(dtype, T.ArrayType):
+        return not (key == AGENTS and isinstance(dtype.elementType, T.StringType)) and _only_renames(dtype.elementType)
+    return not isinstance(dtype, T.MapType)
+
+
 def normalize(value: Column, dtype: T.DataType, key: str = "") -> Column:
-    """``value`` of type ``dtype`` with all struct and map keys normalized."""
+    """``value`` of type ``dtype`` with all struct and map keys normalized.
+
+    Where only names change this is one positional cast; elsewhere the value is rebuilt level by level.
+    """
+    if _only_renames(dtype, key):
+        return value if _renamed(dtype) == dtype else value.cast(_renamed(dtype))
     if isinstance(dtype, T.StructType):
         by_name: dict[str, list[Column]] = {}
         for f in dtype.fields:
@@ -45,12 +68,9 @@ def normalize(value: Column, dtype: T.DataType, key: str = "") -> Column:
             ),
         )
         return F.map_from_entries(F.transform(last, lambda n: n["entry"]))
-    if isinstance(dtype, T.ArrayType):
-        if key == AGENTS and isinstance(dtype.elementType, T.StringType):
-            return F.transform(value, strip_quotes)
-        if isinstance(dtype.elementType, (T.StructType, T.MapType, T.ArrayType)):
-            return F.transform(value, lambda item: normalize(item, dtype.elementType))
-    return value
+    if key == AGENTS and isinstance(dtype.elementType, T.StringType):
+        return F.transform(value, strip_quotes)
+    return F.transform(value, lambda item: normalize(item, dtype.elementType))
 
 
 def _plain_agents(items):

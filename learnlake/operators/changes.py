@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.operators.joins import lookup
+from learnlake.session import written
 
 UPDATED, DELETED = "updated", "deleted"
 
@@ -76,8 +77,11 @@ def apply_latest(
 def apply_changes(
     target: DataFrame, changes: DataFrame, keys: list[str], mapped: list[str], order: list[str], op: str = "op"
 ) -> DataFrame:
-    """Target after a batch of ordered updates and deletes."""
-    return apply_latest(target, latest(changes, keys, order, op), keys, mapped, op)
+    """Target after a batch of ordered updates and deletes.
+
+    The last change per key is written once: it is joined several times, and its real size decides how.
+    """
+    return apply_latest(target, written(latest(changes, keys, order, op), "changes"), keys, mapped, op)
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:

@@ -66,9 +66,9 @@ def range_match(
     """Inner join on equal ``on`` columns and ``low <= point <= high`` for non-negative whole numbers up to 18 digits
     longer than the part all bounds share, given as equally long digit strings.
 
-    Ranges are grouped by their length (a power of two); each is cut into about ``pieces`` bins of its own group's
-    width, and a point meets only the ranges of its bin, once per length group present. So a key with very many
-    points is spread over bins, the pairs tried stay close to the pairs returned, and nothing is capped.
+    Ranges are grouped by their length (a power of sixteen); each is cut into at most ``pieces`` + 1 bins of its
+    group's width, and a point meets only the ranges of its bin, once per length group present. So a key with very
+    many points is spread over bins, the pairs tried stay close to the pairs returned, and nothing is capped.
     """
     # the digits after the common prefix of all bounds, as one number: order is kept, equal texts stay equal
     bounds = ranges.agg(F.min(low).alias("lo"), F.max(high).alias("hi")).first()
@@ -83,8 +83,8 @@ def range_match(
     as_number = lambda c: F.substring(F.col(c), shared + 1, 18).try_cast("long")
 
     length = F.greatest(as_number(high) - as_number(low), F.lit(1))
-    group = F.ceil(F.log2(length)).cast("int")
-    width = lambda g: F.greatest(F.floor(F.pow(F.lit(2.0), g) / pieces), F.lit(1)).cast("long")
+    group = F.ceil(F.log2(length) / 4).cast("int")
+    width = lambda g: F.greatest(F.floor(F.pow(F.lit(16.0), g) / pieces), F.lit(1)).cast("long")
     cut = (
         ranges.where(F.col(low) <= F.col(high))
         .withColumn("__group", group)
@@ -100,7 +100,7 @@ def range_match(
         )
         .drop("__width")
     )
-    # at most 60 length groups exist
+    # at most 15 length groups exist
     groups = [r[0] for r in ranges.select(group.alias("g")).distinct().collect() if r[0] is not None]
     inside = points.where(F.col(point).between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
     spread = inside.withColumn("__group", F.explode(F.array(*[F.lit(g) for g in groups]))).withColumn(

@@ -78,7 +78,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Input that already has a partition per core is left as it is, so large scans are not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.javaToPython().getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
 

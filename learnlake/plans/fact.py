@@ -51,18 +51,15 @@ def active_schools(schools: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def unit_activities(pages: DataFrame, resources: DataFrame, activities: DataFrame) -> DataFrame:
-    """Greatest activity type and attempts of each learning unit over its pages' resources."""
-    per_resource = activities.groupBy("resource_id").agg(
-        F.max("activity_type").alias("activity_type"), F.max("activity_attempts").alias("activity_attempts")
-    )
-    return (
-        pages.where(F.col("learning_unit_id").isNotNull())
-        .select("learning_unit_id", "page_id")
-        .join(resources.select("page_id", "resource_id"), "page_id")
-        .join(per_resource, "resource_id")
-        .groupBy("learning_unit_id")
-        .agg(F.max("activity_type").alias("activity_type"), F.max("activity_attempts").alias("activity_attempts"))
-    )
+    """Greatest activity type and attempts of each learning unit over its pages' resources.
+
+    A maximum of maxima: each step of the chain is reduced to one row per key before the next join.
+    """
+    greatest = [F.max(c).alias(c) for c in ("activity_type", "activity_attempts")]
+    per_resource = activities.groupBy("resource_id").agg(*greatest)
+    per_page = resources.select("page_id", "resource_id").join(per_resource, "resource_id").groupBy("page_id").agg(*greatest)
+    units = pages.where(F.col("learning_unit_id").isNotNull()).select("learning_unit_id", "page_id")
+    return units.join(per_page, "page_id").groupBy("learning_unit_id").agg(*greatest)
 
 
 def text_response(extensions: Column, response: Column, image: Column) -> Column:

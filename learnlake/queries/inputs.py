@@ -40,76 +40,53 @@ def ref(value: Column) -> Column:
     return obj(refId=value.cast("string"))
 
 
-def stamp(ts: str = "ts") -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+def named(fields: dict[str, str]) -> str:
+    """Spark SQL text of a struct."""
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+PARENT_SPARK = named({"id": "'http://parent/' || k", "objectType": "'Activity'"})
+SCORM_SPARK = named({
+    "multipleRecording": "'rec' || k", "correctResponsesPattern": "'pat' || k", "response": "'answer ' || event_id",
+})
+RESULT_SPARK = named({
+    "success": "k % 4 = 1", "completion": "k % 3 = 0", "duration": "'PT' || k || 'S'", "response": "'resp ' || k",
+    "score": named({"raw": "k", "min": "0", "max": "100"}), "extensions": named({SCORM: SCORM_SPARK}),
+})
+DEFINITION_SPARK = named({
+    "interactionType": "CASE k % 3 WHEN 0 THEN 'matching' WHEN 1 THEN 'long-fill-in' ELSE 'choice' END",
+    "description": named({"es": "'desc ' || k"}),
+    "extensions": named({
+        ACT_TYPE: f"IF(verb = 'answered', {named({n: f"'{n}-' || k" for n in ACT_NAMES})}, NULL)",
+        IDS: "IF((verb = 'experienced' AND k % 5 <> 0) OR verb = 'terminated', "
+             f"{named({n: f"'{n}-' || k" for n in ID_NAMES})}, NULL)",
+    }),
+})
+STATEMENT_SPARK = named({
+    "id": "'st' || event_id", "timestamp": "stamp", "stored": "stamp",
+    "actor": named({"name": "'user ' || user_id", "mbox": "'mailto:u' || user_id || '@example.org'", "objectType": "'Agent'"}),
+    "authority": named({"name": "'authority ' || user_id", "mbox": "'mailto:a' || user_id || '@example.org'"}),
+    "verb": named({"id": f"'{VERB_PREFIX}' || verb", "display": named({"und": "verb", "en-US": "verb", "es": "'es-' || verb"})}),
+    "context": f"CASE k % 3 WHEN 0 THEN {named({'contextActivities': named({'parent': f'array({PARENT_SPARK})'})})} "
+               f"WHEN 1 THEN {named({'contextActivities': named({'parent': f'slice(array({PARENT_SPARK}), 1, 0)'})})} END",
+    "result": f"IF(k % 2 = 1, {RESULT_SPARK}, NULL)",
+    "object": named({"id": "'http://object/' || event_id", "objectType": "'Activity'", "definition": DEFINITION_SPARK}),
+})
+EVENT_SPARK = named({
+    "id": "'ev' || event_id", "active": "IF(value > 50, 'true', 'false')", "voided": "'false'",
+    "lrs_id": "'lrs' || (user_id % 7)", "client_id": "'c' || user_id", "date_insert": "stamp",
+    "activityID": "'http://activity/' || k", "verbID": f"'{VERB_PREFIX}' || verb",
+    "relatedAgents": """array("agent'" || user_id, '"mbox":"' || k || '"')""",
+    "relatedActivities": "IF(k % 4 <> 0, array('http://activity/' || k), NULL)", "statement": STATEMENT_SPARK,
+})
 
 
 def learning_events(t: Tables) -> DataFrame:
     """``events`` as learning-record documents: struct column ``e`` beside event_id, user_id, k, ts."""
-    verb = F.create_map(*[F.lit(x) for pair in VERBS.items() for x in pair])[F.col("event_type")]
-    rows = spread(t.events, "event_id").withColumns(
-        {"k": F.get_json_object("props", "$.k").cast("int"), "verb": verb, "at": stamp()}
+    rows = spread(t.events, "event_id").selectExpr(
+        "*", "cast(get_json_object(props, '$.k') AS int) AS k", f"{VERB_SQL} AS verb", "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS stamp"
     )
-    k = F.col("k")
-    act = F.struct(*[s(f"{n}-", ".k").alias(n) for n in ACT_NAMES])
-    ids = F.struct(*[s(f"{n}-", ".k").alias(n) for n in ID_NAMES])
-    extensions = F.struct(
-        F.when(F.col("verb") == "answered", act).alias(ACT_TYPE),
-        F.when(((F.col("verb") == "experienced") & (k % 5 != 0)) | (F.col("verb") == "terminated"), ids).alias(IDS),
-    )
-    scorm = obj(
-        multipleRecording=s("rec", ".k"), correctResponsesPattern=s("pat", ".k"), response=s("answer ", ".event_id")
-    )
-    result = F.when(
-        k % 2 == 1,
-        obj(
-            success=k % 4 == 1,
-            completion=k % 3 == 0,
-            duration=s("PT", ".k", "S"),
-            response=s("resp ", ".k"),
-            score=obj(raw=k, min=F.lit(0), max=F.lit(100)),
-            extensions=F.struct(scorm.alias(SCORM)),
-        ),
-    )
-    parent = obj(id=s("http://parent/", ".k"), objectType=F.lit("Activity"))
-    context = F.when(
-        k % 3 == 0, obj(contextActivities=obj(parent=F.array(parent)))
-    ).when(k % 3 == 1, obj(contextActivities=obj(parent=F.filter(F.array(parent), lambda _: F.lit(False)))))
-    display = F.struct(
-        F.col("verb").alias("und"), F.col("verb").alias("en-US"), s("es-", ".verb").alias("es")
-    )
-    definition = obj(
-        interactionType=F.when(k % 3 == 0, "matching").when(k % 3 == 1, "long-fill-in").otherwise("choice"),
-        description=obj(es=s("desc ", ".k")),
-        extensions=extensions,
-    )
-    statement = obj(
-        id=s("st", ".event_id"),
-        timestamp=F.col("at"),
-        stored=F.col("at"),
-        actor=obj(
-            name=s("user ", ".user_id"), mbox=s("mailto:u", ".user_id", "@example.org"), objectType=F.lit("Agent")
-        ),
-        authority=obj(name=s("authority ", ".user_id"), mbox=s("mailto:a", ".user_id", "@example.org")),
-        verb=obj(id=s(VERB_PREFIX, ".verb"), display=display),
-        context=context,
-        result=result,
-        object=obj(id=s("http://object/", ".event_id"), objectType=F.lit("Activity"), definition=definition),
-    )
-    event = obj(
-        id=s("ev", ".event_id"),
-        active=F.when(F.col("value") > 50, "true").otherwise("false"),
-        voided=F.lit("false"),
-        lrs_id=s("lrs", (F.col("user_id") % 7).cast("string")),
-        client_id=s("c", ".user_id"),
-        date_insert=F.col("at"),
-        activityID=s("http://activity/", ".k"),
-        verbID=s(VERB_PREFIX, ".verb"),
-        relatedAgents=F.array(s("agent'", ".user_id"), s('"mbox":"', ".k", '"')),
-        relatedActivities=F.when(k % 4 != 0, F.array(s("http://activity/", ".k"))),
-        statement=statement,
-    )
-    return rows.select("event_id", "user_id", "event_type", "k", "ts", event.alias("e"))
+    return rows.selectExpr("event_id", "user_id", "event_type", "k", "ts", f"{EVENT_SPARK} AS e")
 
 
 def raw_learning(t: Tables) -> DataFrame:

@@ -273,15 +273,15 @@ def history_partitions(t):
 
 
 # -- streaming -------------------------------------------------------------------------------------------------------
-def _record_stream(t, records: DataFrame, parts: int = 3) -> DataFrame:
+def _record_stream(t, records: DataFrame, batches: int = 2, files_per_batch: int = 8) -> DataFrame:
     path = scratch_path(t.spark, "records")
-    records.repartition(parts).write.parquet(path)
-    return jobs.source(t.spark, path, t.spark.read.parquet(path).schema, "parquet", 1)
+    records.repartition(batches * files_per_batch).write.parquet(path)
+    return jobs.source(t.spark, path, records.schema, "parquet", files_per_batch)
 
 
 @query("q40_stream_route", ROUTE_COUNTS_SQL)
 def stream_route(t):
-    """Routing counts of a file stream, one micro-batch per file, equal to the batch counts."""
+    """Routing counts of a file stream in two micro-batches, equal to the batch counts."""
     out = scratch_path(t.spark, "routes")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -309,7 +309,7 @@ def stream_route(t):
 def stream_learning_job(t):
     """The whole learning job over a file stream: archives, log and five tables."""
     out = scratch_path(t.spark, "job")
-    records = _record_stream(t, inputs.learning_records(t), 2)
+    records = _record_stream(t, inputs.learning_records(t))
     jobs.start(
         records, lambda df, batch_id: jobs.run_batch(jobs.LEARNING, df, batch_id, out), scratch_path(t.spark, "cp")
     ).awaitTermination()

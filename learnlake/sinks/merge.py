@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from learnlake.operators.changes import apply_latest
 from learnlake.schemas import gold
+from learnlake.session import written
 
 LIVE, BUCKET = "__live", "bucket"
 
@@ -49,8 +50,11 @@ def append(df: DataFrame, path: str, keys: list[str], n: int) -> None:
 def merge(
     spark: SparkSession, path: str, schema: T.StructType, last: DataFrame, keys: list[str], mapped: list[str], n: int
 ) -> int:
-    """Apply one change per key (see ``changes.latest``); returns the number of buckets rewritten."""
-    last = _in_buckets(last, keys, n)
+    """Apply one change per key (see ``changes.latest``); returns the number of buckets rewritten.
+
+    ``n`` is fixed when the table is first written.
+    """
+    last = written(_in_buckets(last, keys, n), "changes")
     touched = sorted(r[0] for r in last.select(BUCKET).distinct().collect())  # at most n small numbers
     if not touched:
         return 0

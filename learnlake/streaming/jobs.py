@@ -7,8 +7,10 @@ JSON, and never stops the others. Every write is named after the batch, so a rep
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +30,7 @@ TRIGGER = "1 second"
 FILES_PER_BATCH = 25
 MAX_RECORD_AGE_S = 300
 ATTEMPTS = 3
+WRITERS = 5
 
 
 @dataclass
@@ -114,12 +117,18 @@ def _open(job: Job, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded, envelope.good(decoded).where(job.admit())
 
 
+def _each(work: Mapping[str, Callable[[], tuple[str, str | None]]]) -> dict[str, tuple[str, str | None]]:
+    """Independent writes of one micro-batch, a few at a time so that small ones overlap."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(work, pool.map(lambda write: write(), work.values())))
+
+
 def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str, tuple[str, str | None]]:
     """Decode, archive, log and append one micro-batch; returns the status of every target table."""
     decoded, events = _open(job, records)
     try:
         _log_and_archive(job, events, decoded, out, batch_id)
-        return {t: _write_target(build(events), t, out, batch_id) for t, build in job.targets.items()}
+        return _each({t: partial(_write_target, build(events), t, out, batch_id) for t, build in job.targets.items()})
     finally:
         decoded.unpersist()
 
@@ -137,21 +146,20 @@ def run_change_batch(
             "seq": sequence_key(F.col("sequenceNumber")),
         }
     )
-    carry = ["op", "arrival", "seq"]
-    status = {}
+
+    def write(table: str, build: Callable[..., DataFrame]) -> tuple[str, str | None]:
+        rows = build(events, ["op", "arrival", "seq"])
+        order = ["arrival", "seq"] + (["item_no"] if "item_no" in rows.columns else [])
+        last = changes.latest(rows, keys[table], order)
+        path, columns = f"{out}/tables/{table}", gold.data_columns(table)
+        return attempt(
+            lambda: merge.merge(spark, path, gold.schema(table), last, keys[table], columns, buckets),
+            lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(batch_id)),
+        )
+
     try:
         _log_and_archive(job, events, decoded, out, batch_id)
-        for table, build in job.targets.items():
-            rows = build(events, carry)
-            order = ["arrival", "seq"] + (["item_no"] if "item_no" in rows.columns else [])
-            last = changes.latest(rows, keys[table], order)
-            status[table] = attempt(
-                lambda: merge.merge(
-                    spark, f"{out}/tables/{table}", gold.schema(table), last, keys[table], gold.data_columns(table), buckets
-                ),
-                lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(batch_id)),
-            )
-        return status
+        return _each({table: partial(write, table, build) for table, build in job.targets.items()})
     finally:
         decoded.unpersist()
 
