@@ -17,9 +17,8 @@ from learnlake.queries.admin import reading_events, user_attributes, users
 from learnlake.queries.inputs import K_SQL, admin_document, envelopes, s
 from learnlake.queries.learning import BATCH_KEYS, EVENTS_SQL, HAS_ROWS_SQL, ROUTE_COUNTS_SQL, VERB_SQL
 from learnlake.queries.registry import query
-from learnlake.schemas import gold
 from learnlake.schemas.events import VERB_PREFIX
-from learnlake.session import scratch_path
+from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import envelope, files
 from learnlake.streaming import jobs
@@ -330,6 +329,7 @@ def stream_learning_job(t):
 def stream_change_job(t):
     """Two ordered micro-batches of updates and deletes merged into the user table; orders arrive by key."""
     out = scratch_path(t.spark, "changes")
+    database = f"changes_{out[-8:]}"
     status = F.col("o_orderstatus")
     action = F.when(status == "F", "user_deleted").when(status == "O", "user_updated").otherwise("user_created")
     joined = spread(t.orders, "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn(
@@ -342,9 +342,9 @@ def stream_change_job(t):
         "admin_changes", {"gold.dim_user": jobs.ADMIN_CHANGES.targets["gold.dim_user"]}, jobs.ADMIN_CHANGES.route,
         jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders,
     )
-    middle = records.agg(F.percentile_approx("approximateArrivalTimestamp", 0.5).alias("m")).first()["m"]
+    records = written(records, "records")
+    middle = t.orders.agg(F.percentile_approx("o_orderkey", 0.5).alias("m")).first()["m"]
     early = F.col("approximateArrivalTimestamp") <= middle
     for batch_id, part in enumerate((records.where(early), records.where(~early))):
-        jobs.run_change_batch(one_table, part, batch_id, out, buckets=8)
-    path = f"{out}/tables/gold.dim_user"
-    return merge.read(t.spark, path, gold.schema("gold.dim_user")).select("user_id", "first_name")
+        jobs.run_change_batch(one_table, part, batch_id, out, buckets=8, database=database)
+    return merge.read(t.spark, f"{database}.dim_user").select("user_id", "first_name")

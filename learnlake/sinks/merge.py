@@ -1,13 +1,15 @@
-"""Tables that take updates and deletes: parquet in key buckets, of which a batch rewrites only those it touches.
+"""Tables that take updates and deletes: catalog tables in key buckets, of which a batch rewrites only those it touches.
 
-Plain parquet has no row-level merge. Rows live under ``bucket=<hash of key mod n>``; a batch reads the buckets its
-keys fall into, applies the changes as joins, and replaces those folders in one dynamic partition overwrite (new files
-are staged first and moved at commit). A marker row per rewritten bucket keeps a bucket that became empty from
-staying as it was. Applying a batch twice gives the same table.
+Plain parquet has no row-level merge. Rows live in partitions ``bucket = hash of key mod n``. A batch reads the
+buckets its keys fall into, applies the changes as joins, writes the result to a new folder and then points those
+partitions at it, so readers and a failed batch keep seeing the old files. Applying a batch twice gives the same table,
+which covers a batch that was interrupted between two partitions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,55 +18,57 @@ from learnlake.operators.changes import apply_latest
 from learnlake.schemas import gold
 from learnlake.session import written
 
-LIVE, BUCKET = "__live", "bucket"
-
-
-def _file_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(LIVE, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())])
+BUCKET = "bucket"
 
 
-def _in_buckets(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(n)))
+def create(spark: SparkSession, table: str, schema: T.StructType, base: str) -> None:
+    """An empty bucketed table unless it exists."""
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
+        f"LOCATION '{base.rstrip('/')}/{table}'"
+    )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def read(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).drop(BUCKET)
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not _exists(spark, path):
-        return spark.createDataFrame([], _file_schema(schema))
-    return spark.read.schema(_file_schema(schema)).parquet(path)
-
-
-def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _files(spark, path, schema).where(LIVE).select(*schema.fieldNames())
+def _in_buckets(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(n)))
 
 
-def append(df: DataFrame, path: str, keys: list[str], n: int) -> None:
-    rows = _in_buckets(df, keys, n).withColumn(LIVE, F.lit(True))
-    rows.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+def _point_at(spark: SparkSession, table: str, folder: str, filled: list[int], touched: list[int]) -> None:
+    known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for b in touched:
+        spec, place = f"PARTITION ({BUCKET} = {b})", f"'{folder}/{BUCKET}={b}'"
+        if b not in filled:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+        elif b in known:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {place}")
+    spark.catalog.refreshTable(table)
 
 
 def merge(
-    spark: SparkSession, path: str, schema: T.StructType, last: DataFrame, keys: list[str], mapped: list[str], n: int
+    spark: SparkSession, table: str, base: str, last: DataFrame, keys: list[str], mapped: list[str], n: int
 ) -> int:
     """Apply one change per key (see ``changes.latest``); returns the number of buckets rewritten.
 
-    ``n`` is fixed when the table is first written.
+    ``n`` is fixed when the table is first written. The lists collected here hold at most ``n`` numbers.
     """
     last = written(_in_buckets(last, keys, n), "changes")
-    touched = sorted(r[0] for r in last.select(BUCKET).distinct().collect())  # at most n small numbers
+    touched = sorted(r[0] for r in last.select(BUCKET).distinct().collect())
     if not touched:
         return 0
-    current = _files(spark, path, schema).where(F.col(BUCKET).isin(touched) & F.col(LIVE)).select(*schema.fieldNames())
+    current = spark.table(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     loaded = {f: F.current_timestamp() for f in gold.LOAD_TIME_COLUMNS}
-    after = apply_latest(current, last.drop(BUCKET), keys, mapped, defaults=loaded)
-    rows = _in_buckets(after, keys, n).withColumn(LIVE, F.lit(True))
-    markers = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").withColumn(LIVE, F.lit(False))
-    everything = rows.unionByName(markers, allowMissingColumns=True)
-    everything.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        BUCKET
-    ).parquet(path)
+    after = _in_buckets(apply_latest(current, last.drop(BUCKET), keys, mapped, defaults=loaded), keys, n)
+    folder = f"{base.rstrip('/')}/{table}/{uuid.uuid4().hex}"
+    after.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    filled = [r[0] for r in spark.read.schema(after.schema).parquet(folder).select(BUCKET).distinct().collect()]
+    _point_at(spark, table, folder, filled, touched)
     return len(touched)

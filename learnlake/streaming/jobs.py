@@ -99,17 +99,32 @@ def _write_target(rows: DataFrame, table: str, out: str, batch_id: int, op: str
     )
 
 
+def _each(work: Mapping[str, Callable[[], object]]) -> dict:
+    """Independent writes of one micro-batch, a few at a time so that small ones overlap."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(work, pool.map(lambda write: write(), work.values())))
+
+
 def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str, batch_id: int) -> None:
-    """Raw, processed, unknown and rejected copies plus the ingest log; folders carry the processing time (UTC)."""
+    """Raw, processed, unknown and rejected copies plus the ingest log; folders carry the processing time (UTC).
+
+    A failure here fails the batch: what is not archived cannot be replayed.
+    """
     now = F.lit(datetime.now(timezone.utc))
     folder = lambda kind: f"{out}/{kind}/batch={batch_id}"
-    archive.write_payloads(archive.raw_layout(events, now), folder("raw"), ["month", "day", "hour"], "overwrite")
+    raw = archive.raw_layout(events, now)
     log = envelope.ingest_log(events, job.name, archive.raw_uri(f"{folder('raw')}/", now))
-    tables.append(log, "infrastructure.kinesis_log", f"{out}/tables/infrastructure.kinesis_log", str(batch_id))
-    known = events.where(job.route().isNotNull())
-    archive.write_payloads(job.layout(known, now), folder("processed"), job.folders, "overwrite")
-    archive.write_payloads(events.where(job.route().isNull()), folder("unknown"), [], "overwrite")
-    archive.write_failed(envelope.bad(decoded).drop("doc"), f"{out}/rejected", job.name, "decode", str(batch_id))
+    known = job.layout(events.where(job.route().isNotNull()), now)
+    unknown = events.where(job.route().isNull())
+    rejected = envelope.bad(decoded).drop("doc")
+    table = "infrastructure.kinesis_log"
+    _each({
+        "raw": lambda: archive.write_payloads(raw, folder("raw"), ["month", "day", "hour"], "overwrite"),
+        "log": lambda: tables.append(log, table, f"{out}/tables/{table}", str(batch_id)),
+        "processed": lambda: archive.write_payloads(known, folder("processed"), job.folders, "overwrite"),
+        "unknown": lambda: archive.write_payloads(unknown, folder("unknown"), [], "overwrite"),
+        "rejected": lambda: archive.write_failed(rejected, f"{out}/rejected", job.name, "decode", str(batch_id)),
+    })
 
 
 def _open(job: Job, records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,12 +132,6 @@ def _open(job: Job, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded, envelope.good(decoded).where(job.admit())
 
 
-def _each(work: Mapping[str, Callable[[], tuple[str, str | None]]]) -> dict[str, tuple[str, str | None]]:
-    """Independent writes of one micro-batch, a few at a time so that small ones overlap."""
-    with ThreadPoolExecutor(WRITERS) as pool:
-        return dict(zip(work, pool.map(lambda write: write(), work.values())))
-
-
 def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str, tuple[str, str | None]]:
     """Decode, archive, log and append one micro-batch; returns the status of every target table."""
     decoded, events = _open(job, records)
@@ -134,9 +143,15 @@ def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str
 
 
 def run_change_batch(
-    job: Job, records: DataFrame, batch_id: int, out: str, keys: Mapping[str, list[str]] = gold.KEYS, buckets: int = 64
+    job: Job,
+    records: DataFrame,
+    batch_id: int,
+    out: str,
+    keys: Mapping[str, list[str]] = gold.KEYS,
+    buckets: int = 64,
+    database: str = "gold",
 ) -> dict[str, tuple[str, str | None]]:
-    """Decode one micro-batch of updates and deletes and merge it into the key-bucketed target tables."""
+    """Decode one micro-batch of updates and deletes and merge it into the bucketed catalog tables of ``database``."""
     spark = records.sparkSession
     decoded, events = _open(job, records)
     events = events.withColumns(
@@ -151,9 +166,10 @@ def run_change_batch(
         rows = build(events, ["op", "arrival", "seq"])
         order = ["arrival", "seq"] + (["item_no"] if "item_no" in rows.columns else [])
         last = changes.latest(rows, keys[table], order)
-        path, columns = f"{out}/tables/{table}", gold.data_columns(table)
+        name, base, columns = f"{database}.{table.split('.')[1]}", f"{out}/merged", gold.data_columns(table)
+        merge.create(spark, name, gold.schema(table), base)
         return attempt(
-            lambda: merge.merge(spark, path, gold.schema(table), last, keys[table], columns, buckets),
+            lambda: merge.merge(spark, name, base, last, keys[table], columns, buckets),
             lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(batch_id)),
         )
 

@@ -236,16 +236,16 @@ def test_change_job(spark):
     ]
     only = {t: jobs.ADMIN_CHANGES.targets[t] for t in ("gold.dim_user", "gold.dim_user_phone", "gold.dim_class_participant")}
     job = jobs.Job("admin", only, jobs.ADMIN_CHANGES.route, jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders)
-    users = lambda: rows_of(merge.read(spark, f"{out}/tables/gold.dim_user", gold.schema("gold.dim_user")), "user_id", "first_name")
+    users = lambda: rows_of(merge.read(spark, "change_test.dim_user"), "user_id", "first_name")
     for _ in range(2):
-        status = jobs.run_change_batch(job, spark.createDataFrame(first, ENVELOPE), 0, out, buckets=4)
+        status = jobs.run_change_batch(job, spark.createDataFrame(first, ENVELOPE), 0, out, buckets=4, database="change_test")
         assert {s for s, _ in status.values()} == {"ok"}
         assert users() == [("a", "A3"), ("b", "B")]
-    jobs.run_change_batch(job, spark.createDataFrame(second, ENVELOPE), 1, out, buckets=4)
+    jobs.run_change_batch(job, spark.createDataFrame(second, ENVELOPE), 1, out, buckets=4, database="change_test")
     assert users() == [("c", "C2")]
-    phones = merge.read(spark, f"{out}/tables/gold.dim_user_phone", gold.schema("gold.dim_user_phone"))
+    phones = merge.read(spark, "change_test.dim_user_phone")
     assert rows_of(phones, "user_phone_id") == [("c",)]  # child rows go with their parent
-    members = merge.read(spark, f"{out}/tables/gold.dim_class_participant", gold.schema("gold.dim_class_participant"))
+    members = merge.read(spark, "change_test.dim_class_participant")
     assert rows_of(members, "user_id", "section_id") == [("p", "k")]
     assert members.where("dt_load IS NULL").count() == 0
     assert spark.read.text(f"{out}/unknown/batch=0").count() == 1

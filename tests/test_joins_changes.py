@@ -164,24 +164,27 @@ def test_append_then_delete(spark):
 
 
 def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    path = str(tmp_path / "t")
+    base, rng, state = str(tmp_path / "t"), random.Random(5), []
     schema = spark.createDataFrame([], "k string, v string, note string, dt_load timestamp").schema
-    rng = random.Random(5)
-    state = [(k, "1", f"n{i}") for i, k in enumerate(["a", "b", "c", "d", "hot", "hot"])]
-    seed = spark.createDataFrame(state, "k string, v string, note string").withColumn("dt_load", F.lit(None).cast("timestamp"))
-    merge.append(seed, path, ["k"], 16)
-    for _ in range(3):
-        _, batch = random_case(rng)
+    merge.create(spark, "merged_keys", schema, base)
+    for i in range(4):
+        batch = [(k, "1", "updated") for k in ("a", "b", "c", "d", "hot")] if i == 0 else random_case(rng)[1]
         _, b = frames(spark, [], batch)
         last = changes.latest(b, ["k"], ["seq"])
         for _again in range(2):  # a repeated batch changes nothing
-            touched = merge.merge(spark, path, schema, last, ["k"], ["k", "v"], 16)
+            touched = merge.merge(spark, "merged_keys", base, last, ["k"], ["k", "v"], 16)
         state = simulate(state, batch)
-        assert touched <= 8
-        assert rows_of(merge.read(spark, path, schema), "k", "v", "note") == state
-    everything = spark.createDataFrame([(0, k, None, "deleted") for k, _, _ in state], "seq int, k string, v string, op string")
-    merge.merge(spark, path, schema, changes.latest(everything, ["k"], ["seq"]), ["k"], ["k", "v"], 16)
-    assert merge.read(spark, path, schema).count() == 0
+        assert touched <= len({k for k, _, _ in batch if k})
+        assert rows_of(merge.read(spark, "merged_keys"), "k", "v", "note") == state
+    one = changes.latest(frames(spark, [], [("a", "7", "updated")])[1], ["k"], ["seq"])
+    before = {r.k: r.f for r in spark.table("merged_keys").select("k", F.input_file_name().alias("f")).collect()}
+    assert merge.merge(spark, "merged_keys", base, one, ["k"], ["k", "v"], 16) == 1
+    after = {r.k: r.f for r in spark.table("merged_keys").select("k", F.input_file_name().alias("f")).collect()}
+    assert sum(before.get(k) == f for k, f in after.items()) >= len(after) - 2
+    everything = spark.createDataFrame([(0, k, None, "deleted") for k in after], "seq int, k string, v string, op string")
+    merge.merge(spark, "merged_keys", base, changes.latest(everything, ["k"], ["seq"]), ["k"], ["k", "v"], 16)
+    assert merge.read(spark, "merged_keys").count() == 0
+    assert merge.merge(spark, "merged_keys", base, one.where("false"), ["k"], ["k", "v"], 16) == 0
 
 
 def test_keys_cover_the_tables():
