@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnlake.sinks.tables import register
+
 # Fixed value: where a table without rows starts.
 EPOCH = "2000-01-01 00:00:00"
-CONTROL_SCHEMA = "table_name string, last_processed timestamp, saved_at timestamp"
 
 
 def window(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
@@ -34,10 +35,17 @@ def last_loaded(spark: SparkSession, table: str, column: str = "dt_load"):
     return spark.table(table).agg(high_water(F.col(column)).alias("t")).first()["t"]
 
 
-def save_progress(spark: SparkSession, control: str, table: str, upto) -> None:
-    """Append a row to the control table after a load."""
-    row = spark.createDataFrame([(table, upto)], "table_name string, last_processed timestamp")
-    row.withColumn("saved_at", F.current_timestamp()).write.mode("append").saveAsTable(control)
+def save_progress(spark: SparkSession, control: str, base: str, tables: list[str], upto) -> None:
+    """Append one row per loaded table to the control table kept under ``base``."""
+    mark = upto if isinstance(upto, Column) else F.lit(upto)
+    rows = spark.range(1).select(
+        F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"),
+        mark.cast("timestamp").alias("last_processed"),
+        F.current_timestamp().alias("saved_at"),
+    )
+    if not spark.catalog.tableExists(control):
+        register(spark, control, f"{base}/{control}", rows.schema)
+    rows.write.mode("append").insertInto(control)
 
 
 def progress(spark: SparkSession, control: str) -> DataFrame:

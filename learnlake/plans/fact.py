@@ -20,6 +20,7 @@ from learnlake.operators.joins import lookup, restrict
 from learnlake.schemas import gold
 from learnlake.schemas.events import SCORM, VERB_PREFIX
 from learnlake.session import written
+from learnlake.sinks.tables import replace_if_any
 
 KEY = ["lrs_id", "client_id", "statement_id"]
 ANSWERED = VERB_PREFIX + "answered"
@@ -128,3 +129,8 @@ def read_tables(spark: SparkSession, options: Mapping[str, str], schema: str = "
         f"WHERE verb_id = '{ANSWERED}'",
     )
     return tables
+
+
+def load(spark: SparkSession, tables: Mapping[str, DataFrame], table: str, base: str) -> bool:
+    """Rebuild the fact and replace the table, unless the build has no rows."""
+    return replace_if_any(spark, build(tables), table, base)

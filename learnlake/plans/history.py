@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from learnlake.operators.shaping import reshape
 from learnlake.schemas import gold
+from learnlake.sinks.tables import register, with_bucket, write_bucketed
+from learnlake.sources.files import listing, unprocessed
 
 # Columns cut to 256 bytes.
 SHORT_IDS = ("id_system", "statement_id", "lrs_id", "client_id")
@@ -52,3 +54,20 @@ def convert(results: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
     """Both targets from de-duplicated inputs."""
     results, objects = results.distinct(), objects.distinct()
     return {"dim_lrs_result": result(results, objects), "dim_lrs_result_scorm": result_scorm(results)}
+
+
+def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFrame, out: str, database: str) -> DataFrame:
+    """Convert the result files not yet in ``done(path)``, write both tables in buckets and register them.
+
+    Returns the paths to add to ``done``. All files are read as one input; each is processed once.
+    """
+    fresh = unprocessed(listing(spark, results_path), done)
+    paths = [r["path"] for r in fresh.select("path").collect()]  # part of the listing the driver already holds
+    if not paths:
+        return fresh.select("path")
+    objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path)
+    for name, rows in convert(spark.read.parquet(*paths), objects).items():
+        write_bucketed(rows, f"{out}/{name}")
+        schema = with_bucket(rows).schema
+        register(spark, f"{database}.{name}", f"{out}/{name}", T.StructType(schema.fields[:-1]), ["bucket"])
+    return fresh.select("path")

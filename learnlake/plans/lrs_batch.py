@@ -5,13 +5,15 @@ Each dimension is one select over one incremental window of the raw table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from learnlake.functions.keys import normal_name
 from learnlake.functions.paths import not_null, project
-from learnlake.operators.incremental import window
+from learnlake.operators.incremental import last_loaded, run_summary, save_progress, window
+from learnlake.parallel import attempt, each
 from learnlake.schemas.events import ACT_TYPE, SCORM
+from learnlake.sinks.tables import register
 
 EVENT = "event"
 ACT_BLOCK = f"statement.object.definition.extensions.`{normal_name(ACT_TYPE)}`"
@@ -101,3 +103,33 @@ def dimension(raw: DataFrame, name: str, low=None, high=None) -> DataFrame:
     if name == "dim_lrs_object_http":
         rows = rows.where(not_null(EVENT, ACT_BLOCK))
     return rows.select(*project(EVENT, DIMENSIONS[name]), "dt_load")
+
+
+def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, upto) -> int:
+    """Append the rows after the table's own high-water mark; the count is observed while writing."""
+    rows = dimension(raw, name, F.lit(last_loaded(spark, table)), upto)
+    if not spark.catalog.tableExists(table):
+        register(spark, table, f"{base}/{table}", rows.schema)
+    counted = Observation()
+    rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
+    return counted.get["n"]
+
+
+def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto) -> DataFrame:
+    """Bring all nine dimensions up to ``upto``: ``(table_name, n, status)`` per table and in total.
+
+    Tables load independently; one that fails is reported and picks up from its own mark next time.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    counts: dict[str, int] = {}
+
+    def run(name: str) -> tuple[str, str | None]:
+        table = f"{database}.{name}"
+        return attempt(lambda: counts.update({name: _load(spark, raw, name, table, base, upto)}), lambda: None)
+
+    status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
+    loaded = [name for name, (state, _) in status.items() if state == "ok"]
+    if loaded:
+        save_progress(spark, f"{database}.load_progress", base, loaded, upto)
+    rows = [(name, counts.get(name, 0), state) for name, (state, _) in status.items()]
+    return run_summary(spark.createDataFrame(rows, "table_name string, n long, status string"))

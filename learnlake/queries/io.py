@@ -9,14 +9,15 @@ from pyspark.sql import types as T
 from learnlake.functions.ids import bucket
 from learnlake.functions.paths import at
 from learnlake.operators import routing
-from learnlake.operators.incremental import table_counts
+from learnlake.operators.incremental import run_summary, table_counts
 from learnlake.operators.shaping import spread
-from learnlake.plans import lrs_stream
+from learnlake.plans import fact, history, lrs_batch, lrs_stream
 from learnlake.queries import inputs
 from learnlake.queries.admin import reading_events, user_attributes, users
 from learnlake.queries.inputs import K_SQL, admin_document, envelopes, s
 from learnlake.queries.learning import BATCH_KEYS, EVENTS_SQL, HAS_ROWS_SQL, ROUTE_COUNTS_SQL, VERB_SQL
 from learnlake.queries.registry import query
+from learnlake.queries.warehouse import FACT_SQL, fact_tables
 from learnlake.schemas.events import VERB_PREFIX
 from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, merge, tables
@@ -211,9 +212,7 @@ def raw_pruned(t):
     raw = inputs.raw_learning(t)
     tables.append_raw(raw.withColumn("table_name", routing.raw_table(routing.verb_normalized("event"))), path)
     one = t.spark.read.parquet(path).where(F.col("table_name") == "lrs_events_answered")
-    from learnlake.plans.lrs_batch import dimension
-
-    return dimension(one, "dim_lrs_actor").select("statement_id", "lrs_id", "client_id", "actor_name")
+    return lrs_batch.dimension(one, "dim_lrs_actor").select("statement_id", "lrs_id", "client_id", "actor_name")
 
 
 @query(
@@ -271,6 +270,74 @@ def history_partitions(t):
     return files.history(t.spark, base, owners, years, "results")
 
 
+# -- whole jobs ------------------------------------------------------------------------------------------------------
+@query(
+    "batch_refresh_summary",
+    f"""WITH e AS {EVENTS_SQL}, n AS (
+          SELECT unnest(['dim_lrs_actor', 'dim_lrs_object', 'dim_lrs_object_http', 'dim_lrs_result', 'dim_lrs_statement',
+            'dim_lrs_verb', 'dim_lrs_authority', 'dim_lrs_context', 'dim_lrs_result_scorm']) AS table_name),
+        c AS (SELECT table_name, (SELECT count(*) FILTER (table_name <> 'dim_lrs_object_http' OR verb = 'answered') FROM e) AS n FROM n)
+        SELECT table_name, CAST(n AS BIGINT) AS n, 'ok' AS status FROM c
+        UNION ALL SELECT 'TOTAL', CAST(sum(n) AS BIGINT), 'ok' FROM c""",
+)
+def batch_refresh(t):
+    """All nine dimensions loaded in two increments; every event arrives exactly once."""
+    base = scratch_path(t.spark, "refresh")
+    database = f"refresh_{base[-8:]}"
+    raw = written(inputs.raw_learning(t).withColumn("dt_load", F.col("dt_load").cast("timestamp")), "raw")
+    marks = raw.agg(F.percentile_approx(F.unix_seconds("dt_load"), 0.4).alias("m"), F.max("dt_load").alias("hi")).first()
+    lrs_batch.refresh(t.spark, raw, database, base, F.timestamp_seconds(F.lit(marks["m"])))
+    last = lrs_batch.refresh(t.spark, raw, database, base, F.lit(marks["hi"]))
+    frames = {name: t.spark.table(f"{database}.{name}") for name in lrs_batch.DIMENSIONS}
+    status = last.select("table_name", "status")
+    return run_summary(table_counts(frames).join(status, "table_name"))
+
+
+@query(
+    "history_job",
+    "SELECT 'dim_lrs_result_scorm' AS table_name, count(*) AS n FROM (SELECT DISTINCT * FROM lineitem) UNION ALL "
+    "SELECT 'dim_lrs_result', count(*) FROM (SELECT DISTINCT * FROM lineitem) WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
+)
+def history_job(t):
+    """Conversion from files to registered, bucketed tables; a second run finds nothing to do."""
+    out = scratch_path(t.spark, "conversion")
+    database = f"history_{out[-8:]}"
+    lines = t.lineitem.select(
+        s(*[x for c in t.lineitem.columns for x in (f".{c}", "|")]).alias("response"),
+        F.lit("sys").alias("id_sys"), F.lit("l").alias("lrs_id"), F.lit("c").alias("client_id"),
+        F.col("l_orderkey").cast("string").alias("id_statement"),
+        s(*[x for c in t.lineitem.columns for x in (f".{c}", "|")]).alias("scorm&46_response"),
+    )
+    lines.write.parquet(f"{out}/in/results")
+    objects = t.orders.select(F.col("o_orderkey").cast("string").alias("id_statement"), F.lit("choice").alias("interactionType"))
+    objects.write.parquet(f"{out}/in/objects")
+    done = t.spark.createDataFrame([], "path string")
+    for _ in range(2):
+        new = written(history.run(t.spark, f"{out}/in/results", f"{out}/in/objects", done, f"{out}/tables", database), "done")
+        done = done.unionByName(new)
+    return table_counts({n: t.spark.table(f"{database}.{n}") for n in ("dim_lrs_result", "dim_lrs_result_scorm")})
+
+
+@query("fact_load", "SELECT count(*) AS n, count(DISTINCT statement_id) AS statements FROM (" + FACT_SQL + ")")
+def fact_load(t):
+    """The fact built and put in place of the previous table."""
+    base = scratch_path(t.spark, "fact")
+    name = f"fact_{base[-8:]}"
+    fact.load(t.spark, fact_tables(t), name, base)
+    return t.spark.table(name).agg(F.count("*").alias("n"), F.count_distinct("statement_id").alias("statements"))
+
+
+@query(
+    "raw_table_single_route",
+    "SELECT 'lrs_events_all' AS table_name, count(*) AS n FROM events",
+)
+def raw_single(t):
+    """Every event into one raw table, whatever its verb."""
+    path = scratch_path(t.spark, "lrs_single")
+    tables.append_raw(inputs.raw_learning(t).withColumn("table_name", F.lit(routing.CATCH_ALL)), path)
+    return t.spark.read.parquet(path).groupBy("table_name").agg(F.count("*").alias("n"))
+
+
 # -- streaming -------------------------------------------------------------------------------------------------------
 def _record_stream(t, records: DataFrame, batches: int = 2, files_per_batch: int = 8) -> DataFrame:
     path = scratch_path(t.spark, "records")

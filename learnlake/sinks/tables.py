@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,13 +55,21 @@ def table_property(spark: SparkSession, table: str, key: str) -> str | None:
     return rows[0]["value"] if rows else None
 
 
-def register(spark: SparkSession, table: str, location: str, schema: T.StructType) -> None:
-    """An external parquet table over a folder; a previous definition is dropped, files are not."""
+def register(
+    spark: SparkSession, table: str, location: str, schema: T.StructType, folders: Sequence[str] = ()
+) -> None:
+    """An external parquet table over a folder; a previous definition is dropped, files are not.
+
+    ``folders`` are whole-number ``name=value`` directory levels; the ones present are added as partitions.
+    """
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{location}'")
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields] + [f"{f} int" for f in folders]
+    partitioned = f"PARTITIONED BY ({', '.join(folders)})" if folders else ""
+    spark.sql(f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet {partitioned} LOCATION '{location}'")
+    if folders:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def replace_if_any(spark: SparkSession, df: DataFrame, table: str, base: str) -> bool:

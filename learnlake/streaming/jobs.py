@@ -7,7 +7,6 @@ JSON, and never stops the others. Every write is named after the batch, so a rep
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial
@@ -20,17 +19,16 @@ from pyspark.sql.streaming import StreamingQuery
 from learnlake.functions.ids import sequence_key
 from learnlake.functions.paths import at
 from learnlake.operators import changes, routing
+from learnlake.parallel import attempt, each
 from learnlake.plans import admin, lrs_stream, reading
 from learnlake.schemas import gold
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import envelope
 
-# Source and retry settings.
+# Source settings.
 TRIGGER = "1 second"
 FILES_PER_BATCH = 25
 MAX_RECORD_AGE_S = 300
-ATTEMPTS = 3
-WRITERS = 5
 
 
 @dataclass
@@ -79,19 +77,6 @@ def split_late(records: DataFrame, arrival: Column, now: Column, max_age_s: int
     return records.where(~late), records.where(late)
 
 
-def attempt(write: Callable[[], None], park: Callable[[], None], attempts: int = ATTEMPTS) -> tuple[str, str | None]:
-    """Run a write; after ``attempts`` failures park the rows instead. Returns status and last error."""
-    error = None
-    for _ in range(attempts):
-        try:
-            write()
-            return "ok", None
-        except Exception as exc:  # noqa: BLE001 - any failed target is parked, the rest of the batch goes on
-            error = f"{type(exc).__name__}: {exc}"
-    park()
-    return "failed", error
-
-
 def _write_target(rows: DataFrame, table: str, out: str, batch_id: int, op: str = "insert") -> tuple[str, str | None]:
     return attempt(
         lambda: tables.append(rows, table, f"{out}/tables/{table}", str(batch_id)),
@@ -99,12 +84,6 @@ def _write_target(rows: DataFrame, table: str, out: str, batch_id: int, op: str
     )
 
 
-def _each(work: Mapping[str, Callable[[], object]]) -> dict:
-    """Independent writes of one micro-batch, a few at a time so that small ones overlap."""
-    with ThreadPoolExecutor(WRITERS) as pool:
-        return dict(zip(work, pool.map(lambda write: write(), work.values())))
-
-
 def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str, batch_id: int) -> None:
     """Raw, processed, unknown and rejected copies plus the ingest log; folders carry the processing time (UTC).
 
@@ -118,7 +97,7 @@ def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str,
     unknown = events.where(job.route().isNull())
     rejected = envelope.bad(decoded).drop("doc")
     table = "infrastructure.kinesis_log"
-    _each({
+    each({
         "raw": lambda: archive.write_payloads(raw, folder("raw"), ["month", "day", "hour"], "overwrite"),
         "log": lambda: tables.append(log, table, f"{out}/tables/{table}", str(batch_id)),
         "processed": lambda: archive.write_payloads(known, folder("processed"), job.folders, "overwrite"),
@@ -137,7 +116,7 @@ def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str
     decoded, events = _open(job, records)
     try:
         _log_and_archive(job, events, decoded, out, batch_id)
-        return _each({t: partial(_write_target, build(events), t, out, batch_id) for t, build in job.targets.items()})
+        return each({t: partial(_write_target, build(events), t, out, batch_id) for t, build in job.targets.items()})
     finally:
         decoded.unpersist()
 
@@ -175,7 +154,7 @@ def run_change_batch(
 
     try:
         _log_and_archive(job, events, decoded, out, batch_id)
-        return _each({table: partial(write, table, build) for table, build in job.targets.items()})
+        return each({table: partial(write, table, build) for table, build in job.targets.items()})
     finally:
         decoded.unpersist()
 

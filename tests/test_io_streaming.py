@@ -147,8 +147,8 @@ def test_window_and_marks(spark):
     tables.replace_table(spark, df.where("false"), "marked", scratch_path(spark, "marked"))
     assert incremental.last_loaded(spark, "marked") == dt.datetime(2000, 1, 1)
     for upto in (1, 3, 2):
-        incremental.save_progress(spark, "control", "marked", day(upto))
-    assert rows_of(incremental.progress(spark, "control")) == [("marked", day(3))]
+        incremental.save_progress(spark, "control", scratch_path(spark, "control"), ["marked", "other"], day(upto))
+    assert rows_of(incremental.progress(spark, "control")) == [("marked", day(3)), ("other", day(3))]
 
 
 def test_reports(spark):
@@ -160,6 +160,23 @@ def test_reports(spark):
     assert reports.has_rows(spark.range(50)) == 10 and reports.has_rows(spark.range(0)) == 0
 
 
+def test_refresh_isolates_a_failing_table(spark, docs):
+    from learnlake.plans import lrs_batch
+
+    raw = docs({"id": "1"}, {"id": "2"}).select(F.col("doc").alias("event"), F.timestamp_seconds(F.col("n") + 10**9).alias("dt_load"))
+    base = scratch_path(spark, "refresh")
+    spark.sql("CREATE DATABASE refresh_test")
+    wrong = spark.createDataFrame([], "dt_load timestamp").schema
+    tables.register(spark, "refresh_test.dim_lrs_actor", f"{base}/wrong", wrong)
+    for expected in (1, 2, 2):
+        upto = F.timestamp_seconds(F.lit(10**9 + min(expected, 2) - 1))
+        summary = {r.table_name: (r.n, r.status) for r in lrs_batch.refresh(spark, raw, "refresh_test", base, upto).collect()}
+        assert summary["dim_lrs_actor"] == (0, "failed") and summary["TOTAL"][1] == "failed"
+        assert summary["dim_lrs_verb"][1] == "ok" and spark.table("refresh_test.dim_lrs_verb").count() == expected
+    assert spark.table("refresh_test.dim_lrs_object_http").count() == 0
+    assert incremental.progress(spark, "refresh_test.load_progress").count() == 8
+
+
 # -- streaming ------------------------------------------------------------------------------------------------------
 def test_stream_equals_batch_and_repeats_add_nothing(spark):
     rows = [learning(i, v) for i, v in enumerate(["answered", "terminated", "experienced", "attempted", "completed"] * 4)]
