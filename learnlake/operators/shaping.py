@@ -88,11 +88,6 @@ def first_item(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
-def first_non_empty(*lists: Column) -> Column:
-    """The first list that has elements."""
-    return F.coalesce(*[F.when(F.size(items) > 0, items) for items in lists])
-
-
 def first_with(items: Column, has: Callable[[Column], Column], value: Callable[[Column], Column]) -> Column:
     """``value`` of the first list item for which ``has`` holds."""
     return value(F.get(F.filter(items, has), F.lit(0)))

@@ -14,11 +14,10 @@ from learnlake.operators.shaping import spread
 from learnlake.plans import fact, history, lrs_batch, lrs_stream
 from learnlake.queries import inputs
 from learnlake.queries.admin import reading_events, user_attributes, users
-from learnlake.queries.inputs import K_SQL, admin_document, envelopes, s
+from learnlake.queries.inputs import admin_document, envelopes, s
 from learnlake.queries.learning import BATCH_KEYS, EVENTS_SQL, HAS_ROWS_SQL, ROUTE_COUNTS_SQL, VERB_SQL
 from learnlake.queries.registry import query
 from learnlake.queries.warehouse import FACT_SQL, fact_tables
-from learnlake.schemas.events import VERB_PREFIX
 from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import envelope, files

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 ENVELOPE = (
     "eventSource string, eventVersion string, eventID string, eventName string, invokeIdentityArn string, "
     "awsRegion string, eventSourceARN string, kinesisSchemaVersion string, partitionKey string, "
@@ -15,7 +14,7 @@ NESTED_ENVELOPE = (
     "eventVersion string, eventName string, eventSourceARN string, awsRegion string>>"
 )
 
-QUEUE_MESSAGE = ("messageId string, receiptHandle string, body string")
+QUEUE_MESSAGE = "messageId string, receiptHandle string, body string"
 
 DLQ_BODY = (
     "requestContext struct<condition string>, KinesisBatchInfo struct<shardId string, "

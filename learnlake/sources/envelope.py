@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from learnlake.functions.ids import sequence_key
 from learnlake.functions.text import before_colon
 from learnlake.operators.shaping import once
 from learnlake.schemas.events import QUEUE_MESSAGE
@@ -123,11 +122,6 @@ def ingest_log(records: DataFrame, stream_name: str, uri: Column) -> DataFrame:
     )
 
 
-def arrival_order(records: DataFrame) -> Column:
-    """Sort key of a record: arrival time, then sequence number."""
-    return F.struct(F.col("approximateArrivalTimestamp"), sequence_key(F.col("sequenceNumber")).alias("seq"))
-
-
 def queue_messages(texts: DataFrame, text: str = "text") -> DataFrame:
     """``{"Records": [{messageId, body}]}`` texts -> queue messages."""
     message = "struct<" + QUEUE_MESSAGE + ">"
