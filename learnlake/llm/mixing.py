@@ -107,11 +107,10 @@ def land(p: list[float], size: list[int]) -> list[float]:
 
 def _fly(seed: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # the order and the draws depend on the rows only; neighbours are alike in size, those set aside are any
-        block = block.sort_values(["hash", "copy"], kind="stable")
-        aside, rest = block.iloc[:ASIDE], block.iloc[ASIDE:]
-        rest = rest.sort_values("size", ascending=False, kind="stable")
-        block = pd.concat([rest, aside])
+        # the order and the draws depend on the rows only; neighbours are alike in size, those set aside are of all sizes
+        block = block.sort_values(["size", "hash", "copy"], ascending=[False, True, True], kind="stable")
+        away = np.isin(np.arange(len(block)), (1 << np.arange(ASIDE)) - 1)
+        block, rest = pd.concat([block[~away], block[away]]), block[~away]
         rng = np.random.default_rng([seed, len(block), int(block["hash"].iloc[0]) & 0xFFFFFFFF])
         size, chance = block["size"].tolist(), block["p"].tolist()
         p = flight(chance[: len(rest)], size[: len(rest)], rng.random) + chance[len(rest):]
