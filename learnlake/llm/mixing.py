@@ -105,11 +105,17 @@ def land(p: list[float], size: list[int]) -> list[float]:
     return p
 
 
+def _spread(n: int) -> list[int]:
+    """Places of the documents set aside, by falling size: at growing distances first, then evenly."""
+    places = [(1 << k) - 1 for k in range(ASIDE)] + [k * n // ASIDE for k in range(ASIDE)] + list(range(min(n, ASIDE)))
+    return list(dict.fromkeys(k for k in places if k < n))[:ASIDE]
+
+
 def _fly(seed: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(block: pd.DataFrame) -> pd.DataFrame:
         # the order and the draws depend on the rows only; neighbours are alike in size, those set aside are of all sizes
         block = block.sort_values(["size", "hash", "copy"], ascending=[False, True, True], kind="stable")
-        away = np.isin(np.arange(len(block)), (1 << np.arange(ASIDE)) - 1)
+        away = np.isin(np.arange(len(block)), _spread(len(block)))
         block, rest = pd.concat([block[~away], block[away]]), block[~away]
         rng = np.random.default_rng([seed, len(block), int(block["hash"].iloc[0]) & 0xFFFFFFFF])
         size, chance = block["size"].tolist(), block["p"].tolist()
