@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlake.llm import langid, mixing, packing, quality, simhash, toxicity
+from learnlake.llm import covertree, langid, mixing, onebit, packing, quality, simhash, toxicity, urlfilter, wrapper
 from learnlake.llm.frames import fold, table
 
-ID = F.col("doc_id")
-
 
 def held(n: int, remainder: int):
-    return F.coalesce(fold(ID, n) == remainder, F.lit(False)).alias("held_out")
+    return F.coalesce(fold(F.col("doc_id"), n) == remainder, F.lit(False)).alias("held_out")
 
 
 def learned(n: int, remainder: int):
-    return fold(ID, n) != remainder
+    return fold(F.col("doc_id"), n) != remainder
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,17 +34,45 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.nearest(table(spark, folder, "embeddings"), asks=100, top=10)
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = quality.predict(docs, quality.fit(docs, labels, learned(4, 2)), ["doc_id"])
     return scored.select("doc_id", held(4, 2), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+# the rules that this query judges by
+RULES = [
+    urlfilter.Rule("allow", "com", "/"),
+    urlfilter.Rule("block", "example.com", "/en/"),
+    urlfilter.Rule("allow", "www.example.com", "/en/"),
+    urlfilter.Rule("block", "net", "/es/"),
+    urlfilter.Rule("block", "net", "/fr/"),
+]
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    judged = urlfilter.judge(pages, urlfilter.fit(pages.select("url"), RULES), ["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return wrapper.extract(table(spark, folder, "pages"), ["page_id", "url"])
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.cluster(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_largest_products(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.largest(table(spark, folder, "embeddings"), asks=50, top=5)
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), tokenizer_path())
     crc = F.crc32("ids").alias("ids_crc32")
@@ -60,6 +86,49 @@ def tokenizer_path() -> str:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_language_id, op2_toxicity, op3_mixing, op5_quality, op8_simhash, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_toxicity, op3_mixing, op4_nearest, op5_quality, op6_url_filter, op7_html_text, op8_simhash,
+        op9_largest_products, op10_packing,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op6_url_filter": f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), named AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut
+), parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM named
+), rules(verdict, host, path) AS (
+  VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)}
+), fits AS (
+  SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (n)
+""",
+    "op9_largest_products": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, r.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 50 = 0) q
+  JOIN v r ON r.vec_id <> q.vec_id AND len(r.e) = len(q.e)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
 }
-ORACLES: dict[str, str] = {}
