@@ -22,7 +22,7 @@ BITS = 17
 DIM = 8
 GRAMS = (3, 4)  # bytes; with the blank before a word, so that beginnings differ from middles
 TRAIN = 2500  # rows of each class learned from, at most
-EPOCHS = 8
+EPOCHS = 4
 RATE = 0.5
 REPEATED, EMPTY = 0, 1  # two slots of the table that stand for no string
 

@@ -30,7 +30,7 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 def _powers(base: int, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate([[1], np.full(n, base, np.uint64)]).astype(np.uint64))
+        return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]), dtype=np.uint64)
 
 
 _POW = _powers(int(_BASE), PIECE + 64)
