@@ -25,6 +25,7 @@ from learnlake.llm.frames import annotate, hash_sample
 from learnlake.session import written
 
 SAMPLE = 4000  # distinct fingerprints the partitions are fitted on; any partitions give the same links
+ROW = 500  # comparisons that take as long as dealing out one key
 BLOCK = 1024  # fingerprints of a bucket compared by one task
 SHINGLES = 1 << 16  # hashed at a time
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -105,12 +106,13 @@ def _within(sample: np.ndarray, part: list[int], threshold: int) -> float:
 
 
 def allocate(sample: np.ndarray, count: int, distance: int) -> Plan:
-    """The cheapest partitions and thresholds for ``count`` fingerprints: keys dealt out plus candidates expected."""
+    """The cheapest partitions and thresholds for ``count`` fingerprints: keys dealt out (``ROW`` each) plus candidates expected."""
     best = (float("inf"), None)
     for parts in range((distance + 2) // 2, distance + 2):
         groups = group_bits(sample, parts)
         cost = [
-            {-1: 0.0} | {t: count * (1 if t == 0 else len(g)) + _within(sample, g, t) * count * count / 2 for t in (0, 1)}
+            {-1: 0.0}
+            | {t: ROW * count * (1 if t == 0 else len(g)) + _within(sample, g, t) * count * count / 2 for t in (0, 1)}
             for g in groups
         ]
         table = {0: (0.0, [])}  # thresholds plus one spent so far -> cost, thresholds
