@@ -28,11 +28,16 @@ def high_water(column: Column) -> Column:
     return F.coalesce(F.max(column), F.lit(EPOCH).cast("timestamp_ntz"))
 
 
-def last_loaded(spark: SparkSession, table: str, column: str = "dt_load"):
-    """High-water mark of a target table; the start date when it is missing or empty. Other errors are raised."""
+def last_loaded(spark: SparkSession, table: str, column: str = "dt_load", after=None):
+    """High-water mark of a target table; the start date when it is missing or empty. Other errors are raised.
+
+    With ``after``, a mark known from elsewhere, only newer rows are looked at and the mark stands if there are none.
+    """
     if not spark.catalog.tableExists(table):
-        return spark.sql(f"SELECT timestamp '{EPOCH}' AS t").first()["t"]
-    return spark.table(table).agg(high_water(F.col(column)).alias("t")).first()["t"]
+        return after or spark.sql(f"SELECT timestamp '{EPOCH}' AS t").first()["t"]
+    if after is None:
+        return spark.table(table).agg(high_water(F.col(column)).alias("t")).first()["t"]
+    return spark.table(table).where(F.col(column) > F.lit(after)).agg(F.max(column).alias("t")).first()["t"] or after
 
 
 def save_progress(spark: SparkSession, control: str, base: str, tables: list[str], upto) -> None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlake.operators.shaping import reshape
 from learnlake.schemas import gold
-from learnlake.sinks.tables import register, with_bucket, write_bucketed
+from learnlake.session import written
+from learnlake.sinks.tables import load_folder, write_bucketed
 from learnlake.sources.files import listing, unprocessed
 
 # Columns cut to 256 bytes.
@@ -52,22 +54,38 @@ def result_scorm(results: DataFrame) -> DataFrame:
 
 def convert(results: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
     """Both targets from de-duplicated inputs."""
-    results, objects = results.distinct(), objects.distinct()
+    return _targets(results.distinct(), objects.distinct())
+
+
+def _targets(results: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
     return {"dim_lrs_result": result(results, objects), "dim_lrs_result_scorm": result_scorm(results)}
 
 
 def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFrame, out: str, database: str) -> DataFrame:
-    """Convert the result files not yet in ``done(path)``, write both tables in buckets and register them.
+    """Convert the result files not yet in ``done(path)`` and load both tables; returns the paths to add to ``done``.
 
-    Returns the paths to add to ``done``. All files are read as one input; each is processed once.
+    The files are chosen by a join on their path inside one read of the folder, and the de-duplicated rows are written
+    once for both targets. A run is named after its files: a run that failed between the two tables, or before its files
+    were recorded, replaces what it had written when it is repeated. Tables are created once and gain partitions.
     """
-    fresh = unprocessed(listing(spark, results_path), done)
-    paths = [r["path"] for r in fresh.select("path").collect()]  # part of the listing the driver already holds
-    if not paths:
-        return fresh.select("path")
-    objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path)
-    for name, rows in convert(spark.read.parquet(*paths), objects).items():
-        write_bucketed(rows, f"{out}/{name}")
-        schema = with_bucket(rows).schema
-        register(spark, f"{database}.{name}", f"{out}/{name}", T.StructType(schema.fields[:-1]), ["bucket"])
-    return fresh.select("path")
+    fresh = written(unprocessed(listing(spark, results_path), done).select("path"), "fresh")
+    name = fresh.agg(F.count("*"), F.bit_xor(F.xxhash64("path"))).first()
+    if not name[0]:
+        return fresh
+    run_id = f"{name[0]}-{name[1] & (2**63 - 1):x}"
+    every = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(results_path)
+    chosen = every.withColumn("__path", F.col("_metadata.file_path")).join(
+        fresh.select(_same_path(F.col("path")).alias("__fresh")), _same_path(F.col("__path")) == F.col("__fresh"), "left_semi"
+    )
+    results = written(chosen.drop("__path").distinct(), "results")
+    objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path).distinct()
+    for table, rows in _targets(results, objects).items():
+        stage = f"{out}/{table}/run={run_id}"
+        write_bucketed(rows, stage, mode="overwrite")
+        load_folder(spark, stage, f"{database}.{table}", rows.schema, f"{out}/{table}", run_id)
+    return fresh
+
+
+def _same_path(path: Column) -> Column:
+    """Path without scheme, decoded: the two file sources write it differently."""
+    return F.regexp_replace(F.try_url_decode(path), "^[a-z0-9]+:/+", "/")

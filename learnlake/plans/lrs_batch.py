@@ -5,12 +5,13 @@ Each dimension is one select over one incremental window of the raw table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from learnlake.functions.keys import normal_name
 from learnlake.functions.paths import not_null, project
-from learnlake.operators.incremental import last_loaded, run_summary, save_progress, window
+from learnlake.operators.incremental import last_loaded, progress, run_summary, save_progress, window
 from learnlake.parallel import attempt, each
 from learnlake.schemas.events import ACT_TYPE, SCORM
 from learnlake.sinks.tables import register
@@ -105,9 +106,9 @@ def dimension(raw: DataFrame, name: str, low=None, high=None) -> DataFrame:
     return rows.select(*project(EVENT, DIMENSIONS[name]), "dt_load")
 
 
-def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, upto) -> int:
-    """Append the rows after the table's own high-water mark; the count is observed while writing."""
-    rows = dimension(raw, name, F.lit(last_loaded(spark, table)), upto)
+def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, low, upto) -> int:
+    """Append the rows after the table's mark; the count is observed while writing."""
+    rows = dimension(raw, name, low, upto)
     if not spark.catalog.tableExists(table):
         register(spark, table, f"{base}/{table}", rows.schema)
     counted = Observation()
@@ -115,21 +116,46 @@ def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str,
     return counted.get["n"]
 
 
+def marks(spark: SparkSession, database: str, control: str) -> dict:
+    """Where each dimension's next window begins: the mark saved with its last load, or the newest row if a load came
+    after that mark but was not recorded. Only rows beyond the mark are looked at."""
+    saved = {}
+    if spark.catalog.tableExists(control):
+        saved = {r["table_name"]: r["last_processed"] for r in progress(spark, control).collect()}  # one row a table
+    return {name: last_loaded(spark, f"{database}.{name}", after=saved.get(name)) for name in DIMENSIONS}
+
+
+def window_rows(raw: DataFrame, low, upto) -> DataFrame:
+    """The raw rows after ``low`` up to ``upto``; a raw table in load days is read for those days only."""
+    rows = window(raw, "dt_load", low, upto)
+    if "load_date" in raw.columns:
+        rows = rows.where((F.col("load_date") >= F.to_date(low)) & (F.col("load_date") <= F.to_date(upto)))
+    return rows
+
+
 def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto) -> DataFrame:
     """Bring all nine dimensions up to ``upto``: ``(table_name, n, status)`` per table and in total.
 
-    Tables load independently; one that fails is reported and picks up from its own mark next time.
+    The window after the oldest mark is read once and kept while the tables load. Tables load independently; one that
+    fails is reported and picks up from its own mark next time.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    control = f"{database}.load_progress"
+    low = marks(spark, database, control)
+    upto = upto if isinstance(upto, Column) else F.lit(upto)
+    rows = window_rows(raw, F.lit(min(low.values())), upto).select("event", "dt_load").persist(StorageLevel.MEMORY_AND_DISK)
     counts: dict[str, int] = {}
 
     def run(name: str) -> tuple[str, str | None]:
         table = f"{database}.{name}"
-        return attempt(lambda: counts.update({name: _load(spark, raw, name, table, base, upto)}), lambda: None)
+        return attempt(lambda: counts.update({name: _load(spark, rows, name, table, base, F.lit(low[name]), upto)}), lambda: None)
 
-    status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
+    try:
+        status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
+    finally:
+        rows.unpersist()
     loaded = [name for name, (state, _) in status.items() if state == "ok"]
     if loaded:
-        save_progress(spark, f"{database}.load_progress", base, loaded, upto)
-    rows = [(name, counts.get(name, 0), state) for name, (state, _) in status.items()]
-    return run_summary(spark.createDataFrame(rows, "table_name string, n long, status string"))
+        save_progress(spark, control, base, loaded, upto)
+    table = [(name, counts.get(name, 0), state) for name, (state, _) in status.items()]
+    return run_summary(spark.createDataFrame(table, "table_name string, n long, status string"))

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from learnlake.functions.ids import bucket
 from learnlake.functions.paths import at
 from learnlake.operators import routing
 from learnlake.operators.incremental import run_summary, table_counts
 from learnlake.operators.shaping import spread
-from learnlake.plans import fact, history, lrs_batch, lrs_stream
+from learnlake.parallel import attempt
+from learnlake.plans import fact, history, lrs_batch, lrs_stream, reading
 from learnlake.queries import inputs
-from learnlake.queries.admin import reading_events, user_attributes, users
+from learnlake.queries.admin import ITEMS_SQL, STREAM_SQL, USER_SQL, reading_events, user_attributes, users
 from learnlake.queries.inputs import admin_document, envelopes, s
 from learnlake.queries.learning import BATCH_KEYS, EVENTS_SQL, HAS_ROWS_SQL, ROUTE_COUNTS_SQL, VERB_SQL
-from learnlake.queries.registry import query
+from learnlake.queries.registry import query, table_sql
 from learnlake.queries.warehouse import FACT_SQL, fact_tables
+from learnlake.schemas import gold
 from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import envelope, files
@@ -26,10 +29,9 @@ from learnlake.streaming import jobs
 HOUR_SQL = "strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour"
 
 
-def _text_folders(t, path: str, folders: list[str]) -> DataFrame:
-    """Archived lines with their folder values as text."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["value", *folders]])
-    return t.spark.read.schema(schema).text(path)
+def _archived(t, path: str, folders: list[str]) -> DataFrame:
+    """Archived records with their folder values as text."""
+    return t.spark.read.schema(", ".join(f"{c} string" for c in [*archive.IDENTITY, "payload", *folders])).json(path)
 
 
 def _events(t) -> DataFrame:
@@ -41,19 +43,25 @@ def _arrived():
 
 
 # -- CSV and bucketed parquet ----------------------------------------------------------------------------------------
+NOTES = {
+    "1-URGENT": ("", "NULL"), "2-HIGH": ("   ", "NULL"),
+    "3-MEDIUM": ('say "hi", \\ ok', """'say "hi", \\ ok'"""),
+    "4-NOT SPECIFIED": ('line 1\n"line" 2\r\nend\\', """'line 1' || chr(10) || '"line" 2' || chr(13) || chr(10) || 'end\\'"""),
+}
+
+
 @query(
     "q36_csv_nulls",
-    """SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN NULL
-         WHEN o_orderpriority = '3-MEDIUM' THEN 'say "hi", \\ ok' ELSE o_orderpriority END AS note,
-         CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders""",
+    "SELECT o_orderkey, CASE "
+    + " ".join(f"WHEN o_orderpriority = '{k}' THEN {sql}" for k, (_, sql) in NOTES.items())
+    + " ELSE o_orderpriority END AS note, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders",
 )
 def csv_nulls(t):
-    """Written in the bulk-load dialect and read back: blank text is NULL, outer spaces go, quoting survives."""
+    """Written in the bulk-load dialect and read back: blank text is NULL, quotes, backslashes and line breaks survive."""
     priority = F.col("o_orderpriority")
-    note = (
-        F.when(priority == "1-URGENT", "").when(priority == "2-HIGH", "   ").when(priority == "3-MEDIUM", 'say "hi", \\ ok')
-        .otherwise(s(" ", ".o_orderpriority"))
-    )
+    note = priority
+    for k, (text, _) in NOTES.items():
+        note = F.when(priority == k, F.lit(text)).otherwise(note)
     status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
     df = t.orders.select("o_orderkey", note.alias("note"), status.alias("status"))
     path = scratch_path(t.spark, "csv")
@@ -61,13 +69,37 @@ def csv_nulls(t):
     return tables.load_csv(t.spark, path, df.schema)
 
 
+@query(
+    "csv_rejects",
+    "SELECT o_orderkey AS k, CAST(o_orderstatus = 'F' AS BOOLEAN) AS kept FROM orders",
+)
+def csv_rejects(t):
+    """Records that do not fit the schema are parked, none is lost: the loaded and the parked ones together."""
+    number = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string")).otherwise(s("x", ".o_orderkey"))
+    path = scratch_path(t.spark, "csv")
+    tables.write_csv(t.orders.select(number.alias("n"), F.lit("two\nlines").alias("text")), path)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("text", T.StringType())])
+    rows = tables.load_csv(t.spark, path, schema, max_errors=2**62, park=f"{path}-parked")
+    parked = t.spark.read.schema("value string").json(f"{path}-parked")
+    found = parked.select(F.regexp_extract("value", "x([0-9]+)", 1).cast("long").alias("k"), F.lit(False).alias("kept"))
+    return rows.select(F.col("n").alias("k"), F.lit(True).alias("kept")).unionByName(found)
+
+
 @query(
     "q38_bucket_counts",
-    "SELECT CAST(o_custkey % 50 AS INTEGER) AS bucket, count(*) AS n FROM orders GROUP BY 1",
+    "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys, true AS in_range, true AS stable FROM orders",
 )
 def bucket_counts(t):
-    """Rows per bucket; here by the id itself so the SQL can say it."""
-    return t.orders.select(F.pmod("o_custkey", F.lit(50)).cast("int").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    """Rows per bucket add up to all rows, every bucket is one of the fixed number, and a key has one bucket."""
+    keyed = t.orders.select(F.col("o_orderkey").cast("string").alias("statement_id"))
+    per_key = tables.with_bucket(keyed).groupBy("statement_id").agg(
+        F.count("*").alias("n"), F.min("bucket").alias("lo"), F.max("bucket").alias("hi")
+    )
+    per_bucket = per_key.groupBy("lo").agg(F.sum("n").alias("n"), F.count("*").alias("keys"), F.bool_and(F.col("lo") == F.col("hi")).alias("stable"))
+    return per_bucket.agg(
+        F.sum("n").alias("n"), F.sum("keys").alias("keys"),
+        F.bool_and(F.col("lo").between(0, tables.BUCKETS - 1)).alias("in_range"), F.bool_and("stable").alias("stable"),
+    )
 
 
 @query(
@@ -107,22 +139,43 @@ def _when():
     return F.lit("2024-03-01 05:06:07").cast("timestamp")
 
 
-@query("archive_raw_events", f"SELECT 'ev' || event_id AS id, {WHEN_SQL} FROM events")
+PRETTY_SQL = "'{' || chr(10) || '  \"id\": \"ev' || event_id || '\",' || chr(10) || '  \"text\": \"a \\\\ b\"' || chr(10) || '}'"
+SEQUENCE_SQL = "'4965' || lpad(CAST(event_id AS VARCHAR), 52, '0')"
+
+
+@query(
+    "archive_raw_events",
+    f"SELECT {PRETTY_SQL} AS payload, CAST(user_id AS VARCHAR) AS partition_key, {SEQUENCE_SQL} AS sequence_number, "
+    f"{WHEN_SQL} FROM events",
+)
 def archive_raw(t):
+    """Payloads over several lines, found again one by one through the ingest log: its folder and the record's identity."""
     path, folders = scratch_path(t.spark, "raw"), ["month", "day", "hour"]
-    archive.write_payloads(archive.raw_layout(_events(t), _when()), path, folders)
-    return _text_folders(t, path, folders).select(F.get_json_object("value", "$.id").alias("id"), *folders)
+    payload = s('{\n  "id": "ev', ".event_id", '",\n  "text": "a \\\\ b"\n}')
+    records = inputs.envelopes(t.events, payload, "event_id", "user_id", "ts")
+    events = envelope.good(envelope.decode(records))
+    archive.write_json(archive.raw_layout(events, _when()), path, folders)
+    log = written(envelope.ingest_log(events, "learning", archive.raw_uri(f"{path}/", _when())), "log")
+    files = t.spark.read.schema("partitionKey string, sequenceNumber string, payload string, month string, day string, hour string").json(path)
+    folder = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""), "^file:/+", "/")
+    found = files.withColumn("folder", folder)
+    there = (F.regexp_replace("s3_uri", "^file:/+", "/") == F.col("folder")) & (F.col("partition_key") == F.col("partitionKey"))
+    joined = log.join(found, there & (F.col("sequence_number") == F.col("sequenceNumber")))
+    return joined.select("payload", "partition_key", "sequence_number", *folders)
 
 
 @query(
     "archive_processed_learning",
-    f"SELECT 'ev' || event_id AS id, verb, 'lrs' || (user_id % 7) AS lrs_id, {WHEN_SQL} FROM {EVENTS_SQL} WHERE verb <> 'completed'",
+    f"SELECT 'ev' || event_id AS id, {SEQUENCE_SQL} AS sequence_number, verb, 'lrs' || (user_id % 7) AS lrs_id, {WHEN_SQL} "
+    f"FROM {EVENTS_SQL} WHERE verb <> 'completed'",
 )
 def archive_learning(t):
     path, folders = scratch_path(t.spark, "learning"), jobs.LEARNING.folders
     events = _events(t)
-    archive.write_payloads(archive.learning_layout(events.where(jobs.LEARNING.route().isNotNull()), _when()), path, folders)
-    return _text_folders(t, path, folders).select(F.get_json_object("value", "$.id").alias("id"), *folders)
+    archive.write_json(archive.learning_layout(events.where(jobs.LEARNING.route().isNotNull()), _when()), path, folders)
+    return _archived(t, path, folders).select(
+        F.get_json_object("payload", "$.id").alias("id"), F.col("sequenceNumber").alias("sequence_number"), *folders
+    )
 
 
 @query("archive_time_folders", f"SELECT 'ev' || event_id AS id, {HOUR_SQL} FROM events")
@@ -180,12 +233,30 @@ def archive_flat(t):
 
 @query(
     "archive_unknown_route",
-    f"SELECT 'ev' || event_id AS id FROM {EVENTS_SQL} WHERE verb = 'completed'",
+    f"SELECT 'ev' || event_id AS id, {SEQUENCE_SQL} AS sequence_number FROM {EVENTS_SQL} WHERE verb = 'completed'",
 )
 def archive_unknown(t):
     path = scratch_path(t.spark, "unknown")
-    archive.write_payloads(lrs_stream.unknown(_events(t)), path, [])
-    return t.spark.read.text(path).select(F.get_json_object("value", "$.id").alias("id"))
+    archive.write_json(archive.plain_layout(lrs_stream.unknown(_events(t))), path, [])
+    return _archived(t, path, []).select(
+        F.get_json_object("payload", "$.id").alias("id"), F.col("sequenceNumber").alias("sequence_number")
+    )
+
+
+@query(
+    "archive_failed_batch",
+    "SELECT o_orderkey AS k, o_orderstatus AS s, 'failed' AS status, true AS explained FROM orders",
+)
+def archive_failed(t):
+    """A write that keeps failing is parked under operation, table and batch after its retries, and reported."""
+    path = scratch_path(t.spark, "errors")
+    rows = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    broken = rows.select(F.raise_error(F.lit("no such column")).cast("string").alias("x"))
+    status, error = attempt(
+        lambda: broken.write.parquet(f"{path}/target"), lambda: archive.write_failed(rows, path, "gold.dim_session", "insert", "9"), 3
+    )
+    parked = t.spark.read.schema("k long, s string").json(f"{path}/insert_gold_dim_session/batch=9")
+    return parked.select("k", "s", F.lit(status).alias("status"), F.lit(bool(error)).alias("explained"))
 
 
 @query(
@@ -260,70 +331,109 @@ def json_profile(t):
 )
 def history_partitions(t):
     """``<base>/<owner>/<year>/results/`` folders; owner and year come from the path."""
-    base, owners, years = scratch_path(t.spark, "history"), ["F", "O", "P"], ["2024", "2025"]
+    base, years = scratch_path(t.spark, "history"), ["2024", "2025"]
     year = F.when(F.col("o_custkey") % 2 == 0, "2024").otherwise("2025")
+    owners = [r[0] for r in t.orders.select("o_orderstatus").distinct().collect()]  # the few statuses there are
     for o in owners:
         for y in years:
-            part = t.orders.where((F.col("o_orderstatus") == o) & (year == y))
-            part.select(F.col("o_orderkey").cast("string").alias("id_statement")).write.parquet(files.history_path(base, o, y))
-    return files.history(t.spark, base, owners, years, "results")
+            part = t.orders.where(F.col("o_orderstatus").eqNullSafe(F.lit(o)) & (year == y))
+            part.select(F.col("o_orderkey").cast("string").alias("id_statement")).write.parquet(files.history_path(base, str(o), y))
+    return files.history(t.spark, base, [str(o) for o in owners], years, "results")
 
 
 # -- whole jobs ------------------------------------------------------------------------------------------------------
+REFRESH_SQL = f"""WITH e AS {EVENTS_SQL}, n AS (
+      SELECT unnest(['dim_lrs_actor', 'dim_lrs_object', 'dim_lrs_object_http', 'dim_lrs_result', 'dim_lrs_statement',
+        'dim_lrs_verb', 'dim_lrs_authority', 'dim_lrs_context', 'dim_lrs_result_scorm']) AS table_name)"""
+
+
+def _refreshed(t) -> tuple[str, DataFrame]:
+    """All nine dimensions loaded in two increments from a raw table in load days; the last increment's summary."""
+    base = scratch_path(t.spark, "refresh")
+    database = f"refresh_{base[-8:]}"
+    events = inputs.raw_learning(t).withColumn("dt_load", F.col("dt_load").cast("timestamp"))
+    tables.append_raw(events.withColumn("table_name", F.lit(routing.CATCH_ALL)), f"{base}/raw")
+    raw = t.spark.read.parquet(f"{base}/raw")
+    marks = raw.agg(F.percentile_approx(F.unix_seconds("dt_load"), 0.4).alias("m"), F.max("dt_load").alias("hi")).first()
+    lrs_batch.refresh(t.spark, raw, database, base, F.timestamp_seconds(F.lit(marks["m"])))
+    return database, lrs_batch.refresh(t.spark, raw, database, base, F.lit(marks["hi"]))
+
+
 @query(
     "batch_refresh_summary",
-    f"""WITH e AS {EVENTS_SQL}, n AS (
-          SELECT unnest(['dim_lrs_actor', 'dim_lrs_object', 'dim_lrs_object_http', 'dim_lrs_result', 'dim_lrs_statement',
-            'dim_lrs_verb', 'dim_lrs_authority', 'dim_lrs_context', 'dim_lrs_result_scorm']) AS table_name),
+    f"""{REFRESH_SQL},
         c AS (SELECT table_name, (SELECT count(*) FILTER (table_name <> 'dim_lrs_object_http' OR verb = 'answered') FROM e) AS n FROM n)
         SELECT table_name, CAST(n AS BIGINT) AS n, 'ok' AS status FROM c
         UNION ALL SELECT 'TOTAL', CAST(sum(n) AS BIGINT), 'ok' FROM c""",
 )
 def batch_refresh(t):
-    """All nine dimensions loaded in two increments; every event arrives exactly once."""
-    base = scratch_path(t.spark, "refresh")
-    database = f"refresh_{base[-8:]}"
-    raw = written(inputs.raw_learning(t).withColumn("dt_load", F.col("dt_load").cast("timestamp")), "raw")
-    marks = raw.agg(F.percentile_approx(F.unix_seconds("dt_load"), 0.4).alias("m"), F.max("dt_load").alias("hi")).first()
-    lrs_batch.refresh(t.spark, raw, database, base, F.timestamp_seconds(F.lit(marks["m"])))
-    last = lrs_batch.refresh(t.spark, raw, database, base, F.lit(marks["hi"]))
+    """Every event arrives exactly once in two increments."""
+    database, last = _refreshed(t)
     frames = {name: t.spark.table(f"{database}.{name}") for name in lrs_batch.DIMENSIONS}
-    status = last.select("table_name", "status")
-    return run_summary(table_counts(frames).join(status, "table_name"))
+    return run_summary(table_counts(frames).join(last.select("table_name", "status"), "table_name"))
+
+
+@query(
+    "batch_refresh_rows",
+    f"""{REFRESH_SQL} SELECT table_name, 'ev' || event_id AS statement_id, 'lrs' || (user_id % 7) AS lrs_id
+        FROM n, e WHERE table_name <> 'dim_lrs_object_http' OR verb = 'answered'""",
+)
+def batch_refresh_rows(t):
+    """The rows of the nine dimensions after two increments."""
+    database, _ = _refreshed(t)
+    frames = [t.spark.table(f"{database}.{n}").select(F.lit(n).alias("table_name"), "statement_id", "lrs_id") for n in lrs_batch.DIMENSIONS]
+    return files.union_all(frames)
+
+
+LINE_SQL = "CAST(l_orderkey AS VARCHAR) || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|' || l_returnflag"
 
 
 @query(
     "history_job",
-    "SELECT 'dim_lrs_result_scorm' AS table_name, count(*) AS n FROM (SELECT DISTINCT * FROM lineitem) UNION ALL "
-    "SELECT 'dim_lrs_result', count(*) FROM (SELECT DISTINCT * FROM lineitem) WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
+    f"""WITH l AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS statement_id, {LINE_SQL} AS response FROM lineitem)
+        SELECT 'dim_lrs_result_scorm' AS table_name, statement_id, response FROM l UNION ALL
+        SELECT 'dim_lrs_result', statement_id, response FROM l
+          WHERE statement_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)""",
 )
 def history_job(t):
-    """Conversion from files to registered, bucketed tables; a second run finds nothing to do."""
+    """Conversion from files to registered, bucketed tables, row by row.
+
+    It runs three times: once failing between the two tables, once to the end, and once with nothing left to do.
+    """
     out = scratch_path(t.spark, "conversion")
     database = f"history_{out[-8:]}"
+    line = s(".l_orderkey", "|", ".l_linenumber", "|", ".l_partkey", "|", ".l_suppkey", "|", ".l_returnflag")
     lines = t.lineitem.select(
-        s(*[x for c in t.lineitem.columns for x in (f".{c}", "|")]).alias("response"),
-        F.lit("sys").alias("id_sys"), F.lit("l").alias("lrs_id"), F.lit("c").alias("client_id"),
-        F.col("l_orderkey").cast("string").alias("id_statement"),
-        s(*[x for c in t.lineitem.columns for x in (f".{c}", "|")]).alias("scorm&46_response"),
+        line.alias("response"), F.lit("sys").alias("id_sys"), F.lit("l").alias("lrs_id"), F.lit("c").alias("client_id"),
+        F.col("l_orderkey").cast("string").alias("id_statement"), line.alias("scorm&46_response"),
     )
     lines.write.parquet(f"{out}/in/results")
     objects = t.orders.select(F.col("o_orderkey").cast("string").alias("id_statement"), F.lit("choice").alias("interactionType"))
     objects.write.parquet(f"{out}/in/objects")
     done = t.spark.createDataFrame([], "path string")
+    # a table of another shape stands in the way of the second target, so the first run fails between the two
+    t.spark.sql(f"CREATE DATABASE {database}")
+    t.spark.range(1).write.saveAsTable(f"{database}.dim_lrs_result_scorm", path=f"{out}/wrong")
+    try:
+        history.run(t.spark, f"{out}/in/results", f"{out}/in/objects", done, f"{out}/tables", database)
+        raise AssertionError("the run should have failed")
+    except AnalysisException:
+        t.spark.sql(f"DROP TABLE {database}.dim_lrs_result_scorm")
     for _ in range(2):
         new = written(history.run(t.spark, f"{out}/in/results", f"{out}/in/objects", done, f"{out}/tables", database), "done")
         done = done.unionByName(new)
-    return table_counts({n: t.spark.table(f"{database}.{n}") for n in ("dim_lrs_result", "dim_lrs_result_scorm")})
+    tables_of = ("dim_lrs_result", "dim_lrs_result_scorm")
+    frames = [t.spark.table(f"{database}.{n}").select(F.lit(n).alias("table_name"), "statement_id", "response") for n in tables_of]
+    return frames[0].unionByName(frames[1])
 
 
-@query("fact_load", "SELECT count(*) AS n, count(DISTINCT statement_id) AS statements FROM (" + FACT_SQL + ")")
+@query("fact_load", FACT_SQL)
 def fact_load(t):
-    """The fact built and put in place of the previous table."""
+    """The fact built and put in place of the previous table, row by row."""
     base = scratch_path(t.spark, "fact")
     name = f"fact_{base[-8:]}"
     fact.load(t.spark, fact_tables(t), name, base)
-    return t.spark.table(name).agg(F.count("*").alias("n"), F.count_distinct("statement_id").alias("statements"))
+    return t.spark.table(name).withColumn("score_raw", F.col("score_raw").cast("double"))
 
 
 @query(
@@ -358,30 +468,108 @@ def stream_route(t):
     return t.spark.read.parquet(out).groupBy("route").agg(F.sum("n").alias("n"))
 
 
+STREAM_TABLES = {
+    "gold.dim_lrs_statement": "has", "gold.dim_lrs_verb": "has", "gold.dim_lrs_object_http": "has",
+    "gold.dim_lrs_result": "verb = 'terminated' AND k % 2 = 1",
+    "gold.dim_lrs_result_scorm": "verb = 'answered' AND k % 3 IN (0, 1)",
+}
+ARCHIVES = {"raw": "true", "processed": "verb <> 'completed'", "unknown": "verb = 'completed'"}
+
+
 @query(
     "stream_learning_job",
-    f"""WITH e AS (SELECT *, {HAS_ROWS_SQL} AS has FROM {EVENTS_SQL})
-    SELECT 'gold.dim_lrs_statement' AS table_name, count(*) FILTER (has) AS n FROM e
-    UNION ALL SELECT 'gold.dim_lrs_verb', count(*) FILTER (has) FROM e
-    UNION ALL SELECT 'gold.dim_lrs_object_http', count(*) FILTER (has) FROM e
-    UNION ALL SELECT 'gold.dim_lrs_result', count(*) FILTER (verb = 'terminated' AND k % 2 = 1) FROM e
-    UNION ALL SELECT 'gold.dim_lrs_result_scorm', count(*) FILTER (verb = 'answered' AND k % 3 IN (0, 1)) FROM e
-    UNION ALL SELECT 'infrastructure.kinesis_log', count(*) FROM e
-    UNION ALL SELECT 'raw', count(*) FROM e
-    UNION ALL SELECT 'processed', count(*) FILTER (verb <> 'completed') FROM e
-    UNION ALL SELECT 'unknown', count(*) FILTER (verb = 'completed') FROM e""",
+    f"WITH e AS (SELECT *, {HAS_ROWS_SQL} AS has FROM {EVENTS_SQL}) "
+    + " UNION ALL ".join(
+        [f"SELECT '{n}' AS name, 'st' || event_id AS id FROM e WHERE {c}" for n, c in STREAM_TABLES.items()]
+        + [f"SELECT '{n}', {SEQUENCE_SQL} FROM e WHERE {c}" for n, c in ARCHIVES.items()]
+        + [f"SELECT 'infrastructure.kinesis_log', {SEQUENCE_SQL} FROM e"]
+    ),
 )
 def stream_learning_job(t):
-    """The whole learning job over a file stream: archives, log and five tables."""
+    """The whole learning job over a file stream: the rows of archives, log and five tables."""
     out = scratch_path(t.spark, "job")
     records = _record_stream(t, inputs.learning_records(t))
     jobs.start(
         records, lambda df, batch_id: jobs.run_batch(jobs.LEARNING, df, batch_id, out), scratch_path(t.spark, "cp")
     ).awaitTermination()
-    names = [*lrs_stream.TARGETS, "infrastructure.kinesis_log"]
-    frames = {n: t.spark.read.parquet(f"{out}/tables/{n}") for n in names}
-    frames |= {n: t.spark.read.option("recursiveFileLookup", True).text(f"{out}/{n}") for n in ("raw", "processed", "unknown")}
-    return table_counts(frames)
+    ids = {n: t.spark.read.parquet(f"{out}/tables/{n}").select(F.col("statement_id").alias("id")) for n in lrs_stream.TARGETS}
+    log = "infrastructure.kinesis_log"
+    ids[log] = t.spark.read.parquet(f"{out}/tables/{log}").select(F.col("sequence_number").alias("id"))
+    for n in ARCHIVES:
+        archived = t.spark.read.schema("sequenceNumber string").option("recursiveFileLookup", True).json(f"{out}/{n}")
+        ids[n] = archived.select(F.col("sequenceNumber").alias("id"))
+    return files.union_all([df.select(F.lit(n).alias("name"), "id") for n, df in ids.items()])
+
+
+@query(
+    "stream_created_job",
+    table_sql("gold.dim_user", USER_SQL, "FROM customer"),
+)
+def stream_created_job(t):
+    """The created-events job over a file stream: the rows of the user table."""
+    out = scratch_path(t.spark, "created")
+    events = admin_document(spread(t.customer, "c_custkey"), "USER", user_attributes(), "c_custkey")
+    records = envelopes(events.withColumn("at", F.timestamp_seconds("c_custkey")), F.col("payload"), "c_custkey", "c_custkey", "at")
+    jobs.start(
+        _record_stream(t, records), lambda df, i: jobs.run_batch(jobs.ADMIN_CREATED, df, i, out), scratch_path(t.spark, "cp")
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{out}/tables/gold.dim_user").select(*gold.data_columns("gold.dim_user"))
+
+
+@query("stream_reading_job", table_sql(reading.TABLE, STREAM_SQL, f"FROM {ITEMS_SQL} WHERE o_orderstatus <> 'P'"))
+def stream_reading_job(t):
+    """The reading-plan job over a file stream: the rows of its table."""
+    out = scratch_path(t.spark, "reading")
+    events = reading_events(t).select("payload", F.xxhash64("payload").alias("n"))
+    numbered = events.withColumn("n", F.pmod("n", F.lit(10**15))).withColumn("at", F.lit("2024-03-01").cast("timestamp"))
+    records = envelopes(numbered, F.col("payload"), "n", "n", "at")
+    jobs.start(
+        _record_stream(t, records), lambda df, i: jobs.run_batch(jobs.READING, df, i, out), scratch_path(t.spark, "cp")
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{out}/tables/{reading.TABLE}").select(*gold.data_columns(reading.TABLE))
+
+
+@query(
+    "stream_reading_queue",
+    f"""WITH rows AS (SELECT o_orderkey || '-' || i AS id, n > 1 AND o_orderstatus = 'F' AS gone, o_orderstatus AS role
+          FROM {ITEMS_SQL})
+        SELECT id, role FROM rows WHERE NOT gone AND id NOT IN (SELECT id FROM rows WHERE gone)""",
+)
+def stream_reading_queue(t):
+    """The queue job over a stream of messages: appended rows without those that deletes name."""
+    out, inbox = scratch_path(t.spark, "queue"), scratch_path(t.spark, "messages")
+    body = F.to_json(F.struct(F.base64(F.encode("payload", "UTF-8")).alias("data")))
+    messages = reading_events(t).select(F.sha1("payload").alias("messageId"), body.alias("body"))
+    messages.repartition(16).write.parquet(inbox)
+    stream = jobs.source(t.spark, inbox, messages.schema, "parquet", 8)
+    jobs.start(stream, lambda df, i: jobs.run_queue_batch(df, i, out), scratch_path(t.spark, "cp")).awaitTermination()
+    return jobs.queue_table(t.spark, out).select("id", "role")
+
+
+HALF_SQL = "(SELECT to_timestamp(floor((epoch(min(ts)) + epoch(max(ts))) / 2)) AT TIME ZONE 'UTC' AS half FROM events)"
+
+
+@query(
+    "stream_raw_replay",
+    f"""SELECT 'lrs_events_' || verb AS table_name, 'ev' || event_id AS id,
+          CASE WHEN ts < half THEN 'replay' ELSE 'stream' END AS origin
+        FROM {EVENTS_SQL} AS e, {HALF_SQL} AS h""",
+)
+def stream_raw_replay(t):
+    """Raw ingest over a file stream, then the replay: records over the age limit are named by notices, found in the
+    stream's log by shard and sequence range, and loaded; every event is in its raw table once."""
+    out = scratch_path(t.spark, "raw_ingest")
+    log = written(inputs.learning_records(t), "log")
+    ends = t.events.agg(F.unix_seconds(F.min("ts").cast("timestamp")), F.unix_seconds(F.max("ts").cast("timestamp"))).first()
+    now = F.timestamp_seconds(F.lit((ends[0] + ends[1]) // 2 + jobs.MAX_RECORD_AGE_S))
+    jobs.start(
+        _record_stream(t, log), lambda df, i: jobs.run_raw_batch(df, i, out, now=now), scratch_path(t.spark, "cp")
+    ).awaitTermination()
+    for _ in range(2):  # a repeated replay adds nothing
+        jobs.replay_raw(log, out)
+    raw = t.spark.read.parquet(f"{out}/raw_tables")
+    origin = F.when(F.col("batch") == "replay", "replay").otherwise("stream")
+    return raw.select("table_name", at("event", "id").alias("id"), origin.alias("origin"))
 
 
 @query(
@@ -393,7 +581,7 @@ def stream_learning_job(t):
        WHERE rn = 1 AND o_orderstatus = 'O'""",
 )
 def stream_change_job(t):
-    """Two ordered micro-batches of updates and deletes merged into the user table; orders arrive by key."""
+    """A stream of two micro-batches of updates and deletes merged into the user table; orders arrive by key."""
     out = scratch_path(t.spark, "changes")
     database = f"changes_{out[-8:]}"
     status = F.col("o_orderstatus")
@@ -408,9 +596,12 @@ def stream_change_job(t):
         "admin_changes", {"gold.dim_user": jobs.ADMIN_CHANGES.targets["gold.dim_user"]}, jobs.ADMIN_CHANGES.route,
         jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders,
     )
-    records = written(records, "records")
-    middle = t.orders.agg(F.percentile_approx("o_orderkey", 0.5).alias("m")).first()["m"]
-    early = F.col("approximateArrivalTimestamp") <= middle
-    for batch_id, part in enumerate((records.where(early), records.where(~early))):
-        jobs.run_change_batch(one_table, part, batch_id, out, buckets=8, database=database)
+    inbox = scratch_path(t.spark, "records")
+    early = F.col("approximateArrivalTimestamp") <= t.orders.agg(F.percentile_approx("o_orderkey", 0.5).alias("m")).first()["m"]
+    for part in (early, ~early):  # a file each, so that the stream's batches follow the order of arrival
+        records.where(part).coalesce(1).write.mode("append").parquet(inbox)
+    stream = jobs.source(t.spark, inbox, records.schema, "parquet", 1)
+    jobs.start(
+        stream, lambda df, i: jobs.run_change_batch(one_table, df, i, out, database=database), scratch_path(t.spark, "cp")
+    ).awaitTermination()
     return merge.read(t.spark, f"{database}.dim_user").select("user_id", "first_name")

@@ -343,8 +343,7 @@ def envelope_free_form(t):
     """SELECT 'learning' AS kinesis_name, 'aws:kinesis' AS event_source, '1.0' AS event_version,
         'shardId-00000000000' || (user_id % 4) AS shard_id, 'region-1' AS aws_region,
         CAST(user_id AS VARCHAR) AS partition_key, '4965' || lpad(CAST(event_id AS VARCHAR), 52, '0') AS sequence_number,
-        'raw/' || strftime(ts, '%m/%d/%H/') || user_id || '_4965' || lpad(CAST(event_id AS VARCHAR), 52, '0') || '.json'
-          AS s3_uri FROM events""",
+        'raw/' || strftime(ts, 'month=%m/day=%d/hour=%H') AS s3_uri FROM events""",
 )
 def ingest_log(t):
     from learnlake.sinks.archive import raw_uri

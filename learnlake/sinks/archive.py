@@ -1,5 +1,8 @@
 """JSON archives laid out by time and route.
 
+Every archived record is one JSON row with its payload as text and, where the record has them, its partition key and
+sequence number. JSON text escapes line breaks, so a payload over several lines stays one record.
+
 Rows are spread by the folder columns with a rebalance hint: small folders are written by one task, a folder with very
 many rows is split over several, whatever its share of the data.
 """
@@ -20,22 +23,35 @@ def time_parts(when: Column, *names: str) -> dict[str, Column]:
     return {n: F.date_format(when, patterns[n]) for n in names}
 
 
+IDENTITY = ("partitionKey", "sequenceNumber")
+
+
 def raw_uri(prefix: str, when: Column) -> Column:
-    """Where the raw copy of a record belongs: ``<prefix>MM/DD/HH/<partition key>_<sequence number>.json``."""
-    return F.concat(
-        F.lit(prefix), F.date_format(when, "MM/dd/HH/"), F.col("partitionKey"), F.lit("_"), F.col("sequenceNumber"), F.lit(".json")
-    )
+    """The folder that holds the raw copy of a record: ``<prefix>month=MM/day=DD/hour=HH``.
+
+    The record in it is the one with the log row's partition key and sequence number.
+    """
+    return F.concat(F.lit(prefix), F.date_format(when, "'month='MM'/day='dd'/hour='HH"))
+
+
+def _record(events: DataFrame) -> list[str]:
+    return [*(c for c in IDENTITY if c in events.columns), "payload"]
 
 
 def raw_layout(records: DataFrame, when: Column) -> DataFrame:
     """Every decoded record with its month, day and hour folder."""
-    return records.select("partitionKey", "sequenceNumber", "payload", *_named(time_parts(when, "month", "day", "hour")))
+    return records.select(*_record(records), *_named(time_parts(when, "month", "day", "hour")))
+
+
+def plain_layout(events: DataFrame) -> DataFrame:
+    """Records without folders."""
+    return events.select(*_record(events))
 
 
 def learning_layout(events: DataFrame, when: Column) -> DataFrame:
     """Processed learning events by verb, time and learning-record store."""
     return events.select(
-        "payload",
+        *_record(events),
         last_segment(F.coalesce(at("doc", "verbID"), F.lit("unknown"))).alias("verb"),
         *_named(time_parts(when, "month", "day", "hour")),
         F.coalesce(at("doc", "lrs_id"), F.lit("unknown")).alias("lrs_id"),
@@ -45,13 +61,13 @@ def learning_layout(events: DataFrame, when: Column) -> DataFrame:
 def admin_layout(events: DataFrame, when: Column) -> DataFrame:
     """Processed administration events by time and action."""
     action = F.lower(F.coalesce(at("doc", "meta.action"), F.lit("unknown")))
-    return events.select("payload", *_named(time_parts(when, "month", "day", "hour")), action.alias("action"))
+    return events.select(*_record(events), *_named(time_parts(when, "month", "day", "hour")), action.alias("action"))
 
 
 def reading_layout(events: DataFrame, when: Column) -> DataFrame:
     """Processed reading-plan events by time, action and type."""
     return events.select(
-        "payload",
+        *_record(events),
         *_named(time_parts(when, "month", "day", "hour")),
         folder_name(F.coalesce(at("doc", "action"), F.lit("unknown"))).alias("action"),
         F.coalesce(at("doc", "type"), F.lit("unknown_type")).alias("kind"),
@@ -61,7 +77,7 @@ def reading_layout(events: DataFrame, when: Column) -> DataFrame:
 def event_type_layout(events: DataFrame, when: Column) -> DataFrame:
     """Normalized events by year, month and event type, with the day."""
     return events.select(
-        "payload",
+        *_record(events),
         *_named(time_parts(when, "year", "month", "day")),
         event_type(verb_normalized("doc")).alias("event_type"),
     )
@@ -79,15 +95,6 @@ def write_json(df: DataFrame, path: str, folders: list[str], mode: str = "append
     df.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).json(path)
 
 
-def write_payloads(df: DataFrame, path: str, folders: list[str], mode: str = "append") -> None:
-    """The original JSON texts, one per line."""
-    rows = df.select(F.col("payload").alias("value"), *folders)
-    if folders:
-        rows.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).text(path)
-    else:
-        rows.write.mode(mode).text(path)
-
-
 def write_failed(df: DataFrame, path: str, table: str, op: str, batch: str) -> None:
     """Rows of a failed write, kept under the operation, the table and the batch."""
     df.write.mode("overwrite").json(f"{path}/{op}_{table.replace('.', '_')}/batch={batch}")

@@ -5,21 +5,32 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlake.functions.ids import bucket
 from learnlake.functions.text import blank_to_null
-from learnlake.operators.shaping import conform, once, stamp
+from learnlake.operators.shaping import conform, stamp
+from learnlake.session import written
 
 BUCKETS = 50
 
 
-def append_raw(events: DataFrame, path: str, table: str = "table_name") -> None:
-    """Append ``(event, dt_load)`` rows to the raw table each event is routed to; NULL routes are dropped."""
-    routed = events.where(F.col(table).isNotNull()).select(table, "event", F.current_timestamp().alias("dt_load"))
-    routed.hint("rebalance", table).write.mode("append").partitionBy(table).parquet(path)
+def append_raw(events: DataFrame, path: str, table: str = "table_name", batch: str | None = None) -> None:
+    """Append ``(event, dt_load)`` rows to the raw table each event is routed to; NULL routes are dropped.
+
+    Tables are split into load days, which prune an incremental window. Rows keep their ``dt_load`` if they have one. With
+    a batch id the rows lie under ``batch=<id>``, and a repeated write replaces itself instead of adding twice.
+    """
+    when = F.col("dt_load") if "dt_load" in events.columns else F.current_timestamp()
+    routed = events.where(F.col(table).isNotNull()).select(table, "event", when.cast("timestamp").alias("dt_load"))
+    dated = routed.withColumn("load_date", F.to_date("dt_load"))
+    writer = dated.hint("rebalance", table, "load_date").write.partitionBy(table, "load_date")
+    if batch is None:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def append(df: DataFrame, table: str, path: str, batch: str | None = None) -> None:
@@ -99,19 +110,35 @@ def write_bucketed(df: DataFrame, path: str, key: str = "statement_id", n: int =
     ).parquet(path)
 
 
-def load_folder(spark: SparkSession, path: str, table: str) -> None:
-    """Append registered parquet files to a catalog table by column name."""
-    rows = spark.read.parquet(path)
-    rows.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+def load_folder(spark: SparkSession, path: str, table: str, schema: T.StructType, base: str, run: str) -> None:
+    """Add a folder of bucketed files, ``<base>/run=<run>/bucket=<n>``, to a catalog table.
+
+    The table is created once, over ``base``, with the levels run and bucket; loading a run again only names its
+    partitions again, so no row is added twice.
+    """
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run string, bucket int) USING parquet "
+        f"PARTITIONED BY (run, bucket) LOCATION '{base}'"
+    )
+    buckets = [r[0] for r in spark.read.parquet(path).select("bucket").distinct().collect()]  # the fixed number at most
+    specs = " ".join(f"PARTITION (run='{run}', bucket={b}) LOCATION '{path}/bucket={b}'" for b in buckets)
+    if specs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(table)
 
 
 # -- CSV dialect ----------------------------------------------------------------------------------------------------
-# The bulk loader's dialect.
-CSV = {"header": "false", "quote": '"', "escape": "\\"}
+# The bulk loader's dialect. A quoted value may hold line breaks.
+CSV = {"header": "false", "quote": '"', "escape": "\\", "charToEscapeQuoteEscaping": "\\", "lineSep": "\n"}
+MULTILINE = {"multiLine": "true", "mode": "PERMISSIVE"}
+REJECTED = "__rejected"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(**CSV).mode("overwrite").csv(path)
+    df.write.options(**CSV).option("quoteAll", "true").option("nullValue", "\\N").mode("overwrite").csv(path)
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:
@@ -125,20 +152,27 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """``(rows, rejected)``: rows with blanks as NULL, and the lines that do not fit the schema."""
-    bad = "__bad"
-    fields = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields], f"{bad} string"]
-    options = {k: v for k, v in CSV.items() if k != "header"} | {"columnNameOfCorruptRecord": bad}
-    lines = spark.read.text(path)
-    parsed = once(lines, row=F.from_csv("value", ", ".join(fields), options))
-    rows = parsed.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad)
-    return blanks_to_null(rows), parsed.where(F.col(f"row.{bad}").isNotNull()).select("value")
-
-
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, max_errors: int = 100) -> DataFrame:
-    """Rows of a bulk-load folder; more than ``max_errors`` unreadable lines fail the load."""
+    """``(rows, rejected)``: rows with blanks as NULL, and the records (column ``value``) that do not fit the schema.
+
+    The records are parsed once and staged in the shared folder. A file is one task's work, since a line break may
+    stand inside a value; the loader's inputs come in files of bounded size.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    reader = spark.read.schema(whole).options(**CSV, **MULTILINE).option("columnNameOfCorruptRecord", REJECTED)
+    staged = written(reader.option("nullValue", "\\N").csv(path), "csv")
+    bad = F.col(REJECTED)
+    return blanks_to_null(staged.where(bad.isNull()).drop(REJECTED)), staged.where(bad.isNotNull()).select(bad.alias("value"))
+
+
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, max_errors: int = 100, park: str | None = None
+) -> DataFrame:
+    """Rows of a bulk-load folder. Records that do not fit are kept as JSON under ``park`` (beside the folder unless
+    given); more than ``max_errors`` of them fail the load."""
     rows, rejected = read_csv(spark, path, schema)
-    errors = rejected.limit(max_errors + 1).count()
-    if errors > max_errors:
-        raise ValueError(f"more than {max_errors} unreadable lines in {path}")
+    park = park or f"{path.rstrip('/')}-rejected"
+    counted = Observation()
+    rejected.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(park)
+    if counted.get["n"] > max_errors:
+        raise ValueError(f"{counted.get['n']} unreadable records in {path}, kept in {park}")
     return rows

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from learnlake.functions.ids import sequence_key
+from learnlake.functions.keys import normalize_json
 from learnlake.functions.paths import at
-from learnlake.operators import changes, routing
+from learnlake.functions.text import before_colon
+from learnlake.operators import changes, joins, routing
+from learnlake.operators.shaping import once
 from learnlake.parallel import attempt, each
 from learnlake.plans import admin, lrs_stream, reading
 from learnlake.schemas import gold
@@ -94,14 +97,14 @@ def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str,
     raw = archive.raw_layout(events, now)
     log = envelope.ingest_log(events, job.name, archive.raw_uri(f"{folder('raw')}/", now))
     known = job.layout(events.where(job.route().isNotNull()), now)
-    unknown = events.where(job.route().isNull())
+    unknown = archive.plain_layout(events.where(job.route().isNull()))
     rejected = envelope.bad(decoded).drop("doc")
     table = "infrastructure.kinesis_log"
     each({
-        "raw": lambda: archive.write_payloads(raw, folder("raw"), ["month", "day", "hour"], "overwrite"),
+        "raw": lambda: archive.write_json(raw, folder("raw"), ["month", "day", "hour"], "overwrite"),
         "log": lambda: tables.append(log, table, f"{out}/tables/{table}", str(batch_id)),
-        "processed": lambda: archive.write_payloads(known, folder("processed"), job.folders, "overwrite"),
-        "unknown": lambda: archive.write_payloads(unknown, folder("unknown"), [], "overwrite"),
+        "processed": lambda: archive.write_json(known, folder("processed"), job.folders, "overwrite"),
+        "unknown": lambda: archive.write_json(unknown, folder("unknown"), [], "overwrite"),
         "rejected": lambda: archive.write_failed(rejected, f"{out}/rejected", job.name, "decode", str(batch_id)),
     })
 
@@ -127,10 +130,9 @@ def run_change_batch(
     batch_id: int,
     out: str,
     keys: Mapping[str, list[str]] = gold.KEYS,
-    buckets: int = 64,
     database: str = "gold",
 ) -> dict[str, tuple[str, str | None]]:
-    """Decode one micro-batch of updates and deletes and merge it into the bucketed catalog tables of ``database``."""
+    """Decode one micro-batch of updates and deletes and merge it into the catalog tables of ``database``."""
     spark = records.sparkSession
     decoded, events = _open(job, records)
     events = events.withColumns(
@@ -148,7 +150,7 @@ def run_change_batch(
         name, base, columns = f"{database}.{table.split('.')[1]}", f"{out}/merged", gold.data_columns(table)
         merge.create(spark, name, gold.schema(table), base)
         return attempt(
-            lambda: merge.merge(spark, name, base, last, keys[table], columns, buckets),
+            lambda: merge.merge(spark, name, last, keys[table], columns, batch_id),
             lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(batch_id)),
         )
 
@@ -159,6 +161,82 @@ def run_change_batch(
         decoded.unpersist()
 
 
+# -- raw tables: ingest, and replay of what came too late ------------------------------------------------------------
+def _raw_rows(records: DataFrame, unknown: str | None) -> DataFrame:
+    """Readable records as normalized events with the raw table of their verb."""
+    good = envelope.good(envelope.decode(records))
+    events = once(once(good, text=normalize_json("payload")), event=F.try_parse_json("text"))
+    return events.select(routing.raw_table(routing.verb_normalized("event"), unknown).alias("table_name"), "event")
+
+
+def _with_shard(records: DataFrame) -> DataFrame:
+    return records.select("*", before_colon(F.col("eventID")).alias("shard_id"), F.col("sequenceNumber").alias("sequence_number"))
+
+
+def run_raw_batch(
+    records: DataFrame, batch_id: int, out: str, now: Column | None = None, unknown: str | None = routing.CATCH_ALL
+) -> None:
+    """One micro-batch into the raw tables under ``<out>/raw_tables``.
+
+    Records over the age limit are left out; for each shard one notice names the first and last of them. Readable or
+    not, every record that was taken is listed in the ingest log, so a replay can tell it apart. Verbs without a raw table
+    go to ``unknown`` (None drops them).
+    """
+    on_time, late = split_late(
+        records, arrival_time(F.col("approximateArrivalTimestamp")), F.current_timestamp() if now is None else now
+    )
+    notices = _with_shard(late).groupBy("shard_id").agg(
+        F.min_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("start_sequence"),
+        F.max_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("end_sequence"),
+    )
+    numbered = notices.select(F.concat(F.lit(f"{batch_id}-"), F.col("shard_id")).alias("notice_id"), "*")
+    each({
+        "raw": lambda: tables.append_raw(_raw_rows(on_time, unknown), f"{out}/raw_tables", batch=str(batch_id)),
+        "taken": lambda: _with_shard(on_time).select("shard_id", "sequence_number").write.mode("overwrite").parquet(f"{out}/taken/batch={batch_id}"),
+        "notices": lambda: numbered.write.mode("overwrite").parquet(f"{out}/notices/batch={batch_id}"),
+    })
+
+
+def replay_raw(log: DataFrame, out: str, name: str = "replay", unknown: str | None = routing.CATCH_ALL) -> None:
+    """Read the records that the notices name again from the stream's ``log`` and load those not taken before.
+
+    A repeated replay of the same name replaces itself.
+    """
+    spark = log.sparkSession
+    notices, taken = spark.read.parquet(f"{out}/notices"), spark.read.parquet(f"{out}/taken")
+    key = ["shard_id", "sequence_number"]
+    found = joins.replay(_with_shard(log), notices.drop("batch"))
+    again = found.drop("notice_id").join(taken.select(*key), key, "left_anti").dropDuplicates(key)
+    tables.append_raw(_raw_rows(again, unknown), f"{out}/raw_tables", batch=name)
+
+
+# -- reading-plan queue ----------------------------------------------------------------------------------------------
+def run_queue_batch(messages: DataFrame, batch_id: int, out: str) -> None:
+    """One batch of queue messages for ``stream.lql``: rows to append, and the ids that its deletes name.
+
+    Both are kept by batch, so a repeated batch replaces itself; ``queue_table`` puts them together.
+    """
+    rows = reading.from_queue(envelope.good(envelope.from_queue(messages))).persist(StorageLevel.MEMORY_AND_DISK)
+    deleting = F.coalesce(F.col("action") == "delete", F.lit(False))
+    path = f"{out}/{reading.TABLE}"
+    try:
+        each({
+            "rows": lambda: tables.append(rows.where(~deleting), reading.TABLE, f"{path}/rows", str(batch_id)),
+            "deletes": lambda: rows.where(deleting).select("id").distinct().write.mode("overwrite").parquet(f"{path}/deletes/batch={batch_id}"),
+        })
+    finally:
+        rows.unpersist()
+
+
+def queue_table(spark: SparkSession, out: str) -> DataFrame:
+    """Appended rows that no delete of their own or a later batch names."""
+    path = f"{out}/{reading.TABLE}"
+    rows = spark.read.parquet(f"{path}/rows")
+    last = spark.read.parquet(f"{path}/deletes").where(F.col("id").isNotNull()).groupBy("id").agg(F.max("batch").alias("gone"))
+    kept = joins.lookup(rows, last, ["id"]).where(F.col("gone").isNull() | (F.col("batch") > F.col("gone")))
+    return kept.select(*gold.COLUMNS[reading.TABLE])
+
+
 def start(
     records: DataFrame,
     handler: Callable[[DataFrame, int], object],

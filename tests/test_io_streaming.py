@@ -98,13 +98,21 @@ def test_jdbc_pushes_the_query(monkeypatch):
 # -- tables ---------------------------------------------------------------------------------------------------------
 def test_csv_dialect(spark, tmp_path):
     path = str(tmp_path / "csv")
-    df = spark.createDataFrame([(1, 'say "x"', True), (2, " ", None), (3, "back\\slash", False), (4, None, None)], "n int, s string, b boolean")
+    rows = [
+        (1, 'say "x"', True), (2, "line1\nline2", None), (3, "back\\slash\\", False), (4, None, None), (5, '\\"', True),
+        (6, "a\r\nb\rc", True), (7, ',",\n",', False), (8, "\\N", True),
+    ]
+    df = spark.createDataFrame([*rows, (9, " ", None)], "n int, s string, b boolean")
     tables.write_csv(df, path)
-    assert rows_of(tables.load_csv(spark, path, df.schema)) == [(1, 'say "x"', True), (2, None, None), (3, "back\\slash", False), (4, None, None)]
+    wanted = [r for r in rows if r[0] != 8] + [(8, None, True), (9, None, None)]  # the loader's mark for no value
+    assert rows_of(tables.load_csv(spark, path, df.schema)) == sorted(wanted, key=repr)
     (tmp_path / "csv" / "bad.csv").write_text("x,y,z\n" * 3)
-    assert tables.load_csv(spark, path, df.schema, 3).count() == 4
+    assert tables.load_csv(spark, path, df.schema, 3).count() == 9
+    parked = spark.read.schema("value string").json(f"{path}-rejected")
+    assert [r.value for r in parked.collect()] == ["x,y,z"] * 3
     with pytest.raises(ValueError):
-        tables.load_csv(spark, path, df.schema, 2)
+        tables.load_csv(spark, path, df.schema, 2, str(tmp_path / "parked"))
+    assert spark.read.json(str(tmp_path / "parked")).count() == 3
 
 
 def test_replace_only_when_there_are_rows(spark):
@@ -125,9 +133,10 @@ def test_bucketed_write_and_load(spark):
     tables.write_bucketed(df, path, n=7)
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.select("bucket").distinct().count() == 7
-    tables.register(spark, "loaded", scratch_path(spark, "loaded"), df.schema)
-    tables.load_folder(spark, path, "loaded")
-    assert spark.table("loaded").count() == 1000
+    for _ in range(2):  # a repeated run adds nothing
+        tables.write_bucketed(df, f"{path}-t/run=1", n=7, mode="overwrite")
+        tables.load_folder(spark, f"{path}-t/run=1", "loaded", df.schema, f"{path}-t", "1")
+    assert spark.table("loaded").count() == 1000 and spark.table("loaded").columns == ["statement_id", "v", "run", "bucket"]
 
 
 def test_written_cuts_lineage(spark):
@@ -199,11 +208,12 @@ def test_stream_equals_batch_and_repeats_add_nothing(spark):
         assert rows_of(streamed, *columns) == rows_of(batch, *columns)
         assert batch.where("dt_load IS NULL").count() == 0
     assert spark.read.parquet(f"{once}/tables/infrastructure.kinesis_log").count() == 21
-    assert spark.read.text(f"{once}/unknown").count() == 5
+    assert spark.read.json(f"{once}/unknown").count() == 5
     rejected = spark.read.json(f"{once}/rejected/*/")
     assert [r.error for r in rejected.collect()] == ["not JSON"]
-    uri = spark.read.parquet(f"{once}/tables/infrastructure.kinesis_log").where("sequence_number = '3'").first().s3_uri
-    assert uri.startswith(f"{once}/raw/batch=0/") and uri.endswith("/p_3.json")
+    logged = spark.read.parquet(f"{once}/tables/infrastructure.kinesis_log").where("sequence_number = '3'").first()
+    archived = spark.read.json(logged.s3_uri).where(F.col("sequenceNumber") == "3").collect()  # the folder opens
+    assert [(r.partitionKey, json.loads(r.payload)["id"]) for r in archived] == [("p", "e3")]
 
 
 def test_a_failing_table_is_retried_then_parked(spark):
@@ -255,17 +265,17 @@ def test_change_job(spark):
     job = jobs.Job("admin", only, jobs.ADMIN_CHANGES.route, jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders)
     users = lambda: rows_of(merge.read(spark, "change_test.dim_user"), "user_id", "first_name")
     for _ in range(2):
-        status = jobs.run_change_batch(job, spark.createDataFrame(first, ENVELOPE), 0, out, buckets=4, database="change_test")
+        status = jobs.run_change_batch(job, spark.createDataFrame(first, ENVELOPE), 0, out, database="change_test")
         assert {s for s, _ in status.values()} == {"ok"}
         assert users() == [("a", "A3"), ("b", "B")]
-    jobs.run_change_batch(job, spark.createDataFrame(second, ENVELOPE), 1, out, buckets=4, database="change_test")
+    jobs.run_change_batch(job, spark.createDataFrame(second, ENVELOPE), 1, out, database="change_test")
     assert users() == [("c", "C2")]
     phones = merge.read(spark, "change_test.dim_user_phone")
     assert rows_of(phones, "user_phone_id") == [("c",)]  # child rows go with their parent
     members = merge.read(spark, "change_test.dim_class_participant")
     assert rows_of(members, "user_id", "section_id") == [("p", "k")]
     assert members.where("dt_load IS NULL").count() == 0
-    assert spark.read.text(f"{out}/unknown/batch=0").count() == 1
+    assert spark.read.json(f"{out}/unknown/batch=0").count() == 1
     assert spark.read.parquet(f"{out}/tables/infrastructure.kinesis_log").count() == 7 + 7
 
 
@@ -277,6 +287,45 @@ def test_late_records(spark):
     assert rows_of(on_time, "age") == [(-1,), (0,), (299,), (300,)] and rows_of(late, "age") == [(301,), (9999,)]
 
 
+def test_raw_ingest_parks_and_replays(spark):
+    out, now = scratch_path(spark, "raw"), F.timestamp_seconds(F.lit(1000))
+    rows = [(i, "answered" if i % 2 else "other", 600.0 if 3 <= i <= 6 and i != 5 else 900.0) for i in range(10)]
+    log = spark.createDataFrame([record(i, {"id": f"e{i}", "verbID": VERB_PREFIX + v}, at) for i, v, at in rows] + [record(99, "no json", 900.0)], ENVELOPE)
+    for _ in range(2):
+        jobs.run_raw_batch(log, 0, out, now=now)
+    raw = lambda: rows_of(spark.read.parquet(f"{out}/raw_tables").select("batch", F.col("event").cast("string").alias("e")), "batch", "e")
+    assert len(raw()) == 7
+    notice = spark.read.parquet(f"{out}/notices").first()
+    assert (notice.start_sequence, notice.end_sequence) == ("3", "6")
+    for _ in range(2):
+        jobs.replay_raw(log, out)
+    assert sorted(json.loads(e)["id"] for b, e in raw() if b == "replay") == ["e3", "e4", "e6"] and len(raw()) == 10
+    kept = spark.read.parquet(f"{out}/raw_tables").groupBy("table_name").count().collect()
+    assert {r.table_name: r["count"] for r in kept} == {"lrs_events_answered": 5, "lrs_events_all": 5}
+    dropped = scratch_path(spark, "dropped")
+    jobs.run_raw_batch(log, 0, dropped, now=now, unknown=None)
+    assert spark.read.parquet(f"{dropped}/raw_tables").count() == 4
+
+
+def test_refresh_marks_and_day_filter(spark, docs):
+    from learnlake.plans import lrs_batch
+
+    raw = docs(*[{"id": str(i)} for i in range(6)]).select(F.col("doc").alias("event"), F.timestamp_seconds(F.col("n") * 86400).alias("dt_load"))
+    base = scratch_path(spark, "days")
+    tables.append_raw(raw.withColumn("table_name", F.lit("t")), f"{base}/raw")
+    stored = spark.read.parquet(f"{base}/raw")
+    rows = lrs_batch.window_rows(stored, F.timestamp_seconds(F.lit(86400 * 2)), F.timestamp_seconds(F.lit(86400 * 4)))
+    assert rows.count() == 2 and "PartitionFilters: [isnotnull(load_date" in rows._jdf.queryExecution().executedPlan().toString()
+    spark.sql("CREATE DATABASE marks_test")
+    tables.register(spark, "marks_test.dim_lrs_verb", f"{base}/verb", spark.createDataFrame([], "dt_load timestamp").schema)
+    day = lambda n: dt.datetime(2024, 1, n)
+    incremental.save_progress(spark, "marks_test.p", base, ["dim_lrs_verb"], day(3))
+    mark = lambda: lrs_batch.marks(spark, "marks_test", "marks_test.p")["dim_lrs_verb"]
+    assert mark() == day(3)
+    spark.createDataFrame([(day(2),), (day(5),)], "dt_load timestamp").write.insertInto("marks_test.dim_lrs_verb")
+    assert mark() == day(5)  # a load that was not recorded
+
+
 def test_archives(spark):
     path = scratch_path(spark, "failed")
     archive.write_failed(spark.range(2), path, "gold.dim_user", "upsert", "3")
