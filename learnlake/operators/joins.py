@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.functions.ids import sequence_key
+from learnlake.session import written
 
-LOOKUP_SALTS = 16
 RANGE_PIECES = 32
 
 
@@ -22,36 +22,17 @@ def split_existing(df: DataFrame, target: DataFrame, on: list[str]) -> tuple[Dat
     return df.join(keys, on, "left_semi"), df.join(keys, on, "left_anti")
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """The optimizer's own size estimate is under the session's broadcast limit."""
-    if not hasattr(df, "_jdf"):
-        return False
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(limit)
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join a big ``left`` with a smaller ``right``; kinds: inner, left, left_semi, left_anti.
 
-
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = LOOKUP_SALTS) -> DataFrame:
-    """Join a big ``left`` with a smaller ``right`` so that no single key fills a task.
-
-    A right side whose estimated size is under the broadcast limit is left to the planner. Otherwise the left rows
-    of a key are spread over ``salts`` tasks by a hash of the row, and the right side is repeated once per salt.
-    Kinds: inner, left, left_semi, left_anti.
+    The planner broadcasts a right side whose measured size allows it. Otherwise both sides are shuffled by the key, and
+    an oversized partition of the left side is split over tasks at run time, each with a copy of the right side's few
+    rows; the left side of these kinds of join can always be split, so one hot key never fills a task and no side is
+    repeated for the others. ``restrict`` and ``split_existing`` rely on the same.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot repeat the right side of a {how} join")
-    if _fits_broadcast(right):
-        return left.join(right, on, how)
-    salt = "__salt"
-    spread = left.withColumn(salt, F.pmod(F.xxhash64(*[_hashable(left, c) for c in left.columns]), F.lit(salts)))
-    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return spread.join(copies, [*on, salt], how).drop(salt)
-
-
-def _hashable(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.simpleString()
-    col = F.col(f"`{column}`")
-    return F.to_json(F.struct(col)) if "map<" in kind or "variant" in kind else col
+        raise ValueError(f"the left side of a {how} join cannot be split")
+    return left.join(right, on, how)
 
 
 def range_match(
@@ -71,6 +52,7 @@ def range_match(
     many points is spread over bins, the pairs tried stay close to the pairs returned, and nothing is capped.
     """
     # the digits after the common prefix of all bounds, as one number: order is kept, equal texts stay equal
+    ranges = written(ranges, "ranges")
     bounds = ranges.agg(F.min(low).alias("lo"), F.max(high).alias("hi")).first()
     if bounds["lo"] is None:
         return points.join(ranges, on, "inner").where(F.lit(False))

@@ -1,74 +1,102 @@
-"""Tables that take updates and deletes: catalog tables in key buckets, of which a batch rewrites only those it touches.
+"""Tables that take updates and deletes: a base version plus a log of changes.
 
-Plain parquet has no row-level merge. Rows live in partitions ``bucket = hash of key mod n``. A batch reads the
-buckets its keys fall into, applies the changes as joins, writes the result to a new folder and then points those
-partitions at it, so readers and a failed batch keep seeing the old files. Applying a batch twice gives the same table,
-which covers a batch that was interrupted between two partitions.
+Plain parquet has no row-level merge. A batch only appends its reduced changes, one row per key, under its number, and
+then moves the table's head to that number with one catalog statement. A reader takes base and head in one look at the
+catalog and applies the changes in between as joins, so it sees whole batches only. ``compact`` writes base and log as a
+new base and switches to it with one statement; the log up to there is no longer read. A repeated batch overwrites its
+own log folder. Batch numbers rise.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learnlake.operators.changes import apply_latest
+from learnlake.operators import changes
 from learnlake.schemas import gold
-from learnlake.session import written
 
-BUCKET = "bucket"
+HEAD = "merge.head"
+LOG_FOLDER = "merge.log"
+COMPACT_EVERY = 32  # batches
+_VERSION = re.compile(r"/upto=(-?\d+)-")
 
 
 def create(spark: SparkSession, table: str, schema: T.StructType, base: str) -> None:
-    """An empty bucketed table unless it exists."""
+    """An empty table unless it exists."""
+    if spark.catalog.tableExists(table):
+        return
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    folder = f"{base.rstrip('/')}/{table}"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/upto=-1-empty")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
-        f"LOCATION '{base.rstrip('/')}/{table}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{folder}/upto=-1-empty' "
+        f"TBLPROPERTIES ('{HEAD}' = '-1', '{LOG_FOLDER}' = '{folder}/log')"
     )
 
 
-def read(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).drop(BUCKET)
+def _state(spark: SparkSession, table: str) -> tuple[int, int, str, str]:
+    """Batch in the base, last published batch, location of the base, folder of the log: one catalog read."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    properties = dict(re.findall(r"([\w.]+)=([^,\]]*)", rows["Table Properties"]))
+    return int(_VERSION.search(rows["Location"])[1]), int(properties[HEAD]), rows["Location"], properties[LOG_FOLDER]
 
 
-def _in_buckets(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(n)))
+def _pending(spark: SparkSession, keys: list[str], log: str, after: int, head: int, schema: T.StructType) -> DataFrame:
+    """The changes of the batches after ``after`` up to ``head``, one row per key."""
+    rows = spark.read.schema(schema.add("batch", T.LongType())).parquet(log)
+    rows = rows.where((F.col("batch") > after) & (F.col("batch") <= head))
+    last = changes.latest(rows.withColumn("__reset", F.col("reset")).drop("reset"), keys, ["batch"])
+    # a key that any of the batches deleted starts anew, also if the batch itself ended with an update
+    wiped = rows.groupBy(*keys).agg(F.bool_or("reset").alias("reset"))
+    return last.drop("reset", "__reset", "batch").join(wiped, keys)
 
 
-def _point_at(spark: SparkSession, table: str, folder: str, filled: list[int], touched: list[int]) -> None:
-    known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for b in touched:
-        spec, place = f"PARTITION ({BUCKET} = {b})", f"'{folder}/{BUCKET}={b}'"
-        if b not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
-        elif b in known:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {place}")
-    spark.catalog.refreshTable(table)
+def _log_schema(schema: T.StructType, keys: list[str], mapped: list[str]) -> T.StructType:
+    fields = [T.StructField(c, T.StringType()) for c in dict.fromkeys([*keys, *mapped])]
+    return T.StructType([*fields, T.StructField("op", T.StringType()), T.StructField("reset", T.BooleanType())])
 
 
-def merge(
-    spark: SparkSession, table: str, base: str, last: DataFrame, keys: list[str], mapped: list[str], n: int
-) -> int:
-    """Apply one change per key (see ``changes.latest``); returns the number of buckets rewritten.
-
-    ``n`` is fixed when the table is first written. The lists collected here hold at most ``n`` numbers.
-    """
-    last = written(_in_buckets(last, keys, n), "changes")
-    touched = sorted(r[0] for r in last.select(BUCKET).distinct().collect())
-    if not touched:
-        return 0
-    current = spark.table(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+def read(spark: SparkSession, table: str, keys: list[str] | None = None, mapped: list[str] | None = None) -> DataFrame:
+    """The table as of its last published batch. Keys and mapped columns are those of ``gold`` unless given."""
+    name = f"gold.{table.split('.')[-1]}"
+    keys, mapped = keys or gold.KEYS[name], mapped or gold.data_columns(name)
+    after, head, location, log = _state(spark, table)
+    current = spark.read.schema(spark.table(table).schema).parquet(location)
+    if head <= after:
+        return current
+    last = _pending(spark, keys, log, after, head, _log_schema(current.schema, keys, mapped))
     loaded = {f: F.current_timestamp() for f in gold.LOAD_TIME_COLUMNS}
-    after = _in_buckets(apply_latest(current, last.drop(BUCKET), keys, mapped, defaults=loaded), keys, n)
-    folder = f"{base.rstrip('/')}/{table}/{uuid.uuid4().hex}"
-    after.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
-    filled = [r[0] for r in spark.read.schema(after.schema).parquet(folder).select(BUCKET).distinct().collect()]
-    _point_at(spark, table, folder, filled, touched)
-    return len(touched)
+    return changes.apply_latest(current, last, keys, mapped, defaults=loaded)
+
+
+def merge(
+    spark: SparkSession, table: str, last: DataFrame, keys: list[str], mapped: list[str], batch: int, every: int = COMPACT_EVERY
+) -> None:
+    """Add one batch of changes, one row per key (see ``changes.latest``), and publish it."""
+    after, head, _, log = _state(spark, table)
+    if batch <= after:
+        return  # a repeat of a batch that the base already holds
+    fields = _log_schema(spark.table(table).schema, keys, mapped).fields
+    rows = last.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{log}/batch={batch}")
+    if batch > head:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{HEAD}' = '{batch}')")
+    if batch - after >= every:
+        compact(spark, table, keys, mapped)
+
+
+def compact(spark: SparkSession, table: str, keys: list[str] | None = None, mapped: list[str] | None = None) -> None:
+    """Write base and published log as a new base, then point the table at it."""
+    after, head, location, _ = _state(spark, table)
+    if head <= after:
+        return
+    folder = f"{location.rsplit('/upto=', 1)[0]}/upto={head}-{uuid.uuid4().hex}"
+    read(spark, table, keys, mapped).write.parquet(folder)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)

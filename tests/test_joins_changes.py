@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from learnlake.operators import changes, joins
 from learnlake.schemas import gold
+from learnlake.session import scratch_path
 from learnlake.sinks import merge
 
 
@@ -18,23 +19,37 @@ def no_broadcast(spark):
 
 
 # -- lookups --------------------------------------------------------------------------------------------------------
+@pytest.fixture
+def small_partitions(spark, no_broadcast):
+    """Partitions count as oversized from a few kilobytes on."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_equals_a_plain_join(spark, no_broadcast, how):
-    """A third of the rows share one key, another part has none."""
-    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 40)
-    left = spark.range(3000).select("id", key.alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
-    right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    salted = joins.lookup(left, right, ["k"], how)
-    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
-    columns = [c for c in salted.columns if c != "m"]
-    assert rows_of(salted, *columns) == rows_of(left.join(right, "k", how), *columns)
-    partitions = joins.lookup(left.drop("m"), right, ["k"], "inner").withColumn("p", F.spark_partition_id())
-    assert salted.columns == left.join(right, "k", how).columns and partitions.count() > 0
-
-
-def test_lookup_leaves_small_sides_to_the_planner(spark):
+def test_a_hot_key_is_split_over_tasks(spark, small_partitions, how):
+    """Two thirds of the rows share one key, which no task gets whole; the right side is not repeated for the others."""
+    key = F.when(F.col("id") % 3 != 0, 7).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 400)
+    left = spark.range(0, 60000, 1, 6).select("id", key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    right = spark.range(300).where("id <> 7" if how == "left_anti" else "true").select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = joins.lookup(left, right, ["k"], how)
+    path = scratch_path(spark, "hot")
+    joined.withColumn("p", F.spark_partition_id()).write.parquet(path)
+    assert spark.read.parquet(path).where("k = 7").select("p").distinct().count() > 3
+    assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.where("k = 7").count() == left.where("k = 7").count()
+
+
+def test_lookup_refuses_joins_that_cannot_split_the_left_side(spark):
     left, right = spark.range(10).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k")
-    assert "__salt" not in joins.lookup(left, right, ["k"], "left_semi")._jdf.queryExecution().analyzed().toString()
     with pytest.raises(ValueError):
         joins.lookup(left, right, ["k"], "full")
 
@@ -136,7 +151,7 @@ def test_apply_changes_equals_one_by_one(spark, seed):
     assert rows_of(got) == simulate(target, batch)
 
 
-def test_apply_changes_with_salted_joins(spark, no_broadcast):
+def test_apply_changes_with_shuffled_joins(spark, no_broadcast):
     target, batch = random_case(random.Random(99))
     t, b = frames(spark, target + [("hot", "1", f"h{i}") for i in range(50)], batch)
     got = changes.apply_changes(t, b, ["k"], ["k", "v"], ["seq"])
@@ -163,28 +178,40 @@ def test_append_then_delete(spark):
     assert rows_of(changes.append_then_delete(t, rows)) == sorted([("1", "old"), ("1", "new"), ("3", "new"), (None, "old")], key=repr)
 
 
-def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    base, rng, state = str(tmp_path / "t"), random.Random(5), []
+@pytest.mark.parametrize("every", [2, 100])
+def test_merge_publishes_whole_batches(spark, tmp_path, every):
+    """Random batches, each applied twice, with and without compaction in between."""
+    base, rng, state, table = str(tmp_path / "t"), random.Random(5), [], f"merged_{every}"
     schema = spark.createDataFrame([], "k string, v string, note string, dt_load timestamp").schema
-    merge.create(spark, "merged_keys", schema, base)
-    for i in range(4):
+    merge.create(spark, table, schema, base)
+    keys, mapped = ["k"], ["k", "v"]
+    assert merge.read(spark, table, keys, mapped).count() == 0
+    for i in range(5):
         batch = [(k, "1", "updated") for k in ("a", "b", "c", "d", "hot")] if i == 0 else random_case(rng)[1]
         _, b = frames(spark, [], batch)
-        last = changes.latest(b, ["k"], ["seq"])
-        for _again in range(2):  # a repeated batch changes nothing
-            touched = merge.merge(spark, "merged_keys", base, last, ["k"], ["k", "v"], 16)
+        last = changes.latest(b, keys, ["seq"])
+        for _again in range(2):
+            merge.merge(spark, table, last, keys, mapped, i, every)
         state = simulate(state, batch)
-        assert touched <= len({k for k, _, _ in batch if k})
-        assert rows_of(merge.read(spark, "merged_keys"), "k", "v", "note") == state
-    one = changes.latest(frames(spark, [], [("a", "7", "updated")])[1], ["k"], ["seq"])
-    before = {r.k: r.f for r in spark.table("merged_keys").select("k", F.input_file_name().alias("f")).collect()}
-    assert merge.merge(spark, "merged_keys", base, one, ["k"], ["k", "v"], 16) == 1
-    after = {r.k: r.f for r in spark.table("merged_keys").select("k", F.input_file_name().alias("f")).collect()}
-    assert sum(before.get(k) == f for k, f in after.items()) >= len(after) - 2
-    everything = spark.createDataFrame([(0, k, None, "deleted") for k in after], "seq int, k string, v string, op string")
-    merge.merge(spark, "merged_keys", base, changes.latest(everything, ["k"], ["seq"]), ["k"], ["k", "v"], 16)
-    assert merge.read(spark, "merged_keys").count() == 0
-    assert merge.merge(spark, "merged_keys", base, one.where("false"), ["k"], ["k", "v"], 16) == 0
+        assert rows_of(merge.read(spark, table, keys, mapped), "k", "v", "note") == state
+    merge.create(spark, table, schema, base)  # an existing table stays as it is
+    assert rows_of(merge.read(spark, table, keys, mapped), "k", "v", "note") == state
+    merge.compact(spark, table, keys, mapped)
+    assert rows_of(spark.table(table), "k", "v", "note") == state
+    # a batch whose files are there but which is not published yet is not seen
+    one = changes.latest(frames(spark, [], [("new", "7", "updated")])[1], keys, ["seq"])
+    real = spark.sql
+    spark.sql = lambda text, *a: 1 / 0 if "SET TBLPROPERTIES" in text else real(text, *a)
+    with pytest.raises(ZeroDivisionError):
+        merge.merge(spark, table, one, keys, mapped, 9, every)
+    del spark.sql
+    assert rows_of(merge.read(spark, table, keys, mapped), "k", "v", "note") == state
+    merge.merge(spark, table, one, keys, mapped, 9, 100)
+    assert merge.read(spark, table, keys, mapped).where("k = 'new'").count() == 1
+    known = [r.k for r in merge.read(spark, table, keys, mapped).collect()]
+    everything = spark.createDataFrame([(0, k, None, "deleted") for k in known], "seq int, k string, v string, op string")
+    merge.merge(spark, table, changes.latest(everything, keys, ["seq"]), keys, mapped, 10, 100)
+    assert merge.read(spark, table, keys, mapped).count() == 0
 
 
 def test_keys_cover_the_tables():
