@@ -31,5 +31,9 @@ def bucket(key: Column, n: int) -> Column:
 
 
 def sequence_key(number: Column) -> Column:
-    """A 56-digit sequence number as text that sorts like the number."""
-    return F.lpad(number, 64, "0")
+    """A sequence number of up to 64 digits (there are 56) as text that sorts like the number.
+
+    Any other text is an error: cut or dropped numbers would put changes out of order and lose replays.
+    """
+    wrong = F.raise_error(F.concat(F.lit("not a sequence number: "), number)).cast("string")
+    return F.when(number.isNull() | F.regexp_like(number, F.lit("^[0-9]{1,64}$")), F.lpad(number, 64, "0")).otherwise(wrong)

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learnlake.functions.text import normal_key, strip_quotes
+from learnlake.functions.text import QUOTE_MARKS, normal_key, strip_quotes
 
 AGENTS = "relatedagents"
 
@@ -74,7 +74,13 @@ def normalize(value: Column, dtype: T.DataType, key: str = "") -> Column:
 
 
 def _plain_agents(items):
-    return [i.replace("'", "").replace('\\"', "").replace('"', "") if isinstance(i, str) else i for i in items]
+    return [_plain(i) if isinstance(i, str) else i for i in items]
+
+
+def _plain(text):
+    for mark in QUOTE_MARKS:
+        text = text.replace(mark, "")
+    return text
 
 
 def _normal_object(pairs):

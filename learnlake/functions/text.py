@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from learnlake.functions.paths import at, present
 
 
+# Quote marks removed from text, in this order.
+QUOTE_MARKS = ("'", '\\"', '"')
+
+
 def normal_key(name: Column) -> Column:
     """Lower case without ``_`` and ``-``."""
     return F.lower(F.translate(name, "_-", ""))
@@ -17,7 +21,7 @@ def normal_key(name: Column) -> Column:
 
 def strip_quotes(value: Column) -> Column:
     """Remove single quotes, then escaped double quotes, then plain double quotes."""
-    for mark in ("'", '\\"', '"'):
+    for mark in QUOTE_MARKS:
         value = F.replace(value, F.lit(mark), F.lit(""))
     return value
 

@@ -36,7 +36,7 @@ def _own(path: str) -> str:
     return f"{ROOT}.{path}"
 
 
-# entity -> target -> column -> path below the attributes ("../x" starts at the data block, "/x" at the event)
+# Entity -> target -> column -> path below the attributes ("../x" starts at the data block, "/x" at the event)
 FLAT: dict[str, tuple[str, dict[str, str]]] = {
     "SCHOOLCLASS": (
         "gold.dim_school_class",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from learnlake.functions.ids import padded_uuid, score, sentinel_to_null
 from learnlake.operators.joins import lookup, restrict
+from learnlake.parallel import each
 from learnlake.schemas import gold
 from learnlake.schemas.events import SCORM, VERB_PREFIX
 from learnlake.session import written
@@ -26,6 +27,7 @@ KEY = ["lrs_id", "client_id", "statement_id"]
 ANSWERED = VERB_PREFIX + "answered"
 TABLE = "gold.ft_student_response_activity_table"
 
+# Columns of the activity rows.
 BASE = KEY + """object_id student_id school_class_id school_id subject_grade_id page_id activity_id role_id
     section_subject_id learning_objective_id learning_level_id learning_unit_id""".split()
 
@@ -75,8 +77,11 @@ def build(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The 30-column fact from ``dim_lrs_{verb,object_http,result,result_scorm,statement}``, ``dim_{page,resource,
     activity,school,school_level_session}``. Runs two small jobs for the lookups."""
     base = base_rows(tables["dim_lrs_object_http"], tables["dim_lrs_verb"])
-    schools = written(active_schools(tables["dim_school"], tables["dim_school_level_session"]), "schools")
-    units = written(unit_activities(tables["dim_page"], tables["dim_resource"], tables["dim_activity"]), "units")
+    lookups = each({
+        "schools": lambda: written(active_schools(tables["dim_school"], tables["dim_school_level_session"]), "schools"),
+        "units": lambda: written(unit_activities(tables["dim_page"], tables["dim_resource"], tables["dim_activity"]), "units"),
+    })
+    schools, units = lookups["schools"], lookups["units"]
     results = tables["dim_lrs_result"].select(
         *KEY,
         F.coalesce("success_status", F.lit(False)).alias("success_status"),
@@ -115,18 +120,30 @@ def build(tables: Mapping[str, DataFrame]) -> DataFrame:
     return wide.select(*[computed.get(c, F.col(c)).alias(c) for c in gold.COLUMNS[TABLE]]).distinct()
 
 
-def read_tables(spark: SparkSession, options: Mapping[str, str], schema: str = "gold") -> dict[str, DataFrame]:
-    """The ten inputs over JDBC; only the keys of answered statements leave the database for the verb table."""
-    from learnlake.sources.jdbc import read_query, read_table
+def read_tables(
+    spark: SparkSession, options: Mapping[str, str], schema: str = "gold", parts: int = 64
+) -> dict[str, DataFrame]:
+    """The ten inputs over JDBC; only the keys of answered statements leave the database for the verb table.
+
+    Every statement-keyed table is read in ``parts`` ranges of its load time, whose ends the database is asked for.
+    """
+    from learnlake.sources.jdbc import read_query, read_table, time_bounds
 
     names = """dim_lrs_object_http dim_lrs_result dim_lrs_result_scorm dim_lrs_statement dim_activity dim_resource
         dim_page dim_school dim_school_level_session""".split()
-    tables = {name: read_table(spark, options, f"{schema}.{name}") for name in names}
+    split = {n: time_bounds(spark, options, f"{schema}.{n}") for n in [*names, "dim_lrs_verb"] if n.startswith("dim_lrs")}
+    tables = {
+        name: read_table(spark, options, f"{schema}.{name}", "dt_load" if split.get(name) else None, split.get(name), parts)
+        for name in names
+    }
     tables["dim_lrs_verb"] = read_query(
         spark,
         options,
-        f"SELECT DISTINCT lrs_id, client_id, statement_id, verb_id FROM {schema}.dim_lrs_verb "
+        f"SELECT DISTINCT lrs_id, client_id, statement_id, verb_id, dt_load FROM {schema}.dim_lrs_verb "
         f"WHERE verb_id = '{ANSWERED}'",
+        "dt_load" if split["dim_lrs_verb"] else None,
+        split["dim_lrs_verb"],
+        parts,
     )
     return tables
 

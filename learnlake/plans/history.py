@@ -15,6 +15,7 @@ from learnlake.sources.files import listing, unprocessed
 # Columns cut to 256 bytes.
 SHORT_IDS = ("id_system", "statement_id", "lrs_id", "client_id")
 
+# Old column names and the target's.
 SHARED_NAMES = {"id_sys": "id_system", "lrs_id": "lrs_id", "client_id": "client_id", "id_statement": "statement_id"}
 
 RESULT_NAMES = SHARED_NAMES | {

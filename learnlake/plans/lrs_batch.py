@@ -20,6 +20,7 @@ EVENT = "event"
 ACT_BLOCK = f"statement.object.definition.extensions.`{normal_name(ACT_TYPE)}`"
 SCORM_BLOCK = f"statement.result.extensions.`{normal_name(SCORM)}`"
 
+# Target columns and the event paths they are read from.
 KEYS = {"statement_id": "id", "lrs_id": "lrsid", "client_id": "clientid"}
 
 DIMENSIONS: dict[str, dict] = {

@@ -20,6 +20,7 @@ RESPONSE_CHUNK = 64_000
 EXTENSIONS = "statement.object.definition.extensions"
 SCORM_BLOCK = f"statement.result.extensions.`{SCORM}`"
 
+# Target columns and the event paths they are read from.
 KEYS = {"id_system": "id", "lrs_id": "lrs_id", "client_id": "client_id", "statement_id": "statement.id"}
 
 STATEMENT = KEYS | {

@@ -20,6 +20,7 @@ TABLE = "stream.lql"
 # Fixed value: the text stored when an event carries no session information.
 NO_INFO = "El evento no contiene info"
 
+# Columns and the keys they are read from.
 SHARED = (
     "user_id session_id group_id role empresa_id school_level_id school_id started_at finished_at".split()
 )

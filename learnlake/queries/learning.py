@@ -135,8 +135,9 @@ def rows_per_target(t):
 
 # -- batch dimensions ----------------------------------------------------------------------------------------------
 BATCH_KEYS = "'ev' || event_id AS statement_id, 'lrs' || (user_id % 7) AS lrs_id, 'c' || user_id AS client_id"
-WINDOW_LOW, WINDOW_HIGH = "2024-01-03 00:00:00", "2024-01-28 12:00:00"
-WINDOW_SQL = f"ts > TIMESTAMP '{WINDOW_LOW}' AND ts <= TIMESTAMP '{WINDOW_HIGH}'"
+# the window: two days after the first event up to a day and a half before the last
+WINDOW_SQL = """ts > (SELECT min(ts) + INTERVAL 2 DAY FROM events)
+    AND ts <= (SELECT max(ts) - INTERVAL 36 HOUR FROM events)"""
 
 BATCH_SQL = {
     "dim_lrs_actor": (
@@ -197,7 +198,10 @@ def _register_batch(name: str, columns: str, condition: str) -> None:
 
     @query(f"batch_{name}", sql)
     def build(t):
-        low, high = (F.lit(x).cast("timestamp_ntz") for x in (WINDOW_LOW, WINDOW_HIGH))
+        ends = t.events.agg(
+            (F.min("ts") + F.expr("INTERVAL 2 DAY")).alias("lo"), (F.max("ts") - F.expr("INTERVAL 36 HOUR")).alias("hi")
+        ).first()
+        low, high = (F.lit(ends[x]).cast("timestamp_ntz") for x in ("lo", "hi"))
         return lrs_batch.dimension(inputs.raw_learning(t), name, low, high)
 
 

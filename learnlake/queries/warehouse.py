@@ -158,7 +158,12 @@ def left_fanout(t):
 
 @query("q05_distinct_keys", "SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A'")
 def distinct_keys(t):
-    return t.lineitem.where(F.col("l_returnflag") == "A").select("l_orderkey", "l_suppkey").distinct()
+    """Distinct statement keys of one verb."""
+    verbs = t.lineitem.select(
+        F.col("l_orderkey").alias("lrs_id"), F.col("l_suppkey").alias("client_id"), F.col("l_orderkey").alias("statement_id"),
+        F.col("l_returnflag").alias("verb_id"),
+    )
+    return fact.answered_keys(verbs, "A").select(F.col("lrs_id").alias("l_orderkey"), F.col("client_id").alias("l_suppkey"))
 
 
 @query(
@@ -688,7 +693,13 @@ def preview_rows(t):
     "SELECT DISTINCT event_type, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 )
 def distinct_rows(t):
-    return t.events.select("event_type", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k")).distinct()
+    """Files with exact duplicates loaded without them."""
+    from learnlake.session import scratch_path
+    from learnlake.sources.files import load_distinct
+
+    path = scratch_path(t.spark, "duplicates")
+    t.events.select("event_type", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k")).write.parquet(path)
+    return load_distinct(t.spark, path)
 
 
 @query(
@@ -700,7 +711,8 @@ def bucket_union(t):
     rows = t.orders.select("o_orderkey", F.pmod("o_custkey", F.lit(50)).cast("int").alias("bucket"), "o_orderstatus")
     from learnlake.sources.files import union_all
 
-    parts = [rows.where(F.col("o_orderstatus") == v) for v in ("F", "O", "P")]
+    kinds = [r[0] for r in rows.select("o_orderstatus").distinct().collect()]  # the few statuses there are
+    parts = [rows.where(F.col("o_orderstatus").eqNullSafe(F.lit(v))) for v in kinds]
     return union_all(parts).drop("o_orderstatus")
 
 

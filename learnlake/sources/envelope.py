@@ -13,7 +13,7 @@ from learnlake.functions.text import before_colon
 from learnlake.operators.shaping import once
 from learnlake.schemas.events import QUEUE_MESSAGE
 
-# Fixed value: the marker of records that come from the stream.
+# The marker of records that come from the stream, and the pattern of a data field in any text.
 STREAM_SOURCE = "aws:kinesis"
 DATA_FIELD = r'"data"\s*:\s*"([A-Za-z0-9+/=]+)"'
 

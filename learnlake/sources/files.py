@@ -77,14 +77,19 @@ def profile_json(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
 
     Files are first read line by line, so large line-delimited files split over tasks. A file whose first line is a
     complete document and that has further lines is line-delimited; one with a single line is that line. Only files
-    whose first line is not complete JSON (a document over several lines, or a broken first line) are read whole.
+    whose first line is not complete JSON (a document over several lines, or a broken first line) are put together.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    lines = reader.text(path).select(
+    text = reader.text(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
         ).alias("position"),
+        "value",
+    )
+    lines = text.select(
+        "path",
+        "position",
         F.try_parse_json("value").isNotNull().alias("valid"),
         F.coalesce(F.json_array_length("value"), F.lit(1)).alias("items"),
         (F.trim("value") != "").alias("filled"),
@@ -99,13 +104,12 @@ def profile_json(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     by_line = per_file.where(~whole).select(
         "path", F.when(F.col("lines") == 1, F.col("items")).otherwise(F.col("valid_lines")).cast("long").alias("records")
     )
-    # a subset of the file listing the driver already holds
-    rest = [r["path"] for r in per_file.where(whole).select("path").collect()]
-    if not rest:
-        return by_line
-    documents = spark.read.text(rest, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), record_count(F.col("value")).cast("long").alias("records")
+    # the lines of those files put together again: one document per file, as large as the file
+    rest = text.join(per_file.where(whole).select("path"), "path", "left_semi").groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct("position", "value"))).alias("lines")
     )
+    document = F.array_join(F.transform("lines", lambda line: line["value"]), "\n")
+    documents = rest.select("path", record_count(document).cast("long").alias("records"))
     return by_line.unionByName(documents)
 
 

@@ -45,5 +45,11 @@ def read_query(
     return read_table(spark, options, f"({query}) AS pushed", column, bounds, parts)
 
 
+def time_bounds(spark: SparkSession, options: Mapping[str, str], table: str, column: str = "dt_load") -> tuple | None:
+    """First and last value of a table's time column, found by the database; None for an empty table."""
+    row = read_query(spark, options, f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}").first()
+    return None if row["lo"] is None else (row["lo"], row["hi"])
+
+
 def append_table(df: DataFrame, options: Mapping[str, str], table: str) -> None:
     df.write.format("jdbc").options(**options).option("dbtable", table).mode("append").save()
