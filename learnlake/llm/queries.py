@@ -117,13 +117,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """,
     "op9_largest_products": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, r.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.e, r.e), p -> p[1] * p[2])) AS BIGINT) AS score
+    CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, r.e)]) AS BIGINT) AS score
   FROM (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 50 = 0) q
   JOIN v r ON r.vec_id <> q.vec_id AND len(r.e) = len(q.e)
 ), ranked AS (

@@ -55,16 +55,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, keep: list[str], words: int = 3) -> DataFrame:
-    """``keep`` columns and ``fp``, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, keep: list[str], words: int = 3, name: str = "fp") -> DataFrame:
+    """``keep`` columns and ``name``, the fingerprint as a signed long."""
 
     def build(_):
         def run(texts: pa.Array) -> dict:
-            return {"_fp": np.array([fingerprint(t, words) for t in texts.to_pylist()], np.uint64).view(np.int64)}
+            return {name: np.array([fingerprint(t, words) for t in texts.to_pylist()], np.uint64).view(np.int64)}
 
         return run
 
-    return annotate(docs, keep, "_fp long", build).withColumnRenamed("_fp", "fp")
+    return annotate(docs, keep, f"{name} long", build)
 
 
 # ---- partitions and thresholds
@@ -266,13 +266,13 @@ def keep_one(docs: DataFrame, distance: int = 3, words: int = 3) -> DataFrame:
 
     Rows with a NULL id stay only where nothing else of their component has an id (one of them).
     """
-    ids = cluster(docs, distance, words)
-    kept = ids.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if not ids.where("component_id is null").take(1):
+    ids = written(cluster(docs, distance, words), "simhash-components")
+    first = ids.where("doc_id = component_id").select("doc_id")
+    named = docs.join(first, "doc_id", "left_semi")
+    if first.groupBy("doc_id").count().where("count > 1").take(1):
+        named = named.dropDuplicates(["doc_id"])
+    lone = ids.where("component_id is null").select(F.col("fp").alias("_fp")).distinct()
+    if not lone.take(1):
         return named
-    spare = docs.where("doc_id is null")
-    marked = fingerprints(spare, spare.columns, words)
-    lone = ids.where("component_id is null").select("fp").distinct()
-    return named.unionByName(marked.join(lone, "fp", "left_semi").dropDuplicates(["fp"]).drop("fp"))
-
+    spare = fingerprints(docs.where("doc_id is null"), docs.columns, words, "_fp")
+    return named.unionByName(spare.join(lone, "_fp", "left_semi").dropDuplicates(["_fp"]).drop("_fp"))

@@ -68,7 +68,7 @@ def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, int, int
         return [i for i, p, _, _ in varying if within(p)]
     varying = [v for v in varying if v[3] < 0.6 * max(1, v[2])]
     mass, depth = sum(v[2] for v in varying), 1
-    chosen = varying
+    chosen, place = varying, ()
     while True:  # the deepest place that still holds most of the varying text
         heads: dict[tuple[str, ...], int] = {}
         for _, path, size, _ in chosen:
@@ -76,8 +76,11 @@ def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, int, int
                 heads[path[:depth]] = heads.get(path[:depth], 0) + size
         top = max(heads, key=heads.get, default=None)
         if top is None or heads[top] < 0.75 * mass:
-            return [v[0] for v in chosen]
-        chosen, depth = [v for v in chosen if v[1][:depth] == top], depth + 1
+            break
+        chosen, place, depth = [v for v in chosen if v[1][:depth] == top], top, depth + 1
+    # and the headings that stand right above it
+    above = [v for v in varying if v[1][-1].split(".")[0] in HEADING and v[1][:-1] == place[: len(v[1]) - 1]]
+    return sorted({v[0] for v in [*chosen, *above]})
 
 
 # ---- jobs
