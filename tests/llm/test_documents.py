@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from learnlake.llm import langid, mixing, packing, quality, simhash, textbytes, toxicity, wordids
-from learnlake.llm.queries import QUERIES, tokenizer_path
+from learnlake.llm.queries import QUERIES, learned, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
 LONG = "word " * 300_000
@@ -109,6 +109,17 @@ def test_classifier_queries(spark, name, label, n, remainder, edge):
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.9
 
 
+@pytest.mark.parametrize("name, label", [("op2_toxicity", 2), ("op5_quality", 1)])
+def test_classifiers_with_enough_labels(spark, name, label):
+    """Held-out recall of both classes. The smaller tables have too few labels of the rarer class for it; in this one some
+    labels are wrong (about one toxic label in twenty stands at a text without any telling word)."""
+    rows = QUERIES[name](spark, "/root/testdata/sf0.1").where("held_out").collect()
+    labels = {r[0]: r[label] for r in duckdb.sql("SELECT * FROM '/root/testdata/sf0.1/labels.parquet'").fetchall()}
+    for y in (0, 1):
+        own = [r.predicted for r in rows if labels.get(r.doc_id) == y]
+        assert len(own) > 30 and np.mean([p == y for p in own]) > 0.88
+
+
 def test_classifiers_on_hard_rows(spark, documents):
     docs = documents(*HARD)
     labels = spark.createDataFrame([(4, 0, 1), (9, 1, 0), (6, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
@@ -362,10 +373,12 @@ def test_pipeline_stages(spark):
         docs = corpus_pipeline.written(stage(spark, docs, folder), "test-stage")
         assert docs.columns == columns
         after[name] = docs.collect()
+        first = docs if name == "language ID" else first
     assert {r.doc_id for r in after["language ID"]} == {r.doc_id for r in before if any(c.isalpha() for c in r.text or "")}
     gone = {r.doc_id for r in after["language ID"]} - {r.doc_id for r in after["toxicity"]}
-    assert sum(labels.get(i) == 0 for i in gone) == 0
-    assert sum(labels.get(r.doc_id) == 1 for r in after["toxicity"]) <= 0.1 * sum(labels.values())
+    assert sum(labels.get(i) == 0 for i in gone) == 0 and sum(labels.get(i) == 1 for i in gone) > 0.6 * sum(labels.values())
+    scored = toxicity.predict(first, toxicity.fit(first, spark.read.parquet(f"{folder}/labels.parquet"), learned(5, 0), langid.fit(first, learned(5, 0))), ["doc_id"])
+    assert gone == {r.doc_id for r in scored.where("score >= 0.5").collect()}
     fps = {r.doc_id: plain_fingerprint(r.text) for r in after["toxicity"]}
     root = plain_components(fps.values(), 3)
     least = {}
