@@ -107,6 +107,20 @@ def dimension(raw: DataFrame, name: str, low=None, high=None) -> DataFrame:
     return rows.select(*project(EVENT, DIMENSIONS[name]), "dt_load")
 
 
+# Column names of the stand-alone selects where they differ from the tables'.
+STAND_ALONE = {
+    "dim_lrs_object_http": {"page_ref": "page_ref_id"},
+    "dim_lrs_result_scorm": {"multiple_recording": "recording", "correct_responses_pattern": "pattern_response"},
+}
+
+
+def stand_alone(raw: DataFrame, name: str) -> DataFrame:
+    """All rows of one dimension under the names of the stand-alone selects, every column as text, without load time."""
+    rows = dimension(raw, name).drop("dt_load")
+    names = STAND_ALONE.get(name, {})
+    return rows.select(*[F.col(c).cast("string").alias(names.get(c, c)) for c in rows.columns])
+
+
 def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, low, upto) -> int:
     """Append the rows after the table's mark; the count is observed while writing."""
     rows = dimension(raw, name, low, upto)

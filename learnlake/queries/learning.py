@@ -209,6 +209,25 @@ for _name, (_columns, _condition) in BATCH_SQL.items():
     _register_batch(_name, _columns, _condition)
 
 
+def _register_stand_alone(name: str, renames: dict[str, str], condition: str) -> None:
+    columns = BATCH_SQL[name][0]
+    for old, new in renames.items():
+        columns = columns.replace(f" AS {old}", f" AS {new}")
+    inner = f"SELECT {BATCH_KEYS}, {columns} FROM {EVENTS_SQL} WHERE {condition}"
+
+    @query(f"stand_alone_{name}", f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({inner})")
+    def build(t):
+        raw = inputs.raw_learning(t)
+        answered = routing.raw_table(routing.verb_normalized("event")) == "lrs_events_answered"
+        return lrs_batch.stand_alone(raw.where(answered) if name == "dim_lrs_result_scorm" else raw, name)
+
+
+for _name, _condition in {
+    "dim_lrs_object_http": "verb = 'answered'", "dim_lrs_result_scorm": "verb = 'answered'", "dim_lrs_statement": "true",
+}.items():
+    _register_stand_alone(_name, lrs_batch.STAND_ALONE.get(_name, {}), _condition)
+
+
 @query(
     "wide_event_row",
     "SELECT 'ev' || event_id AS id, " + ", ".join(
