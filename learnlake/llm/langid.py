@@ -124,10 +124,11 @@ def train(langs: list[str], found: list[np.ndarray]) -> Model:
     ridge = 1e-3 * np.eye(phi.shape[1])
     ridge[-1, -1] = 0
     beta = np.linalg.lstsq((phi * weight[:, None]).T @ phi + ridge, (phi * weight[:, None]).T @ signs, rcond=None)[0]
-    weights = (marks.astype(np.float32) / size.astype(np.float32)) @ (whiten @ beta[:-1]).astype(np.float32)
+    project = ((whiten @ beta[:-1]) / size[:, None]).astype(np.float32)
+    weights = np.concatenate([marks[i: i + 4096].astype(np.float32) @ project for i in range(0, len(marks), 4096)])
     scores = phi @ beta
     heat = min((0.5, 1, 2, 4, 8, 16), key=lambda h: _loss(scores * h, y))
-    return Model(languages, weights.astype(np.float32), beta[-1].astype(np.float32), float(heat))
+    return Model(languages, weights, beta[-1].astype(np.float32), float(heat))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:

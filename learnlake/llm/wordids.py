@@ -18,7 +18,8 @@ from tokenizers import Tokenizer
 # fixed values: the split pattern of the public vocabulary file, and the characters that NFC leaves alone
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = r"^[\x21-\x7e\x{a1}-\x{ff}]*$"
-MEMORY = 800_000  # pieces remembered by one Python worker
+MEMORY = 400_000  # pieces remembered by one Python worker
+ROWS = 4096  # texts split into words at a time
 STEP = 1 << 18  # words laid out at a time
 
 
@@ -88,6 +89,10 @@ class WordIds:
         return np.concatenate([ids, *own]), start, length
 
     def batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), ROWS):
+            yield from self._batch(texts.slice(i, ROWS))
+
+    def _batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
         ids, start, length = self._words(coded.dictionary)
