@@ -55,32 +55,41 @@ def within(path: tuple[str, ...]) -> bool:
     return any(label.split(".")[0] in MAIN for label in path)
 
 
-def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, int, int, int]]) -> list[int]:
-    """The template's content slots. ``stats``: pages with the slot, pages with its commonest text, characters, link characters."""
-    paths = dom.slots(template)
-    varying = []
-    for i, path in enumerate(paths):
-        n, most, size, links = stats.get(i, (0, 0, 0, 0))
-        fixed = pages >= LEAST and 2 * n >= pages and most >= CONSTANT * n
-        if not beside(path) and not fixed:
-            varying.append((i, path, size, links))
-    if any(within(p) for _, p, _, _ in varying):
-        return [i for i, p, _, _ in varying if within(p)]
-    varying = [v for v in varying if v[3] < 0.6 * max(1, v[2])]
-    mass, depth = sum(v[2] for v in varying), 1
-    chosen, place = varying, ()
-    while True:  # the deepest place that still holds most of the varying text
+def _deepest(slots: list[tuple[int, tuple[str, ...], int]]) -> tuple[str, ...]:
+    """The deepest place that still holds most of the text of these slots (number, path, characters)."""
+    mass, depth, chosen, place = sum(s[2] for s in slots), 1, slots, ()
+    while True:
         heads: dict[tuple[str, ...], int] = {}
-        for _, path, size, _ in chosen:
+        for _, path, size in chosen:
             if len(path) > depth:
                 heads[path[:depth]] = heads.get(path[:depth], 0) + size
         top = max(heads, key=heads.get, default=None)
         if top is None or heads[top] < 0.75 * mass:
-            break
+            return place
         chosen, place, depth = [v for v in chosen if v[1][:depth] == top], top, depth + 1
+
+
+def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], list[int], list[int]]:
+    """The template's content slots: those inside article or main, those of the region of pages without such an element,
+    and all that vary.
+
+    ``stats``: pages with the slot, pages with its commonest text, characters, link characters, and the last two again of
+    the pages without article or main.
+    """
+    paths = dom.slots(template)
+    varying = []
+    for i, path in enumerate(paths):
+        n, most, size, links, *other = stats.get(i, (0, 0, 0, 0, 0, 0))
+        fixed = pages >= LEAST and 2 * n >= pages and most >= CONSTANT * n
+        if not beside(path) and not fixed:
+            varying.append((i, path, size, links, *other))
+    inside = [v[0] for v in varying if within(v[1])]
+    varying = [v for v in varying if not within(v[1]) and v[3] < 0.6 * max(1, v[2])]
+    plain = [(i, path, size) for i, path, _, _, size, links in varying if size and links < 0.6 * size]
+    place = _deepest(plain)
     # and the headings that stand right above it
-    above = [v for v in varying if v[1][-1].split(".")[0] in HEADING and v[1][:-1] == place[: len(v[1]) - 1]]
-    return sorted({v[0] for v in [*chosen, *above]})
+    region = [i for i, p, _ in plain if p[: len(place)] == place or p[-1].split(".")[0] in HEADING and p[:-1] == place[: len(p) - 1]]
+    return inside, region, [v[0] for v in varying]
 
 
 # ---- jobs
@@ -138,6 +147,15 @@ class _Aligned:
 
     def __init__(self):
         self.known: dict[tuple[str, str], list[int]] = {}
+        self.mains: dict[str, bool] = {}
+
+    def main(self, shape: str) -> bool:
+        """Whether the page has an article or main element with text."""
+        if shape not in self.mains:
+            if len(self.mains) > 20_000:
+                self.mains.clear()
+            self.mains[shape] = any(within(p) and not beside(p) for p in dom.slots(json.loads(shape)))
+        return self.mains[shape]
 
     def __call__(self, shape: str, template: str) -> list[int]:
         if (shape, template) not in self.known:
@@ -148,54 +166,56 @@ class _Aligned:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """``host``, ``template`` and ``content`` (its content slots) from all pages. Equal pages of a host count once."""
+    """``host``, ``template`` and ``content`` (its content slots, see there) from all pages. Equal pages of a host count once."""
     parsed = written(shapes(pages).distinct(), "wrapper-pages")
     found = templates(parsed)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligned = _Aligned()
         for batch in batches:
-            cols: list[list] = [[], [], [], [], []]
+            cols: list[list] = [[] for _ in names]
             for row in batch.to_pylist():
                 to = aligned(row["shape"], row["template"])
+                plain = not aligned.main(row["shape"])
                 for i, h, s, k in zip(to, row["hashes"], row["sizes"], row["links"]):
                     if i >= 0:
-                        for c, v in zip(cols, (row["host"], i, h, s, k)):
+                        for c, v in zip(cols, (row["host"], i, h, s, k, s * plain, k * plain)):
                             c.append(v)
-            kinds = [pa.string()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "slot", "hash", "size", "links"])
-
-    rows = parsed.join(found, "host").mapInArrow(spread, "host string, slot long, hash long, size long, links long")
-    texts = rows.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.sum("links").alias("links"))
-    one = texts.groupBy("host", "slot").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("size").alias("size"), F.sum("links").alias("links"))
+            kinds = [pa.string()] + [pa.int64()] * (len(names) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+    sums = ["size", "links", "other_size", "other_links"]  # the last two of pages without article or main
+    names = ["host", "slot", "hash", *sums]
+    rows = parsed.join(found, "host").mapInArrow(spread, "host string, " + ", ".join(f"{c} long" for c in names[1:]))
+    texts = rows.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums])
+    one = texts.groupBy("host", "slot").agg(F.sum("n").alias("n"), F.max("n").alias("most"), *[F.sum(c).alias(c) for c in sums])
     # as many entries as the template has slots
-    of = one.groupBy("host").agg(F.collect_list(F.struct("slot", "n", "most", "size", "links")).alias("stats"))
+    of = one.groupBy("host").agg(F.collect_list(F.struct("slot", "n", "most", *sums)).alias("stats"))
     number = parsed.groupBy("host").agg(F.count("*").alias("pages"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
             kept = [
-                content(json.loads(r["template"]), r["pages"], {s["slot"]: (s["n"], s["most"], s["size"], s["links"]) for s in r["stats"] or []})
+                content(json.loads(r["template"]), r["pages"], {s["slot"]: tuple(s[c] for c in ("n", "most", *sums)) for s in r["stats"] or []})
                 for r in rows
             ]
-            arrays = [pa.array([r["host"] for r in rows], pa.string()), pa.array([r["template"] for r in rows], pa.string()), pa.array(kept, pa.list_(pa.int64()))]
+            arrays = [pa.array([r["host"] for r in rows], pa.string()), pa.array([r["template"] for r in rows], pa.string()), pa.array([list(k) for k in kept], pa.list_(pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays(arrays, names=["host", "template", "content"])
 
     joined = found.join(number, "host").join(of, "host", "left").select("host", "template", "pages", "stats")
-    return written(joined.mapInArrow(decide, "host string, template string, content array<long>"), "wrapper-templates")
+    return written(joined.mapInArrow(decide, "host string, template string, content array<array<long>>"), "wrapper-templates")
 
 
-def page_text(page: str | None, template: str, kept: set[int], aligned: Callable[[str, str], list[int]]) -> str:
+def page_text(page: str | None, template: str, kept: list[set[int]], aligned: Callable[[str, str], list[int]]) -> str:
+    """What the page has in content slots inside its article or main; without any, in its host's region; or else in slots that vary."""
     tree, found = _read(page)
     to = aligned(json.dumps(tree, separators=(",", ":")), template)
-    paths = dom.slots(tree)
-    main = any(within(p) and not beside(p) for p in paths)
-    runs = []
-    for i, path, slot in zip(to, paths, found):
-        if i in kept or i < 0 and main and within(path) and not beside(path):
-            runs += slot
-    return "\n".join(r.text() for r in sorted(runs, key=lambda r: r.order))
+    inside, region, varying = kept
+    chosen = [s for i, p, s in zip(to, dom.slots(tree), found) if i in inside or i < 0 and within(p) and not beside(p)]
+    for others in (region, varying):
+        chosen = chosen or [s for i, s in zip(to, found) if i in others]
+    return "\n".join(r.text() for r in sorted((r for s in chosen for r in s), key=lambda r: r.order))
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
@@ -214,7 +234,7 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
         for batch in batches:
             k = len(keep)
             rows = zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist(), batch.column(k + 2).to_pylist())
-            texts = [page_text(page, template, set(kept or ()), aligned) for page, template, kept in rows]
+            texts = [page_text(page, template, [set(k) for k in kept], aligned) for page, template, kept in rows]
             made = [pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(k)), *made], names=schema.names)
 

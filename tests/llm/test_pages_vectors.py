@@ -135,6 +135,17 @@ def test_extraction_of_hard_rows(spark):
     assert wrapper.extract(df.limit(0), ["page_id"]).count() == 0
 
 
+def test_pages_without_article_on_a_host_with_articles(spark):
+    post = '<body><div class=teaser><p>look at {0}</p></div><div class=post><p>{0} one</p><p>two{1}</p></div><div class=c2>by the same owner</div></body>'
+    article = '<body><div class=teaser><p>{0} teases at great length {0} {0}</p></div><article><p>{0} text</p></article><div class=c2>by the same owner</div></body>'
+    rows = [(i, f"http://h.example/{i}", (post if i % 3 else article).format(f"w{i}", f" w{i}" * 20)) for i in range(12)]
+    rows += [(20, "x", "plain text"), (21, None, "<article>one</article>"), (22, "http://h.example/m", "<body><section><p>another layout</p></section></body>")]
+    got = {r.page_id: r.text for r in wrapper.extract(pages_of(spark, rows), ["page_id"]).collect()}
+    for i in range(12):
+        assert got[i] == (f"w{i} one\ntwo" + f" w{i}" * 20 if i % 3 else f"w{i} text")
+    assert got[20] == "plain text" and got[21] == "one" and got[22] == "another layout"
+
+
 # ---- vectors
 
 
