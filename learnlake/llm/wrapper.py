@@ -34,18 +34,36 @@ ASIDE_WORDS = set(
     footer masthead login signup signin subscribe subscription newsletter pagination pager toolbar search skip copyright
     disclaimer complementary contentinfo""".split()
 )
+# those words of whole blocks that are never part of an article; with them and PARTS alone, an element is such a block
+BLOCK_WORDS = ASIDE_WORDS - set("related social discussion replies notice alert widget search skip disclaimer".split())
+PARTS = set("list area wrap wrapper block box container inner section item items body div post posts entry title".split())
 MAIN = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
-def beside(path: tuple[str, ...]) -> bool:
-    """Whether a slot under these labels belongs to a menu, footer, advert, form, comment or the like."""
+def beside(path: tuple[str, ...], place: tuple[str, ...] = (), named: bool = False, words: set[str] = ASIDE_WORDS) -> bool:
+    """Whether a slot under these labels belongs to a menu, footer, advert, form, comment or the like.
+
+    The words of an element that contains the article or ``place`` (the labels above the content) only count if they are
+    all that it is called, and nothing around a main counts. Articles, and headings and sections in the content, must be
+    called a block such as an advert or comments. ``named``: elements beside the content must be called nothing else either.
+    """
+    tags = [label.split(".")[0] for label in path]
+    first = tags.index("article") if "article" in tags else -1
     main = False
-    for label in path:
-        tag, *words = label.split(".")
-        if tag == "header" and main and path[-1].split(".")[0] in HEADING:
+    for k, label in enumerate(path):
+        tag, *own = label.split(".")
+        if tag in ("html", "body") or tag == "header" and main and tags[-1] in HEADING:
             continue  # the headline of the article
-        if tag not in ("html", "body") and (tag in ASIDE_TAGS or ASIDE_WORDS.intersection(words)):
+        if tag in ASIDE_TAGS:
+            return True
+        told, only = words.intersection(own), not set(own) - ASIDE_WORDS - PARTS
+        holds = k < first or bool(place) and path[: k + 1] == place[: k + 1]
+        part = tag in HEADING or tag == "section" or tag == "div" and "section" in own
+        within_place = path[: len(place)] == place or tag in HEADING and path[:k] == place[:k]
+        if tag == "article" or part and not holds and (main or within_place):
+            told &= BLOCK_WORDS
+        if told and "main" not in tags[k:] and (only or not (named or holds or k == first or part and main)):
             return True
         main = main or tag in MAIN
     return False
@@ -69,9 +87,9 @@ def _deepest(slots: list[tuple[int, tuple[str, ...], int]]) -> tuple[str, ...]:
         chosen, place, depth = [v for v in chosen if v[1][:depth] == top], top, depth + 1
 
 
-def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], list[int], list[int]]:
-    """The template's content slots: those inside article or main, those of the region of pages without such an element,
-    and all that vary.
+def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], ...]:
+    """The template's content slots, in the order in which a page takes them: those inside article or main, also those
+    there that may stand beside the article, those of the region of pages without such an element, and all that vary.
 
     ``stats``: pages with the slot, pages with its commonest text, characters, link characters, and the last two again of
     the pages without article or main.
@@ -81,15 +99,20 @@ def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -
     for i, path in enumerate(paths):
         n, most, size, links, *other = stats.get(i, (0, 0, 0, 0, 0, 0))
         fixed = pages >= LEAST and 2 * n >= pages and most >= CONSTANT * n
-        if not beside(path) and not fixed:
+        if not fixed:
             varying.append((i, path, size, links, *other))
-    inside = [v[0] for v in varying if within(v[1])]
-    varying = [v for v in varying if not within(v[1]) and v[3] < 0.6 * max(1, v[2])]
+    # first the place of the content, then what is beside it; an element's words do not decide on what contains it
+    main = [v for v in varying if within(v[1]) and not beside(v[1], named=True)]
+    place = _deepest([v[:3] for v in main])
+    inside = [v[0] for v in main if not beside(v[1], place)]
+    varying = [v for v in varying if not within(v[1]) and v[3] < 0.6 * max(1, v[2]) and not beside(v[1], named=True, words=BLOCK_WORDS)]
     plain = [(i, path, size) for i, path, _, _, size, links in varying if size and links < 0.6 * size]
+    place = _deepest([v for v in plain if not beside(v[1], named=True)] or plain)
+    plain = [v for v in plain if not beside(v[1], place)]
     place = _deepest(plain)
     # and the headings that stand right above it
     region = [i for i, p, _ in plain if p[: len(place)] == place or p[-1].split(".")[0] in HEADING and p[:-1] == place[: len(p) - 1]]
-    return inside, region, [v[0] for v in varying]
+    return inside, [v[0] for v in main], region, [v[0] for v in varying]
 
 
 # ---- jobs
@@ -154,7 +177,7 @@ class _Aligned:
         if shape not in self.mains:
             if len(self.mains) > 20_000:
                 self.mains.clear()
-            self.mains[shape] = any(within(p) and not beside(p) for p in dom.slots(json.loads(shape)))
+            self.mains[shape] = any(within(p) and not beside(p, named=True) for p in dom.slots(json.loads(shape)))
         return self.mains[shape]
 
     def __call__(self, shape: str, template: str) -> list[int]:
@@ -208,13 +231,13 @@ def induce(pages: DataFrame) -> DataFrame:
 
 
 def page_text(page: str | None, template: str, kept: list[set[int]], aligned: Callable[[str, str], list[int]]) -> str:
-    """What the page has in content slots inside its article or main; without any, in its host's region; or else in slots that vary."""
+    """What the page has in the first of its host's lists of content slots in which it has any text."""
     tree, found = _read(page)
     to = aligned(json.dumps(tree, separators=(",", ":")), template)
-    inside, region, varying = kept
+    inside, *others = kept
     chosen = [s for i, p, s in zip(to, dom.slots(tree), found) if i in inside or i < 0 and within(p) and not beside(p)]
-    for others in (region, varying):
-        chosen = chosen or [s for i, s in zip(to, found) if i in others]
+    for other in others:
+        chosen = chosen or [s for i, s in zip(to, found) if i in other]
     return "\n".join(r.text() for r in sorted((r for s in chosen for r in s), key=lambda r: r.order))
 
 

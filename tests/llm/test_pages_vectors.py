@@ -146,6 +146,25 @@ def test_pages_without_article_on_a_host_with_articles(spark):
     assert got[20] == "plain text" and got[21] == "one" and got[22] == "another layout"
 
 
+def test_words_of_class_and_id_do_not_drop_the_article(spark):
+    bodies = {
+        "a": "<div class=has-sidebar><div class=sidebar><p>x {0}</p></div><article><p>{0} text</p></article></div>",
+        "b": "<div id=search-results><main class=with-comments><article class=news-alert><p>{0} text</p></article></main></div>",
+        "c": "<article><h2 id=related-work>related {0}</h2><section id=discussion><p>{0} text</p></section><div class=share-box>tell {0}</div></article>",
+        "d": "<article><div class='has-sidebar'><p>{0} text</p></div><div class='post-comments'><article class='comment even'>c {0}</article></div></article>",
+        "e": "<div class=no-sidebar><p>{0} text</p><section id=discussion><p>more {0}</p></section></div><section class=comments><p>c {0}</p></section>",
+        "f": "<div class=notice><h3 id=related-work>{0}</h3><p>{0} text</p></div><div class=footer>f {0}</div>",
+    }
+    rows = [(10 * n + i, f"http://{h}.example/{i}", f"<body>{b}</body>".format(f"w{i}")) for n, (h, b) in enumerate(bodies.items()) for i in range(6)]
+    got = {r.page_id: r.text for r in wrapper.extract(pages_of(spark, rows), ["page_id"]).collect()}
+    want = {"c": "related {0}\n{0} text", "e": "{0} text\nmore {0}", "f": "{0}\n{0} text"}
+    for n, h in enumerate(bodies):
+        for i in range(6):
+            assert got[10 * n + i] == want.get(h, "{0} text").format(f"w{i}"), h
+    for path in ("html article section.comments p", "html div.post.comments article p", "html body div.main.nav p", "html article nav p"):
+        assert wrapper.beside(tuple(path.split()))
+
+
 # ---- vectors
 
 
