@@ -40,14 +40,14 @@ def last_loaded(spark: SparkSession, table: str, column: str = "dt_load", after=
     return spark.table(table).where(F.col(column) > F.lit(after)).agg(F.max(column).alias("t")).first()["t"] or after
 
 
-def save_progress(spark: SparkSession, control: str, base: str, tables: list[str], upto) -> None:
-    """Append one row per loaded table to the control table kept under ``base``."""
-    mark = upto if isinstance(upto, Column) else F.lit(upto)
-    rows = spark.range(1).select(
-        F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"),
-        mark.cast("timestamp").alias("last_processed"),
-        F.current_timestamp().alias("saved_at"),
-    )
+def save_progress(spark: SparkSession, control: str, base: str, tables: list[str] | dict, upto=None) -> None:
+    """Append one row per loaded table to the control table kept under ``base``; a dict has a mark for each table."""
+    marks = tables if isinstance(tables, dict) else dict.fromkeys(tables, upto)
+    saved = [
+        F.struct(F.lit(t).alias("table_name"), (m if isinstance(m, Column) else F.lit(m)).cast("timestamp").alias("last_processed"))
+        for t, m in marks.items()
+    ]
+    rows = spark.range(1).select(F.inline(F.array(*saved))).select("*", F.current_timestamp().alias("saved_at"))
     if not spark.catalog.tableExists(control):
         register(spark, control, f"{base}/{control}", rows.schema)
     rows.write.mode("append").insertInto(control)

@@ -17,6 +17,7 @@ from learnlake.schemas.events import ACT_TYPE, SCORM
 from learnlake.sinks.tables import register
 
 EVENT = "event"
+LAG = "INTERVAL 15 MINUTES"  # from a raw row's load time to when its file can be read, at most
 ACT_BLOCK = f"statement.object.definition.extensions.`{normal_name(ACT_TYPE)}`"
 SCORM_BLOCK = f"statement.result.extensions.`{normal_name(SCORM)}`"
 
@@ -121,14 +122,14 @@ def stand_alone(raw: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.col(c).cast("string").alias(names.get(c, c)) for c in rows.columns])
 
 
-def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, low, upto) -> int:
-    """Append the rows after the table's mark; the count is observed while writing."""
+def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, low, upto) -> tuple:
+    """Append the rows after the table's mark; their count and greatest load time are observed while writing."""
     rows = dimension(raw, name, low, upto)
     if not spark.catalog.tableExists(table):
         register(spark, table, f"{base}/{table}", rows.schema)
     counted = Observation()
-    rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
-    return counted.get["n"]
+    rows.observe(counted, F.count(F.lit(1)).alias("n"), F.max("dt_load").alias("last")).write.mode("append").insertInto(table)
+    return counted.get["n"], counted.get["last"]
 
 
 def marks(spark: SparkSession, database: str, control: str) -> dict:
@@ -152,14 +153,16 @@ def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto)
     """Bring all nine dimensions up to ``upto``: ``(table_name, n, status)`` per table and in total.
 
     The window after the oldest mark is read once and kept while the tables load. Tables load independently; one that
-    fails is reported and picks up from its own mark next time.
+    fails is reported and picks up from its own mark next time. A table's mark is the greatest load time it really
+    received, not ``upto``: raw rows get their load time before their files appear, and files that appear later are read
+    next time. For the same reason rows younger than ``LAG`` wait for the next refresh; no raw write may take longer.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     control = f"{database}.load_progress"
     low = marks(spark, database, control)
-    upto = upto if isinstance(upto, Column) else F.lit(upto)
+    upto = F.least((upto if isinstance(upto, Column) else F.lit(upto)).cast("timestamp"), F.current_timestamp() - F.expr(LAG))
     rows = window_rows(raw, F.lit(min(low.values())), upto).select("event", "dt_load").persist(StorageLevel.MEMORY_AND_DISK)
-    counts: dict[str, int] = {}
+    counts: dict[str, tuple] = {}
 
     def run(name: str) -> tuple[str, str | None]:
         table = f"{database}.{name}"
@@ -169,8 +172,8 @@ def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto)
         status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
     finally:
         rows.unpersist()
-    loaded = [name for name, (state, _) in status.items() if state == "ok"]
+    loaded = {name: counts[name][1] or low[name] for name, (state, _) in status.items() if state == "ok"}
     if loaded:
-        save_progress(spark, control, base, loaded, upto)
-    table = [(name, counts.get(name, 0), state) for name, (state, _) in status.items()]
+        save_progress(spark, control, base, loaded)
+    table = [(name, counts.get(name, (0,))[0], state) for name, (state, _) in status.items()]
     return run_summary(spark.createDataFrame(table, "table_name string, n long, status string"))

@@ -326,6 +326,28 @@ def test_refresh_marks_and_day_filter(spark, docs):
     assert mark() == day(5)  # a load that was not recorded
 
 
+def test_refresh_reads_raw_rows_that_appear_late(spark, docs):
+    """Files that appear after a refresh with a load time below its upto, or just before it, are read by the next one."""
+    from learnlake.plans import lrs_batch
+
+    at = lambda n: F.timestamp_seconds(F.lit(10**9 + n))
+    event = lambda i, when: docs({"id": i}).select(F.col("doc").alias("event"), when.alias("dt_load"), F.lit("t").alias("table_name"))
+    base = scratch_path(spark, "late")
+    tables.append_raw(event("1", at(0)), f"{base}/raw")
+    load = lambda upto: lrs_batch.refresh(spark, spark.read.parquet(f"{base}/raw"), "late_test", base, upto).collect()
+    ids = lambda: sorted(r.statement_id for r in spark.table("late_test.dim_lrs_verb").collect())
+    load(at(100))
+    tables.append_raw(event("2", at(50)), f"{base}/raw")
+    tables.append_raw(event("3", F.current_timestamp()), f"{base}/raw")
+    load(F.current_timestamp())
+    assert ids() == ["1", "2"]
+    tables.append_raw(event("4", F.current_timestamp() - F.expr("INTERVAL 1 HOUR")), f"{base}/raw")
+    load(F.current_timestamp())
+    assert ids() == ["1", "2", "4"]
+    marks = {r.table_name: r.last_processed for r in incremental.progress(spark, "late_test.load_progress").collect()}
+    assert marks["dim_lrs_object_http"] == dt.datetime(2000, 1, 1) and len(marks) == 9
+
+
 def test_archives(spark):
     path = scratch_path(spark, "failed")
     archive.write_failed(spark.range(2), path, "gold.dim_user", "upsert", "3")
