@@ -76,8 +76,9 @@ def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFra
     run_id = f"{name[0]}-{name[1] & (2**63 - 1):x}"
     every = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(results_path)
     chosen = every.withColumn("__path", F.col("_metadata.file_path")).join(
-        fresh.select(_same_path(F.col("path")).alias("__fresh")), _same_path(F.col("__path")) == F.col("__fresh"), "left_semi"
+        fresh.select(_plain(F.col("path")).alias("__fresh")), _plain(_decoded(F.col("__path"))) == F.col("__fresh"), "left_semi"
     )
+    _all_read(spark, results_path, fresh)
     results = written(chosen.drop("__path").distinct(), "results")
     objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path).distinct()
     for table, rows in _targets(results, objects).items():
@@ -87,6 +88,19 @@ def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFra
     return fresh
 
 
-def _same_path(path: Column) -> Column:
-    """Path without scheme, decoded: the two file sources write it differently."""
-    return F.regexp_replace(F.try_url_decode(path), "^[a-z0-9]+:/+", "/")
+def _all_read(spark: SparkSession, folder: str, fresh: DataFrame) -> None:
+    """Fails if a fresh file would not be found by its decoded path: it would be recorded as done without being read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+    found = files.select(_plain(_decoded(F.col("_metadata.file_path"))).alias("path"))
+    lost = fresh.select(_plain(F.col("path")).alias("path")).join(found, "path", "left_anti").limit(3).collect()
+    if lost:
+        raise ValueError(f"listed files are not read: {[r['path'] for r in lost]}")
+
+
+def _decoded(path: Column) -> Column:
+    """The path behind ``_metadata.file_path``, in which a plus sign stands for itself; listings are not encoded."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")

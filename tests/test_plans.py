@@ -243,6 +243,21 @@ def test_fact_plan_shuffles_each_big_table_once(spark, tmp_path):
 
 
 # -- history --------------------------------------------------------------------------------------------------------
+def test_history_reads_files_with_escapes_in_their_path(spark, tmp_path):
+    for i, folder in enumerate(["dt=2024%3A00", "100%", "a+b c", "plain"]):
+        row = spark.createDataFrame([(f"s{i}", "r")], "id_statement string, response string")
+        row.coalesce(1).write.parquet(f"{tmp_path}/tmp{i}")
+        (tmp_path / "results" / folder).mkdir(parents=True)
+        part = next((tmp_path / f"tmp{i}").glob("*.parquet"))
+        (tmp_path / "results" / folder / "f.parquet").write_bytes(part.read_bytes())
+    objects = spark.createDataFrame([(f"s{i}", "choice") for i in range(4)], "id_statement string, interactionType string")
+    objects.write.parquet(f"{tmp_path}/objects")
+    done = spark.createDataFrame([], "path string")
+    fresh = history.run(spark, f"{tmp_path}/results", f"{tmp_path}/objects", done, f"{tmp_path}/out", "history_paths")
+    assert fresh.count() == 4
+    assert sorted(r.statement_id for r in spark.table("history_paths.dim_lrs_result").collect()) == ["s0", "s1", "s2", "s3"]
+
+
 def test_history(spark):
     from learnlake.operators.shaping import EXCLUDED_STATEMENTS
 
