@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlake.llm import covertree, langid, mixing, onebit, packing, quality, simhash, toxicity, urlfilter, wrapper
+from learnlake.llm import (
+    collocation, covertree, langid, mixing, onebit, packing, pii, pivots, quality, simhash, toxicity, urlfilter, wrapper,
+)
 from learnlake.llm.frames import fold, table
 
 
@@ -79,6 +81,18 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, folder, "documents")))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.mine(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.compress(table(spark, folder, "embeddings"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -89,11 +103,98 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_toxicity, op3_mixing, op4_nearest, op5_quality, op6_url_filter, op7_html_text, op8_simhash,
-        op9_largest_products, op10_packing,
+        op9_largest_products, op10_packing, op11_pii, op12_collocations, op13_vector_codes,
     )
 }
 
+def vector_codes_sql(rounds: int = pivots.ROUNDS, parts: int = pivots.PARTS, entries: int = pivots.ENTRIES) -> str:
+    """The rounds one after the other, every part against every entry."""
+    steps = [f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label,
+    [CAST(floor({pivots.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+  SELECT n, p, e[p * (len(e) // {parts}) + 1 : (p + 1) * (len(e) // {parts})] AS x FROM v, range({parts}) t(p)
+), book0 AS MATERIALIZED (SELECT p, n - 1 AS entry, x FROM parts WHERE n <= {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""best{k} AS MATERIALIZED (
+  SELECT n, p, min(struct_pack(
+    d := CAST(list_sum([(c[1] - c[2]) * (c[1] - c[2]) FOR c IN list_zip(parts.x, book{k}.x)]) AS BIGINT), entry := entry)) AS b
+  FROM parts JOIN book{k} USING (p) GROUP BY n, p
+)""")
+        if k < rounds:
+            steps.append(f"""sum{k} AS (
+  SELECT p, b.entry AS entry, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS c
+  FROM best{k} JOIN parts USING (n, p), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY ALL
+), mean{k} AS (
+  SELECT p, entry, list((s - ((s % c) + c) % c) // c ORDER BY i) AS x FROM sum{k} GROUP BY p, entry
+), book{k + 1} AS MATERIALIZED (
+  SELECT p, entry, coalesce(mean{k}.x, book{k}.x) AS x FROM book{k} LEFT JOIN mean{k} USING (p, entry)
+)""")
+    steps.append(f"""coded AS (
+  SELECT n, string_agg(printf('%02x', b.entry), '' ORDER BY p) AS code, CAST(sum(b.d) AS BIGINT) AS error
+  FROM best{rounds} GROUP BY n
+)""")
+    return ",".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (n)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": vector_codes_sql(),
+    "op12_collocations": f"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, * FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\v\\f\\r]')) AS t
+    FROM documents)
+), words AS (
+  SELECT piece, lang, unnest(w) AS w, generate_subscripts(w, 1) AS i
+  FROM (SELECT piece, lang, regexp_extract_all(t, '[^ \\t]+') AS w FROM pieces)
+), leads AS MATERIALIZED (
+  SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+  FROM words WINDOW o AS (PARTITION BY piece ORDER BY i)
+), f AS MATERIALIZED (
+  SELECT *, concat_ws(' ', w1, w2, w3, w4) AS phrase FROM (
+    SELECT lang, 1 AS m, w1, NULL AS w2, NULL AS w3, NULL AS w4, count(*) AS a FROM leads GROUP BY lang, w1
+    UNION ALL SELECT lang, 2, w1, w2, NULL, NULL, count(*) FROM leads WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+    UNION ALL SELECT lang, 3, w1, w2, w3, NULL, count(*) FROM leads WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3
+    UNION ALL SELECT lang, 4, w1, w2, w3, w4, count(*) FROM leads WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4
+  ) WHERE m = 1 OR a >= {collocation.SUPPORT}
+), total AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+  SELECT * FROM f WHERE m > 1
+), cut AS (
+  SELECT lang, phrase, a, 1 AS k, w1 AS lp, concat_ws(' ', w2, w3, w4) AS rp FROM candidates
+  UNION ALL SELECT lang, phrase, a, 2, concat_ws(' ', w1, w2), concat_ws(' ', w3, w4) FROM candidates WHERE m > 2
+  UNION ALL SELECT lang, phrase, a, 3, concat_ws(' ', w1, w2, w3), w4 FROM candidates WHERE m > 3
+), left_ AS MATERIALIZED (
+  SELECT cut.*, f.a AS l FROM cut JOIN f ON f.lang = cut.lang AND f.phrase = lp
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l, f.a AS r,
+    CAST((CAST({collocation.SCORE} AS HUGEINT) * c.a) // (l + f.a) AS BIGINT) AS score
+  FROM left_ c JOIN f ON f.lang = c.lang AND f.phrase = rp
+), weakest AS (
+  SELECT DISTINCT ON (lang, phrase) * FROM cuts ORDER BY lang, phrase, score, k
+), inner_ AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([concat_ws(' ', w1, w2), concat_ws(' ', w2, w3)]) AS phrase FROM candidates WHERE m > 2
+    UNION ALL SELECT lang, a, unnest([concat_ws(' ', w3, w4), concat_ws(' ', w1, w2, w3), concat_ws(' ', w2, w3, w4)])
+    FROM candidates WHERE m > 3
+  ) GROUP BY lang, phrase
+), kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN inner_ USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < {collocation.COVER} * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= {collocation.TOP}
+""",
     "op6_url_filter": f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
