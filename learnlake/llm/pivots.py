@@ -40,6 +40,10 @@ def integers(x: np.ndarray) -> np.ndarray:
     return np.array(flat, object).reshape(x.shape)
 
 
+def _rows(table: pa.Table, dim: int) -> np.ndarray:
+    return integers(matrix(table["embedding"], dim) if dim else np.zeros((len(table), 0)))
+
+
 def cuts(dim: int) -> list[int]:
     """Where the parts begin and end: equal parts, the first ones longer by one if ``dim`` cannot be divided."""
     return [0, *np.cumsum([len(p) for p in np.array_split(np.arange(dim), PARTS)]).tolist()]
@@ -162,7 +166,7 @@ def _measured(rows: DataFrame, pivots: dict[int, Book]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, table in _by_dim(batches, 3):
-            x, at = integers(matrix(table["embedding"], dim)), cuts(dim)
+            x, at = _rows(table, dim), cuts(dim)
             near = np.concatenate([distances(x[:, a:b], p) for a, b, p in zip(at, at[1:], shared.value[dim])], axis=1)
             column = pa.array([row.tobytes() for row in near], pa.binary())
             yield from table.append_column("near", column).to_batches()
@@ -171,7 +175,7 @@ def _measured(rows: DataFrame, pivots: dict[int, Book]) -> DataFrame:
 
 
 def _assigned(table: pa.Table, dim: int, book: Book, pivots: Book) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    x, at = integers(matrix(table["embedding"], dim)), cuts(dim)
+    x, at = _rows(table, dim), cuts(dim)
     near = np.frombuffer(b"".join(table["near"].to_pylist()), np.float64).reshape(len(x), -1)
     done = 0
     for k, (a, b) in enumerate(zip(at, at[1:])):
