@@ -5,10 +5,11 @@ text where the piece ends. Only these longest windows are counted; Spark's ROLLU
 over ever shorter beginnings, which gives the counts of all phrases of 1 to 4 words, and the number of words, without
 counting n-grams of each length on their own.
 
-Most long windows occur once or twice, and a phrase can only be frequent if each of its word pairs is. So a window ends
-before the first pair that certainly is rare: pairs are counted by 64-bit hash first, and the frequent hashes are set in a
-bit table of fixed size that every task holds. What the table lets through by mistake is counted like the rest, so counts
-of frequent phrases are exact whatever the size of the corpus; a fuller table only prunes less.
+Most long windows occur once or twice, and a phrase can only be frequent if each of its pairs and triples of words is. So a
+window ends before the first pair or triple that certainly is rare: pairs, then the triples of possible pairs, are counted
+by 64-bit hash first, and the frequent hashes are set in a bit table of fixed size that every task holds. What the table
+lets through by mistake is counted like the rest, so counts of frequent phrases are exact whatever the size of the corpus; a
+fuller table only prunes less.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from learnlake.llm.textbytes import runs
 from learnlake.session import written
 
 LONGEST, SUPPORT, COVER, TOP, SCORE = 4, 30, 80, 2000, 2_000_000
-TABLE_BITS = 26  # logarithm of the bits in the table of frequent pairs: 8 MB
+TABLE_BITS = 26  # logarithm of the bits in the table of frequent pairs and triples: 8 MB
+PRUNED = (2, 3)  # sizes that are counted by hash first
 SLICE = 1 << 22  # bytes of text handled at a time; a longer text is handled alone
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -88,12 +90,33 @@ def _mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def _pairs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where pairs begin, the number of each one's kind, and the hash of each kind."""
-    at, n = np.flatnonzero(w.joined), len(w.words)
-    kind, keys = pd.factorize(w.ids[at] * n + w.ids[at + 1])
-    with np.errstate(over="ignore"):
-        return at, kind, _mixed(w.hashes[keys // n] * _ODD + w.hashes[keys % n])
+class Grams(NamedTuple):
+    """The n-grams at some word positions."""
+
+    at: np.ndarray
+    kind: np.ndarray
+    hashes: np.ndarray  # by kind
+
+
+def _grams(w: Words, size: int, table: np.ndarray) -> tuple[Grams, list[np.ndarray]]:
+    """The n-grams of ``size`` words whose shorter parts may all be frequent, and for each shorter size, from 2, the places
+    where such a part begins."""
+    n, count = len(w.words), len(w.ids)
+    open_, places = w.joined, []
+    kind, hashes = w.ids, w.hashes
+    for m in range(2, size + 1):
+        at = np.flatnonzero(open_)
+        own, keys = pd.factorize(kind[at] * n + w.ids[at + m - 1])
+        with np.errstate(over="ignore"):
+            hashes = _mixed(hashes[keys // n] * _ODD + w.hashes[keys % n])
+        if m == size:
+            return Grams(at, own, hashes), places
+        passed = _listed(table, hashes)[own]
+        kind, here = np.zeros(count, np.int64), np.zeros(count, bool)
+        kind[at], here[at] = own, passed
+        places.append(here)
+        open_ = here & np.append(here[1:], False)
+    raise ValueError("a phrase has two words at least")
 
 
 def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +124,13 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
+def _listed(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    out = np.ones(len(h), bool)
+    for at in _places(h):
+        out &= ((table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+    return out
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     """Runs of whole texts (columns text, lang) of at most ``SLICE`` bytes, or one longer text."""
     for batch in batches:
@@ -118,47 +148,47 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang")).where("text <> ''")
 
 
-def frequent_pairs(texts: DataFrame, support: int) -> np.ndarray:
-    """The bit table of all pairs that occur ``support`` times or more, and of a few others."""
+def frequent(texts: DataFrame, support: int) -> np.ndarray:
+    """The bit table of all pairs and triples that occur ``support`` times or more, and of a few others."""
+    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
+    for size in PRUNED:
+        table |= _frequent(texts, support, size, table)
+    return table
+
+
+def _frequent(texts: DataFrame, support: int, size: int, table: np.ndarray) -> np.ndarray:
+    shared = texts.sparkSession.sparkContext.broadcast(table.copy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _slices(batches):
-            _, kind, hashes = _pairs(w)
-            counts = np.bincount(kind, minlength=len(hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "n"])
+            grams, _ = _grams(w, size, shared.value)
+            n = np.bincount(grams.kind, minlength=len(grams.hashes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.hashes.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    frequent = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    counted = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     mask = (1 << TABLE_BITS) - 1
     bits = F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask)))
-    longs = frequent.select(bits.alias("b")).groupBy(F.shiftright("b", 6).alias("i")).agg(
+    longs = counted.select(bits.alias("b")).groupBy(F.shiftright("b", 6).alias("i")).agg(
         F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("v")
     )
     found = longs.toArrow()  # at most 2 ** (TABLE_BITS - 6) rows
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    table[found["i"].to_numpy()] = found["v"].to_numpy()
-    return table.view(np.uint64)
+    bits_set = np.zeros(len(table), np.int64)
+    bits_set[found["i"].to_numpy()] = found["v"].to_numpy()
+    return bits_set.view(np.uint64)
 
 
 def windows(texts: DataFrame, table: np.ndarray) -> DataFrame:
     """``lang``, the lead columns, ``n``: the windows of every word position, added up within some texts."""
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
-    def passes(h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for at in _places(h):
-            out &= ((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _slices(batches):
-            at, kind, hashes = _pairs(w)
-            follows = np.zeros(len(w.ids) + LONGEST, bool)
-            follows[at] = passes(hashes)[kind]
+            grams, places = _grams(w, LONGEST, shared.value)
+            last = np.zeros(len(w.ids), bool)
+            last[grams.at] = True  # both triples of the window may be frequent
             ids = np.append(w.ids + 1, np.zeros(LONGEST, np.int64))  # 0 pads
-            open_, columns = np.ones(len(w.ids), bool), [w.ids + 1]
-            for k in range(1, LONGEST):
-                open_ = open_ & follows[k - 1: k - 1 + len(open_)]
-                columns.append(np.where(open_, ids[k: k + len(open_)], 0))
+            columns = [w.ids + 1]
+            columns += [np.where(here, ids[k: k + len(here)], 0) for k, here in enumerate([*places, last], 1)]
             base = len(w.words) + 1
             left, left_keys = pd.factorize(columns[0] * base + columns[1])
             right, right_keys = pd.factorize(columns[2] * base + columns[3])
@@ -178,7 +208,7 @@ def counts(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``lang``, ``size``, ``phrase``, ``a``: every phrase of up to four words that occurs ``support`` times; the number of all
     words of a language as size 0."""
     texts = _texts(docs)
-    rolled = windows(texts, frequent_pairs(texts, support)).rollup("lang", *WORDS).agg(
+    rolled = windows(texts, frequent(texts, support)).rollup("lang", *WORDS).agg(
         F.sum("n").alias("a"), F.grouping_id().alias("g")
     )
     size = F.lit(LONGEST) - F.bit_count("g")  # the words that are not summed over

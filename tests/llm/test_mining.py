@@ -153,7 +153,7 @@ def test_counts_are_exact_with_a_full_table(spark, documents):
     """A table that lets every pair through only prunes less."""
     texts = documents(*[(i, "a b c d. e f", "en") for i in range(40)]).select("text", "lang")
     full = np.full(1 << (collocation.TABLE_BITS - 6), 2**64 - 1, np.uint64)
-    some = collocation.frequent_pairs(texts, 30)
+    some = collocation.frequent(texts, 30)
     assert sorted(map(tuple, collocation.windows(texts, full).collect())) == sorted(map(tuple, collocation.windows(texts, some).collect()))
 
 
