@@ -104,7 +104,7 @@ def spans(scanned: DataFrame) -> DataFrame:
     placed = matches.withColumn("end", F.sum(F.col("gap") + F.length("hit")).over(upto))
     placed = placed.withColumn("start", F.col("end") - F.length("hit"))
     # a loose run of digits may end in blanks and the like, a loose address in a full stop
-    short = F.regexp_extract("hit", r"^(.*?)[\x20().:/-]*$", 1)
+    short = F.rtrim("hit", F.lit(" ().:/-"))
     loose = F.col("source").isin(*LOOSE)
     placed = placed.withColumn("hit", F.when(loose, short).otherwise(F.col("hit")))
     return placed.select("row", "source", "start", (F.col("start") + F.length("hit")).alias("end"), "hit", "before")
