@@ -30,7 +30,7 @@ from learnlake.session import written
 LONGEST, SUPPORT, COVER, TOP, SCORE = 4, 30, 80, 2000, 2_000_000
 TABLE_BITS = 26  # logarithm of the bits in the table of frequent pairs and triples: 8 MB
 PRUNED = (2, 3)  # sizes that are counted by hash first
-SLICE = 1 << 22  # bytes of text handled at a time; a longer text is handled alone
+SLICE = 1 << 20  # bytes of text handled at a time; a longer text is handled alone
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -66,7 +66,7 @@ def words(texts: pa.Array, langs: pa.Array) -> Words | None:
     if not len(start):
         return None
     row = np.searchsorted(first, start, "right") - 1
-    piece = np.cumsum(breaks, dtype=np.int64)[start]
+    piece = np.cumsum(breaks, dtype=np.int32 if len(data) < 1 << 31 else np.int64)[start]
     joined = np.append((row[1:] == row[:-1]) & (piece[1:] == piece[:-1]), False)
     ends = np.concatenate([[0], np.cumsum(end - start)])
     found = pa.LargeBinaryArray.from_buffers(
