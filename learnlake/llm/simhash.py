@@ -249,6 +249,11 @@ def cluster(docs: DataFrame, distance: int = 3, words: int = 3) -> DataFrame:
     of texts without words (NULL, empty, white space). A row with a NULL id belongs to its component and gets its smallest
     non-NULL id, or NULL if there is none. Repeated rows stay. Columns other than ``doc_id`` and ``text`` are not read.
     """
+    return _rooted(docs, distance, words).select("doc_id", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, distance: int, words: int) -> DataFrame:
+    """As ``cluster``, with ``root``, the fingerprint that names the component."""
     marked = written(fingerprints(docs, ["doc_id"], words), "simhash-fingerprints")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     count = distinct.count()
@@ -257,22 +262,31 @@ def cluster(docs: DataFrame, distance: int = 3, words: int = 3) -> DataFrame:
     roots = components(links(distinct, plan, distance))
     joined = distinct.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = joined.join(smallest, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = 3, words: int = 3) -> DataFrame:
-    """The row with the smallest id of each component, with all its columns; of rows that share that id, one.
+    """One row of each component, with all its columns: that with the smallest id, then the smallest fingerprint, then the
+    smallest columns in their order.
 
-    Rows with a NULL id stay only where nothing else of their component has an id (one of them).
+    Rows that share an id but belong to different components each stand for their own. Rows with a NULL id stay only where
+    nothing else of their component has an id. Columns must have an order (no maps).
     """
-    ids = written(cluster(docs, distance, words), "simhash-components")
-    first = ids.where("doc_id = component_id").select("doc_id")
-    named = docs.join(first, "doc_id", "left_semi")
-    if first.groupBy("doc_id").count().where("count > 1").take(1):
-        named = named.dropDuplicates(["doc_id"])
-    lone = ids.where("component_id is null").select(F.col("fp").alias("_fp")).distinct()
-    if not lone.take(1):
-        return named
-    spare = fingerprints(docs.where("doc_id is null"), docs.columns, words, "_fp")
-    return named.unionByName(spare.join(lone, "_fp", "left_semi").dropDuplicates(["_fp"]).drop("_fp"))
+    ids = written(_rooted(docs, distance, words), "simhash-components")
+    # NULL ids come last; one row a component
+    chosen = ids.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("m")).select("m.doc_id", "m.fp")
+    chosen = written(chosen, "simhash-chosen")
+    several = written(ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select("doc_id"), "simhash-ids")
+    plain = chosen.join(several, "doc_id", "left_anti").where("doc_id is not null").select("doc_id")
+    kept = docs.join(plain, "doc_id", "left_semi")
+    if several.isEmpty():
+        return kept
+    # fingerprints tell apart the rows of an id that has more than one
+    again = docs.join(several.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    marked = fingerprints(again, docs.columns, words, "_fp").join(
+        chosen.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp0")),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_fp0")), "left_semi",
+    )
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    return kept.unionByName(marked.groupBy("doc_id", "_fp").agg(row).select("row.*"))
