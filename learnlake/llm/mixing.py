@@ -54,6 +54,10 @@ def targets(sizes: dict, weights: dict, most: float = 3.0) -> dict:
     return goal
 
 
+def _settled(p: float) -> float:
+    return 0.0 if p <= EDGE else 1.0 if p >= 1 - EDGE else p
+
+
 def flight(p: list[float], size: list[int], draw: Callable[[], float]) -> list[float]:
     """The probabilities after the flight phase; their sum and their words' sum stay, at most two are between 0 and 1."""
     p = list(p)
@@ -86,7 +90,7 @@ def _step(p: list[float], size: list[int], at: list[int], draw: Callable[[], flo
     step = up if draw() * (up + down) < down else -down
     for i, x in zip(at, u):
         p[i] += step * x
-        p[i] = 0.0 if p[i] <= EDGE else 1.0 if p[i] >= 1 - EDGE else p[i]
+        p[i] = _settled(p[i])
     return [i for i in at if 0 < p[i] < 1]
 
 
@@ -118,7 +122,8 @@ def _fly(seed: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
         away = np.isin(np.arange(len(block)), _spread(len(block)))
         block, rest = pd.concat([block[~away], block[away]]), block[~away]
         rng = np.random.default_rng([seed, len(block), int(block["hash"].iloc[0]) & 0xFFFFFFFF])
-        size, chance = block["size"].tolist(), block["p"].tolist()
+        # what is as good as settled is settled before the flight, so that it can neither be skipped by it nor be left to land
+        size, chance = block["size"].tolist(), [_settled(x) for x in block["p"].tolist()]
         p = flight(chance[: len(rest)], size[: len(rest)], rng.random) + chance[len(rest):]
         block["p"] = land(p, size) if last else p
         return block

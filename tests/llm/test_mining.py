@@ -230,3 +230,15 @@ def test_bounds_leave_out_most_entries():
     every = ((x[:, None] - book[None]) ** 2).sum(axis=2)
     assert (at == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
     assert tried < 0.2 * every.size
+
+
+# ---- mixing with probabilities next to 0 and 1
+
+
+def test_mix_of_probabilities_that_are_nearly_whole(spark, documents):
+    """Weights 0.1 and 0.2 over sources of 100 and 200 documents of a word: the share wanted is one but for a rounding error."""
+    from learnlake.llm import mixing
+
+    docs = documents(*[(i, "word", None, "a" if i < 100 else "b") for i in range(300)])
+    rows = mixing.mix(docs, lambda names: {s: {"a": 0.1, "b": 0.2}[s] for s in names}).collect()
+    assert len(rows) == 300 and {r.taken for r in rows} == {1}
