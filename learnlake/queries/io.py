@@ -22,7 +22,7 @@ from learnlake.queries.registry import query, table_sql
 from learnlake.queries.warehouse import FACT_SQL, fact_tables
 from learnlake.schemas import gold
 from learnlake.session import scratch_path, written
-from learnlake.sinks import archive, merge, tables
+from learnlake.sinks import archive, ledger, merge, tables
 from learnlake.sources import envelope, files
 from learnlake.streaming import jobs
 
@@ -567,8 +567,8 @@ def stream_raw_replay(t):
     ).awaitTermination()
     for _ in range(2):  # a repeated replay adds nothing
         jobs.replay_raw(log, out)
-    raw = t.spark.read.parquet(f"{out}/raw_tables")
-    origin = F.when(F.col("batch") == "replay", "replay").otherwise("stream")
+    raw = jobs.raw_tables(t.spark, out)
+    origin = F.when(F.startswith(F.col("batch"), F.lit("replay")), "replay").otherwise("stream")
     return raw.select("table_name", at("event", "id").alias("id"), origin.alias("origin"))
 
 
@@ -605,3 +605,31 @@ def stream_change_job(t):
         stream, lambda df, i: jobs.run_change_batch(one_table, df, i, out, database=database), scratch_path(t.spark, "cp")
     ).awaitTermination()
     return merge.read(t.spark, f"{database}.dim_user").select("user_id", "first_name")
+
+
+@query(
+    "stream_new_checkpoint",
+    f"""SELECT 'raw' AS sink, 'ev' || event_id AS id FROM events
+        UNION ALL SELECT 'verb', 'st' || event_id FROM {EVENTS_SQL} WHERE {HAS_ROWS_SQL}
+        UNION ALL SELECT 'log', {SEQUENCE_SQL} FROM events""",
+)
+def stream_new_checkpoint(t):
+    """Two jobs drain half of a stream, lose their checkpoints and drain all of it again, from the start: raw tables, a
+    dimension and the ingest log have every record once."""
+    out, inbox = scratch_path(t.spark, "restart"), scratch_path(t.spark, "records")
+    records = inputs.learning_records(t)
+    now = F.lit("1970-01-01").cast("timestamp")  # nothing is late
+    for part in (F.xxhash64("eventID") % 2 == 0, F.xxhash64("eventID") % 2 != 0):
+        records.where(part).repartition(4).write.mode("append").parquet(inbox)
+        for name, handle in {
+            "raw": lambda df, i: jobs.run_raw_batch(df, i, f"{out}/raw", now=now),
+            "learning": lambda df, i: jobs.run_batch(jobs.LEARNING, df, i, f"{out}/learning"),
+        }.items():
+            stream = jobs.source(t.spark, inbox, records.schema, "parquet", 3)
+            jobs.start(stream, handle, scratch_path(t.spark, f"checkpoint-{name}")).awaitTermination()
+    table = lambda n: ledger.visible(t.spark, f"{out}/learning", t.spark.read.parquet(f"{out}/learning/tables/{n}"))
+    return files.union_all([
+        jobs.raw_tables(t.spark, f"{out}/raw").select(F.lit("raw").alias("sink"), at("event", "id").alias("id")),
+        table("gold.dim_lrs_verb").select(F.lit("verb").alias("sink"), F.col("statement_id").alias("id")),
+        table("infrastructure.kinesis_log").select(F.lit("log").alias("sink"), F.col("sequence_number").alias("id")),
+    ])

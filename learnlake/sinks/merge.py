@@ -4,7 +4,7 @@ Plain parquet has no row-level merge. A batch only appends its reduced changes,
 then moves the table's head to that number with one catalog statement. A reader takes base and head in one look at the
 catalog and applies the changes in between as joins, so it sees whole batches only. ``compact`` writes base and log as a
 new base and switches to it with one statement; the log up to there is no longer read. A repeated batch overwrites its
-own log folder. Batch numbers rise.
+own log folder. Batch numbers rise, also over checkpoints (see ``ledger``); a batch below the base is an error.
 """
 
 from __future__ import annotations
@@ -80,8 +80,10 @@ def merge(
 ) -> None:
     """Add one batch of changes, one row per key (see ``changes.latest``), and publish it."""
     after, head, _, log = _state(spark, table)
-    if batch <= after:
-        return  # a repeat of a batch that the base already holds
+    if batch < after:
+        raise ValueError(f"batch {batch} of {table} comes after batch {after}, which its base holds")
+    if batch == after:
+        return  # a repeat of the batch that the base ends with
     fields = _log_schema(spark.table(table).schema, keys, mapped).fields
     rows = last.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     rows.hint("rebalance").write.mode("overwrite").parquet(f"{log}/batch={batch}")

@@ -1,7 +1,8 @@
 """Streaming jobs: the same projections inside ``foreachBatch``.
 
 Each micro-batch is decoded once and kept while its targets are written. A failing target is retried, then parked as
-JSON, and never stops the others. Every write is named after the batch, so a repeated batch replaces its own output.
+JSON, and never stops the others. Every write is named after the batch's number in the output folder's ledger, so a
+repeated batch replaces its own output and a run with a new checkpoint neither overwrites nor repeats what another loaded.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from learnlake.operators.shaping import once
 from learnlake.parallel import attempt, each
 from learnlake.plans import admin, lrs_stream, reading
 from learnlake.schemas import gold
-from learnlake.sinks import archive, merge, tables
+from learnlake.session import written
+from learnlake.sinks import archive, ledger, merge, tables
 from learnlake.sources import envelope
 
 # Source settings.
@@ -109,19 +111,30 @@ def _log_and_archive(job: Job, events: DataFrame, decoded: DataFrame, out: str,
     })
 
 
+def _identity() -> ledger.Identity:
+    return before_colon(F.col("eventID")), F.col("sequenceNumber"), arrival_time(F.col("approximateArrivalTimestamp"))
+
+
 def _open(job: Job, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     decoded = envelope.decode(records).persist(StorageLevel.MEMORY_AND_DISK)
     return decoded, envelope.good(decoded).where(job.admit())
 
 
 def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str, tuple[str, str | None]]:
-    """Decode, archive, log and append one micro-batch; returns the status of every target table."""
-    decoded, events = _open(job, records)
-    try:
-        _log_and_archive(job, events, decoded, out, batch_id)
-        return each({t: partial(_write_target, build(events), t, out, batch_id) for t, build in job.targets.items()})
-    finally:
-        decoded.unpersist()
+    """Decode, archive, log and append one micro-batch; returns the status of every target table.
+
+    A batch that has committed before is not run again and returns no status.
+    """
+
+    def work(taken: DataFrame, number: int) -> dict[str, tuple[str, str | None]]:
+        decoded, events = _open(job, taken)
+        try:
+            _log_and_archive(job, events, decoded, out, number)
+            return each({t: partial(_write_target, build(events), t, out, number) for t, build in job.targets.items()})
+        finally:
+            decoded.unpersist()
+
+    return ledger.run(records, out, batch_id, _identity(), work) or {}
 
 
 def run_change_batch(
@@ -134,31 +147,34 @@ def run_change_batch(
 ) -> dict[str, tuple[str, str | None]]:
     """Decode one micro-batch of updates and deletes and merge it into the catalog tables of ``database``."""
     spark = records.sparkSession
-    decoded, events = _open(job, records)
-    events = events.withColumns(
-        {
-            "op": routing.change_kind(admin.action()),
-            "arrival": F.col("approximateArrivalTimestamp"),
-            "seq": sequence_key(F.col("sequenceNumber")),
-        }
-    )
 
-    def write(table: str, build: Callable[..., DataFrame]) -> tuple[str, str | None]:
+    def write(events: DataFrame, number: int, table: str, build: Callable[..., DataFrame]) -> tuple[str, str | None]:
         rows = build(events, ["op", "arrival", "seq"])
         order = ["arrival", "seq"] + (["item_no"] if "item_no" in rows.columns else [])
         last = changes.latest(rows, keys[table], order)
         name, base, columns = f"{database}.{table.split('.')[1]}", f"{out}/merged", gold.data_columns(table)
         merge.create(spark, name, gold.schema(table), base)
         return attempt(
-            lambda: merge.merge(spark, name, last, keys[table], columns, batch_id),
-            lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(batch_id)),
+            lambda: merge.merge(spark, name, last, keys[table], columns, number),
+            lambda: archive.write_failed(rows, f"{out}/errors", table, "upsert_delete", str(number)),
         )
 
-    try:
-        _log_and_archive(job, events, decoded, out, batch_id)
-        return each({table: partial(write, table, build) for table, build in job.targets.items()})
-    finally:
-        decoded.unpersist()
+    def work(taken: DataFrame, number: int) -> dict[str, tuple[str, str | None]]:
+        decoded, events = _open(job, taken)
+        events = events.withColumns(
+            {
+                "op": routing.change_kind(admin.action()),
+                "arrival": F.col("approximateArrivalTimestamp"),
+                "seq": sequence_key(F.col("sequenceNumber")),
+            }
+        )
+        try:
+            _log_and_archive(job, events, decoded, out, number)
+            return each({table: partial(write, events, number, table, build) for table, build in job.targets.items()})
+        finally:
+            decoded.unpersist()
+
+    return ledger.run(records, out, batch_id, _identity(), work) or {}
 
 
 # -- raw tables: ingest, and replay of what came too late ------------------------------------------------------------
@@ -182,31 +198,47 @@ def run_raw_batch(
     not, every record that was taken is listed in the ingest log, so a replay can tell it apart. Verbs without a raw table
     go to ``unknown`` (None drops them).
     """
-    on_time, late = split_late(
-        records, arrival_time(F.col("approximateArrivalTimestamp")), F.current_timestamp() if now is None else now
-    )
-    notices = _with_shard(late).groupBy("shard_id").agg(
-        F.min_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("start_sequence"),
-        F.max_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("end_sequence"),
-    )
-    numbered = notices.select(F.concat(F.lit(f"{batch_id}-"), F.col("shard_id")).alias("notice_id"), "*")
-    each({
-        "raw": lambda: tables.append_raw(_raw_rows(on_time, unknown), f"{out}/raw_tables", batch=str(batch_id)),
-        "taken": lambda: _with_shard(on_time).select("shard_id", "sequence_number").write.mode("overwrite").parquet(f"{out}/taken/batch={batch_id}"),
-        "notices": lambda: numbered.write.mode("overwrite").parquet(f"{out}/notices/batch={batch_id}"),
-    })
+
+    def work(fresh: DataFrame, number: int) -> None:
+        on_time, late = split_late(
+            fresh, arrival_time(F.col("approximateArrivalTimestamp")), F.current_timestamp() if now is None else now
+        )
+        notices = _with_shard(late).groupBy("shard_id").agg(
+            F.min_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("start_sequence"),
+            F.max_by("sequence_number", sequence_key(F.col("sequence_number"))).alias("end_sequence"),
+        )
+        numbered = notices.select(F.concat(F.lit(f"{number}-"), F.col("shard_id")).alias("notice_id"), "*")
+        taken = _with_shard(on_time).select("shard_id", "sequence_number")
+        each({
+            "raw": lambda: tables.append_raw(_raw_rows(on_time, unknown), f"{out}/raw_tables", batch=str(number)),
+            "taken": lambda: taken.write.mode("overwrite").parquet(f"{out}/taken/batch={number}"),
+            "notices": lambda: numbered.write.mode("overwrite").parquet(f"{out}/notices/batch={number}"),
+        })
+
+    ledger.run(records, out, batch_id, _identity(), work)
 
 
-def replay_raw(log: DataFrame, out: str, name: str = "replay", unknown: str | None = routing.CATCH_ALL) -> None:
+def raw_tables(spark: SparkSession, out: str) -> DataFrame:
+    """The raw tables' rows of committed batches and of replays."""
+    return ledger.visible(spark, out, spark.read.parquet(f"{out}/raw_tables"))
+
+
+def replay_raw(log: DataFrame, out: str, name: str | None = None, unknown: str | None = routing.CATCH_ALL) -> None:
     """Read the records that the notices name again from the stream's ``log`` and load those not taken before.
 
-    A repeated replay of the same name replaces itself.
+    A replay is named after the notices it read, unless it is given a name, and lists what it took: a repeated one replaces
+    itself, and one that runs after more notices have come adds to the earlier ones.
     """
     spark = log.sparkSession
-    notices, taken = spark.read.parquet(f"{out}/notices"), spark.read.parquet(f"{out}/taken")
+    notices, taken = (ledger.visible(spark, out, spark.read.parquet(f"{out}/{x}")) for x in ("notices", "taken"))
+    if name is None:
+        seen = notices.agg(F.count("*"), F.bit_xor(F.xxhash64("notice_id", "start_sequence", "end_sequence"))).first()
+        name = f"replay-{seen[0]}-{(seen[1] or 0) & (2**63 - 1):x}"
     key = ["shard_id", "sequence_number"]
     found = joins.replay(_with_shard(log), notices.drop("batch"))
-    again = found.drop("notice_id").join(taken.select(*key), key, "left_anti").dropDuplicates(key)
+    before = taken.where(F.col("batch").cast("string") != name).select(*key)
+    again = written(found.drop("notice_id").join(before, key, "left_anti").dropDuplicates(key), "replayed")
+    again.select(*key).write.mode("overwrite").parquet(f"{out}/taken/batch={name}")
     tables.append_raw(_raw_rows(again, unknown), f"{out}/raw_tables", batch=name)
 
 
@@ -216,23 +248,28 @@ def run_queue_batch(messages: DataFrame, batch_id: int, out: str) -> None:
 
     Both are kept by batch, so a repeated batch replaces itself; ``queue_table`` puts them together.
     """
-    rows = reading.from_queue(envelope.good(envelope.from_queue(messages))).persist(StorageLevel.MEMORY_AND_DISK)
     deleting = F.coalesce(F.col("action") == "delete", F.lit(False))
     path = f"{out}/{reading.TABLE}"
-    try:
-        each({
-            "rows": lambda: tables.append(rows.where(~deleting), reading.TABLE, f"{path}/rows", str(batch_id)),
-            "deletes": lambda: rows.where(deleting).select("id").distinct().write.mode("overwrite").parquet(f"{path}/deletes/batch={batch_id}"),
-        })
-    finally:
-        rows.unpersist()
+
+    def work(fresh: DataFrame, number: int) -> None:
+        rows = reading.from_queue(envelope.good(envelope.from_queue(fresh))).persist(StorageLevel.MEMORY_AND_DISK)
+        gone = rows.where(deleting).select("id").distinct()
+        try:
+            each({
+                "rows": lambda: tables.append(rows.where(~deleting), reading.TABLE, f"{path}/rows", str(number)),
+                "deletes": lambda: gone.write.mode("overwrite").parquet(f"{path}/deletes/batch={number}"),
+            })
+        finally:
+            rows.unpersist()
+
+    ledger.run(messages, out, batch_id, (F.lit("queue"), F.col("messageId"), F.lit(None).cast("timestamp")), work)
 
 
 def queue_table(spark: SparkSession, out: str) -> DataFrame:
     """Appended rows that no delete of their own or a later batch names."""
     path = f"{out}/{reading.TABLE}"
-    rows = spark.read.parquet(f"{path}/rows")
-    last = spark.read.parquet(f"{path}/deletes").where(F.col("id").isNotNull()).groupBy("id").agg(F.max("batch").alias("gone"))
+    rows, deletes = (ledger.visible(spark, out, spark.read.parquet(f"{path}/{x}")) for x in ("rows", "deletes"))
+    last = deletes.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("batch").alias("gone"))
     kept = joins.lookup(rows, last, ["id"]).where(F.col("gone").isNull() | (F.col("batch") > F.col("gone")))
     return kept.select(*gold.COLUMNS[reading.TABLE])
 

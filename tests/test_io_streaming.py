@@ -299,9 +299,15 @@ def test_raw_ingest_parks_and_replays(spark):
     assert (notice.start_sequence, notice.end_sequence) == ("3", "6")
     for _ in range(2):
         jobs.replay_raw(log, out)
-    assert sorted(json.loads(e)["id"] for b, e in raw() if b == "replay") == ["e3", "e4", "e6"] and len(raw()) == 10
+    assert sorted(json.loads(e)["id"] for b, e in raw() if b.startswith("replay-")) == ["e3", "e4", "e6"] and len(raw()) == 10
     kept = spark.read.parquet(f"{out}/raw_tables").groupBy("table_name").count().collect()
     assert {r.table_name: r["count"] for r in kept} == {"lrs_events_answered": 5, "lrs_events_all": 5}
+    # a later replay, after more notices and from a log that no longer has the earlier records, adds to the first one
+    later = spark.createDataFrame([record(i, {"id": f"e{i}", "verbID": VERB_PREFIX + "answered"}, 600.0) for i in (20, 21)], ENVELOPE)
+    jobs.run_raw_batch(later, 1, out, now=now)
+    for _ in range(2):
+        jobs.replay_raw(later, out)
+    assert sorted(json.loads(e)["id"] for b, e in raw() if b.startswith("replay-")) == ["e20", "e21", "e3", "e4", "e6"]
     dropped = scratch_path(spark, "dropped")
     jobs.run_raw_batch(log, 0, dropped, now=now, unknown=None)
     assert spark.read.parquet(f"{dropped}/raw_tables").count() == 4
