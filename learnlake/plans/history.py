@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from learnlake.operators.shaping import reshape
 from learnlake.schemas import gold
 from learnlake.session import written
+from learnlake.sinks import ledger
 from learnlake.sinks.tables import load_folder, write_bucketed
-from learnlake.sources.files import listing, unprocessed
+from learnlake.sources import files
+from learnlake.sources.files import decoded, listing, unprocessed
 
 # Columns cut to 256 bytes.
 SHORT_IDS = ("id_system", "statement_id", "lrs_id", "client_id")
@@ -65,7 +68,8 @@ def _targets(results: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFrame, out: str, database: str) -> DataFrame:
     """Convert the result files not yet in ``done(path)`` and load both tables; returns the paths to add to ``done``.
 
-    The files are chosen by a join on their path inside one read of the folder, and the de-duplicated rows are written
+    For inputs whose paths are recorded elsewhere; ``follow`` lets the checkpoint do it and reads new files only. The files
+    are chosen by a join on their path inside one read of the folder, and the de-duplicated rows are written
     once for both targets. A run is named after its files: a run that failed between the two tables, or before its files
     were recorded, replaces what it had written when it is repeated. Tables are created once and gain partitions.
     """
@@ -76,7 +80,7 @@ def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFra
     run_id = f"{name[0]}-{name[1] & (2**63 - 1):x}"
     every = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(results_path)
     chosen = every.withColumn("__path", F.col("_metadata.file_path")).join(
-        fresh.select(_plain(F.col("path")).alias("__fresh")), _plain(_decoded(F.col("__path"))) == F.col("__fresh"), "left_semi"
+        fresh.select(_plain(F.col("path")).alias("__fresh")), _plain(decoded(F.col("__path"))) == F.col("__fresh"), "left_semi"
     )
     _all_read(spark, results_path, fresh)
     results = written(chosen.drop("__path").distinct(), "results")
@@ -88,19 +92,47 @@ def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFra
     return fresh
 
 
+def follow(
+    spark: SparkSession, results_path: str, objects_path: str, checkpoint: str, out: str, database: str,
+    archive: str | None = None, files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Convert what has come since the last run: the checkpoint knows the result files that were read, so no old file is
+    listed against a table of paths or opened again.
+
+    The new files are one batch unless ``files_per_batch`` cuts them; rows are de-duplicated within a batch. Batches are
+    named by the ledger: one that failed between the two tables, or after its files were written, replaces what it had
+    written when it is tried again, and a run with a new checkpoint leaves out the files that earlier ones have committed.
+    """
+    results = files.follow(spark, results_path, archive=archive, files_per_batch=files_per_batch)
+
+    def convert_new(batch: DataFrame, batch_id: int) -> None:
+        commit = ledger.begin(spark, out, batch_id)
+        if not commit.done:
+            fresh = ledger.fresh(commit, batch, F.lit("file"), F.col("__path"), F.lit(None).cast("timestamp"))
+            rows = written(fresh.drop("__path").distinct(), "results")
+            objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path).distinct()
+            for table, made in _targets(rows, objects).items():
+                write_bucketed(made, f"{out}/{table}/run={commit.number}", mode="overwrite")
+            ledger.finish(spark, commit)
+        # naming partitions can be repeated: what committed last, also under an older checkpoint, is named again
+        ends = [n * ledger.EPOCH + b for n, b in (commit.sealed or {}).items() if b >= 0]
+        for number in [*ends, commit.number]:
+            for table, schema in (("dim_lrs_result", RESULT_SCHEMA), ("dim_lrs_result_scorm", SCORM_SCHEMA)):
+                load_folder(spark, f"{out}/{table}/run={number}", f"{database}.{table}", schema, f"{out}/{table}", str(number))
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    writer = results.writeStream.foreachBatch(lambda df, i: convert_new(df, i) and None)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _all_read(spark: SparkSession, folder: str, fresh: DataFrame) -> None:
     """Fails if a fresh file would not be found by its decoded path: it would be recorded as done without being read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
-    found = files.select(_plain(_decoded(F.col("_metadata.file_path"))).alias("path"))
+    found = files.select(_plain(decoded(F.col("_metadata.file_path"))).alias("path"))
     lost = fresh.select(_plain(F.col("path")).alias("path")).join(found, "path", "left_anti").limit(3).collect()
     if lost:
         raise ValueError(f"listed files are not read: {[r['path'] for r in lost]}")
 
 
-def _decoded(path: Column) -> Column:
-    """The path behind ``_metadata.file_path``, in which a plus sign stands for itself; listings are not encoded."""
-    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
 def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")

@@ -388,12 +388,45 @@ def batch_refresh_rows(t):
 LINE_SQL = "CAST(l_orderkey AS VARCHAR) || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|' || l_returnflag"
 
 
-@query(
-    "history_job",
-    f"""WITH l AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS statement_id, {LINE_SQL} AS response FROM lineitem)
+HISTORY_SQL = f"""WITH l AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS statement_id, {LINE_SQL} AS response FROM lineitem)
         SELECT 'dim_lrs_result_scorm' AS table_name, statement_id, response FROM l UNION ALL
         SELECT 'dim_lrs_result', statement_id, response FROM l
-          WHERE statement_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)""",
+          WHERE statement_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)"""
+
+
+def _old_results(t) -> tuple[DataFrame, DataFrame]:
+    """Result and object rows as they lie in the old files."""
+    line = s(".l_orderkey", "|", ".l_linenumber", "|", ".l_partkey", "|", ".l_suppkey", "|", ".l_returnflag")
+    lines = t.lineitem.select(
+        line.alias("response"), F.lit("sys").alias("id_sys"), F.lit("l").alias("lrs_id"), F.lit("c").alias("client_id"),
+        F.col("l_orderkey").cast("string").alias("id_statement"), line.alias("scorm&46_response"),
+    )
+    return lines, t.orders.select(F.col("o_orderkey").cast("string").alias("id_statement"), F.lit("choice").alias("interactionType"))
+
+
+@query("history_stream", HISTORY_SQL)
+def history_stream(t):
+    """The conversion as a job that follows its folder: two runs with a file each to read, one with nothing new, and one that
+    starts with a new checkpoint; every row is in its table once."""
+    out = scratch_path(t.spark, "conversion")
+    database = f"history_{out[-8:]}"
+    lines, objects = _old_results(t)
+    objects.write.parquet(f"{out}/in/objects")
+    first = F.pmod(F.xxhash64("response"), F.lit(2)) == 0  # equal rows come in the same file
+    for part, checkpoint in ((first, "a"), (~first, "a"), (None, "a"), (None, "b")):
+        if part is not None:
+            lines.where(part).write.mode("append").parquet(f"{out}/in/results")
+        history.follow(
+            t.spark, f"{out}/in/results", f"{out}/in/objects", f"{out}/checkpoint-{checkpoint}", f"{out}/tables", database
+        ).awaitTermination()
+    tables_of = ("dim_lrs_result", "dim_lrs_result_scorm")
+    frames = [t.spark.table(f"{database}.{n}").select(F.lit(n).alias("table_name"), "statement_id", "response") for n in tables_of]
+    return frames[0].unionByName(frames[1])
+
+
+@query(
+    "history_job",
+    HISTORY_SQL,
 )
 def history_job(t):
     """Conversion from files to registered, bucketed tables, row by row.
@@ -402,13 +435,8 @@ def history_job(t):
     """
     out = scratch_path(t.spark, "conversion")
     database = f"history_{out[-8:]}"
-    line = s(".l_orderkey", "|", ".l_linenumber", "|", ".l_partkey", "|", ".l_suppkey", "|", ".l_returnflag")
-    lines = t.lineitem.select(
-        line.alias("response"), F.lit("sys").alias("id_sys"), F.lit("l").alias("lrs_id"), F.lit("c").alias("client_id"),
-        F.col("l_orderkey").cast("string").alias("id_statement"), line.alias("scorm&46_response"),
-    )
+    lines, objects = _old_results(t)
     lines.write.parquet(f"{out}/in/results")
-    objects = t.orders.select(F.col("o_orderkey").cast("string").alias("id_statement"), F.lit("choice").alias("interactionType"))
     objects.write.parquet(f"{out}/in/objects")
     done = t.spark.createDataFrame([], "path string")
     # a table of another shape stands in the way of the second target, so the first run fails between the two

@@ -178,7 +178,7 @@ def fresh(commit: Commit, records: DataFrame, shard: Column, sequence: Column, a
         records = marked.join(known, same, "left_anti").drop("__shard", "__sequence")
         own = _identity(records, shard, sequence, arrival)
     # a repeated batch notes its records again, which changes nothing
-    noted = own.select(F.lit(commit.epoch).alias("epoch"), "day", F.lit(commit.number).alias("number"), "shard_id", "sequence_number")
+    noted = own.select(F.lit(commit.epoch).alias("epoch"), "day", F.lit(commit.number).alias("number"), "shard_id", "sequence_number").distinct()
     noted.write.mode("append").partitionBy("epoch", "day").parquet(path)
     return records
 

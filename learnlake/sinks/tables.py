@@ -123,7 +123,8 @@ def load_folder(spark: SparkSession, path: str, table: str, schema: T.StructType
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run string, bucket int) USING parquet "
         f"PARTITIONED BY (run, bucket) LOCATION '{base}'"
     )
-    buckets = [r[0] for r in spark.read.parquet(path).select("bucket").distinct().collect()]  # the fixed number at most
+    rows = spark.read.schema(T.StructType([T.StructField("bucket", T.IntegerType())])).parquet(path)  # also of an empty folder
+    buckets = [r[0] for r in rows.distinct().collect()]  # the fixed number at most
     specs = " ".join(f"PARTITION (run='{run}', bucket={b}) LOCATION '{path}/bucket={b}'" for b in buckets)
     if specs:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")

@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from learnlake.operators.incremental import unprocessed
 
 
+def decoded(path: Column) -> Column:
+    """The path behind ``_metadata.file_path``, in which a plus sign stands for itself; listings are not encoded."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its decoded path, the text and the parsed document (NULL if it is not JSON)."""
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.try_url_decode(F.col("_metadata.file_path")).alias("path"),
+        decoded(F.col("_metadata.file_path")).alias("path"),
         F.col("value").alias("payload"),
         F.try_parse_json("value").alias("doc"),
     )
@@ -38,7 +43,22 @@ def history(spark: SparkSession, base: str, owners: Iterable[str], years: Iterab
 
 
 def _before(parts: Column, kind: str, steps: int) -> Column:
-    return F.get(parts, F.array_position(parts, kind).cast("int") - 1 - steps)
+    """The folder some steps above the last one named ``kind``; the base path may hold that name too."""
+    from_end = F.array_position(F.reverse(parts), kind).cast("int")
+    return F.when(from_end > 0, F.get(parts, F.size(parts) - from_end - steps))
+
+
+def follow(spark: SparkSession, path: str, schema=None, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """The parquet files below a folder as a stream, with ``__path``: the checkpoint knows which files were read, so a later
+    run opens new files only. With ``archive``, files whose batch is complete are moved there and no longer listed.
+    """
+    reader = spark.readStream.schema(schema or spark.read.option("recursiveFileLookup", True).parquet(path).schema)
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path).select("*", decoded(F.col("_metadata.file_path")).alias("__path"))
 
 
 def load_distinct(spark: SparkSession, *paths: str) -> DataFrame:

@@ -119,3 +119,35 @@ def test_changes_of_a_new_checkpoint_are_applied(spark, as_query):
     with pytest.raises(ValueError, match="comes after"):
         last = spark.createDataFrame([], "op string, reset boolean").limit(0)
         merge.merge(spark, f"{database}.dim_user", last, gold.KEYS["gold.dim_user"], columns, 1)
+
+
+def test_a_second_conversion_reads_new_files_only(spark, tmp_path):
+    from learnlake.plans import history
+    from test_joins_changes import rows_of
+
+    objects = spark.createDataFrame([(f"s{i}", "choice") for i in range(8)], "id_statement string, interactionType string")
+    objects.write.parquet(f"{tmp_path}/objects")
+    results = lambda a, b: spark.createDataFrame(
+        [("sys", "l", "c", f"s{i}", "r") for i in range(a, b)], "id_sys string, lrs_id string, client_id string, id_statement string, response string"
+    )
+    run = lambda name: history.follow(
+        spark, f"{tmp_path}/in", f"{tmp_path}/objects", f"{tmp_path}/{name}", f"{tmp_path}/out", "follow_test"
+    )
+
+    def read(query):
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress if p["batchId"] >= 0)
+
+    results(0, 4).coalesce(1).write.parquet(f"{tmp_path}/in/a+b c")
+    assert read(run("x")) >= 4
+    results(4, 6).coalesce(1).write.parquet(f"{tmp_path}/in/more")
+    before = spark.table("follow_test.dim_lrs_result").count()
+    query = run("x")
+    query.awaitTermination()
+    inputs = [s["numInputRows"] for p in query.recentProgress for s in p["sources"]]
+    # a batch reads its files more than once (to note and to convert), never those of the run before
+    assert before == 4 and sum(inputs) > 0 and sum(inputs) % 2 == 0 and sum(inputs) < 3 * 4
+    assert read(run("x")) == 0
+    read(run("y"))  # a new checkpoint sees all three files again
+    got = rows_of(spark.table("follow_test.dim_lrs_result"), "statement_id")
+    assert got == [(f"s{i}",) for i in range(6)]
