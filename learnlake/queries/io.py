@@ -600,18 +600,15 @@ def stream_raw_replay(t):
     return raw.select("table_name", at("event", "id").alias("id"), origin.alias("origin"))
 
 
-@query(
-    "stream_change_job",
-    """WITH ch AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority,
+CHANGES_SQL = """WITH ch AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority,
              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
            FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P')
        SELECT CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS first_name FROM ch
-       WHERE rn = 1 AND o_orderstatus = 'O'""",
-)
-def stream_change_job(t):
-    """A stream of two micro-batches of updates and deletes merged into the user table; orders arrive by key."""
-    out = scratch_path(t.spark, "changes")
-    database = f"changes_{out[-8:]}"
+       WHERE rn = 1 AND o_orderstatus = 'O'"""
+
+
+def _change_records(t) -> tuple[DataFrame, list]:
+    """Updates and deletes of users, one for each order, and the conditions that cut them into an early and a late half."""
     status = F.col("o_orderstatus")
     action = F.when(status == "F", "user_deleted").when(status == "O", "user_updated").otherwise("user_created")
     joined = spread(t.orders, "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn(
@@ -620,21 +617,47 @@ def stream_change_job(t):
     attributes = user_attributes().withField("name.firstName", F.col("o_orderpriority"))
     events = admin_document(joined, "USER", attributes, "o_orderkey", "c_custkey", "at", action=action)
     records = envelopes(events, F.col("payload"), "o_orderkey", "c_custkey", "at")
-    one_table = jobs.Job(
-        "admin_changes", {"gold.dim_user": jobs.ADMIN_CHANGES.targets["gold.dim_user"]}, jobs.ADMIN_CHANGES.route,
-        jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders,
-    )
+    middle = t.orders.agg(F.percentile_approx("o_orderkey", 0.5).alias("m")).first()["m"]
+    early = F.col("approximateArrivalTimestamp") <= middle
+    return records, [early, ~early]
+
+
+ONE_TABLE = jobs.Job(
+    "admin_changes", {"gold.dim_user": jobs.ADMIN_CHANGES.targets["gold.dim_user"]}, jobs.ADMIN_CHANGES.route,
+    jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders,
+)
+
+
+@query("stream_change_job", CHANGES_SQL)
+def stream_change_job(t):
+    """A stream of two micro-batches of updates and deletes merged into the user table; orders arrive by key."""
+    out = scratch_path(t.spark, "changes")
+    database = f"changes_{out[-8:]}"
+    records, halves = _change_records(t)
     inbox = scratch_path(t.spark, "records")
-    early = F.col("approximateArrivalTimestamp") <= t.orders.agg(F.percentile_approx("o_orderkey", 0.5).alias("m")).first()["m"]
-    for part in (early, ~early):  # a file each, so that the stream's batches follow the order of arrival
+    for part in halves:  # a file each, so that the stream's batches follow the order of arrival
         records.where(part).coalesce(1).write.mode("append").parquet(inbox)
     stream = jobs.source(t.spark, inbox, records.schema, "parquet", 1)
     jobs.start(
-        stream, lambda df, i: jobs.run_change_batch(one_table, df, i, out, database=database), scratch_path(t.spark, "cp")
+        stream, lambda df, i: jobs.run_change_batch(ONE_TABLE, df, i, out, database=database), scratch_path(t.spark, "cp")
     ).awaitTermination()
     return merge.read(t.spark, f"{database}.dim_user").select("user_id", "first_name")
 
 
+@query("stream_change_replay", CHANGES_SQL)
+def stream_change_replay(t):
+    """The late half of the changes is merged and compacted before the early half comes, and then comes again: older changes
+    alter nothing, also not for the users that the newer ones deleted."""
+    out = scratch_path(t.spark, "changes")
+    database = f"changes_{out[-8:]}"
+    records, (early, late) = _change_records(t)
+    for i, part in enumerate((late, early, late, early)):
+        jobs.run_change_batch(ONE_TABLE, records.where(part), i, out, database=database)
+        if i != 1:
+            merge.compact(t.spark, f"{database}.dim_user")
+    return merge.read(t.spark, f"{database}.dim_user").select("user_id", "first_name")
+
+
 @query(
     "stream_new_checkpoint",
     f"""SELECT 'raw' AS sink, 'ev' || event_id AS id FROM events
@@ -661,3 +684,21 @@ def stream_new_checkpoint(t):
         table("gold.dim_lrs_verb").select(F.lit("verb").alias("sink"), F.col("statement_id").alias("id")),
         table("infrastructure.kinesis_log").select(F.lit("log").alias("sink"), F.col("sequence_number").alias("id")),
     ])
+
+
+@query(
+    "stream_delivered_twice",
+    f"""SELECT 'lrs_events_' || verb AS table_name, 'ev' || event_id AS id FROM {EVENTS_SQL}""",
+)
+def stream_delivered_twice(t):
+    """Every record is delivered in two of three batches; the raw tables have it once."""
+    out, inbox = scratch_path(t.spark, "twice"), scratch_path(t.spark, "records")
+    records = inputs.learning_records(t)
+    third = F.pmod(F.xxhash64("eventID"), F.lit(3))
+    for i in range(3):  # a file each, so that they are three batches
+        records.where((third == i) | (third == (i + 1) % 3)).coalesce(1).write.mode("append").parquet(inbox)
+    ends = t.events.agg(F.datediff(F.max("ts"), F.min("ts")).alias("days")).first()
+    stream = jobs.deliver_once(jobs.source(t.spark, inbox, records.schema, "parquet", 1), f"{ends['days'] + 1} days")
+    now = F.lit("1970-01-01").cast("timestamp")  # nothing is late
+    jobs.start(stream, lambda df, i: jobs.run_raw_batch(df, i, out, now=now), scratch_path(t.spark, "cp")).awaitTermination()
+    return jobs.raw_tables(t.spark, out).select("table_name", at("event", "id").alias("id"))

@@ -34,6 +34,7 @@ from learnlake.sources import envelope
 TRIGGER = "1 second"
 FILES_PER_BATCH = 25
 MAX_RECORD_AGE_S = 300
+REDELIVERY = "24 hours"  # how long the stream keeps a record, and so how long it can be delivered again
 
 
 @dataclass
@@ -82,6 +83,19 @@ def split_late(records: DataFrame, arrival: Column, now: Column, max_age_s: int
     return records.where(~late), records.where(late)
 
 
+def deliver_once(records: DataFrame, horizon: str = REDELIVERY) -> DataFrame:
+    """A stream of records without those that were delivered before, in whatever batch, by shard and sequence number.
+
+    The state holds the records that arrived within ``horizon`` of the newest one and is dropped beyond it. Records that
+    arrived earlier than that are dropped too, so the horizon must not be shorter than the stream keeps its records.
+    """
+    keyed = records.withColumns({
+        "__arrived": arrival_time(F.col("approximateArrivalTimestamp")), "__shard": before_colon(F.col("eventID")),
+    })
+    once_each = keyed.withWatermark("__arrived", horizon).dropDuplicatesWithinWatermark(["__shard", "sequenceNumber"])
+    return once_each.drop("__arrived", "__shard")
+
+
 def _write_target(rows: DataFrame, table: str, out: str, batch_id: int, op: str = "insert") -> tuple[str, str | None]:
     return attempt(
         lambda: tables.append(rows, table, f"{out}/tables/{table}", str(batch_id)),

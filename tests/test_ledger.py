@@ -151,3 +151,38 @@ def test_a_second_conversion_reads_new_files_only(spark, tmp_path):
     read(run("y"))  # a new checkpoint sees all three files again
     got = rows_of(spark.table("follow_test.dim_lrs_result"), "statement_id")
     assert got == [(f"s{i}",) for i in range(6)]
+
+
+def test_an_older_change_after_a_newer_one_changes_nothing(spark):
+    """Out of order by batch, with and without the newer one in a compacted base; a deleted key stays deleted."""
+    for compacted in (False, True):
+        out = scratch_path(spark, "order")
+        database = f"order_{out[-8:]}"
+        job = jobs.Job("changes", {"gold.dim_user": jobs.ADMIN_CHANGES.targets["gold.dim_user"]}, jobs.ADMIN_CHANGES.route,
+                       jobs.ADMIN_CHANGES.admit, jobs.ADMIN_CHANGES.layout, jobs.ADMIN_CHANGES.folders)
+        batches = [
+            [user(10, "a", "updated", "new"), user(11, "b", "deleted", ""), user(12, "c", "updated", "c1")],
+            [user(3, "a", "updated", "old"), user(4, "b", "updated", "old"), user(5, "c", "deleted", "")],
+            [user(13, "c", "updated", "c2"), user(10, "a", "updated", "new")],
+        ]
+        for i, rows in enumerate(batches):
+            jobs.run_change_batch(job, spark.createDataFrame(rows, ENVELOPE), i, out, database=database)
+            if compacted:
+                merge.compact(spark, f"{database}.dim_user")
+        got = sorted((r.user_id, r.first_name) for r in merge.read(spark, f"{database}.dim_user").collect())
+        assert got == [("a", "new"), ("c", "c2")]
+
+
+def test_the_state_of_delivered_records_is_bounded(spark, tmp_path):
+    """Duplicates go; identities older than the horizon leave the state."""
+    hour = 3600.0
+    parts = [[record(1, "{}", hour / 2), record(2, "{}", hour)], [record(2, "{}", hour), record(3, "{}", 90 * hour)], [record(4, "{}", 91 * hour)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, ENVELOPE).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = jobs.deliver_once(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], ENVELOPE).schema, "parquet", 1))
+    got = []
+    query = jobs.start(stream, lambda df, i: got.extend(r.sequenceNumber for r in df.collect()), f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert sorted(got) == ["1", "2", "3", "4"]
+    kept = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert max(kept) <= 3 and kept[-1] <= 2
