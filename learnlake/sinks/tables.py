@@ -13,6 +13,7 @@ from learnlake.functions.ids import bucket
 from learnlake.functions.text import blank_to_null
 from learnlake.operators.shaping import conform, stamp
 from learnlake.session import written
+from learnlake.sources import quoted
 
 BUCKETS = 50
 
@@ -155,12 +156,13 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejected)``: rows with blanks as NULL, and the records (column ``value``) that do not fit the schema.
 
-    The records are parsed once and staged in the shared folder. A file is one task's work, since a line break may
-    stand inside a value; the loader's inputs come in files of bounded size.
+    A file is cut into records by many tasks (see ``quoted``); the records are parsed once and staged in the shared folder.
     """
     whole = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
-    reader = spark.read.schema(whole).options(**CSV, **MULTILINE).option("columnNameOfCorruptRecord", REJECTED)
-    staged = written(reader.option("nullValue", "\\N").csv(path), "csv")
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.fields)
+    options = CSV | MULTILINE | {"columnNameOfCorruptRecord": REJECTED, "nullValue": "\\N"}
+    parsed = quoted.records(spark, path).select(F.from_csv("value", shape, options).alias("r"))
+    staged = written(parsed.select("r.*"), "csv")
     bad = F.col(REJECTED)
     return blanks_to_null(staged.where(bad.isNull()).drop(REJECTED)), staged.where(bad.isNotNull()).select(bad.alias("value"))
 
