@@ -17,13 +17,17 @@ from pyspark.sql import functions as F
 from learnlake.llm import vectors
 from learnlake.session import written
 
-LEAF = 64
-CHILDREN = 12
+LEAF = 64  # rows a lowest node has on average
 EXACT = 2.0**53  # sums of products below this are exact in doubles
+FAR = 2.0**400  # components beyond this have no squared distance in doubles; they are compared without a tree
 
 
 @dataclass
 class Node:
+    """A centre, which is one of the rows, at a level: everything below lies within ``radius``."""
+
+    point: int
+    level: int
     at: np.ndarray  # rows below the node
     centre: np.ndarray
     norm: float
@@ -31,32 +35,73 @@ class Node:
     children: list["Node"]
 
 
-def build(x: np.ndarray, at: np.ndarray | None = None) -> Node:
-    """A cover tree: centres are picked farthest first and until the rest lies within half the radius."""
-    at = np.arange(len(x)) if at is None else at
-    centre = x[at].mean(axis=0)
-    far = np.sqrt(((x[at] - centre) ** 2).sum(axis=1))
-    node = Node(at, centre, float(np.sqrt(centre @ centre)), float(far.max()), [])
-    if len(at) <= LEAF or node.radius == 0:
-        return node
-    nearest, owner = np.full(len(at), np.inf), np.zeros(len(at), int)
-    pick = int(far.argmax())
-    for k in range(CHILDREN):
-        gap = np.sqrt(((x[at] - x[at[pick]]) ** 2).sum(axis=1))
-        owner[gap < nearest] = k
-        nearest = np.minimum(nearest, gap)
+def _gaps(x: np.ndarray, point: int) -> np.ndarray:
+    return np.sqrt(((x - x[point]) ** 2).sum(axis=1))
+
+
+def net(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centres by farthest-first traversal, the level of each, and the nearest centre (its place) of every row.
+
+    A centre's level is the greatest i with 2**i below its distance to the centres before it. So the centres of level i and
+    above are more than 2**i apart, and every centre is within 2**i of one of them. The first one is above all levels.
+    """
+    points, levels, owner = [0], [np.inf], np.zeros(len(x), int)
+    nearest = _gaps(x, 0)
+    while len(points) < max(1, len(x) // LEAF):
         pick = int(nearest.argmax())
-        if k and nearest[pick] <= node.radius / 2:
+        if nearest[pick] == 0:
             break
-    groups = [at[owner == k] for k in np.unique(owner)]
-    node.children = [build(x, g) for g in groups] if len(groups) > 1 else []
-    return node
+        levels.append(float(np.ceil(np.log2(nearest[pick])) - 1))
+        gap = _gaps(x, pick)
+        owner[gap < nearest] = len(points)
+        nearest = np.minimum(nearest, gap)
+        points.append(pick)
+    return np.array(points), np.array(levels), owner
+
+
+def build(x: np.ndarray) -> Node:
+    """A cover tree down to its lowest centres, each with the rows that are nearest to it.
+
+    Levels nest (a node's first child has its point), cover (a child's point is within 2**level of its parent's) and
+    separate (points of a level are more than 2**level apart). Levels at which a node has no new child are left out.
+    """
+    points, levels, owner = net(x)
+    below: dict[int, list[int]] = {}  # place of a centre -> places of the centres hung below it, highest first
+    for k in np.argsort(-levels, kind="stable")[1:]:
+        higher = np.flatnonzero(levels > levels[k])
+        parent = higher[((x[points[higher]] - x[points[k]]) ** 2).sum(axis=1).argmin()]
+        below.setdefault(int(parent), []).append(int(k))
+    order = np.argsort(owner, kind="stable")
+    edges = np.searchsorted(owner[order], np.arange(len(points) + 1))
+
+    def node(k: int, level: float, at: np.ndarray, children: list[Node]) -> Node:
+        centre = x[points[k]]
+        gap = np.sqrt(((x[at] - centre) ** 2).sum(axis=1))
+        return Node(int(points[k]), int(level), at, centre, float(np.sqrt(centre @ centre)), float(gap.max()), children)
+
+    made: dict[int, Node] = {}
+    for k in np.argsort(levels, kind="stable"):  # lowest first, so that what hangs below a centre is there
+        own = node(k, levels[below[k][-1]] if k in below else (levels[k] if k else 0), order[edges[k]: edges[k + 1]], [])
+        hung = below.get(int(k), [])
+        for level in sorted({levels[c] for c in hung}):
+            new = [made[c] for c in hung if levels[c] == level]
+            own = node(k, level + 1, np.concatenate([own.at, *[c.at for c in new]]), [own, *new])
+        made[int(k)] = own
+    return made[0]
 
 
 def _leaves(at: np.ndarray) -> list[np.ndarray]:
     return [at[i: i + 4 * LEAF] for i in range(0, len(at), 4 * LEAF)]
 
 
+def whole(x: np.ndarray, scale: int) -> np.ndarray:
+    """``floor(scale * x)`` (a power of two) as doubles where these are exact, else as integers of any size."""
+    if np.abs(x).max(initial=0) < EXACT / scale:
+        return np.floor(x * scale)
+    flat = [int(v) * scale if abs(v) >= EXACT else int(np.floor(v * scale)) for v in x.ravel().tolist()]
+    return np.array(flat, object).reshape(x.shape)
+
+
 def products(x: np.ndarray, y: np.ndarray, plain: bool) -> np.ndarray:
     """Integer inner products; in doubles where these are exact, else in Python's integers."""
     if plain:
@@ -67,9 +112,10 @@ def products(x: np.ndarray, y: np.ndarray, plain: bool) -> np.ndarray:
 
 def dual(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, top: int) -> list[tuple[int, int, int]]:
     """``(query id, row id, score)`` of the ``top`` rows of each query, without rows of its own id."""
-    plain = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < EXACT
+    tops = [max((abs(v) for v in a.ravel().tolist()), default=0) for a in (x, q)]
+    plain = x.dtype != object and q.dtype != object and tops[0] * tops[1] * x.shape[1] < EXACT
     kept: list[list[tuple]] = [[] for _ in q]  # (-score, id), best first
-    worst = np.full(len(q), -np.inf)
+    worst = np.full(len(q), -np.inf, float if plain else object)
 
     def bound(a: Node, b: Node) -> float:
         reach = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
@@ -88,7 +134,12 @@ def dual(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, top: in
             if len(kept[i]) == top:
                 worst[i] = -kept[i][-1][0]
 
-    root_q, root_x = build(q), build(x)
+    if max(tops) > FAR:
+        for qs in _leaves(np.arange(len(q))):
+            for xs in _leaves(np.arange(len(x))):
+                compare(qs, xs)
+        return _rows(kept, own)
+    root_q, root_x = build(q.astype(np.float64)), build(x.astype(np.float64))
     stack = [(bound(root_q, root_x), root_q, root_x)]
     while stack:
         most, a, b = stack.pop()
@@ -102,13 +153,17 @@ def dual(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, top: in
             stack += sorted(((bound(a, c), a, c) for c in b.children), key=lambda t: t[0])
         else:
             stack += sorted(((bound(c, b), c, b) for c in a.children), key=lambda t: t[0])
+    return _rows(kept, own)
+
+
+def _rows(kept: list[list[tuple]], own: np.ndarray) -> list[tuple[int, int, int]]:
     low, high = -(1 << 63), (1 << 63) - 1
     return [(int(own[i]), j, min(max(-s, low), high)) for i, found in enumerate(kept) for s, j in found]
 
 
-def _cell(top: int):
+def _cell(top: int, scale: int):
     def run(block: pa.Table, asking: pa.Table, dim: int) -> dict:
-        x, q = (vectors.matrix(t["embedding"], dim) for t in (block, asking))
+        x, q = (whole(vectors.matrix(t["embedding"], dim), scale) for t in (block, asking))
         found = dual(x, block["vec_id"].to_numpy(), q, asking["vec_id"].to_numpy(), top)
         return {name: [f[i] for f in found] for i, name in enumerate(("query_id", "vec_id", "score"))}
 
@@ -118,18 +173,14 @@ def _cell(top: int):
 def largest(embeddings: DataFrame, asks: int, top: int = 5, scale: int = 256) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``top`` inner products of each row whose id is divisible by ``asks``.
 
-    Components become ``floor(scale * x)``. Ties go to the smaller id. A repeated id asks once and each of its rows is a
+    Components become ``floor(scale * x)``. Ties go to the smaller id. A repeated id asks once, by the smallest of its vectors, and each of its rows is a
     candidate of others; rows with the query's own id are not its candidates. Rows with a NULL id, and vectors that are
     NULL, empty or hold a NULL or non-finite component, take no part; an empty table gives no rows; a query with fewer
     candidates gets them all. Scores beyond a long end at its limits.
     """
     rows = embeddings.where(F.col("vec_id").isNotNull() & vectors.usable(F.col("embedding")))
-    whole = F.transform("embedding", lambda x: _floor(x.cast("double") * scale))
-    rows = written(rows.select(F.monotonically_increasing_id().alias("_row"), "vec_id", whole.alias("embedding")), "cover-rows")
-    queries = rows.where(F.col("vec_id") % asks == 0).dropDuplicates(["vec_id"])
-    return vectors.search(rows, queries, [], _cell(top), "long", top, F.col("score").desc())
-
-
-def _floor(x):
-    """Floor as a double; from 2**52 on every double is whole."""
-    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+    doubles = F.col("embedding").cast("array<double>").alias("embedding")
+    rows = written(rows.select(F.monotonically_increasing_id().alias("_row"), "vec_id", doubles), "cover-rows")
+    # of the rows with one id the smallest vector asks, whatever the order of the rows
+    queries = rows.where(F.col("vec_id") % asks == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return vectors.search(rows, queries, [], _cell(top, scale), "long", top, F.col("score").desc())

@@ -242,3 +242,52 @@ def test_mix_of_probabilities_that_are_nearly_whole(spark, documents):
     docs = documents(*[(i, "word", None, "a" if i < 100 else "b") for i in range(300)])
     rows = mixing.mix(docs, lambda names: {s: {"a": 0.1, "b": 0.2}[s] for s in names}).collect()
     assert len(rows) == 300 and {r.taken for r in rows} == {1}
+
+
+# ---- the cover tree of the largest products
+
+
+def test_tree_nests_covers_and_separates():
+    from learnlake.llm import covertree
+
+    x = np.random.default_rng(6).normal(size=(5000, 6)) * 100
+    root = covertree.build(np.concatenate([x, x[:50]]))
+    x = np.concatenate([x, x[:50]])
+    assert sorted(root.at.tolist()) == list(range(len(x)))
+    by_level, nodes, deepest = collections.defaultdict(set), [root], 0
+    while nodes:
+        n = nodes.pop()
+        assert np.sqrt(((x[n.at] - x[n.point]) ** 2).sum(axis=1)).max() <= n.radius * (1 + 1e-12)
+        if n.children:
+            deepest += 1
+            assert n.children[0].point == n.point
+            assert all(np.linalg.norm(x[c.point] - x[n.point]) <= 2.0**n.level for c in n.children)
+            by_level[n.level - 1] |= {c.point for c in n.children}
+        nodes += n.children
+    points, levels, _ = covertree.net(x)
+    assert deepest > 5 and len(by_level) > 2
+    for level in by_level:
+        own = x[points[levels >= level]]
+        gaps = np.sqrt(((own[:, None] - own[None]) ** 2).sum(axis=2)) + np.diag(np.full(len(own), np.inf))
+        assert gaps.min() > 2.0**level
+
+
+def test_largest_products_of_any_finite_size(spark):
+    from fractions import Fraction
+    from math import floor
+
+    from learnlake.llm import covertree
+
+    rng = np.random.default_rng(12)
+    for power in (0, 9, 160, 307):
+        x = rng.normal(size=(40, 3)) * 10.0**power / 4
+        rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(10, x[3].tolist())]
+        got = covertree.largest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10, 5).collect()
+        ints = [(i, [floor(Fraction(c) * 256) for c in v]) for i, v in rows]
+        ends = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+        for q in (0, 10, 20, 30):
+            mine = min((v for i, v in rows if i == q))
+            asked = [floor(Fraction(c) * 256) for c in mine]
+            best = sorted((-sum(a * b for a, b in zip(asked, v)), i) for i, v in ints if i != q)[:5]
+            found = sorted((r.rank, r.score) for r in got if r.query_id == q)
+            assert [s for _, s in found] == [ends(-s) for s, _ in best]
