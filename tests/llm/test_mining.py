@@ -250,9 +250,10 @@ def test_mix_of_probabilities_that_are_nearly_whole(spark, documents):
 def test_tree_nests_covers_and_separates():
     from learnlake.llm import covertree
 
-    x = np.random.default_rng(6).normal(size=(5000, 6)) * 100
-    root = covertree.build(np.concatenate([x, x[:50]]))
+    rng = np.random.default_rng(6)  # clusters of clusters, so that there are levels of many sizes
+    x = sum(rng.normal(size=(n, 6))[rng.integers(0, n, 5000)] * size for n, size in ((6, 3000), (20, 200), (5000, 5)))
     x = np.concatenate([x, x[:50]])
+    root = covertree.build(x)
     assert sorted(root.at.tolist()) == list(range(len(x)))
     by_level, nodes, deepest = collections.defaultdict(set), [root], 0
     while nodes:
@@ -291,3 +292,40 @@ def test_largest_products_of_any_finite_size(spark):
             best = sorted((-sum(a * b for a, b in zip(asked, v)), i) for i, v in ints if i != q)[:5]
             found = sorted((r.rank, r.score) for r in got if r.query_id == q)
             assert [s for _, s in found] == [ends(-s) for s, _ in best]
+
+
+# ---- batch scores of the classifiers against plain forms
+
+
+def test_language_scores_are_those_of_the_landmark_form():
+    """The collapsed weights give kernel values to the landmarks times one weight for each landmark and language."""
+    import duckdb
+    import pyarrow as pa
+
+    from learnlake.llm import langid
+
+    rows = [r for r in duckdb.sql("SELECT text, lang FROM '/root/testdata/sf0.01/documents.parquet' LIMIT 400").fetchall() if r[0] and r[1]]
+    grams = lambda some: [set(f.tolist()) for f in langid.presence(pa.array([t for t, _ in some]))]
+    known, others = rows[:40], rows[40:200]
+    model = langid.train([lang for _, lang in known], list(langid.presence(pa.array([t for t, _ in known]))))
+    marks = grams(known)
+    kernel = np.array([[len(g & m) / max(1, len(g) * len(m)) ** 0.5 for m in marks] for g in grams(others)])
+    got = langid.rate(model, pa.array([t for t, _ in others])) - model.bias
+    half = len(others) // 2
+    weights = np.linalg.lstsq(kernel[:half], got[:half], rcond=None)[0]
+    assert np.abs(kernel[half:] @ weights - got[half:]).max() < 1e-3 * np.abs(got).max()
+
+
+def test_quality_scores_are_softmax_of_averaged_vectors():
+    import duckdb
+    import pyarrow as pa
+
+    from learnlake.llm import quality
+
+    texts = [r[0] for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet' LIMIT 80").fetchall()] + ["", None, " ", "x x x"]
+    found = list(quality.counts(pa.array(texts)))
+    model = quality.train([(s, n, i % 2) for i, (s, n) in enumerate(found)])
+    for got, (slot, n) in zip(quality.rate(model, pa.array(texts)), found):
+        mean = np.average(model.vectors[slot].astype(float), axis=0, weights=n)
+        z = np.exp(mean @ model.softmax + model.bias)
+        assert abs(got - z[1] / z.sum()) < 1e-4
