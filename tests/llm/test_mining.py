@@ -329,3 +329,29 @@ def test_quality_scores_are_softmax_of_averaged_vectors():
         mean = np.average(model.vectors[slot].astype(float), axis=0, weights=n)
         z = np.exp(mean @ model.softmax + model.bias)
         assert abs(got - z[1] / z.sum()) < 1e-4
+
+
+# ---- nearest neighbours of any size
+
+
+def test_nearest_of_components_of_any_size(spark):
+    from learnlake.llm import onebit
+
+    rng = np.random.default_rng(21)
+    tables = {
+        "two far clusters": np.concatenate([rng.normal(1e9, 1, (300, 1)), rng.normal(-1e9, 1, (300, 1))]),
+        "near the end of floats": rng.normal(size=(300, 8)) * 5e37, "doubles": rng.normal(size=(300, 8)) * 1e160,
+        "the end of doubles": rng.uniform(-1, 1, size=(200, 4)) * 1.7e308, "small": rng.normal(size=(300, 8)) * 1e-200,
+    }
+    for name, x in tables.items():
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        rows = onebit.nearest(frame, 20, 10).collect()
+        unit, hits = np.abs(x).max(), 0
+        for q in range(0, len(x), 20):
+            far = np.sqrt(((x / unit - x[q] / unit) ** 2).sum(axis=1))
+            far[q] = np.inf
+            best = set(np.argsort(far, kind="stable")[:10].tolist())
+            found = [r.vec_id for r in sorted(rows, key=lambda r: r.rank) if r.query_id == q]
+            assert len(found) == 10
+            hits += len(best & set(found))
+        assert hits >= 0.9 * 10 * len(range(0, len(x), 20)), name
