@@ -98,19 +98,24 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, capitals, capitals.lower()), path
 
 
-def asked(host: str, path: str, lengths: list[int]) -> Iterator[str]:
-    """Keys that a rule for this URL can have, the longest first: suffixes of the host, beginnings of the path."""
+def asked(host: str, path: str, shapes: list[tuple[int, int]]) -> Iterator[str]:
+    """Keys that a rule for this URL can have, the longest first: suffixes of the host with beginnings of the path.
+
+    ``shapes`` are the lengths of the rules' hosts and paths; only keys of these are made, so that a host of any length has
+    no more keys than there are shapes.
+    """
     if not host:
         return
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
-    parts = [path[:n] for n in lengths if n <= len(path)]
-    yield from sorted((h + p for h in hosts for p in parts if h), key=lambda k: (-len(k), k))
+    fits = {
+        host[len(host) - m:] + path[:n] for m, n in shapes
+        if 0 < m <= len(host) and n <= len(path) and (m == len(host) or host[len(host) - m - 1] == ".")
+    }
+    yield from sorted(fits, key=lambda k: (-len(k), k))
 
 
 @dataclass
 class Filter:
-    lengths: list[int]  # of the rules' paths
+    shapes: list[tuple[int, int]]  # lengths of the rules' hosts and paths
     allow: list[Bloom]
     block: list[Bloom]
 
@@ -151,20 +156,20 @@ def cascade(universe: DataFrame, own: list[str], rate: float = FIRST) -> list[Bl
 
 def fit(urls: DataFrame, rules: list[Rule]) -> Filter:
     """``urls``: one column ``url``. The universe is made of the distinct host and path beginnings of the whole table."""
-    lengths = sorted({len(r.path) for r in rules}, reverse=True)
+    shapes = sorted({(len(r.host), len(r.path)) for r in rules})
     host, path = split_url(F.col("url"))
-    heads = F.substring(path, 1, max(lengths, default=0))
+    heads = F.substring(path, 1, max((n for _, n in shapes), default=0))
     pairs = urls.select(host.alias("host"), heads.alias("path")).distinct()
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            keys = sorted({k for h, p in rows for k in asked(h, p, lengths)})
+            keys = sorted({k for h, p in rows for k in asked(h, p, shapes)})
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], names=["key"])
 
     universe = written(pairs.mapInArrow(expand, "key string").distinct(), "url-keys")
     wanted = {v: [r.key for r in rules if r.verdict == v] for v in (ALLOW, BLOCK)}
-    return Filter(lengths, cascade(universe, wanted[ALLOW]), cascade(universe, wanted[BLOCK]))
+    return Filter(shapes, cascade(universe, wanted[ALLOW]), cascade(universe, wanted[BLOCK]))
 
 
 def judge(pages: DataFrame, filters: Filter, keep: list[str], default: str = ALLOW) -> DataFrame:
@@ -182,13 +187,13 @@ def judge(pages: DataFrame, filters: Filter, keep: list[str], default: str = ALL
         known: dict[tuple[str, str], tuple[str | None, str]] = {}
 
         def run(texts: pa.Array) -> dict:
-            top = max(shared.lengths, default=0)
+            top = max((n for _, n in shared.shapes), default=0)
             cuts = [(t, t.find("/") if "/" in t else len(t)) for t in texts.to_pylist()]
             heads = [(t[:n], t[n: n + top]) for t, n in cuts]
             if len(known) > 100_000:
                 known.clear()
             new = [h for h in dict.fromkeys(heads) if h not in known]
-            keys = [list(asked(h, p, shared.lengths)) for h, p in new]
+            keys = [list(asked(h, p, shared.shapes)) for h, p in new]
             flat = [k for own in keys for k in own]
             hashed = hashes(flat)
             allow, block = listed(shared.allow, hashed), listed(shared.block, hashed)

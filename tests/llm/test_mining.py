@@ -355,3 +355,12 @@ def test_nearest_of_components_of_any_size(spark):
             assert len(found) == 10
             hits += len(best & set(found))
         assert hits >= 0.9 * 10 * len(range(0, len(x), 20)), name
+
+
+def test_a_long_host_has_no_more_keys_than_rules_have_shapes():
+    from learnlake.llm import urlfilter
+
+    host, shapes = "a." * 50_000 + "example.com", [(3, 1), (11, 4), (15, 4)]
+    assert list(urlfilter.asked(host, "/en/x", shapes)) == ["a.a.example.com/en/", "example.com/en/", "com/"]
+    assert list(urlfilter.asked("xexample.com", "/en/x", shapes)) == ["com/"]
+    assert list(urlfilter.asked("com", "", shapes)) == [] == list(urlfilter.asked("", "/en/", shapes))
