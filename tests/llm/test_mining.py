@@ -364,3 +364,20 @@ def test_a_long_host_has_no_more_keys_than_rules_have_shapes():
     assert list(urlfilter.asked(host, "/en/x", shapes)) == ["a.a.example.com/en/", "example.com/en/", "com/"]
     assert list(urlfilter.asked("xexample.com", "/en/x", shapes)) == ["com/"]
     assert list(urlfilter.asked("com", "", shapes)) == [] == list(urlfilter.asked("", "/en/", shapes))
+
+
+@pytest.mark.parametrize("pages", [3, 4, 40])
+def test_headings_that_all_pages_share_stay_in_the_article(spark, pages):
+    from learnlake.llm import wrapper
+
+    html = """<html><body><nav><a href=/>Home</a></nav><div class="menu"><h3>Topics</h3><ul><li><a href=/x>Menu</a></li></ul></div>
+        {open}<h1>Dish {n}</h1><h2>Ingredients</h2><p>Take {n} spoons of salt and {m} of something else, as said.</p>
+        <h2>Method</h2><p>Stir it {n} times and wait for {m} hours, then serve it warm.</p>{close}<footer>Fixed words</footer></body></html>"""
+    for open_, close in (("<article>", "</article>"), ('<div class="text">', "</div>")):
+        rows = [(i, f"http://h{pages}.org/{i}", html.format(open=open_, close=close, n=i * 7, m=i * 31)) for i in range(pages)]
+        got = wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), ["page_id", "url"]).collect()
+        for r in got:
+            n, m = r.page_id * 7, r.page_id * 31
+            want = [f"Dish {n}", "Ingredients", f"Take {n} spoons of salt and {m} of something else, as said.", "Method",
+                    f"Stir it {n} times and wait for {m} hours, then serve it warm."]
+            assert r.text.split("\n") == want
