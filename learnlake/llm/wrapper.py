@@ -8,7 +8,6 @@ what it has in the content slots.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,6 +40,15 @@ MAIN = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
+def _of_id(words: set[str]) -> set[str]:
+    """What an id adds to a label: the words that mark what is not the article, and whether it has others beside them.
+
+    Other ids, such as those of a page's own headings, add nothing; labels made of them would differ from page to page.
+    """
+    told = words & ASIDE_WORDS
+    return told | (words & {"section"}) | ({"~"} if words - ASIDE_WORDS - PARTS else set()) if told else set()
+
+
 def beside(path: tuple[str, ...], place: tuple[str, ...] = (), named: bool = False, words: set[str] = ASIDE_WORDS) -> bool:
     """Whether a slot under these labels belongs to a menu, footer, advert, form, comment or the like.
 
@@ -87,15 +95,14 @@ def _deepest(slots: list[tuple[int, tuple[str, ...], int]]) -> tuple[str, ...]:
         chosen, place, depth = [v for v in chosen if v[1][:depth] == top], top, depth + 1
 
 
-def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], ...]:
-    """The template's content slots, in the order in which a page takes them: those inside article or main, also those
+def content(paths: list[tuple[str, ...]], pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], ...]:
+    """The content slots of a template with these paths, in the order in which a page takes them: those inside article or main, also those
     there that may stand beside the article, those of the region of pages without such an element, and all that vary. In the
     place that holds most of the text, headings stay also if their text never changes.
 
     ``stats``: pages with the slot, pages with its commonest text, characters, link characters, and the last two again of
     the pages without article or main.
     """
-    paths = dom.slots(template)
     varying, titles = [], []  # and headings with the same text on all pages, such as "Ingredients"
     for i, path in enumerate(paths):
         n, most, size, links, *other = stats.get(i, (0, 0, 0, 0, 0, 0))
@@ -124,9 +131,8 @@ def content(template: dom.Tree, pages: int, stats: dict[int, tuple[int, ...]]) -
 # ---- jobs
 
 
-def _read(page: str | None) -> tuple[dom.Tree, list[list[dom.Run]]]:
-    made = dom.folded(dom.read(page))
-    return (made[1], made[2]) if made else (["html", []], [])
+def _read(page: str | None, forest: dom.Forest) -> tuple[int, list[list[dom.Run]]]:
+    return forest.fold(dom.read(page, _of_id)) or (forest.node("html"), [])
 
 
 def shapes(pages: DataFrame) -> DataFrame:
@@ -135,10 +141,11 @@ def shapes(pages: DataFrame) -> DataFrame:
     def build(_) -> Callable[[pa.Array], dict]:
         def run(texts: pa.Array) -> dict:
             out: dict[str, list] = {"shape": [], "hashes": [], "sizes": [], "links": []}
+            forest = dom.Forest()
             for page in texts.to_pylist():
-                tree, found = _read(page)
+                tree, found = _read(page, forest)
                 said = ["\n".join(r.text() for r in slot) for slot in found]
-                out["shape"].append(json.dumps(tree, separators=(",", ":")))
+                out["shape"].append(forest.dump(tree))
                 out["hashes"].append([xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) - (1 << 63) for s in said])
                 out["sizes"].append([len(s) for s in said])
                 out["links"].append([sum(r.links for r in slot) for slot in found])
@@ -156,10 +163,11 @@ def templates(parsed: DataFrame) -> DataFrame:
 
     def merge(keys: tuple, table: pa.Table) -> pa.Table:
         order = sorted(table["shape"].to_pylist(), key=lambda s: (-len(s), s))
-        whole = json.loads(order[0])
+        forest = dom.Forest()
+        whole = forest.load(order[0])
         for other in order[1:]:
-            whole = dom.merged(whole, json.loads(other))
-        return pa.table({"host": [keys[0].as_py()], "shape": [json.dumps(whole, separators=(",", ":"))]})
+            whole = forest.merged(whole, forest.load(other))
+        return pa.table({"host": [keys[0].as_py()], "shape": [forest.dump(whole)]})
 
     while True:
         sizes = trees.groupBy("host").agg(F.count("*").alias("n"))
@@ -175,23 +183,34 @@ class _Aligned:
     """Slot places of a page's tree in a template; equal pairs of trees are matched once in a task."""
 
     def __init__(self):
-        self.known: dict[tuple[str, str], list[int]] = {}
-        self.mains: dict[str, bool] = {}
+        self._new()
+
+    def _new(self) -> None:
+        self.forest = dom.Forest()
+        self.trees: dict[str, int] = {}
+        self.found: dict[tuple[int, int], list[int]] = {}
+        self.mains: dict[int, bool] = {}
+
+    def tidy(self) -> None:
+        """Between pages: what is known of earlier ones does not grow for ever."""
+        if len(self.forest.labels) > 200_000 or len(self.found) > 20_000:
+            self._new()
+
+    def tree(self, shape: str) -> int:
+        if shape not in self.trees:
+            self.trees[shape] = self.forest.load(shape)
+        return self.trees[shape]
 
-    def main(self, shape: str) -> bool:
+    def main(self, tree: int) -> bool:
         """Whether the page has an article or main element with text."""
-        if shape not in self.mains:
-            if len(self.mains) > 20_000:
-                self.mains.clear()
-            self.mains[shape] = any(within(p) and not beside(p, named=True) for p in dom.slots(json.loads(shape)))
-        return self.mains[shape]
+        if tree not in self.mains:
+            self.mains[tree] = any(within(p) and not beside(p, named=True) for p in self.forest.paths(tree))
+        return self.mains[tree]
 
-    def __call__(self, shape: str, template: str) -> list[int]:
-        if (shape, template) not in self.known:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            self.known[shape, template] = dom.places(json.loads(shape), json.loads(template))
-        return self.known[shape, template]
+    def __call__(self, tree: int, template: int) -> list[int]:
+        if (tree, template) not in self.found:
+            self.found[tree, template] = self.forest.places(tree, template)
+        return self.found[tree, template]
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -204,8 +223,10 @@ def induce(pages: DataFrame) -> DataFrame:
         for batch in batches:
             cols: list[list] = [[] for _ in names]
             for row in batch.to_pylist():
-                to = aligned(row["shape"], row["template"])
-                plain = not aligned.main(row["shape"])
+                aligned.tidy()
+                tree = aligned.tree(row["shape"])
+                to = aligned(tree, aligned.tree(row["template"]))
+                plain = not aligned.main(tree)
                 for i, h, s, k in zip(to, row["hashes"], row["sizes"], row["links"]):
                     if i >= 0:
                         for c, v in zip(cols, (row["host"], i, h, s, k, s * plain, k * plain)):
@@ -225,8 +246,9 @@ def induce(pages: DataFrame) -> DataFrame:
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
+            forest = dom.Forest()
             kept = [
-                content(json.loads(r["template"]), r["pages"], {s["slot"]: tuple(s[c] for c in ("n", "most", *sums)) for s in r["stats"] or []})
+                content(forest.paths(forest.load(r["template"])), r["pages"], {s["slot"]: tuple(s[c] for c in ("n", "most", *sums)) for s in r["stats"] or []})
                 for r in rows
             ]
             arrays = [pa.array([r["host"] for r in rows], pa.string()), pa.array([r["template"] for r in rows], pa.string()), pa.array([list(k) for k in kept], pa.list_(pa.list_(pa.int64())))]
@@ -236,12 +258,14 @@ def induce(pages: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(decide, "host string, template string, content array<array<long>>"), "wrapper-templates")
 
 
-def page_text(page: str | None, template: str, kept: list[set[int]], aligned: Callable[[str, str], list[int]]) -> str:
+def page_text(page: str | None, template: str, kept: list[set[int]], aligned: _Aligned) -> str:
     """What the page has in the first of its host's lists of content slots in which it has any text."""
-    tree, found = _read(page)
-    to = aligned(json.dumps(tree, separators=(",", ":")), template)
+    aligned.tidy()
+    tree, found = _read(page, aligned.forest)
+    to = aligned(tree, aligned.tree(template))
     inside, *others = kept
-    chosen = [s for i, p, s in zip(to, dom.slots(tree), found) if i in inside or i < 0 and within(p) and not beside(p)]
+    paths = aligned.forest.paths(tree)
+    chosen = [s for i, p, s in zip(to, paths, found) if i in inside or i < 0 and within(p) and not beside(p)]
     for other in others:
         chosen = chosen or [s for i, s in zip(to, found) if i in other]
     return "\n".join(r.text() for r in sorted((r for s in chosen for r in s), key=lambda r: r.order))

@@ -67,25 +67,96 @@ def test_cascade_is_exact_with_large_lists(spark, monkeypatch):
 # ---- HTML
 
 
+def read(page):
+    forest = dom.Forest()
+    tree, runs = wrapper._read(page, forest)
+    return forest, tree, runs
+
+
 def test_reading_broken_markup():
     page = "<p>a <b>b<br><p>c &amp; d&nbsp;&eacute; <script>x='</p>'</script>e<ul><li>1<li>2</ul>text<!-- no --> more<td"
-    tree, runs = wrapper._read(page)
-    assert [r.text() for r in sorted((r for s in runs for r in s), key=lambda r: r.order)] == ["a b", "c & d é", "e", "1", "2", "text more"] or [
-        r.text() for r in sorted((r for s in runs for r in s), key=lambda r: r.order)
-    ] == ["a b", "c & d é e", "1", "2", "text more"]
-    assert wrapper._read(None) == (["html", []], [])
-    assert wrapper._read("<div>" * 5000 + "deep")[1][0][0].text() == "deep"
-    assert wrapper._read("a < b <> c")[1][0][0].text().startswith("a < b")
+    runs = [r.text() for r in sorted((r for s in read(page)[2] for r in s), key=lambda r: r.order)]
+    assert runs in (["a b", "c & d é", "e", "1", "2", "text more"], ["a b", "c & d é e", "1", "2", "text more"])
+    forest, tree, runs = read(None)
+    assert forest.labels[tree] == "html" and not forest.kids[tree] and runs == []
+    assert read("<div>" * 50_000 + "deep" + "</p>" * 50_000)[2][0][0].text() == "deep"
+    assert read("a < b <> c")[2][0][0].text().startswith("a < b")
+    assert read("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z")[2][0][0].text() == "x y=2 z"
+
+
+def tree_of(forest, nested):
+    return 0 if nested == "#" else forest.node(nested[0], [tree_of(forest, k) for k in nested[1:]])
 
 
 def test_matching_and_merging():
-    a = ["html", [["div", [["#", []]]], ["p", [["#", []]]]]]
-    b = ["html", [["div", [["#", []]]], ["ul", [["#", []]]], ["p", [["#", []]]]]]
-    assert dom.match(a, b)[0] == 5
-    whole = dom.merged(a, b)
-    assert [k[0] for k in whole[1]] == ["div", "ul", "p"]
-    assert dom.places(a, whole) == [0, 2] and dom.places(b, whole) == [0, 1, 2]
-    assert dom.places(["html", [["table", [["#", []]]]]], whole) == [-1]
+    forest = dom.Forest()
+    a = tree_of(forest, ["html", ["div", "#"], ["p", "#"]])
+    b = tree_of(forest, ["html", ["div", "#"], ["ul", "#"], ["p", "#"]])
+    assert forest.score(a, b) == 5
+    whole = forest.merged(a, b)
+    assert [forest.labels[k] for k in forest.kids[whole]] == ["div", "ul", "p"]
+    assert forest.places(a, whole) == [0, 2] and forest.places(b, whole) == [0, 1, 2]
+    assert forest.places(tree_of(forest, ["html", ["table", "#"]]), whole) == [-1]
+    assert forest.load(forest.dump(whole)) == whole and dom.Forest().load(forest.dump(0)) == 0
+
+
+def plain_score(a, b):
+    """Simple tree matching of nested lists, cell by cell."""
+    if a == "#" or b == "#" or a[0] != b[0]:
+        return int(a == b)
+    best = [[0] * len(b) for _ in a]
+    for i in range(1, len(a)):
+        for j in range(1, len(b)):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain_score(a[i], b[j]))
+    return 1 + best[-1][-1]
+
+
+@pytest.mark.parametrize("cells", [1, 4_000_000])
+def test_matching_random_trees(monkeypatch, cells):
+    monkeypatch.setattr(dom, "CELLS", cells)
+    rng = np.random.default_rng(11)
+
+    def grow(depth):
+        return ["abc"[rng.integers(3)], *(grow(depth - 1) if depth and rng.random() < 0.7 else "#" for _ in range(rng.integers(0, 6)))]
+
+    for _ in range(150):
+        a, b = ["html", *grow(3)[1:]], ["html", *grow(3)[1:]]
+        forest = dom.Forest()
+        x, y = tree_of(forest, a), tree_of(forest, b)
+        assert forest.score(x, y) == plain_score(a, b)
+        pairs = forest.pairs(x, y)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert 1 + sum(plain_score(a[1 + i], b[1 + j]) for i, j in pairs) == plain_score(a, b)
+        whole = forest.merged(x, y)
+        assert forest.sizes[whole] == forest.sizes[x] + forest.sizes[y] - forest.score(x, y)
+        for tree in (x, y):
+            places = forest.places(tree, whole)
+            assert len(places) == len(forest.paths(tree)) == forest.slots[tree]
+            assert all(a < b for a, b in zip([-1, *places], places))
+
+
+def test_long_pages_are_matched_in_seconds():
+    import time
+
+    blocks = lambda n, word: "".join(f"<h2>a</h2><p>b</p>{'<ul><li>c</ul>' if i % word == 0 else ''}" for i in range(n))
+    start, forest = time.time(), dom.Forest()
+    a, b = (forest.fold(dom.read(blocks(n, w)))[0] for n, w in ((10_000, 7), (9_000, 5)))
+    whole = forest.merged(a, b)
+    assert forest.slots[whole] >= forest.slots[a] and max(forest.places(b, whole)) < forest.slots[whole]
+    assert time.time() - start < 60
+
+
+def test_deep_menus_and_ids_of_headings(spark):
+    menu = "<nav>" + "<ul><li>MENU" * 700 + "</li></ul>" * 700 + "</nav>"
+    page = "<body>" + menu + "<article><h2 id='how-to-{0}'>Steps</h2><p>{1}</p><h2 id='what-{0}-{2}'>Parts</h2><p>{2}</p></article></body>"
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, "http://h.example/", page.format(name(i), f"text {i}", f"more {i}")) for i in range(64)]
+    pages = pages_of(spark, rows)
+    for r in wrapper.extract(pages, ["page_id"]).collect():
+        assert r.text == f"Steps\ntext {r.page_id}\nParts\nmore {r.page_id}"
+    (template,) = wrapper.induce(pages).collect()
+    forest = dom.Forest()
+    assert forest.slots[forest.load(template.template)] == 704  # the menu's, and four of the article
 
 
 def pages_of(spark, rows):
