@@ -98,24 +98,23 @@ def _deepest(slots: list[tuple[int, tuple[str, ...], int]]) -> tuple[str, ...]:
 def content(paths: list[tuple[str, ...]], pages: int, stats: dict[int, tuple[int, ...]]) -> tuple[list[int], ...]:
     """The content slots of a template with these paths, in the order in which a page takes them: those inside article or main, also those
     there that may stand beside the article, those of the region of pages without such an element, and all that vary. In the
-    place that holds most of the text, headings stay also if their text never changes.
+    place that holds most of an article's text, slots stay also if their text never changes; without such an element, headings do.
 
     ``stats``: pages with the slot, pages with its commonest text, characters, link characters, and the last two again of
     the pages without article or main.
     """
-    varying, titles = [], []  # and headings with the same text on all pages, such as "Ingredients"
+    varying, fixed = [], []
     for i, path in enumerate(paths):
         n, most, size, links, *other = stats.get(i, (0, 0, 0, 0, 0, 0))
-        fixed = pages >= LEAST and 2 * n >= pages and most >= CONSTANT * n
-        if not fixed:
+        if not (pages >= LEAST and 2 * n >= pages and most >= CONSTANT * n):
             varying.append((i, path, size, links, *other))
-        elif path[-1].split(".")[0] in HEADING and links < 0.6 * max(1, size):
-            titles.append((i, path))
+        elif links < 0.6 * max(1, size):
+            fixed.append((i, path))
     # first the place of the content, then what is beside it; an element's words do not decide on what contains it
     main = [v for v in varying if within(v[1]) and not beside(v[1], named=True)]
     place = _deepest([v[:3] for v in main])
-    among = lambda place: [i for i, p in titles if place and p[: len(place)] == place and not beside(p, place)]
-    kept = set(among(place)) if main else set()
+    among = lambda place: [(i, p) for i, p in fixed if place and p[: len(place)] == place and not beside(p, place)]
+    kept = {i for i, p in among(place) if within(p)}
     inside = sorted({v[0] for v in main if not beside(v[1], place)} | kept)
     varying = [v for v in varying if not within(v[1]) and v[3] < 0.6 * max(1, v[2]) and not beside(v[1], named=True, words=BLOCK_WORDS)]
     plain = [(i, path, size) for i, path, _, _, size, links in varying if size and links < 0.6 * size]
@@ -124,7 +123,7 @@ def content(paths: list[tuple[str, ...]], pages: int, stats: dict[int, tuple[int
     place = _deepest(plain)
     # and the headings that stand right above it
     region = [i for i, p, _ in plain if p[: len(place)] == place or p[-1].split(".")[0] in HEADING and p[:-1] == place[: len(p) - 1]]
-    kept_there = {i for i in among(place) if not within(paths[i])}
+    kept_there = {i for i, p in among(place) if p[-1].split(".")[0] in HEADING and not within(p)}
     return inside, sorted({v[0] for v in main} | kept), sorted({*region, *kept_there}), sorted({v[0] for v in varying} | kept_there)
 
 

@@ -301,3 +301,11 @@ def test_products_of_hard_rows(spark):
     assert [g[2] for g in got if g[0] == 0] == [50, 7]
     assert [g for g in got if g[0] == 50][0][3] == (1 << 63) - 1
     assert covertree.largest(df.limit(0), asks=50).count() == 0
+
+
+def test_constant_paragraphs_of_an_article_stay(spark):
+    page = """<body><div class=top><p>Same on all pages</p></div><article><h1>Dish {0}</h1><p>Serves four people.</p><p>Take {0} spoons of salt.</p>
+      <div class=share><p>Tell a friend</p></div></article><div class=c2>All rights</div></body>"""
+    rows = [(i, "http://h.example/", page.format(i)) for i in range(12)]
+    for r in wrapper.extract(pages_of(spark, rows), ["page_id"]).collect():
+        assert r.text == f"Dish {r.page_id}\nServes four people.\nTake {r.page_id} spoons of salt."
