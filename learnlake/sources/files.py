@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnlake.operators.incremental import unprocessed
+from learnlake.sources import jsonscan
 
 
 def decoded(path: Column) -> Column:
@@ -83,54 +84,17 @@ def pending(spark: SparkSession, path: str, done: DataFrame, pattern: str = "*.p
 
 
 # -- JSON file profiling --------------------------------------------------------------------------------------------
-def record_count(text: Column) -> Column:
-    """Records of one JSON file text: list length, 1 for any other document, else the number of valid lines."""
-    lines = F.filter(F.split(text, "\r\n|\r|\n"), lambda line: F.trim(line) != "")
-    valid_lines = F.size(F.filter(lines, lambda line: F.try_parse_json(line).isNotNull()))
-    return F.when(
-        F.try_parse_json(text).isNotNull(), F.coalesce(F.json_array_length(text), F.lit(1))
-    ).otherwise(valid_lines)
-
-
 def profile_json(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """``(path, records)`` per file.
+    """``(path, records)`` per file: a list's length or 1 if the file is one document, else its lines that are documents.
 
-    Files are first read line by line, so large line-delimited files split over tasks. A file whose first line is a
-    complete document and that has further lines is line-delimited; one with a single line is that line. Only files
-    whose first line is not complete JSON (a document over several lines, or a broken first line) are put together.
+    Files are read line by line, so large ones split over tasks, whatever their lines look like. Each block of a file becomes
+    one short row (see ``jsonscan``); these are put together in file order. A file without lines has no row.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    text = reader.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-        ).alias("position"),
-        "value",
-    )
-    lines = text.select(
-        "path",
-        "position",
-        F.try_parse_json("value").isNotNull().alias("valid"),
-        F.coalesce(F.json_array_length("value"), F.lit(1)).alias("items"),
-        (F.trim("value") != "").alias("filled"),
-    )
-    per_file = lines.groupBy("path").agg(
-        F.count_if("filled").alias("lines"),
-        F.count_if(F.col("filled") & F.col("valid")).alias("valid_lines"),
-        F.min_by(F.when(F.col("filled"), F.col("valid")), F.when(F.col("filled"), F.col("position"))).alias("first_ok"),
-        F.max(F.when(F.col("filled") & F.col("valid"), F.col("items"))).alias("items"),
-    )
-    whole = F.coalesce(F.col("first_ok"), F.lit(True)) == F.lit(False)
-    by_line = per_file.where(~whole).select(
-        "path", F.when(F.col("lines") == 1, F.col("items")).otherwise(F.col("valid_lines")).cast("long").alias("records")
-    )
-    # the lines of those files put together again: one document per file, as large as the file
-    rest = text.join(per_file.where(whole).select("path"), "path", "left_semi").groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("position", "value"))).alias("lines")
-    )
-    document = F.array_join(F.transform("lines", lambda line: line["value"]), "\n")
-    documents = rest.select("path", record_count(document).cast("long").alias("records"))
-    return by_line.unionByName(documents)
+    lines = reader.text(path).where(F.trim("value") != "")
+    named = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    blocks = named.mapInArrow(jsonscan.summaries, jsonscan.SUMMARY)
+    return blocks.groupBy("path").applyInArrow(jsonscan.totals, "path string, records long")
 
 
 def largest(counts: DataFrame, key: str = "path", count: str = "records") -> DataFrame:
