@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -24,7 +24,7 @@ from learnlake.schemas import gold
 from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, ledger, merge, tables
 from learnlake.sources import envelope, files
-from learnlake.streaming import jobs
+from learnlake.streaming import jobs, progress
 
 HOUR_SQL = "strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour"
 
@@ -324,6 +324,20 @@ def json_profile(t):
     return counts.groupBy(kind.alias("event_type")).agg(F.sum("records").alias("records"))
 
 
+@query("json_document_profile", "SELECT event_type, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY 1")
+def json_document_profile(t):
+    """Items of files that are one list over many lines each, summed per folder."""
+    path = scratch_path(t.spark, "profile")
+    group = Window.partitionBy("event_type", "part").orderBy("event_id", "user_id", "props")
+    rows = t.events.select("event_type", "event_id", "user_id", "props", F.pmod(F.xxhash64("event_id"), F.lit(16)).alias("part"))
+    placed = rows.select("event_type", "part", "props", F.lag("props").over(group).isNull().alias("first"), F.lead("props").over(group).isNull().alias("last"))
+    text = F.concat(F.when(F.col("first"), "[").otherwise(""), F.lit('{"item":\n'), F.col("props"), F.when(F.col("last"), "}\n]").otherwise("},"))
+    placed.select("event_type", "part", text.alias("value")).write.partitionBy("event_type", "part").text(path)
+    counts = files.profile_json(t.spark, path, "*.txt")
+    kind = F.regexp_extract("path", "event_type=([a-z]+)", 1)
+    return counts.groupBy(kind.alias("event_type")).agg(F.sum("records").alias("records"))
+
+
 @query(
     "history_partitions",
     "SELECT CAST(o_orderkey AS VARCHAR) AS id_statement, o_orderstatus AS owner, "
@@ -702,3 +716,47 @@ def stream_delivered_twice(t):
     now = F.lit("1970-01-01").cast("timestamp")  # nothing is late
     jobs.start(stream, lambda df, i: jobs.run_raw_batch(df, i, out, now=now), scratch_path(t.spark, "cp")).awaitTermination()
     return jobs.raw_tables(t.spark, out).select("table_name", at("event", "id").alias("id"))
+
+
+@query(
+    "stream_object_files",
+    f"""SELECT 'lrs_events_' || verb AS name, 'ev' || event_id AS id FROM {EVENTS_SQL}
+        UNION ALL SELECT DISTINCT 'objects', 'a+' || (event_id // 64) FROM events""",
+)
+def stream_object_files(t):
+    """Object files of 64 events each, ingested as a stream, then again under a new checkpoint beside one that is not JSON:
+    the events of the raw tables, and the files by name."""
+    out, inbox = scratch_path(t.spark, "objects"), scratch_path(t.spark, "inbox")
+    part = F.concat(F.lit("a+"), F.floor(F.col("event_id") / 64).cast("string")).alias("part")
+    grouped = inputs.learning_events(t).groupBy(part).agg(F.collect_list("e").alias("e"))  # 64 events a file
+    grouped.select("part", F.to_json("e").alias("value")).write.partitionBy("part").text(inbox)
+    for run in range(2):
+        stream = files.follow_documents(t.spark, inbox, None if run else 100)
+        jobs.start(stream, lambda df, i: jobs.run_object_batch(df, i, out), scratch_path(t.spark, "cp")).awaitTermination()
+        t.spark.range(1).select(F.lit("{").alias("value")).write.mode("append").text(f"{inbox}/part=broken")
+    rows = jobs.raw_tables(t.spark, out).select(F.col("table_name").alias("name"), at("event", "id").alias("id"))
+    objects = ledger.visible(t.spark, out, t.spark.read.parquet(f"{out}/objects")).where("events > 0")
+    return rows.unionByName(objects.select(F.lit("objects").alias("name"), F.regexp_extract("path", "part=([^/]+)/", 1).alias("id")))
+
+
+@query(
+    "stream_progress_counts",
+    """SELECT CAST(user_id % 4 AS VARCHAR) AS shard, count(*) AS total, count(*) FILTER (event_type <> 'error') AS ok,
+         count(*) FILTER (event_type = 'error') AS failed,
+         count(*) FILTER (event_type <> 'error') * 100.0::DOUBLE / count(*) AS success_rate FROM events GROUP BY 1""",
+)
+def stream_progress_counts(t):
+    """Successes per shard as the stream's own counters report them, batch by batch, while it writes its rows."""
+    out = scratch_path(t.spark, "counted")
+    events = t.events.select("user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    shard = (F.col("user_id") % 4).cast("string")
+    stream = progress.counted(
+        _record_stream(t, events), F.col("event_type") != "error", shard, "0123", F.col("us") / 1_000_000
+    )
+    table = progress.ProgressTable(t.spark, f"{out}/progress")
+    try:
+        sink = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+        table.wait(sink.start(f"{out}/rows"))
+    finally:
+        table.close()
+    return progress.success_counts(table.read()).drop("elapsed_s", "per_second")

@@ -19,13 +19,26 @@ def decoded(path: Column) -> Column:
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its decoded path, the text and the parsed document (NULL if it is not JSON)."""
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
+    return _documents(spark.read.text(path, wholetext=True, recursiveFileLookup=True)).drop("modified")
+
+
+def _documents(texts: DataFrame) -> DataFrame:
+    return texts.select(
         decoded(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
         F.col("value").alias("payload"),
         F.try_parse_json("value").alias("doc"),
     )
 
 
+def follow_documents(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The files below a folder as a stream of documents, see ``json_documents``, with the time of their last change."""
+    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _documents(reader.text(path))
+
+
 def history_path(base: str, owner: str, year: str, kind: str = "results") -> str:
     """``<base>/<owner>/<year>/<kind>/``."""
     return f"{base.rstrip('/')}/{owner}/{year}/{kind}/"

@@ -232,6 +232,35 @@ def run_raw_batch(
     ledger.run(records, out, batch_id, _identity(), work)
 
 
+def run_object_batch(docs: DataFrame, batch_id: int, out: str, unknown: str | None = routing.CATCH_ALL) -> None:
+    """One micro-batch of object files (see ``files.follow_documents``) into the raw tables under ``<out>/raw_tables``.
+
+    A file holds one event or a list of them. Each file is listed under ``<out>/objects`` with its number of events; a file
+    that is not JSON is listed with none and kept under ``<out>/rejected``. A file that changes is a new one.
+    """
+
+    def work(fresh: DataFrame, number: int) -> None:
+        listed = F.try_variant_get("event", "$", "array<variant>")
+        read = once(once(fresh, text=normalize_json("payload")), event=F.try_parse_json("text"))
+        found = F.when(F.col("event").isNotNull(), F.coalesce(listed, F.array("event")))
+        opened = once(read, events=found).persist(StorageLevel.MEMORY_AND_DISK)
+        events = opened.select(F.explode("events").alias("event"))
+        routed = events.select(routing.raw_table(routing.verb_normalized("event"), unknown).alias("table_name"), "event")
+        names = opened.select("path", "modified", F.coalesce(F.size("events"), F.lit(0)).cast("long").alias("events"))
+        bad = opened.where(F.col("events").isNull()).select("path", "payload")
+        try:
+            each({
+                "raw": lambda: tables.append_raw(routed, f"{out}/raw_tables", batch=str(number)),
+                "objects": lambda: names.write.mode("overwrite").parquet(f"{out}/objects/batch={number}"),
+                "rejected": lambda: archive.write_failed(bad, f"{out}/rejected", "objects", "decode", str(number)),
+            })
+        finally:
+            opened.unpersist()
+
+    version = F.concat_ws("@", "path", F.unix_millis("modified"))
+    ledger.run(docs, out, batch_id, (F.lit("object"), version, F.col("modified")), work)
+
+
 def raw_tables(spark: SparkSession, out: str) -> DataFrame:
     """The raw tables' rows of committed batches and of replays."""
     return ledger.visible(spark, out, spark.read.parquet(f"{out}/raw_tables"))
