@@ -1,8 +1,8 @@
 """Key normalization: every object key at every depth loses ``_`` and ``-`` and becomes lower case.
 
 Text items of a list under the normalized key ``relatedagents`` also lose their quotes. When two keys of one object
-normalize to the same name, the later one wins. Declared schemas use native expressions; text of unknown shape uses
-one Arrow-batched function.
+normalize to the same name, the later one wins. Declared schemas use native expressions; so does JSON text, whose keys are
+renamed where they stand, whatever its shape. Only text with escapes in keys and the like goes to an Arrow-batched function.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlake.functions.text import QUOTE_MARKS, normal_key, strip_quotes
+from learnlake.operators.shaping import once
 
 AGENTS = "relatedagents"
 
@@ -101,3 +102,67 @@ def _normal_text(text: str | None) -> str | None:
 def normalize_json(texts: pd.Series) -> pd.Series:
     """JSON text with normalized keys; text that is not JSON becomes NULL."""
     return texts.map(_normal_text)
+
+
+# -- JSON text without a Python function ------------------------------------------------------------------------------
+# A quote that no backslash precedes opens or closes a string. What follows a closing one begins with one of , : ] }
+KEY = r'(?<!\\)"(?!\s*+[,:\]}])[^"\\]*+"\s*+:'
+AGENTS_LIST = rf'"{AGENTS}"\s*+:\s*+\['
+# keys with escapes, keys that look like what follows a string
+ODD_KEY = r'\\.[^"\\]*+"\s*+:|"\s*+[,:\]}][^"\\]*+"\s*+:'
+
+
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def named_text(text: Column) -> Column:
+    """JSON text with its keys renamed where they stand. Keys that meet stay beside each other: a reader takes the last."""
+    between, keys = F.split(text, KEY, -1), F.regexp_extract_all(text, F.lit(KEY), F.lit(0))
+    return F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(normal_key(F.get(keys, i)), F.lit("")))), "")
+
+
+def _agents(named: Column) -> Column:
+    """Renamed text, cut behind the opening bracket of each list of agents: ``(list, rest)``; the first has no list."""
+    whole = r"^[^\[\]{}]*+\]"  # a list of plain values
+    return F.transform(
+        F.split(named, AGENTS_LIST, -1),
+        lambda p, i: F.struct(
+            F.when(i > 0, F.regexp_extract(p, whole, 0)).otherwise("").alias("items"),
+            F.when(i > 0, F.regexp_replace(p, whole, "")).otherwise(p).alias("rest"),
+            (i > 0).alias("listed"),
+        ),
+    )
+
+
+def _plain_list(part: Column) -> Column:
+    """A list of agents that ends where it seems to, with no escapes but those of quotes."""
+    items = F.replace(part["items"], F.lit('\\"'), F.lit(""))
+    return ~part["listed"] | ((part["items"] != "") & ~F.contains(items, F.lit("\\")) & (_count(items, '"') % 2 == 0))
+
+
+def in_place(df: DataFrame, text: str = "payload", doc: str = "doc", out: str = "named") -> DataFrame:
+    """``out``: the text with normalized keys, NULL where it has to be read by ``normalize_json``.
+
+    Renamed in place are objects and lists with nothing odd about their keys and agents. Brackets are counted since Spark's
+    parser passes over what follows a document.
+    """
+    shown = F.to_json(doc)
+    ends = F.rlike(F.col(text), F.lit(r"^\s*+[{\[]")) & F.rlike(F.col(text), F.lit(r"[}\]]\s*+$"))
+    sound = ends & (_count(F.col(text), "}") == _count(shown, "}")) & (_count(F.col(text), "]") == _count(shown, "]"))
+    usual = F.coalesce(sound & ~F.rlike(F.col(text), F.lit(ODD_KEY)), F.lit(False))
+    parts = once(df, __parts=F.when(usual, _agents(named_text(F.col(text)))))
+    plain = F.coalesce(F.forall("__parts", _plain_list), F.lit(False))
+    clean = lambda p: F.replace(F.replace(p["items"], F.lit("'"), F.lit("")), F.lit('\\"'), F.lit(""))
+    joined = F.array_join(F.transform("__parts", lambda p: F.concat(clean(p), p["rest"])), f'"{AGENTS}":[')
+    return once(parts, **{out: F.when(plain, joined)}).drop("__parts")
+
+
+def normal_events(df: DataFrame, text: str = "payload", doc: str = "doc") -> DataFrame:
+    """``event``: the parsed text with normalized keys, NULL if it is not JSON; ``doc`` is the parsed text.
+
+    Rows that ``in_place`` serves pass the Python function as NULL.
+    """
+    native = in_place(df, text, doc, "__native")
+    rest = native.withColumn("__other", normalize_json(F.when(F.col("__native").isNull(), F.col(text))))
+    return once(rest, event=F.try_parse_json(F.coalesce("__native", "__other"))).drop("__native", "__other")

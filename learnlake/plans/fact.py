@@ -4,13 +4,14 @@ Shape of the plan: the activity rows are reduced to answered statements by a sem
 partitioning of the statement key. The two lookups (school, learning unit) are small aggregates, written once so
 that their real size decides between a broadcast, which keeps that partitioning, and a salted join. Results, SCORM
 results and statements join last on the statement key, so the closing ``distinct`` - whose columns include that key -
-needs no further exchange. Restricting those inputs to the base keys first would change nothing: they are only
+needs no further exchange. Inputs kept in buckets of that key (``keep``) are not exchanged at all. Restricting those inputs to the base keys first would change nothing: they are only
 left-joined on exactly those keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from learnlake.parallel import each
 from learnlake.schemas import gold
 from learnlake.schemas.events import SCORM, VERB_PREFIX
 from learnlake.session import written
-from learnlake.sinks.tables import replace_if_any
+from learnlake.sinks.tables import BUCKETS, append_keyed, replace_if_any
 
 KEY = ["lrs_id", "client_id", "statement_id"]
 ANSWERED = VERB_PREFIX + "answered"
@@ -120,6 +121,15 @@ def build(tables: Mapping[str, DataFrame]) -> DataFrame:
     return wide.select(*[computed.get(c, F.col(c)).alias(c) for c in gold.COLUMNS[TABLE]]).distinct()
 
 
+def keep(tables: Mapping[str, DataFrame], database: str, base: str, n: int = BUCKETS) -> dict[str, DataFrame]:
+    """The inputs of ``build``, the statement-keyed ones appended to catalog tables in ``n`` buckets of the statement key."""
+    kept = each({
+        name: partial(append_keyed, df, f"{database}.{name}", f"{base}/{database}/{name}", KEY, n)
+        for name, df in tables.items() if name.startswith("dim_lrs_")
+    })
+    return dict(tables) | kept
+
+
 def read_tables(
     spark: SparkSession, options: Mapping[str, str], schema: str = "gold", parts: int = 64
 ) -> dict[str, DataFrame]:

@@ -760,3 +760,10 @@ def stream_progress_counts(t):
     finally:
         table.close()
     return progress.success_counts(table.read()).drop("elapsed_s", "per_second")
+
+
+@query("fact_over_buckets", FACT_SQL)
+def fact_over_buckets(t):
+    """The fact over inputs that lie in buckets of the statement key: none of them is shuffled."""
+    out = scratch_path(t.spark, "keyed")
+    return fact.build(fact.keep(fact_tables(t), f"keyed_{out[-8:]}", out, 16))

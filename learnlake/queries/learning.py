@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnlake.functions.keys import normalize, normalize_json
+from learnlake.functions.keys import normal_events, normalize, normalize_json
 from learnlake.functions.paths import at, column_name
 from learnlake.functions.text import strip_quotes
 from learnlake.operators import routing
@@ -419,6 +419,13 @@ def key_normalize_any(t):
     return _messy(t).select(F.try_parse_json(normalize_json(F.to_json("e"))).alias("doc")).select(*_messy_columns("doc"))
 
 
+@query("key_normalize_in_place", MESSY_SQL)
+def key_normalize_in_place(t):
+    """Unknown schema: keys renamed where they stand in the text."""
+    texts = _messy(t).select(F.to_json("e").alias("payload"))
+    return normal_events(texts.withColumn("doc", F.try_parse_json("payload"))).select(*_messy_columns("event"))
+
+
 @query(
     "q14_quote_strip",
     """SELECT conv_id, turn, replace(replace(replace(text, '''', ''), '\\"', ''), '"', '') AS text FROM conversations""",

@@ -111,6 +111,20 @@ def write_bucketed(df: DataFrame, path: str, key: str = "statement_id", n: int =
     ).parquet(path)
 
 
+def append_keyed(df: DataFrame, table: str, path: str, key: Sequence[str], n: int = BUCKETS) -> DataFrame:
+    """Append to a catalog table whose files lie in ``n`` buckets of the key, and return the table.
+
+    Joins and groupings by the key, or by more columns than the key, read such tables as they lie: tables with equal ``n``
+    are not shuffled. A bucket is one task of the reader, so ``n`` is chosen by size (some 1 GB a bucket). An append adds one
+    file a bucket. A table that exists keeps its number of buckets; another one is an error.
+    """
+    if "." in table:
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    dealt = df.repartition(n, *key).write.format("parquet").mode("append")
+    dealt.bucketBy(n, *key).sortBy(*key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def load_folder(spark: SparkSession, path: str, table: str, schema: T.StructType, base: str, run: str) -> None:
     """Add a folder of bucketed files, ``<base>/run=<run>/bucket=<n>``, to a catalog table.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from learnlake.functions.ids import sequence_key
-from learnlake.functions.keys import normalize_json
+from learnlake.functions.keys import normal_events
 from learnlake.functions.paths import at
 from learnlake.functions.text import before_colon
 from learnlake.operators import changes, joins, routing
@@ -195,7 +195,7 @@ def run_change_batch(
 def _raw_rows(records: DataFrame, unknown: str | None) -> DataFrame:
     """Readable records as normalized events with the raw table of their verb."""
     good = envelope.good(envelope.decode(records))
-    events = once(once(good, text=normalize_json("payload")), event=F.try_parse_json("text"))
+    events = normal_events(good)
     return events.select(routing.raw_table(routing.verb_normalized("event"), unknown).alias("table_name"), "event")
 
 
@@ -236,12 +236,13 @@ def run_object_batch(docs: DataFrame, batch_id: int, out: str, unknown: str | No
     """One micro-batch of object files (see ``files.follow_documents``) into the raw tables under ``<out>/raw_tables``.
 
     A file holds one event or a list of them. Each file is listed under ``<out>/objects`` with its number of events; a file
-    that is not JSON is listed with none and kept under ``<out>/rejected``. A file that changes is a new one.
+    that is not JSON is listed with none and kept under ``<out>/rejected``. A file that changes is a new one; an empty one is
+    nothing.
     """
 
     def work(fresh: DataFrame, number: int) -> None:
         listed = F.try_variant_get("event", "$", "array<variant>")
-        read = once(once(fresh, text=normalize_json("payload")), event=F.try_parse_json("text"))
+        read = normal_events(fresh)
         found = F.when(F.col("event").isNotNull(), F.coalesce(listed, F.array("event")))
         opened = once(read, events=found).persist(StorageLevel.MEMORY_AND_DISK)
         events = opened.select(F.explode("events").alias("event"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from learnlake.functions import ids, text
-from learnlake.functions.keys import _normal_text, normalize, normalize_json
+from learnlake.functions.keys import _normal_text, in_place, normal_events, normalize, normalize_json
 from learnlake.functions.paths import at, at_or, column_name, json_path, not_null, present
 from learnlake.schemas.events import wide_paths
 
@@ -133,3 +133,39 @@ def test_joined_list(docs):
     df = docs({"v": ["a", "b"]}, {"v": "one"}, {}, {"v": None}, {"v": []}).select(text.joined_list("doc", "v").alias("v"))
     assert [r.v for r in df.collect()] == ["a,b", "one", "", None, ""]
     assert rows_of(docs({"v": [1, 2]}).select(text.joined_list("doc", "v"))) == [("1,2",)]
+
+
+def test_keys_renamed_in_place_agree_with_the_function(spark):
+    rng = random.Random(13)
+    words = ["A_b", "a-B", "", ",x", ": y", "}", "]", 'q"Z_', "b\\", "é_É", "relatedAgents", "related_agents", "it's", "c\\\\\"d", ":X_Y", ",-1E5,", "\n_N"]
+
+    def value(depth):
+        kind = rng.randrange(7 if depth else 4)
+        if kind < 4:
+            return rng.choice([rng.choice(words), rng.randrange(9), None, -1.5])
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(words): value(depth - 1) for _ in range(rng.randrange(4))}
+
+    texts = []
+    for i in range(3000):
+        made = {f"K_{j}": value(3) for j in range(3)} | {rng.choice(words[:2] + words[9:12]): value(2)}
+        text = json.dumps(made if i % 5 else [made], indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        texts.append(text + rng.choice([""] * 9 + [" ", " x", "}", "]", ' {"a": 1}']))
+    texts += [None, "", "5", '"s"', "null", "[]", "{}", "{", '{"a":1}{"a":1}', '{"related_agents": ["a]b", "\'c\'", "\\"d\\""], "E": ["x", ":Y_Z"]}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, payload string").withColumn("doc", F.try_parse_json("payload"))
+    got = {r.i: r.j for r in normal_events(df).select("i", F.to_json("event").alias("j")).collect()}
+    old = df.select("i", F.to_json(F.try_parse_json(normalize_json("payload"))).alias("j"))
+    assert got == {r.i: r.j for r in old.collect()}
+
+
+def test_usual_events_are_renamed_without_python(spark):
+    """Of the learning events no text reaches the Python function."""
+    from learnlake.queries import inputs
+    from learnlake.queries.registry import Tables
+    from learnlake.sources import envelope
+
+    good = envelope.good(envelope.decode(inputs.learning_records(Tables(spark, "/root/testdata/sf0.001"))))
+    named = in_place(good)
+    assert named.count() > 0 and named.where("named IS NULL").count() == 0
+    assert "Python" not in named._jdf.queryExecution().executedPlan().toString()

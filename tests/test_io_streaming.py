@@ -1,6 +1,7 @@
 import base64
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from learnlake.schemas.events import IDS, VERB_PREFIX
 from learnlake.session import scratch_path, written
 from learnlake.sinks import archive, merge, tables
 from learnlake.sources import files, jdbc
-from learnlake.streaming import jobs
+from learnlake.streaming import jobs, progress
 
 ENVELOPE = """eventSource string, eventVersion string, eventID string, awsRegion string, partitionKey string,
     sequenceNumber string, data string, approximateArrivalTimestamp double"""
@@ -358,3 +359,43 @@ def test_archives(spark):
     path = scratch_path(spark, "failed")
     archive.write_failed(spark.range(2), path, "gold.dim_user", "upsert", "3")
     assert spark.read.json(f"{path}/upsert_gold_dim_user/batch=3").count() == 2
+
+
+# -- object files and counters ---------------------------------------------------------------------------------------
+def test_object_files_of_all_kinds(spark, tmp_path):
+    """One event, a list of them, an empty list, what is not JSON, an empty file; a file that changes is loaded again."""
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    event = lambda n: {"Verb_ID": VERB_PREFIX + "answered", "id": n}
+    for name, text in {"a+b.json": json.dumps(event("1")), "c d.json": json.dumps([event("2"), event("3")]), "e.json": "[]", "f.json": "{", "g": ""}.items():
+        (inbox / name).write_text(text)
+    drain = lambda cp: jobs.start(
+        files.follow_documents(spark, str(inbox), 2), lambda df, i: jobs.run_object_batch(df, i, out), str(tmp_path / cp)
+    ).awaitTermination()
+    drain("cp")
+    drain("cp")
+    (inbox / "a+b.json").write_text(json.dumps(event("4")))
+    os.utime(inbox / "a+b.json", (2_000_000_000, 2_000_000_000))
+    drain("cp2")
+    got = jobs.raw_tables(spark, out).selectExpr("table_name", "variant_get(event, '$.id', 'string') AS id").collect()
+    assert sorted(map(tuple, got)) == [("lrs_events_answered", i) for i in "1234"]
+    listed = spark.read.parquet(f"{out}/objects").selectExpr("element_at(split(path, '/'), -1) AS name", "events").collect()
+    assert sorted(map(tuple, listed)) == [("a+b.json", 1), ("a+b.json", 1), ("c d.json", 2), ("e.json", 0), ("f.json", 0)]
+    rejected = spark.read.json(f"{out}/rejected/decode_objects").collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in rejected) == ["f.json"]
+
+
+def test_counters_of_a_stream(spark, tmp_path):
+    schema = "shard string, ok boolean, s double"
+    for i, rows in enumerate([[("a", True, 1.0), ("a", None, 3.0), (None, False, 2.0)], [("a", True, 9.0), ("z", True, 4.0)], []]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table = progress.ProgressTable(spark, str(tmp_path / "progress"))
+    try:
+        stream = progress.counted(jobs.source(spark, str(tmp_path / "in"), schema, "parquet", 1), F.col("ok"), F.col("shard"), ["a", "b"], F.col("s"))
+        sink = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+        table.wait(sink.start(str(tmp_path / "out")))
+    finally:
+        table.close()
+    got = {r.shard: (r.total, r.ok, r.failed, r.elapsed_s, r.per_second) for r in progress.success_counts(table.read()).collect()}
+    assert got == {"a": (3, 2, 1, 8.0, 3 / 8), None: (2, 1, 1, 2.0, 1.0)}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -242,6 +244,27 @@ def test_fact_plan_shuffles_each_big_table_once(spark, tmp_path):
     assert not any(word in plan for word in ("Cartesian", "NestedLoop", "Python"))
 
 
+def test_fact_over_buckets_shuffles_no_keyed_table(spark, tmp_path):
+    inputs = fact_inputs(spark)
+    want = sorted(map(tuple, fact.build(inputs).collect()), key=str)
+    wide = {}
+    for name, df in inputs.items():
+        wide[name] = df.crossJoin(spark.range(2000)).withColumn("pad", F.sha2(F.col("id").cast("string"), 256)).drop("id") if "lrs" in name else df
+    kept = fact.keep(wide, "fact_in_buckets", str(tmp_path), 6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+        built = fact.build(kept)
+        plan = built._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") >= 5, plan
+        small = fact.build(fact.keep(inputs, "fact_in_few_buckets", str(tmp_path), 3))
+        assert sorted(map(tuple, small.collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with pytest.raises(AnalysisException):
+        fact.keep(inputs, "fact_in_few_buckets", str(tmp_path), 4)
+
+
 # -- history --------------------------------------------------------------------------------------------------------
 def test_history_reads_files_with_escapes_in_their_path(spark, tmp_path):
     for i, folder in enumerate(["dt=2024%3A00", "100%", "a+b c", "plain"]):
