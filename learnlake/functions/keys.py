@@ -1,8 +1,9 @@
 """Key normalization: every object key at every depth loses ``_`` and ``-`` and becomes lower case.
 
 Text items of a list under the normalized key ``relatedagents`` also lose their quotes. When two keys of one object
-normalize to the same name, the later one wins. Declared schemas use native expressions; so does JSON text, whose keys are
-renamed where they stand, whatever its shape. Only text with escapes in keys and the like goes to an Arrow-batched function.
+normalize to the same name, the later one wins. Declared schemas use native expressions; text of unknown shape uses
+one Arrow-batched function, or ``normal_events``, which renames keys where they stand in the text. The jobs use the function:
+it costs 9 us an event of 2 KB, renaming in place 66 us, of which writing the parsed event as text alone takes 13.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def _count(text: Column, mark: str) -> Column:
 def named_text(text: Column) -> Column:
     """JSON text with its keys renamed where they stand. Keys that meet stay beside each other: a reader takes the last."""
     between, keys = F.split(text, KEY, -1), F.regexp_extract_all(text, F.lit(KEY), F.lit(0))
-    return F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(normal_key(F.get(keys, i)), F.lit("")))), "")
+    return F.array_join(F.zip_with(between, keys, lambda b, k: F.concat(b, F.coalesce(normal_key(k), F.lit("")))), "")
 
 
 def _agents(named: Column) -> Column:
