@@ -36,3 +36,18 @@ def test_parts_are_batches_and_a_batch_is_read_once(spark, tmp_path):
     )
     assert batches == [(0, 10, 45), (1, 10, 95), (2, 10, 145)]
     assert times.value == 30
+
+
+def test_object_files_are_taken_by_thousands(spark, tmp_path, monkeypatch):
+    """A file of 64 events is 0.1 MB: a hundred of them are no batch."""
+    asked = []
+    follow = io.files.follow_documents
+    monkeypatch.setattr(io.files, "follow_documents", lambda s, p, n=None: asked.append(n) or follow(s, p, n))
+    stamps = F.timestamp_seconds(F.col("id") + 1_700_000_000)
+    events = spark.range(300).select(
+        F.col("id").alias("event_id"), stamps.alias("ts"), (F.col("id") % 5).alias("user_id"), F.lit("click").alias("event_type"),
+        F.lit(60.0).alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    rows = io.stream_object_files(SimpleNamespace(spark=spark, events=events)).collect()
+    assert len({r["id"] for r in rows if r["name"] != "objects"}) == 300 and len(rows) == 305
+    assert asked[0] >= 1000 and asked[1] is None
