@@ -16,6 +16,24 @@ def sizes(df):
     return sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
 
 
+def test_spread_of_a_file_with_one_row_group(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(40_000).coalesce(1).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = spark.read.parquet(path)
+        assert rows.rdd.getNumPartitions() >= 4  # but one of them has all rows
+        assert sizes(rows) == [40_000]
+        assert sizes(spread(rows, "id"))[-1] < 12_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_spread_makes_more_tasks_of_more_rows(spark, monkeypatch):
+    monkeypatch.setattr("learnlake.operators.shaping.SPREAD", 1000)
+    assert spread(spark.range(20_000), "id").rdd.getNumPartitions() == 20
+
+
 def test_parts_are_batches_and_a_batch_is_read_once(spark, tmp_path):
     batches, times = [], spark.sparkContext.accumulator(0)
 
