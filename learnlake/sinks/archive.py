@@ -87,14 +87,18 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [c.alias(n) for n, c in columns.items()]
 
 
-def write_json(df: DataFrame, path: str, folders: list[str], mode: str = "append") -> None:
-    """One JSON row per line under ``folder=value`` directories; without folders one flat set of files."""
+def write_json(df: DataFrame, path: str, folders: list[str], mode: str = "append", dealt: bool = True) -> None:
+    """One JSON row per line under ``folder=value`` directories, gzip files; without folders one flat set of files.
+
+    Rows that all go to one folder need not be ``dealt`` by folder: each task writes what it has.
+    """
     if not folders:
-        df.write.mode(mode).json(path)
+        df.write.mode(mode).json(path, compression="gzip")
         return
-    df.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).json(path)
+    rows = df.hint("rebalance", *folders) if dealt else df
+    rows.write.mode(mode).partitionBy(*folders).json(path, compression="gzip")
 
 
 def write_failed(df: DataFrame, path: str, table: str, op: str, batch: str) -> None:
     """Rows of a failed write, kept under the operation, the table and the batch."""
-    df.write.mode("overwrite").json(f"{path}/{op}_{table.replace('.', '_')}/batch={batch}")
+    df.write.mode("overwrite").json(f"{path}/{op}_{table.replace('.', '_')}/batch={batch}", compression="gzip")

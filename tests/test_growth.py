@@ -34,6 +34,31 @@ def test_spread_makes_more_tasks_of_more_rows(spark, monkeypatch):
     assert spread(spark.range(20_000), "id").rdd.getNumPartitions() == 20
 
 
+def test_stages_are_compiled_and_files_are_small(spark):
+    assert RUNTIME_CONF["spark.sql.codegen.hugeMethodLimit"] == "8000"
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
+def test_archives_are_compressed_and_read_back(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=4).select(F.lit("same text " * 50).alias("payload"), F.lit("01").alias("month"))
+    for dealt in (True, False):
+        archive.write_json(rows, str(tmp_path / f"a{dealt}"), ["month"], dealt=dealt)
+        assert all(f.endswith(".json.gz") for f in glob.glob(f"{tmp_path}/a{dealt}/month=01/part*"))
+        assert spark.read.schema("payload string").json(str(tmp_path / f"a{dealt}")).where("length(payload) = 500").count() == 1000
+    assert len(glob.glob(f"{tmp_path}/aFalse/month=01/part*")) == 4  # written by the tasks that made them
+    archive.write_failed(rows, str(tmp_path / "failed"), "a.b", "insert", "1")
+    assert glob.glob(f"{tmp_path}/failed/insert_a_b/batch=1/*.json.gz")
+
+
+def test_records_become_a_file_a_task_and_two_batches(spark, tmp_path):
+    batches = []
+    records = spark.range(100, numPartitions=6).toDF("n")
+    stream = io._record_stream(SimpleNamespace(spark=spark), records)
+    stream, file = stream.select("n", F.col("_metadata.file_path").alias("file")), F.count_distinct("file")
+    jobs.start(stream, lambda df, i: batches.append(tuple(df.agg(file, F.count("n")).first())), str(tmp_path / "cp")).awaitTermination()
+    assert [f for f, _ in batches] == [3, 3] and sum(n for _, n in batches) == 100
+
+
 def test_parts_are_batches_and_a_batch_is_read_once(spark, tmp_path):
     batches, times = [], spark.sparkContext.accumulator(0)
 
