@@ -121,6 +121,9 @@ def build(tables: Mapping[str, DataFrame]) -> DataFrame:
     return wide.select(*[computed.get(c, F.col(c)).alias(c) for c in gold.COLUMNS[TABLE]]).distinct()
 
 
+BUCKET_ROWS = 1_000_000  # of the longest input, in a bucket: one task joins them
+
+
 def keep(tables: Mapping[str, DataFrame], database: str, base: str, n: int = BUCKETS) -> dict[str, DataFrame]:
     """The inputs of ``build``, the statement-keyed ones appended to catalog tables in ``n`` buckets of the statement key."""
     kept = each({

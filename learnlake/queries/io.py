@@ -774,4 +774,6 @@ def stream_progress_counts(t):
 def fact_over_buckets(t):
     """The fact over inputs that lie in buckets of the statement key: none of them is shuffled."""
     out = scratch_path(t.spark, "keyed")
-    return fact.build(fact.keep(fact_tables(t), f"keyed_{out[-8:]}", out, 16))
+    given = fact_tables(t)
+    buckets = max(16, -(-t.lineitem.count() // fact.BUCKET_ROWS))
+    return fact.build(fact.keep(given, f"keyed_{out[-8:]}", out, buckets))

@@ -81,6 +81,16 @@ def test_parts_are_batches_and_a_batch_is_read_once(spark, tmp_path):
     assert times.value == 30
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(io.fact, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(io, "fact_tables", lambda t: {})
+    monkeypatch.setattr(io.fact, "keep", lambda given, database, out, n: asked.append(n))
+    monkeypatch.setattr(io.fact, "build", lambda given: None)
+    io.fact_over_buckets(SimpleNamespace(spark=spark, lineitem=spark.range(5000)))
+    assert asked == [50]
+
+
 def test_object_files_are_taken_by_thousands(spark, tmp_path, monkeypatch):
     """A file of 64 events is 0.1 MB: a hundred of them are no batch."""
     asked = []
