@@ -12,12 +12,12 @@ from learnlake.session import written
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without any letter go."""
-    return langid.accept(docs.select(*DOCUMENT), langid.fit(docs, learned(3, 1)))
+    return langid.accept(docs.select(*DOCUMENT), langid.fit(docs, learned(3, 1), scores=False))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learned(5, 0), langid.fit(docs, learned(5, 0)))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learned(5, 0), langid.fit(docs, learned(5, 0), scores=False))
     return toxicity.accept(docs.select(*DOCUMENT), model)
 
 

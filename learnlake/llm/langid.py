@@ -2,28 +2,29 @@
 
 Two texts are as alike as the share of byte n-grams (all lengths from 1 to ``ORDER``, the blended spectrum) that both
 contain; how often does not count. Landmark texts give a Nyström map of this kernel, on which one ridge regression per
-language is fitted. The score of a text is its kernel row against the landmarks times the regression weights; since the
+language is fitted to all labelled rows: each task sums its rows' part of the normal equations. The score of a text is its kernel row against the landmarks times the regression weights; since the
 kernel is linear in the presence vectors, batches compute it as presence matrix times (landmarks times weights).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnlake.llm import textbytes
-from learnlake.llm.frames import annotate, hash_sample, keep_where
+from learnlake.llm.frames import annotate, keep_where
 
 ORDER = 4
 BITS = 17  # n-grams are hashed to so many bits
-TRAIN = 3000  # labelled rows learned from, at most
 LANDMARKS = 192
+HEATS = (0.5, 1, 2, 4, 8, 16)
 UNKNOWN = "und"
 _FLUSH = 1 << 18
 
@@ -86,49 +87,147 @@ def rate(model: Model, texts: pa.Array) -> np.ndarray:
     return out + model.bias
 
 
-def fit(docs: DataFrame, usable: Column) -> Model:
-    """Learn from at most ``TRAIN`` rows, those of smallest hash among the rows that are ``usable`` and have text and lang."""
-    rows = docs.where(usable & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-
-    def build(_) -> Callable[[pa.Array], dict]:
-        return lambda texts: {"grams": [found.astype("<i4").tobytes() for found in presence(texts)]}
+def fit(docs: DataFrame, usable: Column, scores: bool = True) -> Model:
+    """Learn from all rows that are ``usable`` and have text and lang; a repeated row counts as often as it comes.
 
-    sample = annotate(hash_sample(rows, TRAIN, "doc_id"), ["doc_id", "lang"], "grams binary", build)
-    taken = sorted(sample.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
-    return train([r["lang"] for r in taken], [np.frombuffer(r["grams"], "<i4") for r in taken])
+    Without ``scores`` the scores are not calibrated, which spares a pass over the rows; the languages said are the same.
+    """
+    rows = docs.where(usable & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    number = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    languages = sorted(number)
+    if not languages:
+        return Model([UNKNOWN], np.zeros((1 << BITS, 1), np.float32), np.zeros(1, np.float32), 1.0)
+    space = _space(_landmarks(rows))
+    model = _solved(languages, space, _equations(rows, languages, number, space))
+    if scores:
+        losses = _losses(rows, model)
+        model.heat = float(min(HEATS, key=lambda h: losses[HEATS.index(h)]))
+    return model
 
 
 def train(langs: list[str], found: list[np.ndarray]) -> Model:
+    """The same fit of a few rows that lie in memory, given by the hashes of their n-grams."""
     languages = sorted(set(langs))
-    if not languages:
-        return Model([UNKNOWN], np.zeros((1 << BITS, 1), np.float32), np.zeros(1, np.float32), 1.0)
     y = np.array([languages.index(x) for x in langs])
-    # as many landmarks of each language as possible, in the order of the sample
     rank = np.zeros(len(y), int)
     for c in range(len(languages)):
         rank[y == c] = np.arange((y == c).sum())
-    chosen = [i for i in np.lexsort((y, rank)) if len(found[i])][:LANDMARKS] or [0]
-    m = len(chosen)
-    marks = np.zeros((1 << BITS, m), np.uint8)  # n-gram x landmark
-    for j, i in enumerate(chosen):
-        marks[found[i], j] = 1
+    chosen = [i for i in np.lexsort((y, rank)) if len(found[i])][:LANDMARKS]
+    space = _space(_marked([found[i] for i in chosen]))
+    count = np.bincount(y, minlength=len(languages))
+    model = _solved(languages, space, _sums(space, found, y, count))
+    z = np.stack([model.weights[f].sum(axis=0) / max(1.0, np.sqrt(len(f))) + model.bias for f in found]).astype(float)
+    model.heat = float(min(HEATS, key=lambda h: _loss(z * h, y)))
+    return model
+
+
+@dataclass
+class _Space:
+    marks: np.ndarray  # n-gram x landmark
+    size: np.ndarray  # of the landmarks
+    whiten: np.ndarray  # Nyström map: kernel row -> features
+
+
+def _marked(found: list[np.ndarray]) -> np.ndarray:
+    marks = np.zeros((1 << BITS, max(1, len(found))), np.uint8)
+    for j, grams in enumerate(found):
+        marks[grams, j] = 1
+    return marks
+
+
+def _space(marks: np.ndarray) -> _Space:
     size = np.sqrt(np.maximum(1, marks.sum(axis=0, dtype=np.int64)))
-    kernel = np.stack([marks[f].sum(axis=0, dtype=np.int64) / max(1.0, np.sqrt(len(f))) for f in found]) / size
-    inner = kernel[chosen]
+    inner = _kernel(marks, map(np.flatnonzero, marks.T), marks.shape[1]) / size
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
     good = value > 1e-8 * max(1e-8, value.max())
-    whiten = vector[:, good] / np.sqrt(value[good])  # Nyström map: kernel row -> features
-    phi = np.concatenate([kernel @ whiten, np.ones((len(y), 1))], axis=1)
-    weight = 1.0 / np.bincount(y, minlength=len(languages))[y]  # every language counts alike
-    signs = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
-    ridge = 1e-3 * np.eye(phi.shape[1])
+    return _Space(marks, size, vector[:, good] / np.sqrt(value[good]))
+
+
+def _kernel(marks: np.ndarray, found: Iterable[np.ndarray], rows: int) -> np.ndarray:
+    """How many n-grams each row shares with each landmark, by the root of its own number."""
+    out = np.zeros((rows, marks.shape[1]))
+    wide = np.pad(marks, ((0, 0), (0, -marks.shape[1] % 8))).view(np.uint64)  # eight counters in a word, up to 255 each
+    for i, grams in enumerate(found):
+        if len(grams):
+            counted = np.add.reduceat(wide[grams], np.arange(0, len(grams), 255), axis=0).view(np.uint8)
+            out[i] = counted.sum(axis=0, dtype=np.int64)[: marks.shape[1]] / np.sqrt(len(grams))
+    return out
+
+
+def _sums(space: _Space, found: Iterable[np.ndarray], y: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """These rows' part of the normal equations, both sides beside each other; every language counts alike."""
+    phi = np.concatenate([_kernel(space.marks, found, len(y)) / space.size @ space.whiten, np.ones((len(y), 1))], axis=1)
+    signs = np.where(y[:, None] == np.arange(len(count)), 1.0, -1.0)
+    return (phi / count[y][:, None]).T @ np.concatenate([phi, signs], axis=1)
+
+
+def _solved(languages: list[str], space: _Space, sums: np.ndarray) -> Model:
+    left, right = sums[:, : len(sums)], sums[:, len(sums):]
+    ridge = 1e-3 * np.eye(len(left))
     ridge[-1, -1] = 0
-    beta = np.linalg.lstsq((phi * weight[:, None]).T @ phi + ridge, (phi * weight[:, None]).T @ signs, rcond=None)[0]
-    project = ((whiten @ beta[:-1]) / size[:, None]).astype(np.float32)
-    weights = np.concatenate([marks[i: i + 4096].astype(np.float32) @ project for i in range(0, len(marks), 4096)])
-    scores = phi @ beta
-    heat = min((0.5, 1, 2, 4, 8, 16), key=lambda h: _loss(scores * h, y))
-    return Model(languages, weights, beta[-1].astype(np.float32), float(heat))
+    beta = np.linalg.lstsq(left + ridge, right, rcond=None)[0]
+    project = ((space.whiten @ beta[:-1]) / space.size[:, None]).astype(np.float32)
+    weights = np.concatenate([space.marks[i: i + 4096].astype(np.float32) @ project for i in range(0, 1 << BITS, 4096)])
+    return Model(languages, weights, beta[-1].astype(np.float32), 1.0)
+
+
+def _landmarks(rows: DataFrame) -> np.ndarray:
+    """The n-grams (n-gram x landmark) of ``LANDMARKS`` texts with something in them, as many of each language as possible in the
+    order of a hash of their ids."""
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = rows.where(F.length("text") > 0).select("doc_id", "lang").distinct()
+    first = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LANDMARKS).orderBy("rank", "lang").limit(LANDMARKS)
+    places = {(r["doc_id"], r["lang"]): k for k, r in enumerate(first.collect())}
+    chosen = rows.where((F.length("text") > 0) & F.col("doc_id").isin(sorted({i for i, _ in places})))
+    found = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+    texts = [t for _, t in sorted((places[i, lang], t) for i, lang, t in found if (i, lang) in places)]
+    return _marked(list(presence(pa.array(texts, pa.string()))))
+
+
+def _equations(rows: DataFrame, languages: list[str], number: dict[str, int], space: _Space) -> np.ndarray:
+    """The normal equations of all rows."""
+    lists = [np.flatnonzero(m).astype(np.int32) for m in space.marks.T]
+    count = np.array([number[x] for x in languages])
+    shared = rows.sparkSession.sparkContext.broadcast((languages, count, lists, space.size, space.whiten))
+    m = space.whiten.shape[1] + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, count, lists, size, whiten = shared.value
+        space = _Space(_marked(lists), size, whiten)
+        at, total = {x: c for c, x in enumerate(names)}, np.zeros((m, m + len(names)))
+        for batch in batches:
+            y = np.array([at[x] for x in batch.column(0).to_pylist()], int)
+            total += _sums(space, presence(batch.column(1)), y, count)
+        part = TaskContext.get().partitionId()
+        lines = [pa.array(np.arange(m)), pa.array(np.full(m, part)), pa.array([r.tobytes() for r in total], pa.binary())]
+        yield pa.RecordBatch.from_arrays(lines, names=["i", "part", "line"])
+
+    found = rows.select("lang", "text").mapInArrow(run, "i long, part long, line binary").groupBy("i").applyInArrow(_total, "i long, line binary")
+    lines = {r["i"]: np.frombuffer(r["line"]) for r in found.collect()}  # a row a landmark
+    return np.stack([lines[i] for i in range(m)])
+
+
+def _total(group: pa.Table) -> pa.Table:
+    group = group.sort_by("part")  # reruns agree
+    line = np.sum([np.frombuffer(v.as_buffer()) for v in group.column("line")], axis=0)
+    return pa.table({"i": group.column("i").slice(0, 1), "line": pa.array([line.tobytes()], pa.binary())})
+
+
+def _losses(rows: DataFrame, model: Model) -> np.ndarray:
+    """The summed loss of all rows for each of ``HEATS``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = shared.value, np.zeros(len(HEATS))
+        at = {x: c for c, x in enumerate(known.languages)}
+        for batch in batches:
+            y = np.array([at[x] for x in batch.column(0).to_pylist()], int)
+            z = rate(known, batch.column(1)).astype(float)
+            total += [_loss(z * h, y) for h in HEATS]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(HEATS))), pa.array(total)], names=["i", "loss"])
+
+    found = rows.select("lang", "text").mapInArrow(run, "i long, loss double").groupBy("i").agg(F.sum("loss").alias("loss"))
+    return np.array([r["loss"] for r in sorted(found.collect())])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -137,7 +236,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _loss(z: np.ndarray, y: np.ndarray) -> float:
-    return float(-np.log(_softmax(z)[np.arange(len(y)), y] + 1e-9).mean())
+    return float(-np.log(_softmax(z)[np.arange(len(y)), y] + 1e-9).sum())
 
 
 def has_letters(texts: pa.Array) -> np.ndarray:

@@ -27,7 +27,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    model = toxicity.fit(docs, labels, learned(5, 0), langid.fit(docs, learned(5, 0)))
+    model = toxicity.fit(docs, labels, learned(5, 0), langid.fit(docs, learned(5, 0), scores=False))
     scored = toxicity.predict(docs, model, ["doc_id"])
     return scored.select("doc_id", held(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -136,6 +136,54 @@ def test_classifiers_on_hard_rows(spark, documents):
     assert toxicity.accept(docs, bare).columns == docs.columns
 
 
+LABELLED = [(i, f"{'grim foul' if i % 2 else 'calm fair'} word{i % 7} common text {'of note' * (i % 3)}", "en" if i % 3 else "de") for i in range(120)]
+
+
+def test_toxicity_learns_from_all_rows_in_shards(spark, documents, monkeypatch):
+    """Rows beyond one network's are dealt out, counted and scored whole; no row decides alone, and reruns agree."""
+    for name, value in (("ALONE", 20), ("SHARD", 15)):
+        monkeypatch.setattr(toxicity, name, value)
+    docs = documents(*LABELLED, LABELLED[5])  # a repeated row counts once
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, *_ in LABELLED], "doc_id long, quality int, toxic int")
+    seen, counted = [], toxicity._counted
+    monkeypatch.setattr(toxicity, "_counted", lambda dealt: seen.append(counted(dealt)) or seen[-1])
+    language = langid.fit(docs, F.lit(True), scores=False)
+    models = [toxicity.fit(docs, labels, F.lit(True), language) for _ in range(2)]
+    with_, texts = seen[0]
+    assert texts.sum(axis=0).tolist() == [60, 60] and (texts.sum(axis=1) > 0).all()
+    found = list(toxicity.word_features(pa.array([t for _, t, _ in LABELLED])))
+    alone = toxicity._occurrences([(f, i % 2) for i, f in enumerate(found)])
+    assert np.array_equal(with_.sum(axis=0), alone[0]) and np.array_equal(texts.sum(axis=0), alone[1])
+    rows = [{r.doc_id: r.score for r in toxicity.predict(docs, m, ["doc_id"]).collect()} for m in models]
+    assert rows[0] == rows[1] and all((s >= 0.5) == (i % 2 == 1) for i, s in rows[0].items())
+    net = models[0].network
+    assert np.allclose(toxicity._flat(toxicity._shaped(toxicity._flat(net))), toxicity._flat(net))
+
+
+def test_limits_of_counted_scores_are_those_of_the_rows():
+    rng = np.random.default_rng(1)
+    z = rng.integers(-20, 20, 500) / 4
+    y = (z + rng.normal(0, 2, 500) > 1).astype(int)
+    steps = np.unique(z)
+    n, hits = (np.array([f(z == s) for s in steps], float) for f in (np.sum, lambda own: y[own].sum()))
+    cut = toxicity._limit(steps, hits, n)
+    f1 = lambda t: 2 * y[z >= t].sum() / ((z >= t).sum() + y.sum())
+    assert f1(cut) == max(map(f1, steps))
+
+
+def test_language_is_learned_from_all_rows(spark, documents):
+    """Tasks' sums give the fit of the same rows in memory; every row is in them."""
+    docs = documents(*LABELLED).repartition(5)
+    number = {"de": 40, "en": 80}
+    space = langid._space(langid._landmarks(docs.select("doc_id", "lang", "text")))
+    sums = langid._equations(docs, ["de", "en"], number, space)
+    found = list(langid.presence(pa.array([t for _, t, _ in LABELLED])))
+    y = np.array([0 if lang == "de" else 1 for *_, lang in LABELLED])
+    assert np.allclose(sums, langid._sums(space, found, y, np.array([40, 80])))
+    assert np.isclose(sums[-1, len(sums) - 1], 2)  # the weights of each language's rows add up to one
+    assert langid.fit(docs, F.lit(True), scores=False).weights.shape == langid.fit(docs, F.lit(True)).weights.shape
+
+
 def test_pooling_sees_every_window_of_a_text():
     """The batch form equals the network evaluated text by text."""
     texts = [t for (_, t, *_r) in table("documents")[:40] if t]
