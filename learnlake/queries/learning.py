@@ -17,6 +17,7 @@ from learnlake.queries import inputs
 from learnlake.queries.inputs import ACT_NAMES, ID_NAMES, K_SQL, STAMP_SQL, VERB_SQL
 from learnlake.queries.registry import query, table_sql
 from learnlake.schemas.events import SCORM, VERB_PREFIX, wide_paths
+from learnlake.session import written
 from learnlake.sources import envelope
 
 EVENTS_SQL = f"""(SELECT *, {K_SQL} AS k, {VERB_SQL} AS verb, {STAMP_SQL} AS stamp FROM events)"""
@@ -125,10 +126,10 @@ def stream_unknown(t):
     UNION ALL SELECT 'unknown', count(*) FILTER (verb = 'completed') FROM e""",
 )
 def rows_per_target(t):
-    """Fan-out of every event to its tables, counted in one pass per table."""
+    """Fan-out of every event to its tables, counted in one pass per table; the events are made and decoded once."""
     from learnlake.operators.incremental import table_counts
 
-    events = _decoded(t)
+    events = written(_decoded(t).select("doc"), "decoded")
     frames = {name: build(events) for name, build in lrs_stream.TARGETS.items()} | {"unknown": lrs_stream.unknown(events)}
     return table_counts(frames)
 

@@ -6,7 +6,8 @@ from types import SimpleNamespace
 from pyspark.sql import functions as F
 
 from learnlake.operators.shaping import spread
-from learnlake.queries import io
+from learnlake.plans import lrs_batch
+from learnlake.queries import io, learning
 from learnlake.session import RUNTIME_CONF
 from learnlake.sinks import archive
 from learnlake.streaming import jobs
@@ -34,6 +35,40 @@ def test_spread_makes_more_tasks_of_more_rows(spark, monkeypatch):
     assert spread(spark.range(20_000), "id").rdd.getNumPartitions() == 20
 
 
+def test_events_are_decoded_once_for_all_counts(spark, monkeypatch):
+    times, make = spark.sparkContext.accumulator(0), learning._decoded
+
+    def seen(n):
+        times.add(1)
+        return n
+
+    count = F.udf(seen, "long").asNondeterministic()
+    stamps = F.timestamp_seconds(F.col("id") + 1_700_000_000)
+    events = spark.range(50).select(
+        F.col("id").alias("event_id"), stamps.alias("ts"), (F.col("id") % 5).alias("user_id"), F.lit("click").alias("event_type"),
+        F.lit(60.0).alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    monkeypatch.setattr(learning, "_decoded", lambda t: make(t).where(count(F.length("payload").cast("long")) > 0))
+    found = {r.table_name: r.n for r in learning.rows_per_target(SimpleNamespace(spark=spark, events=events)).collect()}
+    assert found["gold.dim_lrs_verb"] == 50 and times.value == 50
+
+
+def test_refresh_takes_each_path_once_and_keeps_no_event(spark):
+    """The columns that the tables load from hold what each dimension selects from the raw rows."""
+    event = '{"id": "e1", "lrsid": "l", "active": "true", "statement": {"verb": {"id": "v"}, "result": {"success": true}, ' \
+        '"object": {"definition": {"extensions": {"%s": %s}}}}}'
+    act = lrs_batch.normal_name(lrs_batch.ACT_TYPE)
+    raw = spark.createDataFrame([(event % (act, '{"unitid": "u"}'),), (event % (act, "null"),), ("{}",)], "text string").select(
+        F.parse_json("text").alias("event"), F.lit("2024-01-01").cast("timestamp").alias("dt_load")
+    )
+    rows = lrs_batch.flat(raw)
+    assert "event" not in rows.columns and len(rows.columns) == len(set(lrs_batch._FLAT)) + 2
+    for name in lrs_batch.DIMENSIONS:
+        own, kept = lrs_batch.dimension(raw, name), lrs_batch.flat_dimension(rows, name)
+        assert own.schema == kept.schema and sorted(own.collect(), key=repr) == sorted(kept.collect(), key=repr)
+    assert lrs_batch.flat_dimension(rows, "dim_lrs_object_http").count() == 1
+
+
 def test_stages_are_compiled_and_files_are_small(spark):
     assert RUNTIME_CONF["spark.sql.codegen.hugeMethodLimit"] == "8000"
     assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
