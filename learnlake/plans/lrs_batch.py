@@ -5,7 +5,6 @@ Each dimension is one select over one incremental window of the raw table.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from learnlake.functions.paths import not_null, project
 from learnlake.operators.incremental import last_loaded, progress, run_summary, save_progress, window
 from learnlake.parallel import attempt, each
 from learnlake.schemas.events import ACT_TYPE, SCORM
+from learnlake.session import written
 from learnlake.sinks.tables import register
 
 EVENT = "event"
@@ -122,9 +122,31 @@ def stand_alone(raw: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.col(c).cast("string").alias(names.get(c, c)) for c in rows.columns])
 
 
-def _load(spark: SparkSession, raw: DataFrame, name: str, table: str, base: str, low, upto) -> tuple:
+def flat(rows: DataFrame) -> DataFrame:
+    """Every value that the dimensions take from an event, each path once, beside ``dt_load``: see ``flat_dimension``."""
+    return rows.select(*project(EVENT, {c: (p, t) for (p, t), c in _FLAT.items()}), not_null(EVENT, ACT_BLOCK).alias("has_act"), "dt_load")
+
+
+def flat_dimension(rows: DataFrame, name: str, low=None, high=None) -> DataFrame:
+    """``dimension`` of the raw rows that ``flat`` was made of."""
+    rows = window(rows, "dt_load", low, high)
+    if name == "dim_lrs_object_http":
+        rows = rows.where("has_act")
+    return rows.select(*[F.col(_FLAT[_typed(source)]).alias(column) for column, source in DIMENSIONS[name].items()], "dt_load")
+
+
+def _typed(source: str | tuple[str, str]) -> tuple[str, str]:
+    return source if isinstance(source, tuple) else (source, "string")
+
+
+_FLAT = {
+    source: f"c{i}" for i, source in enumerate(dict.fromkeys(_typed(s) for columns in DIMENSIONS.values() for s in columns.values()))
+}
+
+
+def _load(spark: SparkSession, flattened: DataFrame, name: str, table: str, base: str, low, upto) -> tuple:
     """Append the rows after the table's mark; their count and greatest load time are observed while writing."""
-    rows = dimension(raw, name, low, upto)
+    rows = flat_dimension(flattened, name, low, upto)
     if not spark.catalog.tableExists(table):
         register(spark, table, f"{base}/{table}", rows.schema)
     counted = Observation()
@@ -152,7 +174,8 @@ def window_rows(raw: DataFrame, low, upto) -> DataFrame:
 def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto) -> DataFrame:
     """Bring all nine dimensions up to ``upto``: ``(table_name, n, status)`` per table and in total.
 
-    The window after the oldest mark is read once and kept while the tables load. Tables load independently; one that
+    The window after the oldest mark is read once: the values of all tables are taken from an event together and kept in
+    columns in the shared folder, of which each table reads its own. Tables load independently; one that
     fails is reported and picks up from its own mark next time. A table's mark is the greatest load time it really
     received, not ``upto``: raw rows get their load time before their files appear, and files that appear later are read
     next time. For the same reason rows younger than ``LAG`` wait for the next refresh; no raw write may take longer.
@@ -161,17 +184,14 @@ def refresh(spark: SparkSession, raw: DataFrame, database: str, base: str, upto)
     control = f"{database}.load_progress"
     low = marks(spark, database, control)
     upto = F.least((upto if isinstance(upto, Column) else F.lit(upto)).cast("timestamp"), F.current_timestamp() - F.expr(LAG))
-    rows = window_rows(raw, F.lit(min(low.values())), upto).select("event", "dt_load").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = written(flat(window_rows(raw, F.lit(min(low.values())), upto)), "window")
     counts: dict[str, tuple] = {}
 
     def run(name: str) -> tuple[str, str | None]:
         table = f"{database}.{name}"
         return attempt(lambda: counts.update({name: _load(spark, rows, name, table, base, F.lit(low[name]), upto)}), lambda: None)
 
-    try:
-        status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
-    finally:
-        rows.unpersist()
+    status = each({name: (lambda n=name: run(n)) for name in DIMENSIONS})
     loaded = {name: counts[name][1] or low[name] for name, (state, _) in status.items() if state == "ok"}
     if loaded:
         save_progress(spark, control, base, loaded)
