@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 # what the documents table carries from stage to stage
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+BATCH = "5m"  # bytes of an Arrow batch between the stages of the pipeline
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,7 +49,7 @@ def annotate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = build(shared.value)
-        for batch in batches:
+        for batch in returning(batches):
             made = score(batch.column(len(keep)))
             arrays = [batch.column(i) for i in range(len(keep))]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x) for x in (made[n] for n in names[len(keep):])]
@@ -63,11 +64,28 @@ def keep_where(df: DataFrame, build: Callable[[object], Callable[[pa.Array], np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = build(shared.value)
-        for batch in batches:
+        for batch in returning(batches):
             yield batch.filter(pa.array(passes(batch.column(at)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches end at ``BATCH`` bytes, not only at their number of rows: the JVM and the worker hold a few at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
+def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; Arrow's free memory goes back to the system before the first, between two and after the last of them.
+
+    Otherwise a Python worker that waits for its next task holds what the largest batch of earlier stages took.
+    """
+    pa.default_memory_pool().release_unused()
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def _shared(spark: SparkSession, model: object) -> Broadcast:
     return spark.sparkContext.broadcast(model)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnlake.llm import wordids
+from learnlake.llm.frames import returning
 
 WINDOW = 1024  # open examples of a task
 OUT = "start long, length long, ids binary, loss long, doc_tokens long, sequence_id long, offset long"
@@ -149,7 +150,7 @@ def pack(
                 [pa.array(key, kind), *(pa.array(v, t) for v, t in zip(values, arrow.types))], names=schema.names
             )
 
-        for batch in batches:
+        for batch in returning(batches):
             kind = batch.column(0).type
             for key, mark, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), words.batch(batch.column(1))):
                 packer.add(key, np.append(ids, np.uint16(end_id)), mark)

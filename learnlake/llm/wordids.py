@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = r"^[\x21-\x7e\x{a1}-\x{ff}]*$"
 MEMORY = 400_000  # pieces remembered by one Python worker
-ROWS = 4096  # texts split into words at a time
+ROWS = 2048  # texts split into words at a time
 STEP = 1 << 18  # words laid out at a time
 
 
