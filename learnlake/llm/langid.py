@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnlake.llm import textbytes
-from learnlake.llm.frames import annotate, keep_where
+from learnlake.llm.frames import annotate, keep_where, returning
 
 ORDER = 4
 BITS = 17  # n-grams are hashed to so many bits
@@ -38,27 +38,28 @@ class Model:
 
 
 def presence(texts: pa.Array) -> Iterator[np.ndarray]:
-    """For each text the hashes of its n-grams, each once. Letters are lower-cased, other ASCII is a blank."""
-    flags = np.zeros(1 << BITS, bool)
-    row = 0
+    """For each text the hashes of its n-grams, each once, in order. Letters are lower-cased, other ASCII is a blank."""
+    row, found = 0, np.zeros(0, np.intp)
     for piece in textbytes.pieces(texts):
         data = textbytes.lower(piece.data)
         data[~textbytes.LETTER[data]] = 0x20
         hashed = [textbytes.grams(data, n, BITS) for n in range(1, ORDER + 1)]
         for i, s, e in zip(piece.rows, piece.starts, piece.ends):
             if i != row:
-                yield _taken(flags)
-                row = i
-            for n, h in enumerate(hashed):
-                flags[h[s: max(s, e - n)]] = True
+                yield found
+                row, found = i, found[:0]
+            own = _distinct(np.concatenate([h[s: max(s, e - n)] for n, h in enumerate(hashed)]))
+            found = _distinct(np.concatenate([found, own])) if len(found) else own  # a long text comes in several pieces
     if len(texts):
-        yield _taken(flags)
+        yield found
 
 
-def _taken(flags: np.ndarray) -> np.ndarray:
-    found = np.flatnonzero(flags)
-    flags[found] = False
-    return found
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorting the few hashes of a text costs less than looking through flags of all there can be."""
+    hashes.sort()
+    first = np.ones(len(hashes), bool)
+    first[1:] = hashes[1:] != hashes[:-1]
+    return hashes[first].astype(np.intp)
 
 
 def rate(model: Model, texts: pa.Array) -> np.ndarray:
@@ -195,7 +196,7 @@ def _equations(rows: DataFrame, languages: list[str], number: dict[str, int], sp
         names, count, lists, size, whiten = shared.value
         space = _Space(_marked(lists), size, whiten)
         at, total = {x: c for c, x in enumerate(names)}, np.zeros((m, m + len(names)))
-        for batch in batches:
+        for batch in returning(batches):
             y = np.array([at[x] for x in batch.column(0).to_pylist()], int)
             total += _sums(space, presence(batch.column(1)), y, count)
         part = TaskContext.get().partitionId()
@@ -220,7 +221,7 @@ def _losses(rows: DataFrame, model: Model) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = shared.value, np.zeros(len(HEATS))
         at = {x: c for c, x in enumerate(known.languages)}
-        for batch in batches:
+        for batch in returning(batches):
             y = np.array([at[x] for x in batch.column(0).to_pylist()], int)
             z = rate(known, batch.column(1)).astype(float)
             total += [_loss(z * h, y) for h in HEATS]

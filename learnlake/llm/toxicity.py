@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnlake.llm import langid, textbytes
-from learnlake.llm.frames import annotate, keep_where
+from learnlake.llm.frames import annotate, keep_where, returning
 from learnlake.session import written
 
 BITS = 18  # of the hashed embeddings
@@ -186,16 +186,19 @@ def raw_scores(net: Network, texts: pa.Array) -> np.ndarray:
         for a in range(0, len(ids), 1 << 15):  # a few words more, so that no window is cut
             b = min(len(ids), a + (1 << 15) + max(WIDTHS) - 1)
             x = net.embed[ids[a:b, 0]] + net.embed[ids[a:b, 1]] + net.embed[ids[a:b, 2]]
-            y, r, column, made = x @ kernel, row[a:b], 0, []
-            for w in WIDTHS:
-                pre = y[:, column: column + FILTERS].copy()
+            y, r, column = x @ kernel, row[a:b], 0
+            made = np.empty((len(y), len(WIDTHS) * FILTERS), np.float32)
+            for i, w in enumerate(WIDTHS):
+                pre = made[:, i * FILTERS: (i + 1) * FILTERS]
+                pre[:] = y[:, column: column + FILTERS]
                 for k in range(1, w):
-                    part = y[k:, column + k * FILTERS: column + (k + 1) * FILTERS] * (r[k:] == r[:-k])[:, None]
-                    pre[: len(pre) - k] += part
+                    last = np.flatnonzero(r[k:] != r[:-k])  # a text's last words have no k-th one after them
+                    alone = pre[last]
+                    pre[: max(0, len(pre) - k)] += y[k:, column + k * FILTERS: column + (k + 1) * FILTERS]
+                    pre[last] = alone
                 column += w * FILTERS
-                made.append(pre)
             first = np.flatnonzero(np.diff(r, prepend=-1))
-            top = np.maximum.reduceat(np.concatenate(made, axis=1), first, axis=0)
+            top = np.maximum.reduceat(made, first, axis=0)
             to = piece.rows[r[first]]
             np.maximum.at(pooled, to, top)
     pooled = np.where(np.isfinite(pooled), pooled + np.concatenate(net.shift), 0)
@@ -285,7 +288,7 @@ def _sharded(rows: DataFrame, shards: int, language: langid.Model) -> Network:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nets, model = shared.value
-        for batch in batches:
+        for batch in returning(batches):
             shard, toxic, text = batch.columns
             fold, z = shard.to_numpy() % FOLDS, np.zeros(len(batch))
             for k in np.unique(fold):
@@ -306,7 +309,7 @@ def _counted(dealt: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_ = np.zeros((FOLDS, 2, (1 << BITS) + 1), np.int64)  # the last one counts the texts
-        for batch in batches:
+        for batch in returning(batches):
             shard, toxic, text = batch.columns
             for k, y, ids in zip(shard.to_numpy() % FOLDS, toxic.to_numpy(), word_features(text)):
                 with_[k, y, np.unique(ids)] += 1
@@ -331,7 +334,7 @@ def _moved(dealt: DataFrame, shards: int, every: tuple[np.ndarray, np.ndarray])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_shard: dict[int, list] = {}
-        for batch in batches:
+        for batch in returning(batches):
             shard, ids, toxic, text = batch.columns
             for k, i, y, words in zip(shard.to_pylist(), ids.to_pylist(), toxic.to_pylist(), word_features(text)):
                 by_shard.setdefault(k, []).append((i, words, y))
@@ -380,7 +383,7 @@ def out_of_fold(spark: SparkSession, data: list[tuple[np.ndarray, int]], folds:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, of = shared.value
-        for batch in batches:
+        for batch in returning(batches):
             for k in batch.column(0).to_pylist():
                 net = train([d for d, f in zip(rows, of) if f != k])
                 own = [i for i, f in enumerate(of) if f == k]

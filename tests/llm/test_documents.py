@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from learnlake.llm import langid, mixing, packing, quality, simhash, textbytes, toxicity, wordids
+from learnlake.llm import frames, langid, mixing, packing, quality, simhash, textbytes, toxicity, wordids
 from learnlake.llm.queries import QUERIES, learned, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,6 +59,28 @@ def test_presence_is_the_set_of_grams():
     assert set(found.tolist()) == want
 
 
+def test_presence_of_long_texts_and_odd_ones(monkeypatch):
+    """Each n-gram once and in order, also where a text comes in several pieces."""
+    monkeypatch.setattr(textbytes, "PIECE", 64)
+    texts = pa.array(["", None, "ab ab ab", "word " * 60, "x"])
+    found = list(langid.presence(texts))
+    assert [len(f) for f in found[:2]] == [0, 0] and len(found) == 5
+    assert all((np.diff(f) > 0).all() for f in found) and 0 < len(found[3]) <= 4 * 5
+
+
+def test_stages_bound_their_batches_and_give_memory_back(spark):
+    stages = [pa.RecordBatch.from_arrays([pa.array(["text " * 1000] * 100)], names=["text"]) for _ in range(3)]
+    assert sum(len(b) for b in frames.returning(iter(stages))) == 300
+    old = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        frames.bounded_batches(spark)
+        wide = spark.range(0, 3000, 1, 1).selectExpr("repeat('word ', 2000) AS text")
+        sizes = wide.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long")
+        assert max(r["n"] for r in sizes.collect()) < 6 << 20
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", old)
+
+
 def test_scores_are_kernel_rows_times_weights():
     """The collapsed product equals the landmark form of the same kernel."""
     texts = [t for (_, t, *_r) in table("documents")[:60] if t]
