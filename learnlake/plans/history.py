@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from learnlake.operators import shaping
 from learnlake.operators.shaping import reshape
 from learnlake.schemas import gold
-from learnlake.session import written
+from learnlake.session import scratch_path, written
 from learnlake.sinks import ledger
-from learnlake.sinks.tables import load_folder, write_bucketed
+from learnlake.sinks.tables import BUCKETS, load_folder, write_bucketed
 from learnlake.sources import files
 from learnlake.sources.files import decoded, listing, unprocessed
 
@@ -65,12 +69,34 @@ def _targets(results: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
     return {"dim_lrs_result": result(results, objects), "dim_lrs_result_scorm": result_scorm(results)}
 
 
+@contextmanager
+def _dealt(results: DataFrame, objects: DataFrame, rows: int, database: str) -> Iterator[dict[str, DataFrame]]:
+    """Both targets of files' rows, which are shuffled once, by their statement: what is staged lies in buckets of it, so that
+    neither the join nor the bucket folders of the targets shuffle them again.
+
+    Rows without a statement are in no target. A bucket is one task and part of one folder; there are as many as ``rows``
+    ask for. The staging table is gone when the targets are written.
+    """
+    spark, n = results.sparkSession, BUCKETS * max(1, -(-rows // (BUCKETS * shaping.SPREAD)))
+    path = scratch_path(spark, "results")
+    table = f"{database}.staged_{path[-32:]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    every = results.where(F.col("id_statement").isNotNull()).repartition(n, "id_statement").distinct()
+    kept = _keep(every, dict.fromkeys([*RESULT_NAMES, *SCORM_NAMES]))
+    kept.write.format("parquet").bucketBy(n, "id_statement").option("path", path).saveAsTable(table)
+    known = objects.where(F.col("id_statement").isNotNull()).repartition(n, "id_statement").distinct()
+    try:
+        yield _targets(spark.table(table), known)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFrame, out: str, database: str) -> DataFrame:
     """Convert the result files not yet in ``done(path)`` and load both tables; returns the paths to add to ``done``.
 
     For inputs whose paths are recorded elsewhere; ``follow`` lets the checkpoint do it and reads new files only. The files
-    are chosen by a join on their path inside one read of the folder, and the de-duplicated rows are written
-    once for both targets. A run is named after its files: a run that failed between the two tables, or before its files
+    are chosen by a join on their path inside one read of the folder, and the de-duplicated rows are shuffled and
+    written once for both targets. A run is named after its files: a run that failed between the two tables, or before its files
     were recorded, replaces what it had written when it is repeated. Tables are created once and gain partitions.
     """
     fresh = written(unprocessed(listing(spark, results_path), done).select("path"), "fresh")
@@ -83,12 +109,12 @@ def run(spark: SparkSession, results_path: str, objects_path: str, done: DataFra
         fresh.select(_plain(F.col("path")).alias("__fresh")), _plain(decoded(F.col("__path"))) == F.col("__fresh"), "left_semi"
     )
     _all_read(spark, results_path, fresh)
-    results = written(chosen.drop("__path").distinct(), "results")
-    objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path).distinct()
-    for table, rows in _targets(results, objects).items():
-        stage = f"{out}/{table}/run={run_id}"
-        write_bucketed(rows, stage, mode="overwrite")
-        load_folder(spark, stage, f"{database}.{table}", rows.schema, f"{out}/{table}", run_id)
+    objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path)
+    with _dealt(chosen.drop("__path"), objects, every.count(), database) as targets:
+        for table, rows in targets.items():
+            stage = f"{out}/{table}/run={run_id}"
+            write_bucketed(rows, stage, mode="overwrite", dealt=True)
+            load_folder(spark, stage, f"{database}.{table}", rows.schema, f"{out}/{table}", run_id)
     return fresh
 
 
@@ -109,10 +135,10 @@ def follow(
         commit = ledger.begin(spark, out, batch_id)
         if not commit.done:
             fresh = ledger.fresh(commit, batch, F.lit("file"), F.col("__path"), F.lit(None).cast("timestamp"))
-            rows = written(fresh.drop("__path").distinct(), "results")
-            objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path).distinct()
-            for table, made in _targets(rows, objects).items():
-                write_bucketed(made, f"{out}/{table}/run={commit.number}", mode="overwrite")
+            objects = spark.read.option("recursiveFileLookup", True).parquet(objects_path)
+            with _dealt(fresh.drop("__path"), objects, batch.count(), database) as targets:
+                for table, made in targets.items():
+                    write_bucketed(made, f"{out}/{table}/run={commit.number}", mode="overwrite", dealt=True)
             ledger.finish(spark, commit)
         # naming partitions can be repeated: what committed last, also under an older checkpoint, is named again
         ends = [n * ledger.EPOCH + b for n, b in (commit.sealed or {}).items() if b >= 0]

@@ -104,11 +104,16 @@ def with_bucket(df: DataFrame, key: str = "statement_id", n: int = BUCKETS) -> D
     return df.withColumn("bucket", bucket(F.col(key), n))
 
 
-def write_bucketed(df: DataFrame, path: str, key: str = "statement_id", n: int = BUCKETS, mode: str = "append") -> None:
-    """One dataset split into ``n`` bucket folders in a single pass; big buckets become several files."""
-    with_bucket(df, key, n).hint("rebalance", "bucket").write.mode(mode).partitionBy("bucket").option(
-        "compression", "snappy"
-    ).parquet(path)
+def write_bucketed(
+    df: DataFrame, path: str, key: str = "statement_id", n: int = BUCKETS, mode: str = "append", dealt: bool = False
+) -> None:
+    """One dataset split into ``n`` bucket folders in a single pass; big buckets become several files.
+
+    Rows that are ``dealt`` so that a task holds few buckets are written as they lie.
+    """
+    rows = with_bucket(df, key, n)
+    rows = rows if dealt else rows.hint("rebalance", "bucket")
+    rows.write.mode(mode).partitionBy("bucket").option("compression", "snappy").parquet(path)
 
 
 def append_keyed(df: DataFrame, table: str, path: str, key: Sequence[str], n: int = BUCKETS) -> DataFrame:

@@ -6,6 +6,7 @@ from conftest import rows_of
 from learnlake.plans import admin, fact, history, lrs_batch, lrs_stream, reading
 from learnlake.schemas import gold
 from learnlake.schemas.events import ACT_TYPE, IDS, SCORM, VERB_PREFIX
+from learnlake.sinks.tables import write_bucketed
 
 
 def event(verb, kind=None, extensions=None, result=None, **more):
@@ -281,6 +282,27 @@ def test_history_reads_files_with_escapes_in_their_path(spark, tmp_path):
     assert sorted(r.statement_id for r in spark.table("history_paths.dim_lrs_result").collect()) == ["s0", "s1", "s2", "s3"]
 
 
+def test_history_shuffles_results_once(spark, tmp_path):
+    lines = [(f"s{i % 40}", f"r{i % 90}") for i in range(200)] + [(None, "r")] * 3
+    results = spark.createDataFrame(lines, "id_statement string, response string")
+    objects = spark.createDataFrame([(f"s{i}", "k") for i in range(30)] * 2 + [("s0", "m"), (None, "m")], "id_statement string, interactionType string")
+    want = {name: sorted(map(str, df.drop("dt_load").collect())) for name, df in history.convert(results, objects).items()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        with history._dealt(results, objects, 200, "history_dealt") as targets:
+            plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in targets.items()}
+            assert plans["dim_lrs_result"].count("Exchange hashpartitioning") == 1  # of the objects
+            assert "Exchange" not in plans["dim_lrs_result_scorm"]
+            assert {name: sorted(map(str, df.drop("dt_load").collect())) for name, df in targets.items()} == want
+            write_bucketed(targets["dim_lrs_result"], f"{tmp_path}/out", dealt=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    files = list((tmp_path / "out").glob("bucket=*/*.parquet"))
+    assert len(files) == len(list((tmp_path / "out").glob("bucket=*")))  # one file a bucket folder, no task writes them all
+    assert spark.sql("SHOW TABLES IN history_dealt").count() == 0
+
+
 def test_history(spark):
     from learnlake.operators.shaping import EXCLUDED_STATEMENTS
 
