@@ -17,10 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from learnlake.llm.slots import Slots
 from learnlake.session import written
 
 BLOCK = 4096
 WORDS = r"[^\x20\x09-\x0D]+"
+TIMES = 6  # numbers of copies that are told apart without a join
 ASIDE = 12  # documents a block sets aside for the next level, and the last block for the landing phase
 EDGE = 1e-9  # a probability this close to 0 or 1 is decided
 
@@ -196,7 +198,16 @@ def _levels(most: int) -> int:
 def apply(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (rows taken 0 times go); columns as they were."""
     decided = written(mix(docs, **options).select("doc_id", "source", "size", "copy", "copies"), "mix-copies")
-    marked = docs.withColumn("_size", words(F.col("text")))
+    times = sorted(r[0] for r in decided.select("copies").distinct().collect())[:TIMES]
+    if not times:
+        return docs.limit(0)
+    # where a slot wants all its rows equally often they are repeated as they are read; texts are shuffled for the others only
+    kinds = [F.col("copies") == n for n in times] + [F.col("copies") > times[-1]]
+    parted = Slots(decided, ["doc_id", "source"], kinds).mark(docs)
+    alike = F.create_map(*[F.lit(x) for i, n in enumerate(times) for x in (1 << i, n)])
+    parted = parted.withColumn("_copies", F.try_element_at(alike, F.col("_kinds")))
+    alone = parted.select(*docs.columns, F.expr("explode(array_repeat(0, _copies))").alias("_i")).drop("_i")
+    marked = parted.where(F.col("_copies").isNull()).select(*docs.columns, words(F.col("text")).alias("_size"))
     again = decided.where("copy > 0").select("doc_id", "source", "size").distinct()
 
     def same(other: DataFrame) -> Column:
@@ -211,7 +222,7 @@ def apply(docs: DataFrame, **options) -> DataFrame:
 
     if not again.take(1):
         chosen = decided.where("copies > 0")
-        return repeated(marked.alias("_d").join(chosen.alias("_m"), same(chosen)))
+        return alone.unionByName(repeated(marked.alias("_d").join(chosen.alias("_m"), same(chosen))))
     # rows that agree in id, source and size are numbered in two steps: within their partition, then over the partitions
     once = decided.where("copies > 0").join(again, _null_safe(decided, again), "left_anti")
     single = repeated(marked.alias("_d").join(once.alias("_m"), same(once)))
@@ -230,7 +241,7 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     numbered = numbered.withColumn("_copy", F.col("_before") + F.col("_row") - 1)
     chosen = decided.where("copies > 0")
     multiple = repeated(numbered.alias("_d").join(chosen.alias("_m"), same(chosen) & (F.col("_d._copy") == F.col("_m.copy"))))
-    return single.unionByName(multiple)
+    return alone.unionByName(single).unionByName(multiple)
 
 
 def _null_safe(a: DataFrame, b: DataFrame) -> Column:

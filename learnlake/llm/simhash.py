@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.llm.frames import annotate, hash_sample
+from learnlake.llm.slots import Slots
 from learnlake.session import written
 
 SAMPLE = 4000  # distinct fingerprints the partitions are fitted on; any partitions give the same links
@@ -279,11 +280,16 @@ def keep_one(docs: DataFrame, distance: int = 3, words: int = 3) -> DataFrame:
     chosen = written(chosen, "simhash-chosen")
     several = written(ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select("doc_id"), "simhash-ids")
     plain = chosen.join(several, "doc_id", "left_anti").where("doc_id is not null").select("doc_id")
-    kept = docs.join(plain, "doc_id", "left_semi")
+    plain = written(plain, "simhash-plain")
+    # rows whose slot holds no other id stay as they are read; texts are shuffled for the others only
+    rest = written(ids.join(plain, "doc_id", "left_anti").select("doc_id").distinct(), "simhash-rest")
+    parted = Slots(rest, ["doc_id"], [F.lit(True)]).mark(docs)
+    others = parted.where("_kinds > 0").select(*docs.columns)
+    kept = parted.where("_kinds = 0").select(*docs.columns).unionByName(others.join(plain, "doc_id", "left_semi"))
     if several.isEmpty():
         return kept
     # fingerprints tell apart the rows of an id that has more than one
-    again = docs.join(several.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    again = others.join(several.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     marked = fingerprints(again, docs.columns, words, "_fp").join(
         chosen.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp0")),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_fp0")), "left_semi",

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from learnlake.llm import langid, textbytes
 from learnlake.llm.frames import annotate, keep_where, returning
+from learnlake.llm.slots import Slots
 from learnlake.session import written
 
 BITS = 18  # of the hashed embeddings
@@ -242,7 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, language: langid.Mod
     and the largest label."""
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(usable)
     known = written(known, "labels")  # narrow; its size tells the planner whether the texts have to be shuffled
-    found = docs.select("doc_id", "text").join(known, "doc_id")
+    # few texts of other ids are shuffled
+    texts = Slots(known, ["doc_id"], [F.lit(True)]).mark(docs.select("doc_id", "text")).where("_kinds > 0").drop("_kinds")
+    found = texts.join(known, "doc_id")
     rows = written(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")
     number = rows.count()
     if number > ALONE:

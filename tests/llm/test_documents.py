@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from learnlake.llm import frames, langid, mixing, packing, quality, simhash, textbytes, toxicity, wordids
+from learnlake.llm import frames, langid, mixing, packing, quality, simhash, slots, textbytes, toxicity, wordids
 from learnlake.llm.queries import QUERIES, learned, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -366,6 +366,72 @@ def test_rows_of_one_id_stand_for_their_own_components(spark, documents):
         assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == [(5, a), (5, b), (11, "eins zwei drei vier")]
 
 
+# ---- texts that stay where they are read
+
+
+def stayed(df):
+    """Share of rows in the task of the number that ``part`` had before."""
+    return df.select((F.spark_partition_id() == F.col("part")).cast("int").alias("same")).agg(F.avg("same")).first()[0]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_slots_miss_no_key_and_hit_few_others(spark):
+    keys = "doc_id long, source string, n int"
+    rows = spark.createDataFrame([(i, None if i % 3 else "a", i % 2) for i in range(0, 4000, 2)] + [(None, "b", 1)], keys)
+    made = slots.Slots(rows, ["doc_id", "source"], [F.col("n") == 0, F.col("n") == 1])
+    found = {(r.doc_id, r.source): r._kinds for r in made.mark(rows).collect()}
+    assert all(kinds & 1 for (i, _), kinds in found.items() if i is not None) and found[None, "b"] & 2
+    assert sum(kinds == 1 for kinds in found.values()) > 1950
+    others = made.mark(spark.range(10_000, 20_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source")))
+    assert others.columns == ["doc_id", "source", "_kinds"] and others.where("_kinds > 0").count() < 1000
+    none = slots.Slots(rows.limit(0), ["doc_id"], [F.lit(True)])
+    assert none.mark(rows).where("_kinds = 0").count() == 2001
+
+
+def test_texts_of_settled_documents_are_not_shuffled(shuffled_joins, documents):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(9)) if i % 10 else "one and the same text", None, "ab"[i % 2]) for i in range(1000)]
+    docs = documents(*rows).repartition(4).withColumn("part", F.spark_partition_id()).localCheckpoint()
+    kept = simhash.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *(i for i in range(1000) if i % 10)]
+    assert stayed(kept) > 0.9
+    mixed = mixing.apply(docs)
+    wanted = {r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies}
+    assert collections.Counter(r.doc_id for r in mixed.collect()) == wanted
+    assert stayed(mixed) > 0.9
+
+
+def test_slots_of_several_kinds_are_left_to_a_join(shuffled_joins, documents, monkeypatch):
+    docs = documents(*[(i, f"{'same' if i % 4 == 0 else i} words of a text {i * (i % 4 > 0)}", None, "ab"[i % 2]) for i in range(400)], *[(3, "x y", None, "c")] * 3)
+    kept, mixed = (collections.Counter(map(tuple, made.collect())) for made in (simhash.keep_one(docs), mixing.apply(docs)))
+    monkeypatch.setattr(slots.Slots, "_slot", lambda self: F.lit(5).cast("long"))
+    assert collections.Counter(map(tuple, simhash.keep_one(docs).collect())) == kept
+    assert collections.Counter(map(tuple, mixing.apply(docs).collect())) == mixed
+
+
+def test_toxicity_shuffles_few_texts_without_label(spark, documents, monkeypatch):
+    seen = []
+
+    class Seen(slots.Slots):
+        def mark(self, df):
+            marked = super().mark(df)
+            seen.append(marked.where("_kinds > 0").count())
+            return marked
+
+    monkeypatch.setattr(toxicity, "Slots", Seen)
+    docs = documents(*LABELLED, *[(i, "no label", None) for i in range(1000, 3000)])
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, *_ in LABELLED], "doc_id int, quality int, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True), langid.fit(docs, F.lit(True), scores=False))
+    assert len(LABELLED) <= seen[0] < 200
+    scores = {r.doc_id: r.score for r in toxicity.predict(documents(*LABELLED), model, ["doc_id"]).collect()}
+    assert all((s >= 0.5) == (i % 2 == 1) for i, s in scores.items())
+
+
 # ---- packing
 
 
