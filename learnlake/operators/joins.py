@@ -9,6 +9,7 @@ from learnlake.functions.ids import sequence_key
 from learnlake.session import written
 
 RANGE_PIECES = 32
+FEW = 100_000  # rows of two ids, some 15 MB: what is still broadcast
 
 
 def restrict(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -35,6 +36,15 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left")
     return left.join(right, on, how)
 
 
+def counted(left: DataFrame, right: DataFrame, on: list[str] | Column, how: str = "inner") -> DataFrame:
+    """Join with narrow rows that may be as many as those of ``left``.
+
+    The planner goes by the size of files, and ids much alike take two bytes there and 150 in memory: it would collect millions
+    of them for a broadcast. So up to ``FEW`` rows are broadcast, and beyond that both sides are shuffled.
+    """
+    return left.join(right.hint("broadcast" if right.count() <= FEW else "merge"), on, how)
+
+
 def range_match(
     points: DataFrame,
     ranges: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from learnlake.functions.ids import bucket
 from learnlake.functions.paths import at
-from learnlake.operators import routing
+from learnlake.operators import joins, routing
 from learnlake.operators.incremental import run_summary, table_counts
 from learnlake.operators.shaping import spread
 from learnlake.parallel import attempt
@@ -160,7 +160,7 @@ def archive_raw(t):
     folder = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""), "^file:/+", "/")
     found = files.withColumn("folder", folder)
     there = (F.regexp_replace("s3_uri", "^file:/+", "/") == F.col("folder")) & (F.col("partition_key") == F.col("partitionKey"))
-    joined = log.join(found, there & (F.col("sequence_number") == F.col("sequenceNumber")))
+    joined = joins.counted(found, log, there & (F.col("sequence_number") == F.col("sequenceNumber")))
     return joined.select("payload", "partition_key", "sequence_number", *folders)
 
 

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from learnlake.operators import joins
 from learnlake.operators.shaping import spread
 from learnlake.plans import lrs_batch
 from learnlake.queries import io, learning
@@ -13,6 +14,10 @@ from learnlake.sinks import archive
 from learnlake.streaming import jobs
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def sizes(df):
     return sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
 
@@ -139,3 +144,15 @@ def test_object_files_are_taken_by_thousands(spark, tmp_path, monkeypatch):
     rows = io.stream_object_files(SimpleNamespace(spark=spark, events=events)).collect()
     assert len({r["id"] for r in rows if r["name"] != "objects"}) == 300 and len(rows) == 305
     assert asked[0] >= 1000 and asked[1] is None
+
+
+def test_many_log_rows_are_not_collected_for_a_broadcast(spark, monkeypatch):
+    """The files of the log are a few bytes a row; in memory a row of it takes over 400."""
+    events = spark.range(300).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("user_id"), F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    t = SimpleNamespace(spark=spark, events=events)
+    assert "SortMergeJoin" not in plan(io.archive_raw(t))
+    monkeypatch.setattr(joins, "FEW", 299, raising=False)
+    rows = io.archive_raw(t)
+    assert "SortMergeJoin" in plan(rows) and "BroadcastExchange" not in plan(rows)
+    found = {(r.payload.split('"')[3], r.partition_key, r.sequence_number[-3:]) for r in rows.collect()}
+    assert found == {(f"ev{i}", str(i % 5), f"{i:03}") for i in range(300)} and rows.count() == 300
