@@ -160,7 +160,7 @@ def archive_raw(t):
     folder = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""), "^file:/+", "/")
     found = files.withColumn("folder", folder)
     there = (F.regexp_replace("s3_uri", "^file:/+", "/") == F.col("folder")) & (F.col("partition_key") == F.col("partitionKey"))
-    joined = joins.counted(found, log, there & (F.col("sequence_number") == F.col("sequenceNumber")))
+    joined = found.join(joins.measured(log), there & (F.col("sequence_number") == F.col("sequenceNumber")))
     return joined.select("payload", "partition_key", "sequence_number", *folders)
 
 

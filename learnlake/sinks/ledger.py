@@ -22,13 +22,17 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import TypeVar
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnlake.operators import joins
+
 Result = TypeVar("Result")
 Identity = tuple[Column, Column, Column]  # shard, sequence number, arrival time of a record
 QUERY_ID = "sql.streaming.queryId"  # the local property that Spark sets for the thread of a streaming query
 EPOCH = 1 << 40  # batches of one epoch
+IDS = ["shard_id", "sequence_number"]
 TAKEN = "epoch int, day date, number long, shard_id string, sequence_number string"
 
 
@@ -167,19 +171,27 @@ def fresh(commit: Commit, records: DataFrame, shard: Column, sequence: Column, a
         return records
     spark, path = records.sparkSession, f"{commit.out}/_ledger/taken"
     own = _identity(records, shard, sequence, arrival)
-    if any(b >= 0 for b in commit.sealed.values()):
-        days = own.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
-        known = spark.read.schema(TAKEN).parquet(path).where(
-            (F.col("epoch") < commit.epoch) & F.col("day").between(F.lit(days["a"]), F.lit(days["b"]))
-        )
-        known = known.where(_within(F.col("number"), commit.sealed)).select("shard_id", "sequence_number").distinct()
-        marked = records.withColumns({"__shard": shard.cast("string"), "__sequence": sequence.cast("string")})
-        same = (F.col("__shard").eqNullSafe(F.col("shard_id"))) & (F.col("__sequence").eqNullSafe(F.col("sequence_number")))
-        records = marked.join(known, same, "left_anti").drop("__shard", "__sequence")
-        own = _identity(records, shard, sequence, arrival)
-    # a repeated batch notes its records again, which changes nothing
-    noted = own.select(F.lit(commit.epoch).alias("epoch"), "day", F.lit(commit.number).alias("number"), "shard_id", "sequence_number").distinct()
-    noted.write.mode("append").partitionBy("epoch", "day").parquet(path)
+    later = any(b >= 0 for b in commit.sealed.values())
+    if later:
+        own = own.persist(StorageLevel.MEMORY_AND_DISK)  # its source may be read whole for it
+    try:
+        new = own
+        if later:
+            days = own.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+            known = spark.read.schema(TAKEN).parquet(path).where(
+                (F.col("epoch") < commit.epoch) & F.col("day").between(F.lit(days["a"]), F.lit(days["b"]))
+            )
+            known = known.where(_within(F.col("number"), commit.sealed)).select(*[F.col(c).alias(f"__{c}") for c in IDS])
+            known = joins.measured(known)
+            same = lambda a, b: a.eqNullSafe(F.col("__shard_id")) & b.eqNullSafe(F.col("__sequence_number"))
+            new = own.join(known, same(*[F.col(c) for c in IDS]), "left_anti")
+            marked = records.withColumns({"__shard": shard.cast("string"), "__sequence": sequence.cast("string")})
+            records = marked.join(known, same(F.col("__shard"), F.col("__sequence")), "left_anti").drop("__shard", "__sequence")
+        # a repeated batch notes its records again, which changes nothing
+        noted = new.select(F.lit(commit.epoch).alias("epoch"), "day", F.lit(commit.number).alias("number"), *IDS).distinct()
+        noted.write.mode("append").partitionBy("epoch", "day").parquet(path)
+    finally:
+        own.unpersist()
     return records
 
 

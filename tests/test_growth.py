@@ -10,7 +10,7 @@ from learnlake.operators.shaping import spread
 from learnlake.plans import lrs_batch
 from learnlake.queries import io, learning
 from learnlake.session import RUNTIME_CONF
-from learnlake.sinks import archive
+from learnlake.sinks import archive, ledger
 from learnlake.streaming import jobs
 
 
@@ -156,3 +156,18 @@ def test_many_log_rows_are_not_collected_for_a_broadcast(spark, monkeypatch):
     assert "SortMergeJoin" in plan(rows) and "BroadcastExchange" not in plan(rows)
     found = {(r.payload.split('"')[3], r.partition_key, r.sequence_number[-3:]) for r in rows.collect()}
     assert found == {(f"ev{i}", str(i % 5), f"{i:03}") for i in range(300)} and rows.count() == 300
+
+
+def test_many_known_records_are_not_collected_for_a_broadcast(spark, tmp_path, monkeypatch):
+    """A new epoch leaves out what a sealed one took, also records without identity, by a broadcast of few or a shuffle of many."""
+    rows = [(str(i % 3), str(i)) for i in range(20)] + [(None, "x"), ("y", None), (None, None)]
+    batch = lambda part: spark.createDataFrame(part, "shard string, number string").withColumn("wide", F.lit("w"))
+    identity = (F.col("shard"), F.col("number"), F.lit("2024-01-01").cast("timestamp"))
+    for few, kind in ((100, "BroadcastHashJoin"), (5, "SortMergeJoin")):
+        out = str(tmp_path / kind)
+        monkeypatch.setattr(joins, "FEW", few, raising=False)
+        for number in (0, 1):  # the second batch was not committed
+            ledger.fresh(ledger.Commit(out, number, 0, {}), batch(rows[:8] + rows[-3:-1] if number == 0 else rows[8:12]), *identity)
+        left = ledger.fresh(ledger.Commit(out, 0, 1, {0: 0}), batch(rows), *identity)
+        assert kind in plan(left) and ("BroadcastExchange" in plan(left)) == (few == 100)
+        assert sorted(left.collect(), key=repr) == sorted(batch(rows[8:20] + rows[-1:]).collect(), key=repr)
