@@ -739,8 +739,7 @@ def stream_object_files(t):
     out, inbox = scratch_path(t.spark, "objects"), scratch_path(t.spark, "inbox")
     part = F.concat(F.lit("a+"), F.floor(F.col("event_id") / 64).cast("string")).alias("part")
     grouped = inputs.learning_events(t).groupBy(part).agg(F.collect_list("e").alias("e"))  # 64 events a file
-    tasks_rename = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}  # not the driver, folder by folder
-    grouped.select("part", F.to_json("e").alias("value")).write.options(**tasks_rename).partitionBy("part").text(inbox)
+    archive.write_objects(grouped.select("part", F.to_json("e").alias("value")), inbox, "part")
     for run in range(2):
         stream = files.follow_documents(t.spark, inbox, None if run else jobs.OBJECTS_PER_BATCH)
         jobs.start(stream, lambda df, i: jobs.run_object_batch(df, i, out), scratch_path(t.spark, "cp")).awaitTermination()

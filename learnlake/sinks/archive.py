@@ -9,6 +9,12 @@ many rows is split over several, whatever its share of the data.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+from urllib.parse import urlparse
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +108,35 @@ def write_json(df: DataFrame, path: str, folders: list[str], mode: str = "append
 def write_failed(df: DataFrame, path: str, table: str, op: str, batch: str) -> None:
     """Rows of a failed write, kept under the operation, the table and the batch."""
     df.write.mode("overwrite").json(f"{path}/{op}_{table.replace('.', '_')}/batch={batch}", compression="gzip")
+
+
+ODD_IN_FOLDERS = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_objects(df: DataFrame, path: str, folder: str, value: str = "value") -> None:
+    """One file of text for each row, under ``folder=name``; names are unique.
+
+    Hadoop's local file system starts a process for each file, checksum and folder to set its rights. So in a mounted folder the
+    tasks make the files themselves; elsewhere Spark's writer does.
+    """
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getScheme() != "file":
+        rename = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}  # by the tasks, not the driver, folder by folder
+        df.select(folder, value).write.options(**rename).partitionBy(folder).text(path)
+        return
+    base = urlparse(path).path
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                escaped = "".join(f"%{ord(c):02X}" if c in ODD_IN_FOLDERS else c for c in name or NO_NAME)
+                os.makedirs(to := os.path.join(base, f"{folder}={escaped}"), exist_ok=True)
+                with open(unseen := os.path.join(to, f".{uuid.uuid4().hex}"), "w", encoding="utf-8", newline="") as file:
+                    file.write(f"{text.as_py() or ''}\n")
+                os.replace(unseen, os.path.join(to, "object.txt"))  # a repeated task replaces its files
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = df.select(F.col(folder).cast("string"), value)
+    rows.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()

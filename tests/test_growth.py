@@ -171,3 +171,44 @@ def test_many_known_records_are_not_collected_for_a_broadcast(spark, tmp_path, m
         left = ledger.fresh(ledger.Commit(out, 0, 1, {0: 0}), batch(rows), *identity)
         assert kind in plan(left) and ("BroadcastExchange" in plan(left)) == (few == 100)
         assert sorted(left.collect(), key=repr) == sorted(batch(rows[8:20] + rows[-1:]).collect(), key=repr)
+
+
+def test_object_files_are_those_of_sparks_writer_without_a_process_each(spark, tmp_path):
+    names = [f"a+{i}" for i in range(40)] + ["x%y:z=1", "é ü", None]
+    rows = spark.createDataFrame([(n, f"té\nxt {n}") for n in names], "part string, value string").repartition(3)
+    rows.write.partitionBy("part").text(f"{tmp_path}/spark")
+    for _ in range(2):  # a repeated task replaces its files
+        archive.write_objects(rows, f"file://{tmp_path}/own", "part")
+    read = lambda p: sorted(
+        (r.path.split("part=")[1].split("/")[0], r.payload) for r in io.files.json_documents(spark, f"{tmp_path}/{p}").collect()
+    )
+    assert read("own") == read("spark") and len(read("own")) == len(names)
+    assert len(glob.glob(f"{tmp_path}/own/part=*/{'[!_]'}*")) == len(names) and not glob.glob(f"{tmp_path}/own/part=*/.*")
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    archive.write_objects(spark.range(450).select(F.concat(F.lit("a+"), "id").alias("part"), F.lit("[]").alias("value")), str(tmp_path), "part")
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 200
+    tracker, group = spark.sparkContext.statusTracker(), "listing"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert io.files.json_documents(spark, str(tmp_path)).count() == 450
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert max(i.numTasks for i in map(tracker.getStageInfo, stages) if i) <= 200
+
+
+def test_a_later_epoch_reads_its_records_once_to_note_them(spark, tmp_path):
+    times = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        times.add(1)
+        return n
+
+    records = spark.range(30).select(F.udf(seen, "string").asNondeterministic()(F.col("id").cast("string")).alias("number"))
+    identity = (F.lit("s"), F.col("number"), F.lit("2024-01-01").cast("timestamp"))
+    ledger.fresh(ledger.Commit(str(tmp_path), 0, 0, {}), records.where("number < 10"), *identity)
+    times.value = 0
+    assert ledger.fresh(ledger.Commit(str(tmp_path), 0, 1, {0: 0}), records, *identity) is not records
+    assert times.value == 30
