@@ -7,7 +7,8 @@ repeated batch replaces its own output and a run with a new checkpoint neither o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial
@@ -26,7 +27,7 @@ from learnlake.operators.shaping import once
 from learnlake.parallel import attempt, each
 from learnlake.plans import admin, lrs_stream, reading
 from learnlake.schemas import gold
-from learnlake.session import written
+from learnlake.session import staged, written
 from learnlake.sinks import archive, ledger, merge, tables
 from learnlake.sources import envelope
 
@@ -130,9 +131,11 @@ def _identity() -> ledger.Identity:
     return before_colon(F.col("eventID")), F.col("sequenceNumber"), arrival_time(F.col("approximateArrivalTimestamp"))
 
 
-def _open(job: Job, records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    decoded = envelope.decode(records).persist(StorageLevel.MEMORY_AND_DISK)
-    return decoded, envelope.good(decoded).where(job.admit())
+@contextmanager
+def _opened(job: Job, records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The decoded records and the job's events among them, decoded once and staged while they are used."""
+    with staged(envelope.decode(records), "decoded") as decoded:
+        yield decoded, envelope.good(decoded).where(job.admit())
 
 
 def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str, tuple[str, str | None]]:
@@ -142,12 +145,9 @@ def run_batch(job: Job, records: DataFrame, batch_id: int, out: str) -> dict[str
     """
 
     def work(taken: DataFrame, number: int) -> dict[str, tuple[str, str | None]]:
-        decoded, events = _open(job, taken)
-        try:
+        with _opened(job, taken) as (decoded, events):
             _log_and_archive(job, events, decoded, out, number)
             return each({t: partial(_write_target, build(events), t, out, number) for t, build in job.targets.items()})
-        finally:
-            decoded.unpersist()
 
     return ledger.run(records, out, batch_id, _identity(), work) or {}
 
@@ -175,19 +175,16 @@ def run_change_batch(
         )
 
     def work(taken: DataFrame, number: int) -> dict[str, tuple[str, str | None]]:
-        decoded, events = _open(job, taken)
-        events = events.withColumns(
-            {
-                "op": routing.change_kind(admin.action()),
-                "arrival": F.col("approximateArrivalTimestamp"),
-                "seq": sequence_key(F.col("sequenceNumber")),
-            }
-        )
-        try:
+        with _opened(job, taken) as (decoded, events):
+            events = events.withColumns(
+                {
+                    "op": routing.change_kind(admin.action()),
+                    "arrival": F.col("approximateArrivalTimestamp"),
+                    "seq": sequence_key(F.col("sequenceNumber")),
+                }
+            )
             _log_and_archive(job, events, decoded, out, number)
             return each({table: partial(write, events, number, table, build) for table, build in job.targets.items()})
-        finally:
-            decoded.unpersist()
 
     return ledger.run(records, out, batch_id, _identity(), work) or {}
 

@@ -1,8 +1,11 @@
 """Work that has to grow with the input: tasks of like size, no wide record dealt out twice, compressed archives."""
 
 import glob
+import os
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
+import pytest
 from pyspark.sql import functions as F
 
 from learnlake.operators import joins
@@ -212,3 +215,31 @@ def test_a_later_epoch_reads_its_records_once_to_note_them(spark, tmp_path):
     times.value = 0
     assert ledger.fresh(ledger.Commit(str(tmp_path), 0, 1, {0: 0}), records, *identity) is not records
     assert times.value == 30
+
+
+ENVELOPE = "eventSource string, eventVersion string, eventID string, awsRegion string, partitionKey string, sequenceNumber string, " \
+    "data string, approximateArrivalTimestamp double"
+
+
+def record(n, data="e30="):
+    return ("aws:kinesis", "1.0", f"s:{n}", "r", "p", str(n), data, float(n))
+
+
+def test_a_decoded_batch_is_staged_in_files_not_in_memory(spark, tmp_path, monkeypatch):
+    """Its wide rows took what memory the executors had; the files are gone with the batch, also if it fails."""
+    seen, write = [], jobs._log_and_archive
+
+    def looked_at(job, events, decoded, out, batch_id):
+        seen.append((decoded.storageLevel.useMemory, decoded.inputFiles(), decoded.count()))
+        write(job, events, decoded, out, batch_id)
+        if batch_id:
+            raise RuntimeError("full")
+
+    monkeypatch.setattr(jobs, "_log_and_archive", looked_at)
+    records = spark.createDataFrame([record(1), record(2), record(3, "e30"), record(4, None)], ENVELOPE)
+    assert {s for s, _ in jobs.run_batch(jobs.LEARNING, records, 0, str(tmp_path)).values()} == {"ok"}
+    with pytest.raises(RuntimeError, match="full"):
+        jobs.run_batch(jobs.LEARNING, records, 1, str(tmp_path))
+    for in_memory, files, n in seen:
+        assert not in_memory and files and n == 4
+        assert not any(os.path.exists(urlparse(f).path) for f in files)
