@@ -243,3 +243,17 @@ def test_a_decoded_batch_is_staged_in_files_not_in_memory(spark, tmp_path, monke
     for in_memory, files, n in seen:
         assert not in_memory and files and n == 4
         assert not any(os.path.exists(urlparse(f).path) for f in files)
+
+
+def test_the_state_of_a_stream_is_not_in_the_heap(spark, tmp_path):
+    for i in range(2):
+        spark.createDataFrame([record(1), record(i + 2)], ENVELOPE).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = jobs.deliver_once(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], ENVELOPE).schema, "parquet", 1))
+    got = []
+    query = jobs.start(stream, lambda df, i: got.extend(r.sequenceNumber for r in df.collect()), f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert sorted(got) == ["1", "2", "3"]
+    metrics = [s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert metrics and all(any(k.startswith("rocksdb") for k in m) for m in metrics)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage") == "true"
+    assert int(spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")) <= 1000
